@@ -593,3 +593,81 @@ def q_bars_15m(spark, d):
 @register("bars_4h", "S08 A01", _bars_sql("4 hours"))
 def q_bars_4h(spark, d):
     return bars.resample(fixtures.tick_bars(fixtures.load_table(spark, d, "events")), "4 hours")
+
+
+# ---------------------------------------------------------------------------
+# streams (R01-R05): deliveries land in a shared folder; each delivery is one
+# availableNow run of the same query (same checkpoint), as an hourly schedule
+# would run it.
+# ---------------------------------------------------------------------------
+DELIVERY_CUTS = ["2024-01-10 00:00:00", "2024-01-20 00:00:00"]
+
+
+def _deliveries(df: DataFrame, col: str) -> list[DataFrame]:
+    t = F.col(col)
+    lo = None
+    out = []
+    for cut in [*DELIVERY_CUTS, None]:
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (t >= F.lit(lo).cast("timestamp"))
+        if cut is not None:
+            cond = cond & (t < F.lit(cut).cast("timestamp"))
+        out.append(df.filter(cond))
+        lo = cut
+    return out
+
+
+def _stream_dirs(spark, name: str) -> dict[str, str]:
+    from barlake.session import scratch_path
+    base = scratch_path(spark, name)
+    return {k: f"{base}/{k}" for k in ("landing", "out", "state", "late", "checkpoint")}
+
+
+@register("stream_bronze", "R01 K01", S("raw", "SELECT * FROM firsts", [_FIRSTS]))
+def q_stream_bronze(spark, d):
+    from barlake.streaming import run_bronze_stream
+    r = raw(spark, d)
+    p = _stream_dirs(spark, "stream_bronze")
+    for part in _deliveries(r, "ingestion_timestamp"):
+        part.write.mode("append").parquet(p["landing"])
+        run_bronze_stream(spark, p["landing"], r.schema, p["out"], p["checkpoint"])
+    return spark.read.parquet(p["out"])
+
+
+@register("stream_dedup", "R05", S("raw", 'SELECT DISTINCT "timestamp", symbol, source FROM raw'))
+def q_stream_dedup(spark, d):
+    from barlake.streaming import dedup_stream
+    from barlake.streaming.jobs import _run
+    r = raw(spark, d)
+    p = _stream_dirs(spark, "stream_dedup")
+    for part in _deliveries(r, "ingestion_timestamp"):
+        part.write.mode("append").parquet(p["landing"])
+        s = dedup_stream(spark.readStream.schema(r.schema).parquet(p["landing"]))
+        _run(s.select("timestamp", "symbol", "source").writeStream.format("parquet")
+             .outputMode("append").option("path", p["out"]).option("checkpointLocation", p["checkpoint"]))
+    return spark.read.parquet(p["out"])
+
+
+@register("stream_silver", "R02 R04", S("silver", _cmp_sql("silver")))
+def q_stream_silver(spark, d):
+    from barlake.streaming import run_silver_stream
+    r = raw(spark, d)
+    p = _stream_dirs(spark, "stream_silver")
+    for part in _deliveries(r, "timestamp"):
+        part.write.mode("append").parquet(p["landing"])
+        run_silver_stream(spark, p["landing"], r.schema, p["out"], p["state"], p["late"],
+                          p["checkpoint"], updated_at=AS_OF)
+    return silver_cmp(spark.read.parquet(p["out"]).drop("epoch"))
+
+
+@register("stream_daily_bars", "R03", S("daily", """SELECT date, symbol, open, high, low, close, volume,
+  data_points, first_timestamp, last_timestamp FROM daily WHERE date < (SELECT max(date) FROM daily)"""))
+def q_stream_daily(spark, d):
+    from barlake.streaming import run_daily_bars_stream
+    s = silver(spark, d)
+    p = _stream_dirs(spark, "stream_daily")
+    for part in _deliveries(s, "timestamp"):
+        part.write.mode("append").parquet(p["landing"])
+        run_daily_bars_stream(spark, p["landing"], s.schema, p["out"], p["checkpoint"])
+    return spark.read.parquet(p["out"])
