@@ -50,9 +50,13 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str,
     rows = rows.withColumn(_BUCKET, bucket)
 
     # Level 2: last row of every (key, bucket) slice, then the previous slice's last row.
+    # The summary keeps the slice's whole last row (all columns, one row per
+    # slice): both branches then read the same columns, so the shuffle that
+    # produced `df` canonicalises equal in both and runs once (ReusedExchange)
+    # instead of being pruned into a second, narrower copy.
+    whole_row = F.struct(*[F.col(c) for c in rows.columns if c not in keys and c != _BUCKET])
     last = (rows.groupBy(*keys, _BUCKET)
-            .agg(F.max_by(F.struct(F.col(order_col), *[F.col(s) for s in srcs]),
-                          F.col(order_col)).alias("_last")))
+            .agg(F.max_by(whole_row, F.col(order_col)).alias("_last")))
     per_key = Window.partitionBy(*keys).orderBy(_BUCKET)
     seeds = (last.select(*keys, _BUCKET, F.lag("_last").over(per_key).alias("_prev"))
              .filter(F.col("_prev").isNotNull())

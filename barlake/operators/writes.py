@@ -51,12 +51,14 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, keys: Sequence[
 
 
 def load_stats(batch: DataFrame, inserted: DataFrame, bad: DataFrame | None = None) -> DataFrame:
-    """One row inserted / duplicates / failed / total (true counts)."""
-    total = batch.agg(F.count(F.lit(1)).alias("total"))
-    ins = inserted.agg(F.count(F.lit(1)).alias("inserted"))
-    failed = (bad.agg(F.count(F.lit(1)).alias("failed")) if bad is not None
-              else batch.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("failed")))
-    x = total.crossJoin(ins).crossJoin(failed)   # three one-row aggregates
+    """One row inserted / duplicates / failed / total (true counts) -
+    one aggregate over the tagged union of the three inputs, no join."""
+    tag = F.col("_part")
+    parts = batch.select(F.lit("total").alias("_part")).unionByName(
+        inserted.select(F.lit("inserted").alias("_part")))
+    if bad is not None:
+        parts = parts.unionByName(bad.select(F.lit("failed").alias("_part")))
+    x = parts.agg(*[F.count_if(tag == k).alias(k) for k in ("inserted", "failed", "total")])
     return x.select("inserted", (F.col("total") - F.col("inserted") - F.col("failed")).alias("duplicates"),
                     "failed", "total")
 
