@@ -671,3 +671,111 @@ def q_stream_daily(spark, d):
         part.write.mode("append").parquet(p["landing"])
         run_daily_bars_stream(spark, p["landing"], s.schema, p["out"], p["checkpoint"])
     return spark.read.parquet(p["out"])
+
+
+# ---------------------------------------------------------------------------
+# jobs on storage: landing reads (S01), live ingest (C01), backfill (C02),
+# silver merge with carried state (K05 on partitions), gold refresh
+# ---------------------------------------------------------------------------
+def _landed(spark, d, fmt: str = "json") -> tuple[str, DataFrame]:
+    """Upstream frames as a fetch lands them (bar time as a zoned TIMESTAMP)."""
+    up = fixtures.upstream_bars(fixtures.load_table(spark, d, "events"))
+    up = up.withColumn("Datetime", F.col("Datetime").cast("timestamp"))
+    path = _stream_dirs(spark, f"landing-{fmt}")["landing"]
+    w = up.write.mode("overwrite")
+    if fmt == "csv":
+        w = w.option("header", "true")
+    w.format(fmt).save(path)
+    return path, up
+
+
+_NORMALIZED = f"""SELECT "timestamp", symbol, open, high, low, close, volume,
+  '{{source}}' AS source, {TS_AS_OF} AS ingestion_timestamp FROM raw"""
+
+
+@register("landing_scan", "S01 S02 S03 P01 P02 P03 P04", S("raw", f"""{_NORMALIZED.format(source='yahoo_finance_hourly')}
+WHERE symbol IN ({_in(SELECTED)}) AND "timestamp" >= TIMESTAMP '{RANGE_START}' AND "timestamp" < TIMESTAMP '{RANGE_END}'"""))
+def q_landing_scan(spark, d):
+    from barlake.schema import SOURCE_HOURLY, UPSTREAM_SCHEMA
+    path, _ = _landed(spark, d, "json")
+    bars_ = landing.read_bars(spark, path, "json", UPSTREAM_SCHEMA, start=RANGE_START, end=RANGE_END,
+                              symbols=SELECTED)
+    return ingest.normalize_upstream(bars_, source=SOURCE_HOURLY, ingested_at=AS_OF)
+
+
+_KEYS_SQL = 'SELECT DISTINCT "timestamp", symbol FROM raw'
+
+
+def _backfill(spark, d):
+    from barlake.schema import SOURCE_HOURLY, UPSTREAM_SCHEMA
+    path, _ = _landed(spark, d, "parquet")
+    landed = landing.read_bars(spark, path, "parquet", UPSTREAM_SCHEMA)
+    bronze_path = _stream_dirs(spark, "backfill")["out"]
+    return ingest.backfill(spark, landed, bronze_path, SOURCE_HOURLY, EXPECTED_SYMBOLS, ingested_at=AS_OF)
+
+
+@register("backfill_load_stats", "C02 K01 K02 A08", S("raw", f"""SELECT
+  (SELECT count(*) FROM ({_KEYS_SQL})) AS inserted,
+  (SELECT count(*) FROM raw) - (SELECT count(*) FROM ({_KEYS_SQL})) AS duplicates,
+  CAST(0 AS BIGINT) AS failed, (SELECT count(*) FROM raw) AS total"""))
+def q_backfill_stats(spark, d):
+    return _backfill(spark, d)["stats"]
+
+
+@register("backfill_coverage", "C02 A04 F08", S("raw", f"""SELECT symbol, count(*) AS record_count,
+  min("timestamp") AS earliest, max("timestamp") AS latest FROM ({_KEYS_SQL}) GROUP BY symbol"""))
+def q_backfill_coverage(spark, d):
+    return _backfill(spark, d)["coverage"]
+
+
+@register("ingest_live_freshness", "C01 A03", S("raw", f"""SELECT latest_timestamp, record_count, symbol_count,
+  {_age("latest_timestamp")} AS age_minutes,
+  CASE WHEN record_count = 0 THEN 'empty' WHEN {_age("latest_timestamp")} > 90 THEN 'stale' ELSE 'fresh' END AS status
+FROM (SELECT max("timestamp") AS latest_timestamp, count(*) AS record_count, count(DISTINCT symbol) AS symbol_count
+      FROM ({_KEYS_SQL}) WHERE "timestamp" > {TS_AS_OF} - INTERVAL '2 hours')"""))
+def q_ingest_live(spark, d):
+    path, _ = _landed(spark, d, "parquet")
+    from barlake.schema import UPSTREAM_SCHEMA
+    landed = landing.read_bars(spark, path, "parquet", UPSTREAM_SCHEMA)
+    return ingest.ingest_live(spark, landed, _stream_dirs(spark, "live")["out"], AS_OF)["freshness"]
+
+
+def _bronze_loads(spark, d) -> tuple[str, list[DataFrame]]:
+    """Bronze on storage, loaded in two deliveries split at CUT."""
+    r = raw(spark, d)
+    path = _stream_dirs(spark, "bronze-loads")["out"]
+    cut = F.lit(CUT).cast("timestamp")
+    return path, [r.filter(F.col("timestamp") < cut), r.filter(F.col("timestamp") >= cut)]
+
+
+@register("silver_merge_job", "C03 K05 K06 F01 (carried state, partition merge)", S("silver", _cmp_sql("silver")))
+def q_silver_merge_job(spark, d):
+    from barlake.plans import jobs
+    bronze_path, loads = _bronze_loads(spark, d)
+    p = _stream_dirs(spark, "silver-job")
+    for load in loads:
+        writes.write_layer(load.withColumn("date", F.to_date("timestamp")), bronze_path, mode="append")
+        bronze = spark.read.parquet(bronze_path).drop("date")
+        jobs.refresh_silver(spark, bronze, p["out"], mode="carry", state_path=p["state"], updated_at=AS_OF)
+    return silver_cmp(spark.read.parquet(p["out"]).drop("date"))
+
+
+@register("silver_reference_job", "C03 K05 F01 J04 (reference incremental)", oracle.with_ctes(_INC_REF, _cmp_sql("upserted")))
+def q_silver_reference_job(spark, d):
+    from barlake.plans import jobs
+    bronze_path, loads = _bronze_loads(spark, d)
+    out = _stream_dirs(spark, "silver-ref-job")["out"]
+    for load in loads:
+        writes.write_layer(load.withColumn("date", F.to_date("timestamp")), bronze_path, mode="append")
+        bronze = spark.read.parquet(bronze_path).drop("date")
+        jobs.refresh_silver(spark, bronze, out, mode="reference", updated_at=AS_OF)
+    return silver_cmp(spark.read.parquet(out).drop("date"))
+
+
+@register("gold_refresh_job", "C04 K07 K10 O01", S("gold", "SELECT * FROM gold"))
+def q_gold_refresh_job(spark, d):
+    from barlake.plans import jobs
+    p = _stream_dirs(spark, "gold-job")
+    jobs.refresh_silver(spark, raw(spark, d), p["state"], mode="full", updated_at=AS_OF)
+    jobs.refresh_gold(spark, p["state"], p["out"], updated_at=AS_OF)
+    return spark.read.parquet(p["out"]).drop("updated_at")
