@@ -632,7 +632,7 @@ def q_stream_bronze(spark, d):
     for part in _deliveries(r, "ingestion_timestamp"):
         part.write.mode("append").parquet(p["landing"])
         run_bronze_stream(spark, p["landing"], r.schema, p["out"], p["checkpoint"])
-    return spark.read.parquet(p["out"])
+    return spark.read.parquet(p["out"]).drop("date")
 
 
 @register("stream_dedup", "R05", S("raw", 'SELECT DISTINCT "timestamp", symbol, source FROM raw'))

@@ -28,15 +28,30 @@ def _all_not_null(cols: Sequence[str]) -> Column:
 def first_arrivals(batch: DataFrame, keys: Sequence[str] = BRONZE_KEY,
                    arrival: Sequence[Column] | None = None) -> DataFrame:
     """In-batch part of K01: per key the first row in arrival order wins.  A
-    NULL in any key part never conflicts (SQL UNIQUE), so such rows all stay."""
+    NULL in any key part never conflicts (SQL UNIQUE), so such rows all stay:
+    they get a unique extra window key, in the same single pass (a hot group
+    of copies is cut to one row per map task by the partial top-1)."""
     keys = list(keys)
     arrival = list(arrival) if arrival is not None else [
         F.col("ingestion_timestamp").asc_nulls_last(), F.col("id").asc_nulls_last()]
-    complete = _all_not_null(keys)
-    w = Window.partitionBy(*keys).orderBy(*arrival)
-    keyed = (batch.filter(complete).withColumn("_rn", F.row_number().over(w))
-             .filter(F.col("_rn") == 1).drop("_rn"))
-    return keyed.unionByName(batch.filter(~complete))
+    lone = F.when(~_all_not_null(keys), F.monotonically_increasing_id())
+    w = Window.partitionBy(*keys, "_lone").orderBy(*arrival)
+    return (batch.withColumn("_lone", lone).withColumn("_rn", F.row_number().over(w))
+            .filter(F.col("_rn") == 1).drop("_rn", "_lone"))
+
+
+def within_time_range_of(target: DataFrame, batch: DataFrame, ts: str = "timestamp",
+                         partition_col: str = "date") -> DataFrame:
+    """Target rows that can share a key with `batch`: those inside the batch's
+    time range.  The range is one scalar subquery evaluated first; on a
+    date-partitioned target it becomes a partition filter, so an hourly load
+    reads one or two date folders, not the whole table."""
+    rng = batch.agg(F.struct(F.min(ts).alias("lo"), F.max(ts).alias("hi"))).scalar()
+    lo, hi = rng.getField("lo"), rng.getField("hi")
+    out = target.filter((F.col(ts) >= lo) & (F.col(ts) <= hi))
+    if partition_col in target.columns:
+        out = out.filter((F.col(partition_col) >= F.to_date(lo)) & (F.col(partition_col) <= F.to_date(hi)))
+    return out
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame | None, keys: Sequence[str] = BRONZE_KEY,
@@ -47,7 +62,8 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, keys: Sequence[
     new = first_arrivals(batch, keys, arrival)
     if target is None:
         return new
-    return new.join(target.select(*keys), list(keys), "left_anti")
+    existing = within_time_range_of(target, batch).select(*keys)
+    return new.join(existing, list(keys), "left_anti")
 
 
 def load_stats(batch: DataFrame, inserted: DataFrame, bad: DataFrame | None = None) -> DataFrame:
@@ -123,9 +139,11 @@ def append_bronze(spark: SparkSession, batch: DataFrame, path: str,
     return load_stats(batch, new, bad)
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
+    """The folder's table, or None before the first write.  `merge_schema`
+    (reads every footer) only for layers whose columns evolve (K06)."""
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
     except Exception as e:  # noqa: BLE001 - missing folder / no files yet
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None

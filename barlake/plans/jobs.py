@@ -27,7 +27,7 @@ def merge_into_layer(spark: SparkSession, new: DataFrame, path: str,
     """K05 + K06 on a partitioned folder: delete-then-insert by key, only in
     the partitions `new` touches; new columns are appended (old rows NULL)."""
     new = new if partition_col in new.columns else new.withColumn(partition_col, F.to_date("timestamp"))
-    target = writes.read_if_exists(spark, path)
+    target = writes.read_if_exists(spark, path, merge_schema=True)
     if target is None:
         writes.write_layer(new, path, mode="overwrite", partition_by=partition_col)
         return
@@ -62,7 +62,7 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
       carried state (the original incremental model);
     * ``carry``     - the same filter, seeded with the per-symbol carry state
       kept in `state_path` (versioned folders); equals a full refresh."""
-    target = writes.read_if_exists(spark, silver_path)
+    target = writes.read_if_exists(spark, silver_path, merge_schema=True)
     if mode == "full" or target is None and mode == "reference":
         out = silver_plan.build_silver(bronze, updated_at=updated_at).withColumn("date", F.to_date("timestamp"))
         (writes.clustered(out).write.mode("overwrite").option("partitionOverwriteMode", "static")

@@ -58,7 +58,7 @@ def missing_symbols(df: DataFrame, expected: Iterable[str] | DataFrame, col: str
     spark = df.sparkSession
     if not isinstance(expected, DataFrame):
         expected = spark.createDataFrame([(s,) for s in expected], f"{col} string")
-    return expected.select(col).distinct().join(df.select(col), col, "left_anti")
+    return expected.select(col).distinct().join(df.select(col).distinct(), col, "left_anti")
 
 
 def require_rows(df: DataFrame, message: str = "no rows") -> DataFrame:

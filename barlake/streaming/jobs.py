@@ -56,7 +56,7 @@ def run_bronze_stream(spark: SparkSession, landing_path: str, schema: T.StructTy
     def load(batch: DataFrame, batch_id: int) -> None:
         target = writes.read_if_exists(batch.sparkSession, target_path)
         new = writes.insert_if_absent(batch, target, BRONZE_KEY)
-        new.write.mode("append").parquet(target_path)
+        writes.write_layer(new.withColumn("date", F.to_date("timestamp")), target_path, mode="append")
 
     _run(stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint))
 

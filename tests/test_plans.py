@@ -64,3 +64,16 @@ def test_no_cartesian_products_or_python_udfs(spark, name):
     p = plan(entry.queries()[name](spark, SF_SMALL), "simple")
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in p, f"{name}: {bad}"
+
+
+def test_load_reads_only_the_batch_date_range_of_bronze(spark, tmp_path):
+    from bars_data import bronze, ts
+    path = str(tmp_path / "bronze")
+    history = bronze(spark, [{"timestamp": ts(1, days=d)} for d in range(10)])
+    writes.write_layer(history.withColumn("date", F.to_date("timestamp")), path)
+    target = spark.read.parquet(path)
+    batch = bronze(spark, [{"timestamp": ts(2, days=9), "id": 99}])
+    p = plan(writes.insert_if_absent(batch, target), "simple")
+    scan = [line for line in p.splitlines() if "FileScan parquet" in line][0]
+    assert "PartitionFilters: [isnotnull(date" in scan and "Subquery" in scan
+    assert writes.insert_if_absent(batch, target).count() == 1
