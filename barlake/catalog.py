@@ -755,7 +755,7 @@ def q_silver_merge_job(spark, d):
     p = _stream_dirs(spark, "silver-job")
     for load in loads:
         writes.write_layer(load.withColumn("date", F.to_date("timestamp")), bronze_path, mode="append")
-        bronze = spark.read.parquet(bronze_path).drop("date")
+        bronze = spark.read.parquet(bronze_path)
         jobs.refresh_silver(spark, bronze, p["out"], mode="carry", state_path=p["state"], updated_at=AS_OF)
     return silver_cmp(spark.read.parquet(p["out"]).drop("date"))
 
@@ -767,7 +767,7 @@ def q_silver_reference_job(spark, d):
     out = _stream_dirs(spark, "silver-ref-job")["out"]
     for load in loads:
         writes.write_layer(load.withColumn("date", F.to_date("timestamp")), bronze_path, mode="append")
-        bronze = spark.read.parquet(bronze_path).drop("date")
+        bronze = spark.read.parquet(bronze_path)
         jobs.refresh_silver(spark, bronze, out, mode="reference", updated_at=AS_OF)
     return silver_cmp(spark.read.parquet(out).drop("date"))
 

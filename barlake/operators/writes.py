@@ -123,18 +123,19 @@ def with_ids(df: DataFrame, start: int = 1) -> DataFrame:
 def append_bronze(spark: SparkSession, batch: DataFrame, path: str,
                   keys: Sequence[str] = BRONZE_KEY) -> DataFrame:
     """K01 as a write: append the first-arrival, absent rows to the bronze
-    folder (partitioned by date, sorted by symbol and time for min/max
-    skipping - K10).  Returns the stats row (K02).
-
-    The rows to append are materialised once with a reliable checkpoint (in
-    the cluster's shared checkpoint folder) so the write and the stats see
-    the same rows - re-evaluating the anti-join after the append would find
-    them already present."""
-    from barlake.session import checkpoint_root
-    checkpoint_root(spark)
+    folder (partitioned by date, sorted by symbol and time - K10).  Returns
+    the stats row (K02).
+
+    The rows to append are computed once into a staging table in the shared
+    checkpoint folder (a lineage cut that survives executor loss), then
+    appended from there; the stats count the staged rows.  Re-evaluating the
+    anti-join after the append would find the rows already present."""
+    from barlake.session import scratch_path
     target = read_if_exists(spark, path)
     good, bad = split_bad_records(batch)
-    new = insert_if_absent(good, target, keys).checkpoint(eager=True)
+    staging = scratch_path(spark, "bronze-staging")
+    insert_if_absent(good, target, keys).write.parquet(staging)
+    new = spark.read.parquet(staging)
     write_layer(new.withColumn("date", F.to_date("timestamp")), path, mode="append")
     return load_stats(batch, new, bad)
 

@@ -39,7 +39,11 @@ def since_high_water(bronze: DataFrame, high_water) -> DataFrame:
     """rows strictly after the target's global maximum time."""
     if high_water is None:
         return bronze
-    return bronze.filter(F.col("timestamp") > F.lit(high_water).cast("timestamp"))
+    hw = F.lit(high_water).cast("timestamp")
+    out = bronze.filter(F.col("timestamp") > hw)
+    if "date" in bronze.columns:        # date-partitioned bronze: prune folders too
+        out = out.filter(F.col("date") >= F.to_date(hw))
+    return out
 
 
 def high_water(target: DataFrame) -> Column:

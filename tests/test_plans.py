@@ -77,3 +77,12 @@ def test_load_reads_only_the_batch_date_range_of_bronze(spark, tmp_path):
     scan = [line for line in p.splitlines() if "FileScan parquet" in line][0]
     assert "PartitionFilters: [isnotnull(date" in scan and "Subquery" in scan
     assert writes.insert_if_absent(batch, target).count() == 1
+
+
+def test_incremental_silver_prunes_bronze_partitions(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    writes.write_layer(raw(spark, SF_SMALL).withColumn("date", F.to_date("timestamp")), path)
+    bronze = spark.read.parquet(path)
+    p = plan(silver_plan.build_silver(bronze, high_water="2024-01-25 00:00:00"), "simple")
+    scans = [line for line in p.splitlines() if "FileScan parquet" in line]
+    assert all("PartitionFilters: [isnotnull(date" in s_ and "2024-01-25" in s_ for s_ in scans)
