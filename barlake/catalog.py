@@ -332,6 +332,11 @@ def q_quality_gold(spark, d):
     return quality.run_suite(gold(spark, d), quality.GOLD_SUITE, "gold")
 
 
+@register("quality_gate_silver", "T08 T07", S("silver", _suite_sql("silver_t", "silver", quality.SILVER_SUITE), [_SILVER_STAMPED]))
+def q_quality_gate(spark, d):
+    return quality.gate(quality.run_suite(silver(spark, d), quality.SILVER_SUITE, "silver"))
+
+
 @register("unique_key_violations", "T06 T02", S("raw", """SELECT "timestamp", symbol, count(*) AS n_records
 FROM raw WHERE "timestamp" IS NOT NULL AND symbol IS NOT NULL GROUP BY "timestamp", symbol HAVING count(*) > 1"""))
 def q_unique_key(spark, d):
@@ -456,7 +461,7 @@ _LATEST = """latest AS (
 )"""
 
 
-@register("latest_prices", "J01 F07 A13 O03", S("gold", "SELECT * FROM latest ORDER BY symbol", [_LATEST]))
+@register("latest_prices", "J01 F07 A13 O03 C05 S07", S("gold", "SELECT * FROM latest ORDER BY symbol", [_LATEST]))
 def q_latest_prices(spark, d):
     return serving.latest_prices(gold(spark, d))
 
@@ -541,7 +546,7 @@ def q_period_stats(spark, d):
     return serving.period_stats(serving.price_history(gold(spark, d), HISTORY_SYMBOL, "1M", AS_OF))
 
 
-@register("performance_summary", "A12", S("gold", _stats_sql("compared", True), [_LATEST, _SELECTION, _COMPARED]))
+@register("performance_summary", "A12 C05 S07", S("gold", _stats_sql("compared", True), [_LATEST, _SELECTION, _COMPARED]))
 def q_performance(spark, d):
     return serving.performance_summary(_compared(spark, d))
 
@@ -714,7 +719,7 @@ def _backfill(spark, d):
     return ingest.backfill(spark, landed, bronze_path, SOURCE_HOURLY, EXPECTED_SYMBOLS, ingested_at=AS_OF)
 
 
-@register("backfill_load_stats", "C02 K01 K02 A08", S("raw", f"""SELECT
+@register("backfill_load_stats", "C02 K01 K02 K04 A08", S("raw", f"""SELECT
   (SELECT count(*) FROM ({_KEYS_SQL})) AS inserted,
   (SELECT count(*) FROM raw) - (SELECT count(*) FROM ({_KEYS_SQL})) AS duplicates,
   CAST(0 AS BIGINT) AS failed, (SELECT count(*) FROM raw) AS total"""))
@@ -728,7 +733,7 @@ def q_backfill_coverage(spark, d):
     return _backfill(spark, d)["coverage"]
 
 
-@register("ingest_live_freshness", "C01 A03", S("raw", f"""SELECT latest_timestamp, record_count, symbol_count,
+@register("ingest_live_freshness", "C01 S05 A03 A09 A10", S("raw", f"""SELECT latest_timestamp, record_count, symbol_count,
   {_age("latest_timestamp")} AS age_minutes,
   CASE WHEN record_count = 0 THEN 'empty' WHEN {_age("latest_timestamp")} > 90 THEN 'stale' ELSE 'fresh' END AS status
 FROM (SELECT max("timestamp") AS latest_timestamp, count(*) AS record_count, count(DISTINCT symbol) AS symbol_count
@@ -772,10 +777,12 @@ def q_silver_reference_job(spark, d):
     return silver_cmp(spark.read.parquet(out).drop("date"))
 
 
-@register("gold_refresh_job", "C04 K07 K10 O01", S("gold", "SELECT * FROM gold"))
+@register("gold_refresh_job", "C04 K07 K10 K11 S06 O01", S("gold", "SELECT * FROM gold"))
 def q_gold_refresh_job(spark, d):
     from barlake.plans import jobs
-    p = _stream_dirs(spark, "gold-job")
-    jobs.refresh_silver(spark, raw(spark, d), p["state"], mode="full", updated_at=AS_OF)
-    jobs.refresh_gold(spark, p["state"], p["out"], updated_at=AS_OF)
-    return spark.read.parquet(p["out"]).drop("updated_at")
+    from barlake.session import scratch_path
+    root = scratch_path(spark, "lake")
+    _, silver_path, gold_path = writes.create_layers(root)
+    jobs.refresh_silver(spark, raw(spark, d), silver_path, mode="full", updated_at=AS_OF)
+    jobs.refresh_gold(spark, silver_path, gold_path, updated_at=AS_OF)
+    return landing.read_layer(spark, root, "gold").drop("updated_at")

@@ -33,16 +33,25 @@ def day_bucket(order_col: str) -> Column:
     return F.to_date(F.col(order_col))
 
 
+def _slice(order_col: str, unit: str) -> Column:
+    return F.to_date(F.col(order_col)) if unit == "day" else F.date_trunc(unit, F.col(order_col))
+
+
 def with_previous(df: DataFrame, keys: Sequence[str], order_col: str,
                   values: dict[str, str], bucket: Column | None = None,
-                  initial: DataFrame | None = None) -> DataFrame:
+                  initial: DataFrame | None = None, slices: Sequence[str] = ("day",)) -> DataFrame:
     """Add, for each ``src -> out`` in `values`, column `out` = `src` on the
     previous row of the same key (NULL for the first row).
 
-    `order_col` must be unique within a key (it is, after dedup)."""
+    `order_col` must be unique within a key (it is, after dedup).  `slices`
+    are nested time units, finest first (e.g. ``("hour", "day")``): rows are
+    split by the first; the per-slice summary is LAGged by the same method
+    one level up, and only the last level is a plain per-key window - so a
+    hot day can be spread over hours.  `bucket` overrides the first level."""
     keys = list(keys)
     srcs = list(values)
-    bucket = day_bucket(order_col) if bucket is None else bucket
+    slices = list(slices)
+    bucket = _slice(order_col, slices[0]) if bucket is None else bucket
     rows = df.withColumn(_SEED, F.lit(False))
     if initial is not None:
         init = initial.select(*keys, order_col, *srcs).withColumn(_SEED, F.lit(True))
@@ -57,9 +66,14 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str,
     whole_row = F.struct(*[F.col(c) for c in rows.columns if c not in keys and c != _BUCKET])
     last = (rows.groupBy(*keys, _BUCKET)
             .agg(F.max_by(whole_row, F.col(order_col)).alias("_last")))
-    per_key = Window.partitionBy(*keys).orderBy(_BUCKET)
-    seeds = (last.select(*keys, _BUCKET, F.lag("_last").over(per_key).alias("_prev"))
-             .filter(F.col("_prev").isNotNull())
+    if len(slices) > 1:
+        upper = last.withColumnRenamed(_BUCKET, "_slice_start")
+        prev = with_previous(upper, keys, "_slice_start", {"_last": "_prev"}, slices=slices[1:])
+        prev = prev.withColumnRenamed("_slice_start", _BUCKET)
+    else:
+        per_key = Window.partitionBy(*keys).orderBy(_BUCKET)
+        prev = last.select(*keys, _BUCKET, F.lag("_last").over(per_key).alias("_prev"))
+    seeds = (prev.filter(F.col("_prev").isNotNull())
              .select(*keys, _BUCKET,
                      F.col("_prev")[order_col].alias(order_col),
                      *[F.col("_prev")[s].alias(s) for s in srcs],

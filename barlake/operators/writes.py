@@ -175,12 +175,14 @@ def clustered(df: DataFrame, partition_by: str = "date",
 
 
 def create_layers(root: str, layers: Sequence[str] = ("bronze", "silver", "gold")) -> list[str]:
-    """The layer folders (local or mounted shared storage)."""
+    """The layer folders under one root.  Local paths are created; on
+    object stores / HDFS (URIs) a folder exists once its first write lands."""
     out = []
     for layer in layers:
-        p = os.path.join(root, layer)
-        if "://" not in root:
-            os.makedirs(p, exist_ok=True)
+        p = f"{root.rstrip('/')}/{layer}"
+        local = root[len("file:"):] if root.startswith("file:") else (None if "://" in root else root)
+        if local is not None:
+            os.makedirs(os.path.join(local, layer), exist_ok=True)
         out.append(p)
     return out
 

@@ -72,11 +72,14 @@ def validated(bronze: DataFrame) -> DataFrame:
                     flag_if(v == 0).alias("flag_zero_volume")))
 
 
-def with_returns(valid: DataFrame, initial_state: DataFrame | None = None) -> DataFrame:
-    """P13-P17 + W03/W04 on validated rows (before the outlier filter)."""
+def with_returns(valid: DataFrame, initial_state: DataFrame | None = None,
+                 lag_slices=("day",)) -> DataFrame:
+    """P13-P17 + W03/W04 on validated rows (before the outlier filter).
+    `lag_slices`: nested time units the per-symbol LAG is split by (finest
+    first), e.g. ``("hour", "day")`` for tick-dense symbols."""
     x = with_previous(valid, ["symbol"], "timestamp",
                       {"close": "_prev_close", "volume": "prev_volume"},
-                      initial=initial_state)
+                      initial=initial_state, slices=lag_slices)
     c, o, h, l, p = (F.col(n) for n in ("close", "open", "high", "low", "_prev_close"))
     return x.select(
         "*",
@@ -96,7 +99,8 @@ def drop_outliers(df: DataFrame) -> DataFrame:
 
 
 def build_silver(bronze: DataFrame, updated_at: datetime | str | None = None,
-                 high_water=None, initial_state: DataFrame | None = None) -> DataFrame:
+                 high_water=None, initial_state: DataFrame | None = None,
+                 lag_slices=("day",)) -> DataFrame:
     """Silver rows in the 22-column contract.
 
     * full refresh: `build_silver(bronze)`;
@@ -105,7 +109,7 @@ def build_silver(bronze: DataFrame, updated_at: datetime | str | None = None,
     * carried incremental: also pass `initial_state` (see `silver_state`) and
       the result equals a full refresh."""
     valid = validated(since_high_water(bronze, high_water))
-    out = drop_outliers(with_returns(valid, initial_state))
+    out = drop_outliers(with_returns(valid, initial_state, lag_slices))
     return out.withColumn("updated_at", _stamp(updated_at)).select(*SILVER_COLUMNS)
 
 

@@ -45,3 +45,29 @@ def test_one_hot_symbol_over_many_days(spark):
 def test_initial_state_continues_the_sequence(spark):
     rows = [("A", T0 + timedelta(days=5, hours=i), float(i)) for i in range(5)]
     _check(spark, rows, initial=[("A", T0 + timedelta(days=1), 99.0), ("B", T0, 1.0)])
+
+
+def _check_levels(spark, rows, slices):
+    df = spark.createDataFrame(rows, "symbol string, timestamp timestamp, close double")
+    got = {(r.symbol, r.timestamp): r.prev_close
+           for r in with_previous(df, ["symbol"], "timestamp", {"close": "prev_close"},
+                                  slices=slices).collect()}
+    w = Window.partitionBy("symbol").orderBy("timestamp")
+    want = {(r.symbol, r.timestamp): r.p
+            for r in df.select("symbol", "timestamp", F.lag("close").over(w).alias("p")).collect()}
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 24 * 60 * 4)),
+                min_size=1, max_size=80, unique=True))
+def test_nested_slices_match_plain_lag(spark, pts):
+    rows = [(s, T0 + timedelta(minutes=m), float(m)) for s, m in pts]
+    _check_levels(spark, rows, ("hour", "day"))
+
+
+def test_hot_day_spread_over_hours(spark):
+    rows = [("HOT", T0 + timedelta(minutes=3 * i), float(i)) for i in range(480)]
+    rows += [("HOT", T0 + timedelta(days=2, minutes=i), float(i)) for i in range(5)]
+    _check_levels(spark, rows, ("hour", "day"))
+    _check_levels(spark, rows, ("minute", "hour", "day"))

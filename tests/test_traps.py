@@ -175,3 +175,11 @@ def test_gate_and_batch_checks_raise(spark):
     assert v.first().severity == "error"
     with pytest.raises(ValueError):
         quality.check_batch(v)
+
+
+def test_silver_with_hour_slices_equals_day_slices(spark):
+    from barlake.catalog import raw
+    r = raw(spark, "/root/testdata/sf0.001")
+    a = silver_plan.build_silver(r, updated_at=AS_OF)
+    b = silver_plan.build_silver(r, updated_at=AS_OF, lag_slices=("hour", "day"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() == 555
