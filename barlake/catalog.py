@@ -786,3 +786,23 @@ def q_gold_refresh_job(spark, d):
     jobs.refresh_silver(spark, raw(spark, d), silver_path, mode="full", updated_at=AS_OF)
     jobs.refresh_gold(spark, silver_path, gold_path, updated_at=AS_OF)
     return landing.read_layer(spark, root, "gold").drop("updated_at")
+
+
+@register("gold_incremental_job", "C04 W05 K07 (days since the first touched day)", S("gold", "SELECT * FROM gold"))
+def q_gold_incremental_job(spark, d):
+    from barlake.plans import jobs
+    from barlake.session import scratch_path
+    root = scratch_path(spark, "lake-inc")
+    bronze_path, silver_path, gold_path = writes.create_layers(root)
+    state = f"{root}/silver_state"
+    r = raw(spark, d)
+    cut = F.lit(CUT).cast("timestamp")
+    for i, load in enumerate([r.filter(F.col("timestamp") < cut), r.filter(F.col("timestamp") >= cut)]):
+        writes.write_layer(load.withColumn("date", F.to_date("timestamp")), bronze_path, mode="append")
+        jobs.refresh_silver(spark, spark.read.parquet(bronze_path), silver_path, mode="carry",
+                            state_path=state, updated_at=AS_OF)
+        if i == 0:
+            jobs.refresh_gold(spark, silver_path, gold_path, updated_at=AS_OF)
+        else:
+            jobs.refresh_gold_since(spark, silver_path, gold_path, CUT, updated_at=AS_OF)
+    return spark.read.parquet(gold_path).drop("updated_at")

@@ -92,3 +92,16 @@ def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, updated_
     g = gold_plan.build_gold(silver, updated_at=updated_at)
     (writes.clustered(g, "date", ("symbol",)).write.mode("overwrite")
       .option("partitionOverwriteMode", "static").partitionBy("date").parquet(gold_path))
+
+
+def refresh_gold_since(spark: SparkSession, silver_path: str, gold_path: str, since,
+                       updated_at=None) -> None:
+    """Incremental gold: rebuild only the days >= `since` (e.g. the first day
+    an incremental silver run touched).  New rows are staged first, then
+    only those date partitions of gold are overwritten."""
+    silver = spark.read.option("mergeSchema", "true").parquet(silver_path)
+    gold = spark.read.parquet(gold_path)
+    fresh = gold_plan.build_gold_since(silver, gold, since, updated_at)
+    staging = scratch_path(spark, "gold-staging")
+    fresh.write.parquet(staging)
+    writes.write_layer(spark.read.parquet(staging), gold_path, mode="overwrite", sort_by=("symbol",))

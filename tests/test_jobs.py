@@ -121,3 +121,16 @@ def test_reference_job_and_carry_job_differ_only_at_the_boundary(spark, tmp_path
     assert closes(car) == [10.0, 11.0, 12.0]              # equals a full refresh
     full = [r.close for r in silver_plan.build_silver(b, updated_at=AS_OF).orderBy("timestamp").collect()]
     assert closes(car) == full
+
+
+@pytest.mark.parametrize("since", ["2024-01-20 00:00:00", "2024-01-20 13:30:00", "2024-01-02 05:00:00"])
+def test_gold_since_equals_full_build_for_those_days(spark, since):
+    from barlake.catalog import silver
+    from barlake.plans import gold as gold_plan
+    s = silver(spark, "/root/testdata/sf0.001")
+    full = gold_plan.build_gold(s, updated_at=AS_OF)
+    day = F.to_date(F.lit(since))
+    part = gold_plan.build_gold_since(s, full.filter(F.col("date") < day), since, updated_at=AS_OF)
+    want = full.filter(F.col("date") >= day)
+    assert part.count() == want.count() > 0
+    assert part.exceptAll(want).count() == 0
