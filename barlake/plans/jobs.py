@@ -77,12 +77,17 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
         raise ValueError("carry mode needs a state_path")
     state = _latest_version(spark, state_path)
     hwm = None if state is None else state.agg(F.max("timestamp")).scalar()
-    new = silver_plan.build_silver(bronze, updated_at=updated_at, high_water=hwm, initial_state=state)
-    merge_into_layer(spark, new, silver_path)
-    version = _next_version(spark, state_path)
-    (silver_plan.silver_state(bronze, high_water=hwm, previous_state=state)
-     .withColumn("version", F.lit(version))
-     .write.mode("append").partitionBy("version").parquet(state_path))
+    # the increment feeds two writes (rows, state): keep it once
+    increment = silver_plan.since_high_water(bronze, hwm).persist()
+    try:
+        new = silver_plan.build_silver(increment, updated_at=updated_at, initial_state=state)
+        merge_into_layer(spark, new, silver_path)
+        version = _next_version(spark, state_path)
+        (silver_plan.silver_state(increment, previous_state=state)
+         .withColumn("version", F.lit(version))
+         .write.mode("append").partitionBy("version").parquet(state_path))
+    finally:
+        increment.unpersist()
 
 
 def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, updated_at=None) -> None:

@@ -91,17 +91,21 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, schema: T.StructTyp
 
     def clean(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        state = _latest_epoch(s, state_path, batch_id)
-        hwm = None if state is None else state.agg(F.max("timestamp")).scalar()
-        rows = silver_plan.build_silver(batch, updated_at=updated_at, high_water=hwm,
-                                        initial_state=state)
-        new_state = silver_plan.silver_state(batch, high_water=hwm, previous_state=state)
-        late = batch if hwm is None else batch.filter(F.col("timestamp") <= hwm)
-        if hwm is None:
-            late = late.limit(0)
-        for df, path in ((rows, silver_path), (new_state, state_path), (late, late_path)):
-            (df.withColumn("epoch", F.lit(batch_id)).write.mode("overwrite")
-               .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
+        batch.persist()          # three writes read it; lost blocks re-read the same files
+        try:
+            state = _latest_epoch(s, state_path, batch_id)
+            hwm = None if state is None else state.agg(F.max("timestamp")).scalar()
+            rows = silver_plan.build_silver(batch, updated_at=updated_at, high_water=hwm,
+                                            initial_state=state)
+            new_state = silver_plan.silver_state(batch, high_water=hwm, previous_state=state)
+            late = batch if hwm is None else batch.filter(F.col("timestamp") <= hwm)
+            if hwm is None:
+                late = late.limit(0)
+            for df, path in ((rows, silver_path), (new_state, state_path), (late, late_path)):
+                (df.withColumn("epoch", F.lit(batch_id)).write.mode("overwrite")
+                   .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
+        finally:
+            batch.unpersist()
 
     _run(stream.writeStream.foreachBatch(clean).option("checkpointLocation", checkpoint))
 

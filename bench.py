@@ -66,11 +66,14 @@ def pipeline(spark, sf_dir: str) -> dict[str, float]:
                        inc_bronze)
     jobs.refresh_silver(spark, spark.read.parquet(inc_bronze), paths["silver_inc"],
                         mode="carry", state_path=f"{base}/state", updated_at=AS_OF)
+    jobs.refresh_gold(spark, paths["silver_inc"], f"{base}/gold_inc", updated_at=AS_OF)
     writes.write_layer(bronze.filter(F.col("timestamp") >= cut).withColumn("date", F.to_date("timestamp")),
                        inc_bronze, mode="append")
     timed("silver_incremental", lambda: jobs.refresh_silver(
         spark, spark.read.parquet(inc_bronze), paths["silver_inc"], mode="carry",
         state_path=f"{base}/state", updated_at=AS_OF))
+    timed("gold_incremental", lambda: jobs.refresh_gold_since(
+        spark, paths["silver_inc"], f"{base}/gold_inc", CUT, updated_at=AS_OF))
 
     timed("gold_refresh", lambda: jobs.refresh_gold(spark, paths["silver"], paths["gold"], updated_at=AS_OF))
     silver = spark.read.parquet(paths["silver"]).drop("date")
