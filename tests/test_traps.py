@@ -183,3 +183,13 @@ def test_silver_with_hour_slices_equals_day_slices(spark):
     a = silver_plan.build_silver(r, updated_at=AS_OF)
     b = silver_plan.build_silver(r, updated_at=AS_OF, lag_slices=("hour", "day"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() == 555
+
+
+def test_zero_denominators_are_null_not_ansi_errors(spark):
+    from barlake.functions.columns import log_return, pct, simple_return_pct
+    df = spark.createDataFrame([(5.0, 0.0), (0.0, 2.0), (3.0, None)], "a double, b double")
+    rows = df.select(pct("a", "b").alias("p"), simple_return_pct("a", "b").alias("r"),
+                     log_return("a", "b").alias("l")).collect()
+    assert rows[0].p is None and rows[0].r is None and rows[0].l is None
+    assert rows[1].p == 0.0 and rows[1].r == -100.0 and rows[1].l is None      # ln(0) is NULL in Spark
+    assert rows[2].p is None
