@@ -193,3 +193,18 @@ def test_zero_denominators_are_null_not_ansi_errors(spark):
     assert rows[0].p is None and rows[0].r is None and rows[0].l is None
     assert rows[1].p == 0.0 and rows[1].r == -100.0 and rows[1].l is None      # ln(0) is NULL in Spark
     assert rows[2].p is None
+
+
+def test_hot_group_of_copies_dedups_to_one_row(spark):
+    """A third of the batch is copies of one key: one survivor, the latest."""
+    rows = [{"timestamp": ts(1), "close": float(i), "ingestion_timestamp": ts(0, days=i % 50), "id": 1000 + i}
+            for i in range(60)]
+    rows += [{"timestamp": ts(2 + i)} for i in range(120)]
+    b = bronze(spark, rows).repartition(8)
+    from barlake.operators.dedup import dedup_latest
+    d = dedup_latest(b)
+    hot = d.filter(F.col("timestamp") == F.lit(ts(1))).collect()
+    assert d.count() == 121 and len(hot) == 1
+    assert hot[0].ingestion_timestamp == ts(0, days=49) and hot[0].id == 1049     # the latest
+    # first arrival: ids 1000 and 1050 share the earliest time; the lower id wins
+    assert writes.first_arrivals(b).filter(F.col("timestamp") == F.lit(ts(1))).first().id == 1000
