@@ -23,11 +23,14 @@ from barlake.session import scratch_path
 
 
 def merge_into_layer(spark: SparkSession, new: DataFrame, path: str,
-                     keys: Sequence[str] = ("timestamp", "symbol"), partition_col: str = "date") -> None:
+                     keys: Sequence[str] = ("timestamp", "symbol"), partition_col: str = "date",
+                     target: DataFrame | None = None) -> None:
     """K05 + K06 on a partitioned folder: delete-then-insert by key, only in
-    the partitions `new` touches; new columns are appended (old rows NULL)."""
+    the partitions `new` touches; new columns are appended (old rows NULL).
+    `target` may be passed when the caller has already read the folder."""
     new = new if partition_col in new.columns else new.withColumn(partition_col, F.to_date("timestamp"))
-    target = writes.read_if_exists(spark, path, merge_schema=True)
+    if target is None:
+        target = writes.read_if_exists(spark, path, merge_schema=True)
     if target is None:
         writes.write_layer(new, path, mode="overwrite", partition_by=partition_col)
         return
@@ -37,20 +40,19 @@ def merge_into_layer(spark: SparkSession, new: DataFrame, path: str,
     merged = kept.unionByName(new, allowMissingColumns=True)
     staging = scratch_path(spark, "merge-staging")
     writes.write_layer(merged, staging, mode="overwrite", partition_by=partition_col)
-    writes.write_layer(spark.read.option("mergeSchema", "true").parquet(staging), path,
+    writes.write_layer(spark.read.parquet(staging), path,      # one schema: no footer merge
                        mode="overwrite", partition_by=partition_col)
 
 
-def _latest_version(spark: SparkSession, path: str) -> DataFrame | None:
+def _state_versions(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
+    """(latest carry state, next version number).  The version number is one
+    tiny aggregate read once; the state is then a literal partition filter,
+    so only that version's folder is read."""
     df = writes.read_if_exists(spark, path)
     if df is None:
-        return None
-    return df.filter(F.col("version") == df.agg(F.max("version")).scalar()).drop("version")
-
-
-def _next_version(spark: SparkSession, path: str) -> int:
-    df = writes.read_if_exists(spark, path)
-    return 0 if df is None else int(df.agg(F.max("version")).first()[0]) + 1
+        return None, 0
+    latest = int(df.agg(F.max("version")).first()[0])
+    return df.filter(F.col("version") == latest).drop("version"), latest + 1
 
 
 def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mode: str = "carry",
@@ -62,7 +64,7 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
       carried state (the original incremental model);
     * ``carry``     - the same filter, seeded with the per-symbol carry state
       kept in `state_path` (versioned folders); equals a full refresh."""
-    target = writes.read_if_exists(spark, silver_path, merge_schema=True)
+    target = None if mode != "reference" else writes.read_if_exists(spark, silver_path, merge_schema=True)
     if mode == "full" or target is None and mode == "reference":
         out = silver_plan.build_silver(bronze, updated_at=updated_at).withColumn("date", F.to_date("timestamp"))
         (writes.clustered(out).write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -71,18 +73,17 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
     if mode == "reference":
         new = silver_plan.build_silver(bronze, updated_at=updated_at,
                                        high_water=silver_plan.high_water(target.drop("date")))
-        merge_into_layer(spark, new, silver_path)
+        merge_into_layer(spark, new, silver_path, target=target)
         return
     if mode != "carry" or state_path is None:
         raise ValueError("carry mode needs a state_path")
-    state = _latest_version(spark, state_path)
+    state, version = _state_versions(spark, state_path)
     hwm = None if state is None else state.agg(F.max("timestamp")).scalar()
     # the increment feeds two writes (rows, state): keep it once
     increment = silver_plan.since_high_water(bronze, hwm).persist()
     try:
         new = silver_plan.build_silver(increment, updated_at=updated_at, initial_state=state)
         merge_into_layer(spark, new, silver_path)
-        version = _next_version(spark, state_path)
         (silver_plan.silver_state(increment, previous_state=state)
          .withColumn("version", F.lit(version))
          .write.mode("append").partitionBy("version").parquet(state_path))
