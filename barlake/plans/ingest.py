@@ -7,8 +7,6 @@ whole batch is one DataFrame and the load is one set-based write.
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,6 +110,3 @@ def backfill(spark: SparkSession, landed: DataFrame, bronze_path: str, source: s
     cov = quality.coverage(spark.read.parquet(bronze_path), source)
     return {"missing": missing, "validation": report, "stats": stats, "coverage": cov}
 
-
-def fixed_time(value: str) -> datetime:
-    return datetime.fromisoformat(value)

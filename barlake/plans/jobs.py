@@ -56,7 +56,7 @@ def _state_versions(spark: SparkSession, path: str) -> tuple[DataFrame | None, i
 
 
 def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mode: str = "carry",
-                   state_path: str | None = None, updated_at=None) -> None:
+                   state_path: str | None = None, updated_at=None, lag_slices=("day",)) -> None:
     """C03 as a job.
 
     * ``full``      - rebuild every partition from all of bronze;
@@ -66,12 +66,13 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
       kept in `state_path` (versioned folders); equals a full refresh."""
     target = None if mode != "reference" else writes.read_if_exists(spark, silver_path, merge_schema=True)
     if mode == "full" or target is None and mode == "reference":
-        out = silver_plan.build_silver(bronze, updated_at=updated_at).withColumn("date", F.to_date("timestamp"))
+        out = (silver_plan.build_silver(bronze, updated_at=updated_at, lag_slices=lag_slices)
+               .withColumn("date", F.to_date("timestamp")))
         (writes.clustered(out).write.mode("overwrite").option("partitionOverwriteMode", "static")
             .partitionBy("date").parquet(silver_path))
         return
     if mode == "reference":
-        new = silver_plan.build_silver(bronze, updated_at=updated_at,
+        new = silver_plan.build_silver(bronze, updated_at=updated_at, lag_slices=lag_slices,
                                        high_water=silver_plan.high_water(target.drop("date")))
         merge_into_layer(spark, new, silver_path, target=target)
         return
@@ -82,7 +83,8 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
     # the increment feeds two writes (rows, state): keep it once
     increment = silver_plan.since_high_water(bronze, hwm).persist()
     try:
-        new = silver_plan.build_silver(increment, updated_at=updated_at, initial_state=state)
+        new = silver_plan.build_silver(increment, updated_at=updated_at, initial_state=state,
+                                       lag_slices=lag_slices)
         merge_into_layer(spark, new, silver_path)
         (silver_plan.silver_state(increment, previous_state=state)
          .withColumn("version", F.lit(version))

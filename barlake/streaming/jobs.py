@@ -82,7 +82,8 @@ def _latest_epoch(spark: SparkSession, path: str, before: int) -> DataFrame | No
 
 def run_silver_stream(spark: SparkSession, bronze_path: str, schema: T.StructType,
                       silver_path: str, state_path: str, late_path: str, checkpoint: str,
-                      updated_at=None, max_files_per_trigger: int | None = None) -> None:
+                      updated_at=None, max_files_per_trigger: int | None = None,
+                      lag_slices=("day",)) -> None:
     """Incremental silver in carry mode, one micro-batch at a time."""
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
@@ -96,7 +97,7 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, schema: T.StructTyp
             state = _latest_epoch(s, state_path, batch_id)
             hwm = None if state is None else state.agg(F.max("timestamp")).scalar()
             rows = silver_plan.build_silver(batch, updated_at=updated_at, high_water=hwm,
-                                            initial_state=state)
+                                            initial_state=state, lag_slices=lag_slices)
             new_state = silver_plan.silver_state(batch, high_water=hwm, previous_state=state)
             late = batch if hwm is None else batch.filter(F.col("timestamp") <= hwm)
             if hwm is None:
