@@ -134,3 +134,22 @@ def test_gold_since_equals_full_build_for_those_days(spark, since):
     want = full.filter(F.col("date") >= day)
     assert part.count() == want.count() > 0
     assert part.exceptAll(want).count() == 0
+
+
+def test_command_line_runs_the_layers(spark, tmp_path, capsys):
+    from barlake.__main__ import main
+    from barlake.catalog import AS_OF as Q_AS_OF
+    from barlake.sources import fixtures
+    up = fixtures.upstream_bars(fixtures.load_table(spark, "/root/testdata/sf0.001", "events"))
+    up.withColumn("Datetime", F.col("Datetime").cast("timestamp")).write.parquet(str(tmp_path / "landing"))
+    root = str(tmp_path / "lake")
+    main(["--root", root, "load", "--landing", str(tmp_path / "landing"), "--source", "yahoo_finance_hourly",
+          "--expected", "CLICK-USD", "VIEW-USD", "ERROR-USD", "PURCHASE-USD", "SIGNUP-USD"])
+    main(["--root", root, "silver"])
+    main(["--root", root, "gold"])
+    main(["--root", root, "test", "--layer", "silver", "--gate"])
+    main(["--root", root, "serve", "latest"])
+    out = capsys.readouterr().out
+    assert "inserted" in out and "PURCHASE-USD" in out
+    assert spark.read.parquet(root + "/gold").count() == 148
+    assert Q_AS_OF.startswith("2024-01-31")
