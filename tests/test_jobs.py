@@ -151,5 +151,10 @@ def test_command_line_runs_the_layers(spark, tmp_path, capsys):
     main(["--root", root, "serve", "latest"])
     out = capsys.readouterr().out
     assert "inserted" in out and "PURCHASE-USD" in out
-    assert spark.read.parquet(root + "/gold").count() == 148
+    from barlake.plans import gold as gold_plan
+    bronze_ = spark.read.parquet(root + "/bronze")
+    assert bronze_.count() == bronze_.select("timestamp", "symbol").distinct().count()   # one source, first wins
+    want = gold_plan.build_gold(silver_plan.build_silver(bronze_)).drop("updated_at")
+    got = spark.read.parquet(root + "/gold").drop("updated_at").select(*want.columns)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
     assert Q_AS_OF.startswith("2024-01-31")
