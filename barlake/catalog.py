@@ -806,3 +806,20 @@ def q_gold_incremental_job(spark, d):
         else:
             jobs.refresh_gold_since(spark, silver_path, gold_path, CUT, updated_at=AS_OF)
     return spark.read.parquet(gold_path).drop("updated_at")
+
+
+@register("silver_recompute_job", "R04 C03 K05 (late backfill after a live run, partition recompute)", S("silver", _cmp_sql("silver")))
+def q_silver_recompute_job(spark, d):
+    from barlake.plans import jobs
+    r = raw(spark, d)
+    p = _stream_dirs(spark, "silver-recompute")
+    live = r.filter(F.col("source") == SOURCE_LIVE)
+    backfill = r.filter(F.col("source") != SOURCE_LIVE)        # arrives later, bars of the whole month
+    bronze_path = p["landing"]
+    writes.write_layer(live.withColumn("date", F.to_date("timestamp")), bronze_path)
+    jobs.refresh_silver(spark, spark.read.parquet(bronze_path), p["out"], mode="carry",
+                        state_path=p["state"], updated_at=AS_OF)
+    writes.write_layer(backfill.withColumn("date", F.to_date("timestamp")), bronze_path, mode="append")
+    jobs.refresh_silver(spark, spark.read.parquet(bronze_path), p["out"], mode="recompute",
+                        state_path=p["state"], updated_at=AS_OF, changed=backfill)
+    return silver_cmp(spark.read.parquet(p["out"]).drop("date"))

@@ -134,8 +134,9 @@ def append_bronze(spark: SparkSession, batch: DataFrame, path: str,
     target = read_if_exists(spark, path)
     good, bad = split_bad_records(batch)
     staging = scratch_path(spark, "bronze-staging")
-    insert_if_absent(good, target, keys).write.parquet(staging)
-    new = spark.read.parquet(staging)
+    rows = insert_if_absent(good, target, keys)
+    rows.write.parquet(staging)
+    new = spark.read.schema(rows.schema).parquet(staging)       # schema given: an empty stage reads fine
     write_layer(new.withColumn("date", F.to_date("timestamp")), path, mode="append")
     return load_stats(batch, new, bad)
 

@@ -40,57 +40,97 @@ def merge_into_layer(spark: SparkSession, new: DataFrame, path: str,
     merged = kept.unionByName(new, allowMissingColumns=True)
     staging = scratch_path(spark, "merge-staging")
     writes.write_layer(merged, staging, mode="overwrite", partition_by=partition_col)
-    writes.write_layer(spark.read.parquet(staging), path,      # one schema: no footer merge
-                       mode="overwrite", partition_by=partition_col)
+    staged = spark.read.schema(merged.schema).parquet(staging)      # one schema: no footer merge
+    writes.write_layer(staged, path, mode="overwrite", partition_by=partition_col)
 
 
-def _state_versions(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
-    """(latest carry state, next version number).  The version number is one
-    tiny aggregate read once; the state is then a literal partition filter,
-    so only that version's folder is read."""
-    df = writes.read_if_exists(spark, path)
-    if df is None:
-        return None, 0
-    latest = int(df.agg(F.max("version")).first()[0])
-    return df.filter(F.col("version") == latest).drop("version"), latest + 1
+def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write once to the shared checkpoint folder and read back: a lineage cut
+    that survives executor loss and lets two outputs share one computation."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)      # schema given: an empty stage reads fine
 
 
 def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mode: str = "carry",
-                   state_path: str | None = None, updated_at=None, lag_slices=("day",)) -> None:
+                   state_path: str | None = None, updated_at=None, lag_slices=("day",),
+                   changed: DataFrame | None = None, since=None) -> None:
     """C03 as a job.
 
     * ``full``      - rebuild every partition from all of bronze;
     * ``reference`` - rows after the target's global high-water mark, no
-      carried state (the original incremental model);
-    * ``carry``     - the same filter, seeded with the per-symbol carry state
-      kept in `state_path` (versioned folders); equals a full refresh."""
-    target = None if mode != "reference" else writes.read_if_exists(spark, silver_path, merge_schema=True)
-    if mode == "full" or target is None and mode == "reference":
-        out = (silver_plan.build_silver(bronze, updated_at=updated_at, lag_slices=lag_slices)
-               .withColumn("date", F.to_date("timestamp")))
+      carried state (the original incremental model; late rows are lost);
+    * ``carry``     - the same filter, seeded with each symbol's last validated
+      row; equals a full refresh while bars arrive in time order;
+    * ``recompute`` - R04 partition recompute: rebuild every day from the
+      first day touched by `changed` (the rows just loaded) or `since`,
+      seeded with each symbol's last validated row before that day; equals a
+      full refresh also when late rows arrive.
+
+    With a `state_path`, every mode but ``reference`` keeps
+    ``<state_path>/days``: one row per symbol and day with the day's last
+    validated row (see `silver.day_summary`), the seed source of the
+    incremental modes."""
+    days_path = None if state_path is None else f"{state_path.rstrip('/')}/days"
+    if mode == "reference":
+        target = writes.read_if_exists(spark, silver_path, merge_schema=True)
+        if target is None:
+            mode = "full"
+        else:
+            new = silver_plan.build_silver(bronze, updated_at=updated_at, lag_slices=lag_slices,
+                                           high_water=silver_plan.high_water(target.drop("date")))
+            merge_into_layer(spark, new, silver_path, target=target)
+            return
+    if mode not in ("full", "carry", "recompute"):
+        raise ValueError(f"unknown mode {mode}")
+    days = None if days_path is None else writes.read_if_exists(spark, days_path)
+    if mode != "full" and days is None:
+        if days_path is None:
+            raise ValueError(f"{mode} mode needs a state_path")
+        mode = "full"                              # first run
+
+    if mode == "full":
+        valid = _staged(spark, silver_plan.validated(bronze), "silver-valid")
+        out = silver_plan.finish_silver(valid, updated_at, None, lag_slices).withColumn("date", F.to_date("timestamp"))
         (writes.clustered(out).write.mode("overwrite").option("partitionOverwriteMode", "static")
             .partitionBy("date").parquet(silver_path))
+        if days_path is not None:
+            (silver_plan.day_summary(valid).write.mode("overwrite")
+             .option("partitionOverwriteMode", "static").partitionBy("day").parquet(days_path))
         return
-    if mode == "reference":
-        new = silver_plan.build_silver(bronze, updated_at=updated_at, lag_slices=lag_slices,
-                                       high_water=silver_plan.high_water(target.drop("date")))
-        merge_into_layer(spark, new, silver_path, target=target)
-        return
-    if mode != "carry" or state_path is None:
-        raise ValueError("carry mode needs a state_path")
-    state, version = _state_versions(spark, state_path)
-    hwm = None if state is None else state.agg(F.max("timestamp")).scalar()
-    # the increment feeds two writes (rows, state): keep it once
-    increment = silver_plan.since_high_water(bronze, hwm).persist()
-    try:
-        new = silver_plan.build_silver(increment, updated_at=updated_at, initial_state=state,
-                                       lag_slices=lag_slices)
+
+    if mode == "carry":
+        hwm = days.agg(F.max("timestamp")).scalar()
+        valid = _staged(spark, silver_plan.validated(silver_plan.since_high_water(bronze, hwm)), "silver-valid")
+        new = silver_plan.finish_silver(valid, updated_at, silver_plan.seeds_before(days), lag_slices)
         merge_into_layer(spark, new, silver_path)
-        (silver_plan.silver_state(increment, previous_state=state)
-         .withColumn("version", F.lit(version))
-         .write.mode("append").partitionBy("version").parquet(state_path))
-    finally:
-        increment.unpersist()
+        # the touched days' summaries: new rows are later than every stored one
+        touched = silver_plan.day_summary(valid)
+        before = days.join(touched.select("symbol", "day"), ["symbol", "day"], "left_semi")
+        merged = (touched.unionByName(before).groupBy("symbol", "day")
+                  .agg(F.max_by(F.struct("timestamp", "close", "volume"), F.col("timestamp")).alias("s"))
+                  .select("symbol", "day", "s.timestamp", "s.close", "s.volume"))
+        writes.write_layer(_staged(spark, merged, "silver-days"), days_path, partition_by="day",
+                           sort_by=("symbol",))
+        return
+
+    # recompute
+    if since is None:
+        if changed is None:
+            raise ValueError("recompute mode needs `changed` rows or `since`")
+        first = changed.agg(F.min(F.to_date("timestamp"))).first()[0]   # one date
+        if first is None:
+            return
+    else:
+        first = since
+    first_day = F.to_date(F.lit(first))
+    rows = bronze.filter(F.to_date("timestamp") >= first_day)
+    if "date" in bronze.columns:
+        rows = rows.filter(F.col("date") >= first_day)     # partition pruning
+    valid = _staged(spark, silver_plan.validated(rows), "silver-valid")
+    new = silver_plan.finish_silver(valid, updated_at, silver_plan.seeds_before(days, first), lag_slices)
+    writes.write_layer(new.withColumn("date", F.to_date("timestamp")), silver_path)          # days >= first only
+    writes.write_layer(silver_plan.day_summary(valid), days_path, partition_by="day", sort_by=("symbol",))
 
 
 def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, updated_at=None) -> None:
@@ -110,6 +150,4 @@ def refresh_gold_since(spark: SparkSession, silver_path: str, gold_path: str, si
     silver = spark.read.option("mergeSchema", "true").parquet(silver_path)
     gold = spark.read.parquet(gold_path)
     fresh = gold_plan.build_gold_since(silver, gold, since, updated_at)
-    staging = scratch_path(spark, "gold-staging")
-    fresh.write.parquet(staging)
-    writes.write_layer(spark.read.parquet(staging), gold_path, mode="overwrite", sort_by=("symbol",))
+    writes.write_layer(_staged(spark, fresh, "gold-staging"), gold_path, mode="overwrite", sort_by=("symbol",))

@@ -98,6 +98,13 @@ def drop_outliers(df: DataFrame) -> DataFrame:
                      & (F.abs(F.coalesce(F.col("simple_return_pct"), F.lit(0.0))) < OUTLIER_RETURN_PCT))
 
 
+def finish_silver(valid: DataFrame, updated_at: datetime | str | None = None,
+                  initial_state: DataFrame | None = None, lag_slices=("day",)) -> DataFrame:
+    """Validated rows -> silver rows (returns, spreads, outlier filter)."""
+    out = drop_outliers(with_returns(valid, initial_state, lag_slices))
+    return out.withColumn("updated_at", _stamp(updated_at)).select(*SILVER_COLUMNS)
+
+
 def build_silver(bronze: DataFrame, updated_at: datetime | str | None = None,
                  high_water=None, initial_state: DataFrame | None = None,
                  lag_slices=("day",)) -> DataFrame:
@@ -109,8 +116,24 @@ def build_silver(bronze: DataFrame, updated_at: datetime | str | None = None,
     * carried incremental: also pass `initial_state` (see `silver_state`) and
       the result equals a full refresh."""
     valid = validated(since_high_water(bronze, high_water))
-    out = drop_outliers(with_returns(valid, initial_state, lag_slices))
-    return out.withColumn("updated_at", _stamp(updated_at)).select(*SILVER_COLUMNS)
+    return finish_silver(valid, updated_at, initial_state, lag_slices)
+
+
+def day_summary(valid: DataFrame) -> DataFrame:
+    """Per (symbol, UTC day): the day's last validated row - the seed any
+    later rebuild of the following days needs (one row per symbol-day)."""
+    return (valid.groupBy("symbol", F.to_date("timestamp").alias("day"))
+            .agg(F.max_by(F.struct("timestamp", "close", "volume"), F.col("timestamp")).alias("s"))
+            .select("symbol", "day", "s.timestamp", "s.close", "s.volume"))
+
+
+def seeds_before(days: DataFrame, first_day=None) -> DataFrame:
+    """Carry seeds from a day summary: per symbol, the last validated row of
+    its newest day before `first_day` (of all days when None)."""
+    d = days if first_day is None else days.filter(F.col("day") < F.to_date(F.lit(first_day)))
+    return (d.groupBy("symbol")
+            .agg(F.max_by(F.struct("timestamp", "close", "volume"), F.col("day")).alias("s"))
+            .select("symbol", "s.timestamp", "s.close", "s.volume"))
 
 
 def silver_state(bronze: DataFrame, high_water=None,

@@ -158,3 +158,21 @@ def test_command_line_runs_the_layers(spark, tmp_path, capsys):
     got = spark.read.parquet(root + "/gold").drop("updated_at").select(*want.columns)
     assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
     assert Q_AS_OF.startswith("2024-01-31")
+
+
+def test_recompute_repairs_late_rows_that_carry_and_reference_drop(spark, tmp_path):
+    b = bronze(spark, [{"timestamp": ts(h), "close": 10.0 + h} for h in (1, 2, 30, 31, 54)])
+    late = bronze(spark, [{"timestamp": ts(3), "id": 90, "close": 40.0},       # outlier on day 0
+                          {"timestamp": ts(29), "id": 91, "close": 41.0}])     # day 1
+    every = b.unionByName(late)
+    full = sorted((r.timestamp, r.close, r.simple_return_pct)
+                  for r in silver_plan.build_silver(every, updated_at=AS_OF).collect())
+    outs = {}
+    for mode in ("carry", "recompute"):
+        path, st = str(tmp_path / mode), str(tmp_path / f"{mode}-state")
+        jobs.refresh_silver(spark, b, path, mode=mode, state_path=st, updated_at=AS_OF)
+        jobs.refresh_silver(spark, every, path, mode=mode, state_path=st, updated_at=AS_OF, changed=late)
+        outs[mode] = sorted((r.timestamp, r.close, r.simple_return_pct)
+                            for r in spark.read.parquet(path).collect())
+    assert outs["recompute"] == full
+    assert outs["carry"] != full and len(outs["carry"]) == 4    # late rows dropped (hour 30 is an outlier)
