@@ -663,7 +663,7 @@ def q_stream_silver(spark, d):
         part.write.mode("append").parquet(p["landing"])
         run_silver_stream(spark, p["landing"], r.schema, p["out"], p["state"], p["late"],
                           p["checkpoint"], updated_at=AS_OF)
-    return silver_cmp(spark.read.parquet(p["out"]).drop("epoch"))
+    return silver_cmp(spark.read.parquet(p["out"]).drop("date"))
 
 
 @register("stream_daily_bars", "R03", S("daily", """SELECT date, symbol, open, high, low, close, volume,
@@ -823,3 +823,16 @@ def q_silver_recompute_job(spark, d):
     jobs.refresh_silver(spark, spark.read.parquet(bronze_path), p["out"], mode="recompute",
                         state_path=p["state"], updated_at=AS_OF, changed=backfill)
     return silver_cmp(spark.read.parquet(p["out"]).drop("date"))
+
+
+@register("stream_silver_late", "R02 R04 (stream, late backfill recomputed)", S("silver", _cmp_sql("silver")))
+def q_stream_silver_late(spark, d):
+    from barlake.streaming import run_silver_stream
+    r = raw(spark, d)
+    p = _stream_dirs(spark, "stream-silver-late")
+    live = r.filter(F.col("source") == SOURCE_LIVE)
+    for part in [*_deliveries(live, "timestamp"), r.filter(F.col("source") != SOURCE_LIVE)]:
+        part.write.mode("append").parquet(p["landing"])
+        run_silver_stream(spark, p["landing"], r.schema, p["out"], p["state"], p["late"],
+                          p["checkpoint"], updated_at=AS_OF, policy="recompute")
+    return silver_cmp(spark.read.parquet(p["out"]).drop("date"))

@@ -8,12 +8,11 @@ its silver model is an incremental table.  Here:
   appends nothing twice: the anti-join sees what the first attempt committed.
 * R05 `dedup_stream`: first-wins dedup on the bronze key inside a watermark
   (state bounded by the watermark).
-* R02 `run_silver_stream`: bronze file stream -> `foreachBatch` incremental
-  silver.  LAG is not allowed on a stream, so each batch is seeded with a
-  one-row-per-symbol carry state (the last validated row) kept next to the
-  output; results equal a full refresh when bars arrive in time order.  Each
-  batch writes its rows and state under `epoch=<batch id>` with dynamic
-  partition overwrite, so a retried batch replaces its own output.
+* R02 `run_silver_stream`: bronze file stream -> `foreachBatch` running the
+  incremental silver job.  LAG is not allowed on a stream, so each batch is
+  seeded from the job's per-day state (each symbol's last validated row);
+  results equal a full refresh when bars arrive in time order (carry), or
+  always (recompute, which also applies late rows).
 * R03 `run_daily_bars_stream`: silver file stream -> event-time watermark ->
   1-day tumbling window per symbol -> append (a day is emitted once the
   watermark passes its end).
@@ -29,7 +28,6 @@ from pyspark.sql import types as T
 
 from barlake.operators import writes
 from barlake.operators.bars import _ohlcv_aggs
-from barlake.plans import silver as silver_plan
 from barlake.schema import BRONZE_KEY
 
 
@@ -71,40 +69,45 @@ def dedup_stream(stream: DataFrame, watermark: str = "2 hours",
 # ---------------------------------------------------------------------------
 # R02
 # ---------------------------------------------------------------------------
-def _latest_epoch(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    prev = writes.read_if_exists(spark, path)
-    if prev is None:
-        return None
-    prev = prev.filter(F.col("epoch") < before)
-    last = prev.agg(F.max("epoch")).scalar()
-    return prev.filter(F.col("epoch") == last).drop("epoch")
-
-
 def run_silver_stream(spark: SparkSession, bronze_path: str, schema: T.StructType,
                       silver_path: str, state_path: str, late_path: str, checkpoint: str,
                       updated_at=None, max_files_per_trigger: int | None = None,
-                      lag_slices=("day",)) -> None:
-    """Incremental silver in carry mode, one micro-batch at a time."""
+                      lag_slices=("day",), policy: str = "carry") -> None:
+    """Each micro-batch of new bronze rows runs the incremental silver
+    job (`plans.jobs.refresh_silver`), whose per-day state lives in
+    `state_path`.
+
+    * ``carry``     - rows at or before the state's high-water mark are late:
+      written to `late_path` (partition `epoch=<batch id>`) and not applied;
+    * ``recompute`` - late rows are applied too: the days from the first day
+      they touch are rebuilt from the bronze table at `bronze_path`.
+
+    A retried micro-batch is harmless: the merge deletes and re-inserts by key
+    and the high-water mark only moves once the rows are written."""
+    from barlake.plans import jobs
+
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(bronze_path)
+    days_path = f"{state_path.rstrip('/')}/days"
 
     def clean(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        batch.persist()          # three writes read it; lost blocks re-read the same files
+        batch.persist()          # read by the late report and the job; lost blocks re-read the files
         try:
-            state = _latest_epoch(s, state_path, batch_id)
-            hwm = None if state is None else state.agg(F.max("timestamp")).scalar()
-            rows = silver_plan.build_silver(batch, updated_at=updated_at, high_water=hwm,
-                                            initial_state=state, lag_slices=lag_slices)
-            new_state = silver_plan.silver_state(batch, high_water=hwm, previous_state=state)
-            late = batch if hwm is None else batch.filter(F.col("timestamp") <= hwm)
-            if hwm is None:
-                late = late.limit(0)
-            for df, path in ((rows, silver_path), (new_state, state_path), (late, late_path)):
-                (df.withColumn("epoch", F.lit(batch_id)).write.mode("overwrite")
-                   .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
+            days = writes.read_if_exists(s, days_path)
+            late = (batch.limit(0) if days is None
+                    else batch.filter(F.col("timestamp") <= days.agg(F.max("timestamp")).scalar()))
+            (late.withColumn("epoch", F.lit(batch_id)).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(late_path))
+            if policy == "recompute" and days is not None:
+                jobs.refresh_silver(s, s.read.schema(schema).parquet(bronze_path), silver_path, mode="recompute",
+                                    state_path=state_path, updated_at=updated_at, lag_slices=lag_slices,
+                                    changed=batch)
+            else:
+                jobs.refresh_silver(s, batch, silver_path, mode="carry", state_path=state_path,
+                                    updated_at=updated_at, lag_slices=lag_slices)
         finally:
             batch.unpersist()
 
