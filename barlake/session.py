@@ -47,7 +47,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, stream checkpoints and staged tables.
 
     Taken from the cluster's ``spark.checkpoint.dir``.  Only when that is unset
-    (a bare local session, as in some tests) is a private folder created.
+    on a local master (as in some tests) is a private folder created; on a
+    cluster an unset setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,7 +58,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="barlake-ckpt-"))
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder on shared storage (HDFS / object store): "
+                         "staged tables, stream checkpoints and carry state are written there")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="barlake-ckpt-"))     # local runs only
     return sc.getCheckpointDir()
 
 
