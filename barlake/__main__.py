@@ -1,7 +1,7 @@
 """Command line: the operations of the original system on a lake root.
 
     python -m barlake load    --root LAKE --landing PATH [--format parquet] [--source S] [--expected SYM ...]
-    python -m barlake silver  --root LAKE [--mode carry|reference|full] [--slices day | hour day]
+    python -m barlake silver  --root LAKE [--mode carry|recompute|reference|full] [--since T] [--slices day | hour day]
     python -m barlake gold    --root LAKE [--since 'YYYY-MM-DD HH:MM:SS']
     python -m barlake test    --root LAKE --layer bronze|silver|gold [--as-of T] [--gate]
     python -m barlake serve   --root LAKE latest|history|candles|compare|stats|summary [--symbol S] [--days N]
@@ -45,7 +45,8 @@ def main(argv: list[str] | None = None) -> None:
     ld.add_argument("--source", default=SOURCE_LIVE)
     ld.add_argument("--expected", nargs="*", default=None)
     sv = sub.add_parser("silver")
-    sv.add_argument("--mode", default="carry", choices=["carry", "reference", "full"])
+    sv.add_argument("--mode", default="carry", choices=["carry", "recompute", "reference", "full"])
+    sv.add_argument("--since", default=None, help="recompute: first bar time (or day) to rebuild from")
     sv.add_argument("--slices", nargs="+", default=["day"])
     gd = sub.add_parser("gold")
     gd.add_argument("--since", default=None)
@@ -77,8 +78,10 @@ def main(argv: list[str] | None = None) -> None:
             df.show(50, truncate=False)
     elif a.cmd == "silver":
         bronze = spark.read.parquet(bronze_path)
+        if a.mode == "recompute" and not a.since:
+            p.error("--mode recompute needs --since")
         jobs.refresh_silver(spark, bronze, silver_path, mode=a.mode, state_path=f"{root}/_silver_state",
-                            lag_slices=tuple(a.slices))
+                            lag_slices=tuple(a.slices), since=a.since)
     elif a.cmd == "gold":
         if a.since:
             jobs.refresh_gold_since(spark, silver_path, gold_path, a.since)
