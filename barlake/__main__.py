@@ -88,9 +88,8 @@ def main(argv: list[str] | None = None) -> None:
         else:
             jobs.refresh_gold(spark, silver_path, gold_path)
     elif a.cmd == "test":
-        path = {"bronze": bronze_path, "silver": silver_path, "gold": gold_path}[a.layer]
         suite = {"bronze": quality.BRONZE_SUITE, "silver": quality.SILVER_SUITE, "gold": quality.GOLD_SUITE}[a.layer]
-        df = spark.read.option("mergeSchema", "true").parquet(path)
+        df = landing.read_layer(spark, root, a.layer)
         report = quality.run_suite(df, suite, a.layer)
         report.show(50, truncate=False)
         if a.layer == "bronze":
@@ -98,7 +97,7 @@ def main(argv: list[str] | None = None) -> None:
         if a.gate:
             quality.gate(report)
     elif a.cmd == "serve":
-        gold = spark.read.parquet(gold_path)
+        gold = landing.read_layer(spark, root, "gold")
         days = None if a.days is None else (int(a.days) if a.days.isdigit() else a.days)
         if a.query == "latest":
             df = serving.latest_prices(gold)

@@ -68,9 +68,31 @@ def require_rows(df: DataFrame, message: str = "no rows") -> DataFrame:
     return df
 
 
+def layer_schema(spark: SparkSession, layer: str) -> T.StructType:
+    """A layer's columns as its plan produces them (plus the `date` partition
+    column), derived by planning the layers over an empty bronze frame."""
+    from barlake.plans.gold import build_gold
+    from barlake.plans.silver import build_silver
+    from barlake.schema import BRONZE_SCHEMA
+    empty = spark.createDataFrame([], BRONZE_SCHEMA)
+    df = {"bronze": lambda: empty, "silver": lambda: build_silver(empty),
+          "gold": lambda: build_gold(build_silver(empty))}[layer]()
+    if "date" not in df.columns:
+        df = df.withColumn("date", F.to_date("timestamp"))
+    return df.schema
+
+
 def read_layer(spark: SparkSession, root: str, layer: str) -> DataFrame:
-    """Named scan of a layer table (S06); schema merged across appends."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{root.rstrip('/')}/{layer}")
+    """Named scan of a layer table (S06); schema merged across appends.  A
+    layer with no files yet (never written, or written empty) reads as an
+    empty frame with the layer's columns."""
+    path = f"{root.rstrip('/')}/{layer}"
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except Exception as e:  # noqa: BLE001 - only "nothing there yet" is absorbed
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return spark.createDataFrame([], layer_schema(spark, layer))
+        raise
 
 
 def flatten_columns(df: DataFrame, struct_col: str) -> DataFrame:

@@ -176,3 +176,13 @@ def test_recompute_repairs_late_rows_that_carry_and_reference_drop(spark, tmp_pa
                             for r in spark.read.parquet(path).collect())
     assert outs["recompute"] == full
     assert outs["carry"] != full and len(outs["carry"]) == 4    # late rows dropped (hour 30 is an outlier)
+
+
+def test_empty_or_missing_layers_read_as_empty_frames(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    for layer in ("bronze", "silver", "gold"):
+        df = landing.read_layer(spark, root, layer)
+        assert df.count() == 0 and "date" in df.columns and "symbol" in df.columns
+    g = landing.read_layer(spark, root, "gold")
+    assert serving.latest_prices(g).count() == 0
+    assert set(gold_cols := g.columns) >= {"daily_return_pct", "log_return", "data_points"}, gold_cols
