@@ -281,7 +281,7 @@ def q_source_freshness(spark, d):
 
 
 def _suite_sql(table: str, layer: str, suite: list[quality.Test]) -> str:
-    """dbt-style: each test is a failing-rows query; failures = its row count."""
+    """Each test is a failing-rows query; failures = its row count."""
     parts = []
     for t in suite:
         c = f'"{t.column}"'

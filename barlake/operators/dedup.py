@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 def latest_ingested_order(ingestion_col: str = "ingestion_timestamp",
                           tie_breakers: Sequence[Column] | None = None) -> list[Column]:
     """Last ingestion wins; a NULL ingestion time sorts first (as DESC does in
-    PostgreSQL).  Ties are broken by source, then id, so the winner is
+    the original database).  Ties are broken by source, then id, so the winner is
     deterministic."""
     ties = list(tie_breakers) if tie_breakers is not None else [
         F.col("source").asc_nulls_last(), F.col("id").asc_nulls_last()]
