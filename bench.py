@@ -1,7 +1,8 @@
 """Bench: the layer jobs as production runs them, on storage.
 
-events -> bronze (conflict-ignoring load) -> silver (full, then an
-incremental carried run) -> gold -> serving queries and quality suites.
+events -> bronze (conflict-ignoring load) -> silver (full; an incremental
+carried run; a recompute from a given day) -> gold (full; incremental) ->
+serving queries and quality suites.
 Layers are written as date-partitioned Parquet under the session's shared
 checkpoint folder; serving reads gold from storage.  Prints one JSON line.
 
@@ -74,6 +75,10 @@ def run_layers(spark, sf_dir: str) -> dict[str, float]:
         state_path=f"{base}/state", updated_at=AS_OF))
     timed("gold_incremental", lambda: jobs.refresh_gold_since(
         spark, paths["silver_inc"], f"{base}/gold_inc", CUT, updated_at=AS_OF))
+    # late-row policy: rebuild every day from the cut (as after a late backfill)
+    timed("silver_recompute", lambda: jobs.refresh_silver(
+        spark, spark.read.parquet(inc_bronze), paths["silver_inc"], mode="recompute",
+        state_path=f"{base}/state", updated_at=AS_OF, since=CUT))
 
     timed("gold_refresh", lambda: jobs.refresh_gold(spark, paths["silver"], paths["gold"], updated_at=AS_OF))
     silver = spark.read.parquet(paths["silver"]).drop("date")
