@@ -3,6 +3,7 @@
     python -m barlake load    --root LAKE --landing PATH [--format parquet] [--source S] [--expected SYM ...]
     python -m barlake silver  --root LAKE [--mode carry|recompute|reference|full] [--since T] [--slices day | hour day]
     python -m barlake gold    --root LAKE [--since 'YYYY-MM-DD HH:MM:SS']
+    python -m barlake refresh --root LAKE [--mode carry|recompute|full] [--since T]   (silver, then gold from the first touched day)
     python -m barlake test    --root LAKE --layer bronze|silver|gold [--as-of T] [--gate]
     python -m barlake serve   --root LAKE latest|history|candles|compare|stats|summary [--symbol S] [--days N]
 
@@ -48,6 +49,9 @@ def main(argv: list[str] | None = None) -> None:
     sv.add_argument("--mode", default="carry", choices=["carry", "recompute", "reference", "full"])
     sv.add_argument("--since", default=None, help="recompute: first bar time (or day) to rebuild from")
     sv.add_argument("--slices", nargs="+", default=["day"])
+    rf = sub.add_parser("refresh")
+    rf.add_argument("--mode", default="carry", choices=["carry", "recompute", "full"])
+    rf.add_argument("--since", default=None)
     gd = sub.add_parser("gold")
     gd.add_argument("--since", default=None)
     ts = sub.add_parser("test")
@@ -82,6 +86,11 @@ def main(argv: list[str] | None = None) -> None:
             p.error("--mode recompute needs --since")
         jobs.refresh_silver(spark, bronze, silver_path, mode=a.mode, state_path=f"{root}/_silver_state",
                             lag_slices=tuple(a.slices), since=a.since)
+    elif a.cmd == "refresh":
+        if a.mode == "recompute" and not a.since:
+            p.error("--mode recompute needs --since")
+        first = jobs.refresh_layers(spark, spark.read.parquet(bronze_path), root, mode=a.mode, since=a.since)
+        print(f"silver and gold refreshed from {first or 'the first day'}")
     elif a.cmd == "gold":
         if a.since:
             jobs.refresh_gold_since(spark, silver_path, gold_path, a.since)

@@ -12,6 +12,7 @@ never reads and overwrites the same path.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,8 +55,10 @@ def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mode: str = "carry",
                    state_path: str | None = None, updated_at=None, lag_slices=("day",),
-                   changed: DataFrame | None = None, since=None) -> None:
-    """C03 as a job.
+                   changed: DataFrame | None = None, since=None):
+    """C03 as a job.  Returns the first UTC day whose silver rows may have
+    changed (None after a full rebuild, or when nothing changed) - the day to
+    refresh gold from.
 
     * ``full``      - rebuild every partition from all of bronze;
     * ``reference`` - rows after the target's global high-water mark, no
@@ -80,7 +83,7 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
             new = silver_plan.build_silver(bronze, updated_at=updated_at, lag_slices=lag_slices,
                                            high_water=silver_plan.high_water(target.drop("date")))
             merge_into_layer(spark, new, silver_path, target=target)
-            return
+            return new.agg(F.min(F.to_date("timestamp"))).first()[0]
     if mode not in ("full", "carry", "recompute"):
         raise ValueError(f"unknown mode {mode}")
     days = None if days_path is None else writes.read_if_exists(spark, days_path)
@@ -97,7 +100,7 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
         if days_path is not None:
             (silver_plan.day_summary(valid).write.mode("overwrite")
              .option("partitionOverwriteMode", "static").partitionBy("day").parquet(days_path))
-        return
+        return None
 
     if mode == "carry":
         hwm = days.agg(F.max("timestamp")).scalar()
@@ -112,7 +115,7 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
                   .select("symbol", "day", "s.timestamp", "s.close", "s.volume"))
         writes.write_layer(_staged(spark, merged, "silver-days"), days_path, partition_by="day",
                            sort_by=("symbol",))
-        return
+        return valid.agg(F.min(F.to_date("timestamp"))).first()[0]
 
     # recompute
     if since is None:
@@ -120,7 +123,7 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
             raise ValueError("recompute mode needs `changed` rows or `since`")
         first = changed.agg(F.min(F.to_date("timestamp"))).first()[0]   # one date
         if first is None:
-            return
+            return None
     else:
         first = since
     first_day = F.to_date(F.lit(first))
@@ -131,6 +134,15 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
     new = silver_plan.finish_silver(valid, updated_at, silver_plan.seeds_before(days, first), lag_slices)
     writes.write_layer(new.withColumn("date", F.to_date("timestamp")), silver_path)          # days >= first only
     writes.write_layer(silver_plan.day_summary(valid), days_path, partition_by="day", sort_by=("symbol",))
+    return _as_date(first)
+
+
+def _as_date(value) -> date:
+    if isinstance(value, datetime):
+        return value.date()
+    if isinstance(value, date):
+        return value
+    return date.fromisoformat(str(value)[:10])
 
 
 def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, updated_at=None) -> None:
@@ -151,3 +163,21 @@ def refresh_gold_since(spark: SparkSession, silver_path: str, gold_path: str, si
     gold = spark.read.parquet(gold_path)
     fresh = gold_plan.build_gold_since(silver, gold, since, updated_at)
     writes.write_layer(_staged(spark, fresh, "gold-staging"), gold_path, mode="overwrite", sort_by=("symbol",))
+
+
+def refresh_layers(spark: SparkSession, bronze: DataFrame, root: str, mode: str = "carry",
+                   changed: DataFrame | None = None, since=None, updated_at=None,
+                   lag_slices=("day",)):
+    """Silver then gold after a load: gold is rebuilt only from the first
+    day silver touched (fully after a full silver rebuild).  Layout:
+    ``<root>/silver``, ``<root>/gold``, state in ``<root>/_silver_state``."""
+    root = root.rstrip("/")
+    silver_path, gold_path = f"{root}/silver", f"{root}/gold"
+    first_day = refresh_silver(spark, bronze, silver_path, mode=mode, state_path=f"{root}/_silver_state",
+                               updated_at=updated_at, lag_slices=lag_slices, changed=changed, since=since)
+    gold = writes.read_if_exists(spark, gold_path)
+    if gold is None or (mode == "full" and first_day is None):
+        refresh_gold(spark, silver_path, gold_path, updated_at)
+    elif first_day is not None:
+        refresh_gold_since(spark, silver_path, gold_path, str(first_day), updated_at)
+    return first_day
