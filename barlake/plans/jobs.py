@@ -80,10 +80,12 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
         if target is None:
             mode = "full"
         else:
+            # the mark is read once as a value: `new` must not depend on files the merge replaces
+            hwm = target.agg(F.max("timestamp")).first()[0]
             new = silver_plan.build_silver(bronze, updated_at=updated_at, lag_slices=lag_slices,
-                                           high_water=silver_plan.high_water(target.drop("date")))
+                                           high_water=hwm)
             merge_into_layer(spark, new, silver_path, target=target)
-            return new.agg(F.min(F.to_date("timestamp"))).first()[0]
+            return None if hwm is None else _as_date(hwm)
     if mode not in ("full", "carry", "recompute"):
         raise ValueError(f"unknown mode {mode}")
     days = None if days_path is None else writes.read_if_exists(spark, days_path)
