@@ -2,11 +2,11 @@
 incremental / carried incremental), refresh gold.
 
 Layers are date-partitioned Parquet folders.  Without a table format, an
-upsert (K05) is: read only the target partitions the new rows touch (dynamic
-partition pruning through a semi join on `date`), drop the rows whose key
-comes again, union the new rows, write the result to a staging folder, then
-overwrite just those partitions of the target from the staging copy - a plan
-never reads and overwrites the same path.
+upsert (K05) is: read only the target partitions the new rows touch (a
+runtime partition filter on their date range, then a semi join on the exact
+dates), drop the rows whose key comes again, union the new rows, write the
+result to a staging folder, then overwrite just those partitions of the
+target from the staging copy - a plan never reads and overwrites one path.
 """
 
 from __future__ import annotations
@@ -36,7 +36,8 @@ def merge_into_layer(spark: SparkSession, new: DataFrame, path: str,
         writes.write_layer(new, path, mode="overwrite", partition_by=partition_col)
         return
     touched = new.select(partition_col).distinct()
-    kept = (target.join(touched, partition_col, "left_semi")
+    kept = (_within_partition_range(target, new, partition_col)
+            .join(touched, partition_col, "left_semi")
             .join(new.select(*keys), list(keys), "left_anti"))
     merged = kept.unionByName(new, allowMissingColumns=True)
     staging = scratch_path(spark, "merge-staging")
@@ -45,6 +46,15 @@ def merge_into_layer(spark: SparkSession, new: DataFrame, path: str,
     writes.write_layer(staged, path, mode="overwrite", partition_by=partition_col)
 
 
+def _within_partition_range(target: DataFrame, new: DataFrame, partition_col: str) -> DataFrame:
+    """Target restricted to the [min, max] partition values of `new`: one
+    scalar subquery that becomes a runtime partition filter, so only those
+    folders are listed and read.  (A semi join alone is not enough: dynamic
+    partition pruning is dropped unless the join reuses a broadcast.)"""
+    rng = new.agg(F.struct(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"))).scalar()
+    return target.filter((F.col(partition_col) >= rng.getField("lo")) & (F.col(partition_col) <= rng.getField("hi")))
+
+
 def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared checkpoint folder and read back: a lineage cut
     that survives executor loss and lets two outputs share one computation."""
@@ -111,7 +121,8 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
         merge_into_layer(spark, new, silver_path)
         # the touched days' summaries: new rows are later than every stored one
         touched = silver_plan.day_summary(valid)
-        before = days.join(touched.select("symbol", "day"), ["symbol", "day"], "left_semi")
+        before = (_within_partition_range(days, touched, "day")
+                  .join(touched.select("symbol", "day"), ["symbol", "day"], "left_semi"))
         merged = (touched.unionByName(before).groupBy("symbol", "day")
                   .agg(F.max_by(F.struct("timestamp", "close", "volume"), F.col("timestamp")).alias("s"))
                   .select("symbol", "day", "s.timestamp", "s.close", "s.volume"))

@@ -86,3 +86,15 @@ def test_incremental_silver_prunes_bronze_partitions(spark, tmp_path):
     p = plan(silver_plan.build_silver(bronze, high_water="2024-01-25 00:00:00"), "simple")
     scans = [line for line in p.splitlines() if "FileScan parquet" in line]
     assert all("PartitionFilters: [isnotnull(date" in s_ and "2024-01-25" in s_ for s_ in scans)
+
+
+def test_merge_reads_only_the_increments_date_range(spark, tmp_path):
+    from barlake.plans import jobs
+    path = str(tmp_path / "silver")
+    s = silver(spark, SF_SMALL).withColumn("date", F.to_date("timestamp"))
+    writes.write_layer(s, path)
+    new = s.filter(F.col("date") >= F.lit("2024-01-29").cast("date"))
+    kept = (jobs._within_partition_range(spark.read.parquet(path), new, "date"))
+    scan = [line for line in plan(kept, "simple").splitlines() if "FileScan parquet" in line][0]
+    assert "PartitionFilters: [isnotnull(date" in scan and "Subquery" in scan
+    assert "dynamicpruningexpression(true)" not in scan
