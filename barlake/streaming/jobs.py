@@ -15,7 +15,10 @@ its silver model is an incremental table.  Here:
   always (recompute, which also applies late rows).
 * R03 `run_daily_bars_stream`: silver file stream -> event-time watermark ->
   1-day tumbling window per symbol -> append (a day is emitted once the
-  watermark passes its end).
+  watermark passes its end).  A file stream sees every rewritten file as new,
+  so R03 must read an append-only feed of silver rows, not the merged silver
+  layer (whose partitions the batch jobs rewrite); for the layer itself use
+  `plans.jobs.refresh_gold_since`.
 
 All checkpoints and state live under the cluster's shared checkpoint folder.
 """
