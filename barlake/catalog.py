@@ -836,3 +836,20 @@ def q_stream_silver_late(spark, d):
         run_silver_stream(spark, p["landing"], r.schema, p["out"], p["state"], p["late"],
                           p["checkpoint"], updated_at=AS_OF, policy="recompute")
     return silver_cmp(spark.read.parquet(p["out"]).drop("date"))
+
+
+@register("stream_daily_from_silver_feed", "R02 R03 (silver stream feed -> daily bars stream)",
+          S("daily", """SELECT date, symbol, open, high, low, close, volume,
+  data_points, first_timestamp, last_timestamp FROM daily WHERE date < (SELECT max(date) FROM daily)"""))
+def q_stream_daily_feed(spark, d):
+    from barlake.streaming import run_daily_bars_stream, run_silver_stream
+    r = raw(spark, d)
+    p = _stream_dirs(spark, "stream-feed")
+    feed, bars_out, ckpt2 = p["late"] + "-feed", p["out"] + "-daily", p["checkpoint"] + "-daily"
+    feed_schema = silver(spark, d).withColumn("epoch", F.lit(0)).schema
+    for part in _deliveries(r, "timestamp"):
+        part.write.mode("append").parquet(p["landing"])
+        run_silver_stream(spark, p["landing"], r.schema, p["out"], p["state"], p["late"],
+                          p["checkpoint"], updated_at=AS_OF, feed_path=feed)
+        run_daily_bars_stream(spark, feed, feed_schema, bars_out, ckpt2)
+    return spark.read.parquet(bars_out)

@@ -75,7 +75,7 @@ def dedup_stream(stream: DataFrame, watermark: str = "2 hours",
 def run_silver_stream(spark: SparkSession, bronze_path: str, schema: T.StructType,
                       silver_path: str, state_path: str, late_path: str, checkpoint: str,
                       updated_at=None, max_files_per_trigger: int | None = None,
-                      lag_slices=("day",), policy: str = "carry") -> None:
+                      lag_slices=("day",), policy: str = "carry", feed_path: str | None = None) -> None:
     """Each micro-batch of new bronze rows runs the incremental silver
     job (`plans.jobs.refresh_silver`), whose per-day state lives in
     `state_path`.
@@ -86,7 +86,13 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, schema: T.StructTyp
       they touch are rebuilt from the bronze table at `bronze_path`.
 
     A retried micro-batch is harmless: the merge deletes and re-inserts by key
-    and the high-water mark only moves once the rows are written."""
+    and the high-water mark only moves once the rows are written.
+
+    `feed_path` (carry only): each batch's new silver rows are also written to
+    an append-only feed (partition ``epoch=<batch id>``) that a downstream
+    file stream - the daily bars, R03 - can read."""
+    if feed_path is not None and policy != "carry":
+        raise ValueError("an append-only feed needs the carry policy (recompute rewrites earlier days)")
     from barlake.plans import jobs
 
     reader = spark.readStream.schema(schema).format("parquet")
@@ -109,8 +115,16 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, schema: T.StructTyp
                                     state_path=state_path, updated_at=updated_at, lag_slices=lag_slices,
                                     changed=batch)
             else:
+                mark = None if days is None else days.agg(F.max("timestamp")).first()[0]
                 jobs.refresh_silver(s, batch, silver_path, mode="carry", state_path=state_path,
                                     updated_at=updated_at, lag_slices=lag_slices)
+                if feed_path is not None:
+                    fresh = s.read.parquet(silver_path)
+                    if mark is not None:      # only rows this batch added (later than the old mark)
+                        fresh = fresh.filter((F.col("date") >= F.to_date(F.lit(mark)))
+                                             & (F.col("timestamp") > F.lit(mark)))
+                    (fresh.drop("date").withColumn("epoch", F.lit(batch_id)).write.mode("overwrite")
+                     .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(feed_path))
         finally:
             batch.unpersist()
 
