@@ -80,6 +80,8 @@ def compare(spark_df, con, sql: str, tol: float = 0.0) -> tuple[bool, str]:
     for a, b in zip(s_rows, d_rows):
         for c, x, y in zip(s_cols, a, b):
             same = x == y
+            if same and isinstance(x, float) and isinstance(y, float):
+                same = repr(x) == repr(y)          # also the sign of zero (hashes see it)
             if not same and isinstance(x, float) and isinstance(y, float) and tol:
                 same = abs(x - y) <= tol * max(1.0, abs(x), abs(y))
             if not same:
