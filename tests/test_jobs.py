@@ -204,3 +204,21 @@ def test_refresh_layers_keeps_gold_equal_to_a_full_build(spark, tmp_path, mode):
     want = gold_plan.build_gold(silver_plan.build_silver(r, updated_at=AS_OF), updated_at=AS_OF).drop("updated_at")
     got = spark.read.parquet(root + "/gold").drop("updated_at").select(*want.columns)
     assert got.count() == want.count() == 148 and got.exceptAll(want).count() == 0
+
+
+def test_command_line_refresh_after_a_second_load(spark, tmp_path, capsys):
+    from barlake.__main__ import main
+    from barlake.plans import gold as gold_plan
+    from barlake.catalog import raw
+    r = raw(spark, "/root/testdata/sf0.001")
+    root = str(tmp_path / "lake")
+    cut = F.lit("2024-01-20 00:00:00").cast("timestamp")
+    writes.write_layer(r.filter(F.col("timestamp") < cut).withColumn("date", F.to_date("timestamp")), root + "/bronze")
+    main(["--root", root, "refresh"])
+    writes.write_layer(r.filter(F.col("timestamp") >= cut).withColumn("date", F.to_date("timestamp")), root + "/bronze",
+                       mode="append")
+    main(["--root", root, "refresh"])
+    assert "refreshed from 2024-01-20" in capsys.readouterr().out      # first day of the new bars
+    want = gold_plan.build_gold(silver_plan.build_silver(r)).drop("updated_at")
+    got = spark.read.parquet(root + "/gold").drop("updated_at").select(*want.columns)
+    assert got.count() == want.count() == 148 and got.exceptAll(want).count() == 0
