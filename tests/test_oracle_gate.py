@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from barlake.catalog import REGISTRY
 from compare import compare
 
 from conftest import SF_GATE, SF_SMALL
 
-QUERIES = entry.queries()
-SQLS = entry.oracle_sql()
+QUERIES = {k: v for k, v in entry.queries().items() if k in REGISTRY}
+SQLS = {k: v for k, v in entry.oracle_sql().items() if k in REGISTRY}
 CORE = ["silver_full", "gold_full", "latest_prices", "silver_incremental_carry",
         "silver_incremental_reference", "performance_summary", "quality_silver"]
 
