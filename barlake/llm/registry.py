@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from barlake.llm import decontam
+from barlake.llm import decontam, minhash, substring
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
+    "op7_minhash": minhash.op7_minhash,
+    "op10_substring": substring.op10_substring,
 }
 
 ORACLE_SQL: dict[str, str] = {
