@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from barlake.llm import decontam, minhash, substring
+from barlake.llm import decontam, minhash, packing, substring
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
+    "op5_packing": packing.op5_packing,
     "op7_minhash": minhash.op7_minhash,
     "op10_substring": substring.op10_substring,
 }
