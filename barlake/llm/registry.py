@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from barlake.llm import decontam, minhash, packing, substring
+from barlake.llm import decontam, minhash, packing, quality, substring
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
+    "op2_quality": quality.op2_quality,
     "op5_packing": packing.op5_packing,
     "op7_minhash": minhash.op7_minhash,
     "op10_substring": substring.op10_substring,

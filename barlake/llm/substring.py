@@ -196,9 +196,9 @@ def _without(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 def remove_passages(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` without the passages that earlier documents have; ``n_chars``,
     if there, follows the text.  Documents without a repeated passage are unchanged."""
-    spans = (repeated_passages(spark, docs).groupBy(F.col("doc_id").alias("_id"))
-             .agg(F.sort_array(F.collect_set(F.struct("first_word", "n_words"))).alias("_spans")))
-    joined = docs.join(spans, docs["doc_id"].cast("long") == spans["_id"], "left").drop("_id")
+    spans = (repeated_passages(spark, docs).groupBy(F.col("doc_id").alias("__passage_doc"))
+             .agg(F.sort_array(F.collect_set(F.struct("first_word", "n_words"))).alias("__passage_spans")))
+    joined = docs.join(spans, docs["doc_id"].cast("long") == spans["__passage_doc"], "left").drop("__passage_doc")
 
     @F.pandas_udf("string")
     def cut(texts, spans):
@@ -206,12 +206,12 @@ def remove_passages(spark: SparkSession, docs: DataFrame) -> DataFrame:
                           for t, s in zip(texts, spans)], dtype=object)
 
     # only texts that lose something go through Python
-    out = joined.withColumn("_cut", cut(F.when(F.col("_spans").isNotNull(), F.col("text")), "_spans"))
-    out = out.filter(r"_cut is null or _cut rlike '[^\\x20\\x09-\\x0D]'")
+    out = joined.withColumn("__passage_cut", cut(F.when(F.col("__passage_spans").isNotNull(), F.col("text")), "__passage_spans"))
+    out = out.filter(r"__passage_cut is null or __passage_cut rlike '[^\\x20\\x09-\\x0D]'")
     if "n_chars" in docs.columns:
-        n = F.length("_cut").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(n))
-    return out.withColumn("text", F.coalesce("_cut", "text")).select(docs.columns)
+        n = F.length("__passage_cut").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col("__passage_cut").isNull(), F.col("n_chars")).otherwise(n))
+    return out.withColumn("text", F.coalesce("__passage_cut", "text")).select(docs.columns)
 
 
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
