@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from barlake.llm import decontam, minhash, packing, quality, substring
+from barlake.llm import decontam, langid, minhash, packing, quality, substring, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
     "op2_quality": quality.op2_quality,
+    "op4_langid": langid.op4_langid,
     "op5_packing": packing.op5_packing,
     "op7_minhash": minhash.op7_minhash,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op10_substring": substring.op10_substring,
 }
 
