@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from barlake.llm import decontam, langid, minhash, packing, quality, substring, toxicity
+from barlake.llm import decontam, embedding, langid, minhash, packing, quality, substring, tokencount, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
     "op2_quality": quality.op2_quality,
+    "op3_embedding": embedding.op3_embedding,
     "op4_langid": langid.op4_langid,
     "op5_packing": packing.op5_packing,
+    "op6_tokencount": tokencount.op6_tokencount,
     "op7_minhash": minhash.op7_minhash,
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_substring": substring.op10_substring,
