@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barlake.llm import decontam, embedding, langid, minhash, packing, quality, substring, tokencount, toxicity
+from barlake.llm import decontam, embedding, langid, minhash, packing, quality, substring, tokencount, toxicity, wrappers
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_tokencount": tokencount.op6_tokencount,
     "op7_minhash": minhash.op7_minhash,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_extract": wrappers.op9_extract,
     "op10_substring": substring.op10_substring,
 }
 
