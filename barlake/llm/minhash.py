@@ -12,8 +12,12 @@ Candidates without all pairs of a bucket: the bucket's smallest member is
 compared with every other one.  Members that end in one component need no
 further comparison, so only pairs across components remain; further rounds
 compare other members the same way while there are many, then the rest is
-listed pair by pair.  No pair that shares a band is skipped unless its two
-documents are already known to be connected.
+listed pair by pair.  A shingle that no other candidate document has can't be
+shared, so the number of a document's other shingles bounds every intersection;
+documents and pairs whose bound stays below the threshold are left out, which
+keeps large families of loosely related texts from being compared pair by pair.
+No other pair that shares a band is skipped, unless its two documents are
+already known to be connected.
 
 Defined results: null, empty and white-space texts have no shingles and are
 linked with nothing; fewer than five words are one shingle; rows that share a
@@ -170,6 +174,34 @@ def similarity(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, common long, total long")
 
 
+def shared_counts(texts: DataFrame) -> DataFrame:
+    """(rep, own): the number of a document's shingles that no other has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            ids, sets, size = [], [], 0
+            for doc_id, data in zip(batch.column(0).to_pylist(), binaries(batch.column(1))):
+                sets.append(shingle_set(data, hashes).view(np.int64))
+                ids.append(np.full(len(sets[-1]), doc_id))
+                size += len(sets[-1])
+                if size >= 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (sets, ids)], names=["shingle", "rep"])
+                    ids, sets, size = [], [], 0
+            if size:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (sets, ids)], names=["shingle", "rep"])
+
+    rows = texts.select("doc_id", "text").mapInArrow(run, "shingle long, rep long")
+    return (rows.groupBy("shingle").agg(F.min("rep").alias("rep"), F.max("rep").alias("last")).filter("rep = last")
+            .groupBy("rep").agg(F.count("*").alias("own")))
+
+
+def _possible(n_a, shared_a, n_b, shared_b):
+    """Whether two sets can reach the threshold."""
+    most = F.least(shared_a, shared_b)
+    return 100 * most >= PERCENT * (n_a + n_b - most)
+
+
 def _close(pairs: DataFrame, odd: DataFrame) -> DataFrame:
     """Pairs whose odd sketches allow the threshold."""
     both = (pairs.join(odd.select(F.col("rep").alias("a"), F.col("odd").alias("odd_a")), "a")
@@ -193,48 +225,61 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     full = sketches.filter("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"))     # texts of one set: one class
     reps = (full.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi")
-            .select(F.col("doc_id").alias("rep"), "bands", "odd"))
+            .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands", "odd"))
     odd = reps.select("rep", "odd")
 
-    entries = reps.select(F.explode("bands").alias("key"), "rep")
-    buckets = (entries.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last"))
-               .filter("pivot < last").drop("last"))
-    members = staged(spark, entries.join(buckets, "key").select("key", "pivot", "rep").distinct(), "minhash-buckets")
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
+    entries = reps.select(F.explode("bands").alias("key"), "rep", "n")
+    buckets = (entries.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last"))
+               .filter("first < last").select("key"))
+    met = staged(spark, entries.join(buckets, "key", "left_semi").distinct(), "minhash-met")
+    wanted = met.select(F.col("rep").alias("doc_id")).distinct()
     texts = staged(spark, docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi"),
                    "minhash-texts")
-
-    pairs = members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    members = (met.join(shared_counts(texts), "rep", "left")
+               .select("key", "rep", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+               .filter(100 * F.col("shared") >= PERCENT * F.col("n")))
+    members = staged(spark, members, "minhash-members")
+
+    pivots = (members.groupBy("key").agg(F.min(F.struct("rep", "n", "shared")).alias("p"), F.max("rep").alias("last"))
+              .filter("p.rep < last").select("key", "p"))
+    pairs = (members.join(pivots, "key").filter("rep <> p.rep")
+             .filter(_possible(F.col("n"), F.col("shared"), F.col("p.n"), F.col("p.shared")))
+             .select(F.col("p.rep").alias("a"), F.col("rep").alias("b")).distinct())
     tested = staged(spark, pairs, "minhash-pairs")
-    links = _confirm(spark, tested, odd, texts)
+    component = connected_components(spark, _confirm(spark, tested, odd, texts), "minhash")
     n_entries = members.count()
     for step in range(ROUNDS + 1):
-        component = connected_components(spark, links, "minhash")
-        labelled = (members.select("key", "rep").join(component, F.col("rep") == F.col("node"), "left")
-                    .select("key", "rep", F.coalesce("component", "rep").alias("comp")))
+        labelled = (members.join(component, F.col("rep") == F.col("node"), "left")
+                    .select("key", "rep", "n", "shared", F.coalesce("component", "rep").alias("comp")))
         sizes = labelled.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(
             F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("comps"))
         split = sizes.filter("comps > 1").select("key", ((F.col("n") * F.col("n") - F.col("same")) / 2).alias("open"))
+        split = staged(spark, split, "minhash-open")
         pending = split.agg(F.sum("open")).first()[0] or 0
         if not pending:
             break
         rest = labelled.join(split.select("key"), "key", "left_semi")
         last = step == ROUNDS or pending <= PENDING * n_entries
         if last:        # every open pair across components
-            left = rest.select("key", F.col("rep").alias("a"), F.col("comp").alias("comp_a"))
-            right = rest.select("key", F.col("rep").alias("b"), F.col("comp").alias("comp_b"))
-            found = left.join(right, "key").filter("a < b and comp_a <> comp_b")
+            left = rest.select("key", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "shared", "comp")))
+            right = rest.select("key", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "shared", "comp")))
+            found = (left.join(right, "key").filter("rep_a < rep_b and comp_a <> comp_b")
+                     .filter(_possible(F.col("n_a"), F.col("shared_a"), F.col("n_b"), F.col("shared_b")))
+                     .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
         else:           # another member of each bucket against the others
             pivot = rest.groupBy("key").agg(
-                F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", F.lit(step))).alias("p"))
+                F.min_by(F.struct("rep", "n", "shared", "comp"), F.xxhash64("rep", F.lit(step))).alias("p"))
             found = (rest.join(pivot, "key").filter("comp <> p.comp")
+                     .filter(_possible(F.col("n"), F.col("shared"), F.col("p.n"), F.col("p.shared")))
                      .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")))
         fresh = staged(spark, found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-        links = links.union(_confirm(spark, fresh, odd, texts))
-        tested = tested.union(fresh)
+        more = _confirm(spark, fresh, odd, texts)
+        if not more.isEmpty():
+            known = component.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            component = connected_components(spark, known.union(more), "minhash")
         if last:
-            component = connected_components(spark, links, "minhash")
             break
+        tested = tested.union(fresh)
 
     labels = (classes.join(component, classes["rep"] == component["node"], "left")
               .select("digest", F.coalesce("component", "rep").alias("component_id")))

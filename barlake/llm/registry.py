@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from barlake.llm import decontam, embedding, langid, minhash, packing, quality, substring, tokencount, toxicity, wrappers
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_extract": wrappers.op9_extract,
     "op10_substring": substring.op10_substring,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {
