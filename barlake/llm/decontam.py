@@ -48,7 +48,8 @@ HITS_SCHEMA = ("segment long, doc_no int, doc_id long, n_words long, n_hit long,
 
 
 def build_index(docs: DataFrame, terms: frozenset[bytes] | None = None, segment_words: int = SEGMENT_WORDS) -> DataFrame:
-    """Postings of ``docs`` (doc_id, text); only those of ``terms``, if given."""
+    """Postings of ``docs`` (doc_id, text), written to a table; only those of
+    ``terms``, if given."""
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
@@ -111,7 +112,8 @@ def build_index(docs: DataFrame, terms: frozenset[bytes] | None = None, segment_
             vocab = dict(grow) if terms is None else vocab
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(segments, INDEX_SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(segments, INDEX_SCHEMA)
+    return staged(docs.sparkSession, rows, "postings")
 
 
 def items_of(benchmark: DataFrame) -> Iterator[list[tuple[int | None, list[bytes]]]]:
@@ -256,7 +258,7 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, n:
     head = list(islice(blocks, 2))
     # one block of items: only its terms need postings; more: index every term once
     terms = frozenset(w for _, words in head[0] for w in words) if len(head) == 1 else None
-    index = staged(spark, build_index(docs, terms), "postings")
+    index = build_index(docs, terms)
     names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
     return search(index, chain(head, blocks), n, slop).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

@@ -149,15 +149,15 @@ def repeated_passages(spark: SparkSession, docs: DataFrame) -> DataFrame:
     chunks = chunk_table(docs)
     first = (chunks.groupBy("digest").agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
              .filter("source_id < last").drop("last"))
+    first = staged(spark, first, "chunk-sources")         # a table: the join can then split a digest with very many rows
     pairs = (chunks.join(first, "digest").filter("doc_id > source_id")
              .groupBy("doc_id", "source_id").agg(F.sum("words").alias("words"))
              .filter(F.col("words") >= SHARED_WORDS).select("doc_id", "source_id"))
     pairs = staged(spark, pairs, "chunk-pairs")
-    wanted = pairs.select("doc_id").union(pairs.select("source_id")).distinct()
-    texts = staged(spark, docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi"),
-                   "chunk-texts")
-    both = (pairs.join(texts, "doc_id")
-            .join(texts.select(F.col("doc_id").alias("source_id"), F.col("text").alias("source_text")), "source_id"))
+    # both joins read one exchange of the texts; merge joins at every size
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    sources = texts.withColumnsRenamed({"doc_id": "source_id", "text": "source_text"})
+    both = pairs.join(texts.hint("merge"), "doc_id").join(sources.hint("merge"), "source_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: OrderedDict[int, tuple] = OrderedDict()
