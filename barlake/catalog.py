@@ -353,17 +353,17 @@ def q_accepted_values(spark, d):
 # ---------------------------------------------------------------------------
 # silver
 # ---------------------------------------------------------------------------
-@register("silver_dedup", "W01 F02", S("dedup", "SELECT * FROM dedup"))
+@register("silver_dedup", "W01 F02", S("newest", "SELECT * FROM newest"))
 def q_silver_dedup(spark, d):
     return dedup_latest(raw(spark, d))
 
 
-@register("silver_repaired", "P10 P11 P12 F03", S("valid", "SELECT * FROM valid"))
+@register("silver_repaired", "P10 P11 P12 F03", S("usable", "SELECT * FROM usable"))
 def q_silver_repaired(spark, d):
     return silver_plan.validated(raw(spark, d))
 
 
-@register("silver_returns", "P13 P14 P15 P16 P17 W03 W04", S("calc", _cmp_sql("calc")))
+@register("silver_returns", "P13 P14 P15 P16 P17 W03 W04", S("moves", _cmp_sql("moves")))
 def q_silver_returns(spark, d):
     x = silver_plan.with_returns(silver_plan.validated(raw(spark, d)))
     return x.withColumn("log_return", round_half_up("log_return", 10))
@@ -444,9 +444,7 @@ def q_gold_full(spark, d):
     return gold(spark, d).drop("updated_at")
 
 
-@register("gold_first_last_window", "W02", S("ordered", """SELECT date, symbol,
-  MAX(CASE WHEN rn_asc = 1 THEN open END) AS open, MAX(CASE WHEN rn_desc = 1 THEN close END) AS close
-FROM ordered GROUP BY date, symbol"""))
+@register("gold_first_last_window", "W02", S("daily", "SELECT date, symbol, open, close FROM daily"))
 def q_gold_window(spark, d):
     return bars.first_last_by_window(silver(spark, d))
 
@@ -455,9 +453,8 @@ def q_gold_window(spark, d):
 # serving
 # ---------------------------------------------------------------------------
 _LATEST = """latest AS (
-  SELECT g.date, g.symbol, g.close AS price, g.daily_return_pct, g.volume, g.open, g.high, g.low
-  FROM gold g CROSS JOIN (SELECT MAX(date) AS max_date FROM gold) ld
-  WHERE g.date = ld.max_date
+  SELECT date, symbol, close AS price, daily_return_pct, volume, open, high, low
+  FROM gold WHERE date >= ALL (SELECT date FROM gold)
 )"""
 
 
@@ -573,7 +570,7 @@ def q_head(spark, d):
     return serving.head_per_symbol(raw(spark, d), 3)
 
 
-@register("sample_rows", "O05", None)
+@register("sample_rows", "O05", S("raw", "SELECT * FROM raw ORDER BY md5('42:' || id), id LIMIT 5"))
 def q_sample(spark, d):
     return serving.sample_rows(raw(spark, d), 5)
 

@@ -6,7 +6,7 @@ one hash aggregate with a partial (map-side) step and no window sort.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,14 +37,11 @@ def resample(bars: DataFrame, interval: str, ts: str = "timestamp") -> DataFrame
 
 
 def first_last_by_window(bars: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """The same daily open/close through ROW_NUMBER asc/desc, kept as a
-    cross-check of `daily_bars` (two window sorts; not used in the pipeline)."""
-    from pyspark.sql import Window
-    d = F.to_date(F.col(ts))
-    part = Window.partitionBy(d, "symbol")
-    x = bars.select(d.alias("date"), "symbol", ts, "open", "close",
-                    F.row_number().over(part.orderBy(F.col(ts).asc())).alias("rn_asc"),
-                    F.row_number().over(part.orderBy(F.col(ts).desc())).alias("rn_desc"))
-    return x.groupBy("date", "symbol").agg(
-        F.max(F.when(F.col("rn_asc") == 1, F.col("open"))).alias("open"),
-        F.max(F.when(F.col("rn_desc") == 1, F.col("close"))).alias("close"))
+    """Daily open and close as window values over the day, kept as a
+    cross-check of `daily_bars` (a sort per day; not used in the pipeline)."""
+    day = F.to_date(F.col(ts))
+    whole = Window.partitionBy("date", "symbol").orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (bars.withColumn("date", day)
+            .select("date", "symbol", F.first_value("open").over(whole).alias("open"),
+                    F.last_value("close").over(whole).alias("close"))
+            .distinct())

@@ -171,6 +171,8 @@ def head_per_symbol(df: DataFrame, n: int = 3, order: list[str] = ("timestamp",
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def sample_rows(df: DataFrame, n: int = 5, seed: int = 42) -> DataFrame:
-    """N random rows (each task keeps its n best random keys)."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_rows(df: DataFrame, n: int = 5, seed: int = 42, key: str = "id") -> DataFrame:
+    """N pseudo-random rows, the first by a hash of seed and key - the same
+    rows whatever the partitioning (each task keeps its n best)."""
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    return df.orderBy(order, key).limit(n)

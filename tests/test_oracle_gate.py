@@ -16,7 +16,7 @@ CORE = ["silver_full", "gold_full", "latest_prices", "silver_incremental_carry",
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(QUERIES) - set(SQLS)
-    assert rows_only == {"surrogate_ids", "sample_rows"}
+    assert rows_only == {"surrogate_ids"}
 
 
 def test_entry_smoke(spark):
