@@ -202,20 +202,15 @@ def _possible(n_a, shared_a, n_b, shared_b):
     return 100 * most >= PERCENT * (n_a + n_b - most)
 
 
-def _close(pairs: DataFrame, odd: DataFrame) -> DataFrame:
-    """Pairs whose odd sketches allow the threshold."""
-    both = (pairs.join(odd.select(F.col("rep").alias("a"), F.col("odd").alias("odd_a")), "a")
-            .join(odd.select(F.col("rep").alias("b"), F.col("odd").alias("odd_b")), "b"))
+def _confirm(spark: SparkSession, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links among ``pairs``: odd sketches first, then full sets.  ``texts`` has
+    the documents' sketches and texts; both joins read one exchange of it."""
+    left = texts.withColumnsRenamed({"doc_id": "a", "odd": "odd_a", "text": "text_a"})
+    right = texts.withColumnsRenamed({"doc_id": "b", "odd": "odd_b", "text": "text_b"})
+    both = pairs.join(right, "b").join(left, "a")
     bits = sum((F.bit_count(F.col("odd_a")[i].bitwiseXOR(F.col("odd_b")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    return both.filter(bits <= differing_bits_limit()).select("a", "b")
-
-
-def _confirm(spark: SparkSession, pairs: DataFrame, odd: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links among ``pairs``: odd sketches first, then full sets."""
-    close = _close(pairs, odd)
-    both = (close.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"))
-    links = similarity(both).filter(100 * F.col("common") >= PERCENT * F.col("total")).select("a", "b")
+    close = both.filter(bits <= differing_bits_limit())
+    links = similarity(close).filter(100 * F.col("common") >= PERCENT * F.col("total")).select("a", "b")
     return staged(spark, links, "minhash-links")
 
 
@@ -223,18 +218,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     sketches = staged(spark, sketch(docs), "minhash-sketches")
     full = sketches.filter("n_shingles > 0 and doc_id is not null")
-    classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"))     # texts of one set: one class
-    reps = (full.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi")
-            .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands", "odd"))
-    odd = reps.select("rep", "odd")
+    # texts of one set are one class; its smallest doc_id represents it
+    reps = staged(spark, full.groupBy("digest").agg(F.min_by(F.struct("doc_id", "n_shingles", "bands", "odd"), "doc_id").alias("r"))
+                  .select("digest", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), "r.bands", "r.odd"),
+                  "minhash-reps")
 
     entries = reps.select(F.explode("bands").alias("key"), "rep", "n")
     buckets = (entries.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last"))
                .filter("first < last").select("key"))
-    met = staged(spark, entries.join(buckets, "key", "left_semi").distinct(), "minhash-met")
-    wanted = met.select(F.col("rep").alias("doc_id")).distinct()
-    texts = staged(spark, docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi"),
-                   "minhash-texts")
+    met = staged(spark, entries.join(buckets, "key", "left_semi"), "minhash-met")
+    wanted = reps.select(F.col("rep").alias("doc_id"), "odd").join(
+        met.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    texts = staged(spark, docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id"), "minhash-texts")
     members = (met.join(shared_counts(texts), "rep", "left")
                .select("key", "rep", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
                .filter(100 * F.col("shared") >= PERCENT * F.col("n")))
@@ -246,7 +241,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
              .filter(_possible(F.col("n"), F.col("shared"), F.col("p.n"), F.col("p.shared")))
              .select(F.col("p.rep").alias("a"), F.col("rep").alias("b")).distinct())
     tested = staged(spark, pairs, "minhash-pairs")
-    component = connected_components(spark, _confirm(spark, tested, odd, texts), "minhash")
+    component = connected_components(spark, _confirm(spark, tested, texts), "minhash")
     n_entries = members.count()
     for step in range(ROUNDS + 1):
         labelled = (members.join(component, F.col("rep") == F.col("node"), "left")
@@ -273,7 +268,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
                      .filter(_possible(F.col("n"), F.col("shared"), F.col("p.n"), F.col("p.shared")))
                      .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")))
         fresh = staged(spark, found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-        more = _confirm(spark, fresh, odd, texts)
+        more = _confirm(spark, fresh, texts)
         if not more.isEmpty():
             known = component.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
             component = connected_components(spark, known.union(more), "minhash")
@@ -281,7 +276,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
             break
         tested = tested.union(fresh)
 
-    labels = (classes.join(component, classes["rep"] == component["node"], "left")
+    labels = (reps.join(component, reps["rep"] == component["node"], "left")
               .select("digest", F.coalesce("component", "rep").alias("component_id")))
     return (sketches.join(labels, "digest", "left")
             .select("doc_id", "n_shingles", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component_id")), "doc_id")
