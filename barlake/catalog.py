@@ -26,7 +26,7 @@ from barlake.operators.dedup import dedup_latest
 from barlake.plans import gold as gold_plan
 from barlake.plans import ingest
 from barlake.plans import silver as silver_plan
-from barlake.schema import SOURCE_DAILY, SOURCE_LIVE
+from barlake.schema import CORRUPT, SOURCE_DAILY, SOURCE_HOURLY, SOURCE_LIVE
 from barlake.sources import fixtures, landing
 
 # Parameters of the registered queries (FIXTURES.md: fixed clock and cut).
@@ -130,39 +130,63 @@ def q_insert_if_absent(spark, d):
     return _insert_case(spark, d)[1]
 
 
-@register("bronze_load_stats", "K02", S("raw", """SELECT
-  (SELECT count(*) FROM inserted) AS inserted,
-  (SELECT count(*) FROM raw) - (SELECT count(*) FROM inserted) AS duplicates,
-  CAST(0 AS BIGINT) AS failed,
-  (SELECT count(*) FROM raw) AS total""", [_FIRSTS, _INSERTED]))
+def _dirty(spark, d) -> DataFrame:
+    return fixtures.dirty_bars(raw(spark, d))
+
+
+_GOOD_FIRSTS = """good_firsts AS (
+  SELECT DISTINCT ON ("timestamp", symbol, source) * FROM good ORDER BY "timestamp", symbol, source, ingestion_timestamp, id
+)"""
+
+
+@register("bronze_load_stats", "K02 K03", S("raw", f"""SELECT count_if(fresh) AS inserted,
+  (SELECT count(*) FROM good) - count_if(fresh) AS duplicates,
+  (SELECT count(*) FROM dirty) - (SELECT count(*) FROM good) AS failed, (SELECT count(*) FROM dirty) AS total
+FROM (SELECT ingestion_timestamp >= {TS_CUT} AS fresh FROM good_firsts)""", [oracle.DIRTY, oracle.GOOD, _GOOD_FIRSTS]))
 def q_load_stats(spark, d):
-    r, ins = _insert_case(spark, d)
-    _, bad = writes.split_bad_records(r)
-    return writes.load_stats(r, ins, bad)
-
-
-@register("bronze_bad_records", "K03 T09", S("raw", f"""SELECT {RAW_COLS}, reason FROM (
-  SELECT *, CASE
-    WHEN "timestamp" IS NULL THEN 'timestamp is null'
-    WHEN symbol IS NULL THEN 'symbol is null'
-    WHEN length(symbol) > 20 THEN 'symbol too long'
-    WHEN length(source) > 50 THEN 'source too long'
-    WHEN isnan(open) THEN 'open is NaN' WHEN isnan(high) THEN 'high is NaN'
-    WHEN isnan(low) THEN 'low is NaN' WHEN isnan(close) THEN 'close is NaN'
-    WHEN isnan(volume) THEN 'volume is NaN'
-    WHEN abs(open) >= 1e12 THEN 'open overflows decimal(20,8)'
-    WHEN abs(high) >= 1e12 THEN 'high overflows decimal(20,8)'
-    WHEN abs(low) >= 1e12 THEN 'low overflows decimal(20,8)'
-    WHEN abs(close) >= 1e12 THEN 'close overflows decimal(20,8)'
-    WHEN abs(volume) >= 1e18 THEN 'volume overflows decimal(20,2)'
-  END AS reason FROM raw) WHERE reason IS NOT NULL"""))
+    good, bad = writes.split_bad_records(_dirty(spark, d))
+    target = good.filter(F.col("ingestion_timestamp") < F.lit(CUT).cast("timestamp"))
+    return writes.load_stats(_dirty(spark, d), writes.insert_if_absent(good, target), bad)
+
+
+@register("bronze_bad_records", "K03 T09", S("raw", """SELECT id, "timestamp", symbol, source, reason FROM (
+  SELECT *, CASE WHEN length(symbol) > 20 THEN 'symbol too long' WHEN isnan(close) THEN 'close is NaN'
+                 WHEN close >= 1e12 THEN 'close overflows decimal(20,8)' END AS reason FROM dirty)
+WHERE reason IS NOT NULL""", [oracle.DIRTY]))
 def q_bad_records(spark, d):
-    return writes.split_bad_records(raw(spark, d))[1]
+    return writes.split_bad_records(_dirty(spark, d))[1].select("id", "timestamp", "symbol", "source", "reason")
+
+
+def _two_loads(spark, d) -> str:
+    """Bronze after two loads of rows without ids, split at CUT."""
+    path = _stream_dirs(spark, "bronze-two-loads")["out"]
+    batch = _dirty(spark, d).drop("id")
+    cut = F.lit(CUT).cast("timestamp")
+    for part in (batch.filter(F.col("ingestion_timestamp") < cut), batch.filter(F.col("ingestion_timestamp") >= cut)):
+        writes.load_bronze(spark, part, path)
+    return path
+
+
+@register("bronze_load_job", "K01 K02 K03 J02", S("raw", """SELECT "timestamp", symbol, open, high, low, close, volume,
+  source, ingestion_timestamp FROM good_firsts""", [oracle.DIRTY, oracle.GOOD, _GOOD_FIRSTS]))
+def q_load_job(spark, d):
+    return spark.read.parquet(_two_loads(spark, d)).drop("id", "date")
 
 
-@register("surrogate_ids", "P09", None)
+@register("bronze_quarantine", "K03 T09", S("raw", """SELECT reason, count(*) AS n_rows FROM (
+  SELECT CASE WHEN length(symbol) > 20 THEN 'symbol too long' WHEN isnan(close) THEN 'close is NaN'
+              ELSE 'close overflows decimal(20,8)' END AS reason FROM dirty WHERE id NOT IN (SELECT id FROM good))
+GROUP BY reason""", [oracle.DIRTY, oracle.GOOD]))
+def q_quarantine(spark, d):
+    bad = spark.read.parquet(_two_loads(spark, d) + "_quarantine")
+    return bad.groupBy("reason").agg(F.count("*").alias("n_rows"))
+
+
+@register("surrogate_ids", "P09", S("raw", """SELECT count(*) AS n_rows, count(*) AS n_ids, true AS positive
+FROM good_firsts""", [oracle.DIRTY, oracle.GOOD, _GOOD_FIRSTS]))
 def q_surrogate_ids(spark, d):
-    return writes.with_ids(raw(spark, d).drop("id"))
+    return spark.read.parquet(_two_loads(spark, d)).agg(
+        F.count("*").alias("n_rows"), F.count_distinct("id").alias("n_ids"), (F.min("id") >= 1).alias("positive"))
 
 
 @register("json_stage_roundtrip", "K08 P05", S("raw", "SELECT * FROM raw"))
@@ -289,7 +313,9 @@ def _suite_sql(table: str, layer: str, suite: list[quality.Test]) -> str:
         if t.kind == "not_null":
             q = f"SELECT * FROM {table} WHERE {c} IS NULL{where}"
         elif t.kind == "unique":
-            q = f"SELECT {c} FROM {table} WHERE {c} IS NOT NULL{where} GROUP BY {c} HAVING count(*) > 1"
+            key = ", ".join(f'"{k}"' for k in t.column.split(","))
+            full = " AND ".join(f'"{k}" IS NOT NULL' for k in t.column.split(","))
+            q = f"SELECT {key} FROM {table} WHERE {full}{where} GROUP BY {key} HAVING count(*) > 1"
         elif t.kind == "accepted_range":
             lo, hi, inc = t.params.get("min_value"), t.params.get("max_value"), t.params.get("inclusive", True)
             conds = []
@@ -664,7 +690,7 @@ def q_stream_silver(spark, d):
 
 
 @register("stream_daily_bars", "R03", S("daily", """SELECT date, symbol, open, high, low, close, volume,
-  data_points, first_timestamp, last_timestamp FROM daily WHERE date < (SELECT max(date) FROM daily)"""))
+  data_points, first_timestamp, last_timestamp FROM daily"""))
 def q_stream_daily(spark, d):
     from barlake.streaming import run_daily_bars_stream
     s = silver(spark, d)
@@ -698,18 +724,18 @@ _NORMALIZED = f"""SELECT "timestamp", symbol, open, high, low, close, volume,
 @register("landing_scan", "S01 S02 S03 P01 P02 P03 P04", S("raw", f"""{_NORMALIZED.format(source='yahoo_finance_hourly')}
 WHERE symbol IN ({_in(SELECTED)}) AND "timestamp" >= TIMESTAMP '{RANGE_START}' AND "timestamp" < TIMESTAMP '{RANGE_END}'"""))
 def q_landing_scan(spark, d):
-    from barlake.schema import SOURCE_HOURLY, UPSTREAM_SCHEMA
+    from barlake.schema import UPSTREAM_SCHEMA
     path, _ = _landed(spark, d, "json")
     bars_ = landing.read_bars(spark, path, "json", UPSTREAM_SCHEMA, start=RANGE_START, end=RANGE_END,
                               symbols=SELECTED)
-    return ingest.normalize_upstream(bars_, source=SOURCE_HOURLY, ingested_at=AS_OF)
+    return ingest.normalize_upstream(bars_, source=SOURCE_HOURLY, ingested_at=AS_OF).drop(CORRUPT)
 
 
 _KEYS_SQL = 'SELECT DISTINCT "timestamp", symbol FROM raw'
 
 
 def _backfill(spark, d):
-    from barlake.schema import SOURCE_HOURLY, UPSTREAM_SCHEMA
+    from barlake.schema import UPSTREAM_SCHEMA
     path, _ = _landed(spark, d, "parquet")
     landed = landing.read_bars(spark, path, "parquet", UPSTREAM_SCHEMA)
     bronze_path = _stream_dirs(spark, "backfill")["out"]
@@ -724,6 +750,30 @@ def q_backfill_stats(spark, d):
     return _backfill(spark, d)["stats"]
 
 
+@register("backfill_rows", "C02 K01 (which row survives)", S("raw", f"""
+SELECT DISTINCT ON ("timestamp", symbol) "timestamp", symbol, open, high, low, close, volume,
+  '{SOURCE_HOURLY}' AS source, {TS_AS_OF} AS ingestion_timestamp FROM raw
+ORDER BY "timestamp", symbol, open NULLS LAST, high NULLS LAST, low NULLS LAST, close NULLS LAST, volume NULLS LAST"""))
+def q_backfill_rows(spark, d):
+    from barlake.schema import UPSTREAM_SCHEMA
+    path, _ = _landed(spark, d, "parquet")
+    out = _stream_dirs(spark, "backfill-rows")["out"]
+    ingest.backfill(spark, landing.read_bars(spark, path, "parquet", UPSTREAM_SCHEMA), out, SOURCE_HOURLY,
+                    EXPECTED_SYMBOLS, ingested_at=AS_OF)
+    return spark.read.parquet(out).drop("id", "date")
+
+
+@register("landing_daily_frames", "S01 P02 (bar time named Date)", S("raw", """SELECT "timestamp", symbol, open, high, low,
+  close, volume FROM raw"""))
+def q_daily_frames(spark, d):
+    from barlake.schema import UPSTREAM_SCHEMA
+    up = fixtures.upstream_bars(fixtures.load_table(spark, d, "events"))
+    path = _stream_dirs(spark, "landing-daily")["landing"]
+    (up.withColumn("Date", F.col("Datetime").cast("timestamp")).drop("Datetime").write.json(path))
+    bars_ = ingest.normalize_upstream(landing.read_bars(spark, path, "json", UPSTREAM_SCHEMA), ingested_at=AS_OF)
+    return bars_.select("timestamp", "symbol", "open", "high", "low", "close", "volume")
+
+
 @register("backfill_coverage", "C02 A04 F08", S("raw", f"""SELECT symbol, count(*) AS record_count,
   min("timestamp") AS earliest, max("timestamp") AS latest FROM ({_KEYS_SQL}) GROUP BY symbol"""))
 def q_backfill_coverage(spark, d):
@@ -796,12 +846,12 @@ def q_gold_incremental_job(spark, d):
     cut = F.lit(CUT).cast("timestamp")
     for i, load in enumerate([r.filter(F.col("timestamp") < cut), r.filter(F.col("timestamp") >= cut)]):
         writes.write_layer(load.withColumn("date", F.to_date("timestamp")), bronze_path, mode="append")
-        jobs.refresh_silver(spark, spark.read.parquet(bronze_path), silver_path, mode="carry",
-                            state_path=state, updated_at=AS_OF)
+        slices = jobs.refresh_silver(spark, spark.read.parquet(bronze_path), silver_path, mode="carry",
+                                     state_path=state, updated_at=AS_OF)
         if i == 0:
             jobs.refresh_gold(spark, silver_path, gold_path, updated_at=AS_OF)
         else:
-            jobs.refresh_gold_since(spark, silver_path, gold_path, CUT, updated_at=AS_OF)
+            jobs.refresh_gold_slices(spark, silver_path, gold_path, slices, updated_at=AS_OF)
     return spark.read.parquet(gold_path).drop("updated_at")
 
 
@@ -837,7 +887,7 @@ def q_stream_silver_late(spark, d):
 
 @register("stream_daily_from_silver_feed", "R02 R03 (silver stream feed -> daily bars stream)",
           S("daily", """SELECT date, symbol, open, high, low, close, volume,
-  data_points, first_timestamp, last_timestamp FROM daily WHERE date < (SELECT max(date) FROM daily)"""))
+  data_points, first_timestamp, last_timestamp FROM daily"""))
 def q_stream_daily_feed(spark, d):
     from barlake.streaming import run_daily_bars_stream, run_silver_stream
     r = raw(spark, d)
@@ -850,3 +900,116 @@ def q_stream_daily_feed(spark, d):
                           p["checkpoint"], updated_at=AS_OF, feed_path=feed)
         run_daily_bars_stream(spark, feed, feed_schema, bars_out, ckpt2)
     return spark.read.parquet(bars_out)
+
+
+# ---------------------------------------------------------------------------
+# late rows that empty a day: a late row just before a day's only bar makes
+# that bar an outlier
+# ---------------------------------------------------------------------------
+_LATE_TS = "2024-01-15 00:00:00"
+_SPARSE = f"""sparse AS (
+  SELECT * FROM raw WHERE symbol = '{HISTORY_SYMBOL}' AND id % 7 = 0
+), late AS (
+  SELECT * REPLACE (TIMESTAMP '{_LATE_TS}' AS "timestamp", close / 1000 AS close, open / 1000 AS open,
+                    TIMESTAMP '{AS_OF}' AS ingestion_timestamp, -id AS id)
+  FROM (SELECT * FROM sparse WHERE close > 0 ORDER BY id LIMIT 1)
+), both_loads AS (
+  SELECT * FROM (SELECT * FROM sparse WHERE NOT (CAST("timestamp" AS DATE) = DATE '{_LATE_TS[:10]}'))
+  UNION ALL SELECT * FROM late
+)"""
+
+
+def _sparse_loads(spark, d) -> tuple[DataFrame, DataFrame]:
+    r = raw(spark, d).filter((F.col("symbol") == HISTORY_SYMBOL) & (F.col("id") % 7 == 0))
+    late = (r.filter("close > 0").orderBy("id").limit(1)
+            .withColumns({"timestamp": F.lit(_LATE_TS).cast("timestamp"), "close": F.col("close") / 1000,
+                          "open": F.col("open") / 1000, "id": -F.col("id"),
+                          "ingestion_timestamp": F.lit(AS_OF).cast("timestamp")}))
+    return r.filter(F.to_date("timestamp") != F.lit(_LATE_TS[:10]).cast("date")), late
+
+
+def _recomputed(spark, d, name: str) -> tuple[str, DataFrame]:
+    """Silver and gold, then the late row, by the default mode."""
+    from barlake.plans import jobs
+    from barlake.session import scratch_path
+    root = scratch_path(spark, name)
+    first, late = _sparse_loads(spark, d)
+    bronze_path = f"{root}/bronze"
+    for i, load in enumerate((first, late)):
+        writes.write_layer(load.withColumn("date", F.to_date("timestamp")), bronze_path, mode="append")
+        jobs.refresh_layers(spark, spark.read.parquet(bronze_path), root, changed=late if i else None, updated_at=AS_OF)
+    return root, late
+
+
+_LATE_PARTS = [oracle.RAW, _SPARSE, *oracle.silver_ctes("b_", "both_loads"), *oracle.gold_ctes("b_", "b_silver")]
+
+
+@register("silver_recompute_emptied_day", "R04 C03 (a late row empties a day)", oracle.with_ctes(_LATE_PARTS, _cmp_sql("b_silver")))
+def q_emptied_silver(spark, d):
+    return silver_cmp(spark.read.parquet(_recomputed(spark, d, "emptied-silver")[0] + "/silver").drop("date"))
+
+
+@register("gold_recompute_emptied_day", "R04 C04 (a late row empties a day)", oracle.with_ctes(_LATE_PARTS, "SELECT * FROM b_gold"))
+def q_emptied_gold(spark, d):
+    return spark.read.parquet(_recomputed(spark, d, "emptied-gold")[0] + "/gold").drop("updated_at")
+
+
+@register("late_report_batch", "R04 (late rows of a carry run)", oracle.with_ctes([oracle.RAW, _SPARSE], f"SELECT {RAW_COLS} FROM late"))
+def q_late_report(spark, d):
+    from barlake.plans import jobs
+    p = _stream_dirs(spark, "late-report")
+    first, late = _sparse_loads(spark, d)
+    jobs.refresh_silver(spark, first, p["out"], mode="carry", state_path=p["state"], updated_at=AS_OF)
+    jobs.refresh_silver(spark, first.unionByName(late), p["out"], mode="carry", state_path=p["state"], updated_at=AS_OF,
+                        changed=late)
+    return spark.read.parquet(p["state"] + "/late")
+
+
+@register("stream_silver_replay", "R02 (every batch run twice)", S("silver", "SELECT count(*) AS n_rows, count(*) AS n_feed FROM silver"))
+def q_stream_replay(spark, d):
+    """Each delivery is processed, its checkpointed progress forgotten, and processed again."""
+    from barlake.streaming import run_silver_stream
+    r = raw(spark, d)
+    p = _stream_dirs(spark, "stream-replay")
+    feed = p["late"] + "-feed"
+    for i, part in enumerate(_deliveries(r, "timestamp")):
+        path = f"{p['landing']}/{i}"
+        part.write.parquet(path)
+        for attempt in range(2):
+            run_silver_stream(spark, path, r.schema, p["out"], p["state"], p["late"], f"{p['checkpoint']}/{i}-{attempt}",
+                              updated_at=AS_OF, feed_path=feed, first_batch=i)
+    rows = spark.read.parquet(p["out"]).agg(F.count("*").alias("n_rows"))
+    return rows.withColumn("n_feed", spark.read.parquet(feed).agg(F.count("*")).scalar())
+
+
+# ---------------------------------------------------------------------------
+# a fixture whose key space grows with the table
+# ---------------------------------------------------------------------------
+_WIDE_PARTS = [oracle.RAW, oracle.WIDE, *oracle.silver_ctes("w_", "wide"), *oracle.gold_ctes("w_", "w_silver")]
+
+
+def _wide(spark, d) -> DataFrame:
+    return fixtures.wide_bars(fixtures.load_table(spark, d, "events"))
+
+
+@register("silver_wide", "C03 W01 W03 (growing key space)", oracle.with_ctes(_WIDE_PARTS, _cmp_sql("w_silver")))
+def q_silver_wide(spark, d):
+    return silver_cmp(silver_plan.build_silver(_wide(spark, d), updated_at=AS_OF))
+
+
+@register("gold_wide", "C04 A01 (growing key space)", oracle.with_ctes(_WIDE_PARTS, "SELECT * FROM w_gold"))
+def q_gold_wide(spark, d):
+    return gold_plan.build_gold(silver_plan.build_silver(_wide(spark, d), updated_at=AS_OF), updated_at=AS_OF).drop("updated_at")
+
+
+@register("quality_silver_wide", "T02 T07 (rows of BTC-USD)", oracle.with_ctes(
+    [*_WIDE_PARTS, f"silver_t AS (SELECT *, {TS_AS_OF} AS updated_at FROM w_silver)"],
+    _suite_sql("silver_t", "silver", quality.SILVER_SUITE)))
+def q_quality_wide(spark, d):
+    return quality.run_suite(silver_plan.build_silver(_wide(spark, d), updated_at=AS_OF), quality.SILVER_SUITE, "silver")
+
+
+@register("unique_violations_wide", "T02 T06 (BTC-USD before dedup)", oracle.with_ctes([oracle.RAW, oracle.WIDE], """
+SELECT "timestamp", count(*) AS n_records FROM wide WHERE symbol = 'BTC-USD' GROUP BY "timestamp" HAVING count(*) > 1"""))
+def q_unique_wide(spark, d):
+    return quality.failing_rows(_wide(spark, d), quality.Test("timestamp", "unique", where="symbol = 'BTC-USD'"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barlake.schema import VOLUME_DECIMAL
+
 
 def _ohlcv_aggs(ts: str = "timestamp") -> list[Column]:
     t = F.col(ts)
@@ -17,7 +19,8 @@ def _ohlcv_aggs(ts: str = "timestamp") -> list[Column]:
         F.max("high").alias("high"),
         F.min("low").alias("low"),
         F.max_by("close", t).alias("close"),
-        F.sum("volume").alias("volume"),
+        # in the contract's decimal: exact, so the same in any order of addition
+        F.sum(F.col("volume").cast(VOLUME_DECIMAL)).cast("double").alias("volume"),
         F.count(F.lit(1)).alias("data_points"),
         F.min(t).alias("first_timestamp"),
         F.max(t).alias("last_timestamp"),

@@ -24,7 +24,7 @@ from barlake.schema import (
 
 @dataclass(frozen=True)
 class Test:
-    column: str
+    column: str                     # one name, or several with commas for `unique`
     kind: str                       # not_null | unique | accepted_range | accepted_values | max_length
     params: dict = field(default_factory=dict)
     where: str | None = None        # SQL predicate restricting the tested rows
@@ -65,7 +65,7 @@ def failing_rows(df: DataFrame, t: Test) -> DataFrame:
     """The test's failing rows."""
     x = _scoped(df, t)
     if t.kind == "unique":
-        return unique_violations(x, [t.column])
+        return unique_violations(x, t.column.split(","))
     if t.kind == "accepted_values":
         return x.filter(_condition(t)).groupBy(t.column).agg(F.count(F.lit(1)).alias("n_records"))
     return x.filter(_condition(t))
@@ -101,7 +101,7 @@ def run_suite(df: DataFrame, suite: list[Test], layer: str) -> DataFrame:
         parts.append(one.select(F.inline(tests)))
     for t in suite:
         if t.kind == "unique":
-            n = unique_violations(_scoped(df, t), [t.column]).agg(F.count(F.lit(1)).alias("failures"))
+            n = unique_violations(_scoped(df, t), t.column.split(",")).agg(F.count(F.lit(1)).alias("failures"))
             parts.append(n.select(F.lit(t.column).alias("column_name"), F.lit("unique").alias("test"),
                                   F.col("failures").cast("bigint").alias("failures")))
     report = reduce(DataFrame.unionByName, parts)
@@ -110,11 +110,14 @@ def run_suite(df: DataFrame, suite: list[Test], layer: str) -> DataFrame:
 
 
 def gate(report: DataFrame) -> DataFrame:
-    """Raise when any test of the report failed; else return it."""
-    bad = report.filter(F.col("status") != "pass").select("layer", "column_name", "test").limit(20).collect()
+    """Raise when any test of the report failed, naming all of them; else
+    return the report.  The suite runs once: its report, one row per test, is
+    collected and returned as a local table."""
+    rows = report.collect()
+    bad = [r for r in rows if r.status != "pass"]
     if bad:
         raise AssertionError("data tests failed: " + ", ".join(f"{r.layer}.{r.column_name}:{r.test}" for r in bad))
-    return report
+    return report.sparkSession.createDataFrame(rows, report.schema)
 
 
 # Suites of the three layers (T07).  Bronze: 9 tests + source freshness.
@@ -145,7 +148,8 @@ GOLD_SUITE = [
 ]
 # The bronze table constraints (NOT NULL, UNIQUE key, lengths).
 BRONZE_CONSTRAINTS = [
-    Test("id", "not_null"), Test("timestamp", "not_null"), Test("symbol", "not_null"),
+    Test("id", "not_null"), Test("id", "unique"), Test("timestamp,symbol,source", "unique"),
+    Test("timestamp", "not_null"), Test("symbol", "not_null"),
     Test("symbol", "max_length", {"length": 20}), Test("source", "max_length", {"length": 50}),
 ]
 
@@ -200,11 +204,12 @@ def validate_batch(df: DataFrame, min_symbols: int = MIN_SYMBOLS,
 
 
 def check_batch(report: DataFrame) -> DataFrame:
-    """Raise on severity 'error' (the backfill's hard check)."""
-    r = report.select("severity", "symbols_found").first()
-    if r is not None and r.severity == "error":
-        raise ValueError(f"only {r.symbols_found} symbols found")
-    return report
+    """Raise on severity 'error' (the backfill's hard check); the one-row report
+    is evaluated once and returned as a local table."""
+    rows = report.collect()
+    if rows and rows[0].severity == "error":
+        raise ValueError(f"only {rows[0].symbols_found} symbols found")
+    return report.sparkSession.createDataFrame(rows, report.schema)
 
 
 CRITICAL_COLUMNS = ["timestamp", "symbol", "close", "volume"]

@@ -29,10 +29,6 @@ _SEED = "_seed"
 _BUCKET = "_bucket"
 
 
-def day_bucket(order_col: str) -> Column:
-    return F.to_date(F.col(order_col))
-
-
 def _slice(order_col: str, unit: str) -> Column:
     return F.to_date(F.col(order_col)) if unit == "day" else F.date_trunc(unit, F.col(order_col))
 
@@ -58,26 +54,21 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str,
         rows = rows.unionByName(init, allowMissingColumns=True)
     rows = rows.withColumn(_BUCKET, bucket)
 
-    # Level 2: last row of every (key, bucket) slice, then the previous slice's last row.
-    # The summary keeps the slice's whole last row (all columns, one row per
-    # slice): both branches then read the same columns, so the shuffle that
-    # produced `df` canonicalises equal in both and runs once (ReusedExchange)
-    # instead of being pruned into a second, narrower copy.
-    whole_row = F.struct(*[F.col(c) for c in rows.columns if c not in keys and c != _BUCKET])
+    # Level 2: the last row of every (key, bucket) slice - one hash aggregate over
+    # the few columns needed - then the previous slice's last row.
+    carried = {c: f"_prev_{c}" for c in (order_col, *srcs)}
     last = (rows.groupBy(*keys, _BUCKET)
-            .agg(F.max_by(whole_row, F.col(order_col)).alias("_last")))
+            .agg(F.max(order_col).alias("_at"), *[F.max_by(s, F.col(order_col)).alias(f"_of_{s}") for s in srcs])
+            .select(*keys, _BUCKET, F.col("_at").alias(order_col), *[F.col(f"_of_{s}").alias(s) for s in srcs]))
     if len(slices) > 1:
         upper = last.withColumnRenamed(_BUCKET, "_slice_start")
-        prev = with_previous(upper, keys, "_slice_start", {"_last": "_prev"}, slices=slices[1:])
+        prev = with_previous(upper, keys, "_slice_start", carried, slices=slices[1:])
         prev = prev.withColumnRenamed("_slice_start", _BUCKET)
     else:
         per_key = Window.partitionBy(*keys).orderBy(_BUCKET)
-        prev = last.select(*keys, _BUCKET, F.lag("_last").over(per_key).alias("_prev"))
-    seeds = (prev.filter(F.col("_prev").isNotNull())
-             .select(*keys, _BUCKET,
-                     F.col("_prev")[order_col].alias(order_col),
-                     *[F.col("_prev")[s].alias(s) for s in srcs],
-                     F.lit(True).alias(_SEED)))
+        prev = last.select(*keys, _BUCKET, *[F.lag(c).over(per_key).alias(o) for c, o in carried.items()])
+    seeds = (prev.filter(F.col(carried[order_col]).isNotNull())
+             .select(*keys, _BUCKET, *[F.col(o).alias(c) for c, o in carried.items()], F.lit(True).alias(_SEED)))
 
     # Level 1: LAG inside each slice, with the seed row in front.
     seeded = rows.unionByName(seeds, allowMissingColumns=True)

@@ -6,7 +6,7 @@ single set-based Spark job; no row-at-a-time inserts and no driver loops.
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.schema import (
-    BRONZE_KEY, PRICE_DECIMAL, SOURCE_MAX_LEN, SYMBOL_MAX_LEN, VOLUME_DECIMAL,
+    BRONZE_KEY, CORRUPT, PRICE_DECIMAL, SOURCE_MAX_LEN, SYMBOL_MAX_LEN, VOLUME_DECIMAL,
 )
 
 
@@ -25,6 +25,13 @@ def _all_not_null(cols: Sequence[str]) -> Column:
     return cond
 
 
+def arrival_order(batch: DataFrame) -> list[Column]:
+    """Load time, then the given id if rows have one, then the bar's own values:
+    an order that no partitioning changes."""
+    cols = ("ingestion_timestamp", "id", "open", "high", "low", "close", "volume")
+    return [F.col(c).asc_nulls_last() for c in cols if c in batch.columns]
+
+
 def first_arrivals(batch: DataFrame, keys: Sequence[str] = BRONZE_KEY,
                    arrival: Sequence[Column] | None = None) -> DataFrame:
     """In-batch part of K01: per key the first row in arrival order wins.  A
@@ -32,26 +39,22 @@ def first_arrivals(batch: DataFrame, keys: Sequence[str] = BRONZE_KEY,
     they get a unique extra window key, in the same single pass (a hot group
     of copies is cut to one row per map task by the partial top-1)."""
     keys = list(keys)
-    arrival = list(arrival) if arrival is not None else [
-        F.col("ingestion_timestamp").asc_nulls_last(), F.col("id").asc_nulls_last()]
+    arrival = list(arrival) if arrival is not None else arrival_order(batch)
     lone = F.when(~_all_not_null(keys), F.monotonically_increasing_id())
     w = Window.partitionBy(*keys, "_lone").orderBy(*arrival)
     return (batch.withColumn("_lone", lone).withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") == 1).drop("_rn", "_lone"))
 
 
-def within_time_range_of(target: DataFrame, batch: DataFrame, ts: str = "timestamp",
-                         partition_col: str = "date") -> DataFrame:
-    """Target rows that can share a key with `batch`: those inside the batch's
-    time range.  The range is one scalar subquery evaluated first; on a
-    date-partitioned target it becomes a partition filter, so an hourly load
-    reads one or two date folders, not the whole table."""
-    rng = batch.agg(F.struct(F.min(ts).alias("lo"), F.max(ts).alias("hi"))).scalar()
-    lo, hi = rng.getField("lo"), rng.getField("hi")
-    out = target.filter((F.col(ts) >= lo) & (F.col(ts) <= hi))
-    if partition_col in target.columns:
-        out = out.filter((F.col(partition_col) >= F.to_date(lo)) & (F.col(partition_col) <= F.to_date(hi)))
-    return out
+def within_dates_of(target: DataFrame, batch: DataFrame, ts: str = "timestamp",
+                    partition_col: str = "date") -> DataFrame:
+    """Target rows that can share a key with `batch`: those of the dates the
+    batch holds.  The list of dates is bounded by the calendar; it becomes a
+    partition filter, so one old bar beside a new one reads two folders, not
+    the range between them."""
+    dates = [r[0] for r in batch.select(F.to_date(ts)).distinct().collect() if r[0] is not None]
+    col = F.col(partition_col) if partition_col in target.columns else F.to_date(ts)
+    return target.filter(col.isin(dates)) if dates else target.limit(0)
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame | None, keys: Sequence[str] = BRONZE_KEY,
@@ -62,15 +65,17 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, keys: Sequence[
     new = first_arrivals(batch, keys, arrival)
     if target is None:
         return new
-    existing = within_time_range_of(target, batch).select(*keys)
+    existing = within_dates_of(target, batch).select(*keys)
     return new.join(existing, list(keys), "left_anti")
 
 
-def load_stats(batch: DataFrame, inserted: DataFrame, bad: DataFrame | None = None) -> DataFrame:
-    """One row inserted / duplicates / failed / total (true counts) -
-    one aggregate over the tagged union of the three inputs, no join."""
+def load_stats(total: DataFrame, inserted: DataFrame, bad: DataFrame | None = None) -> DataFrame:
+    """One row inserted / duplicates / failed / total (true counts) - one
+    aggregate over the tagged union, no join.  `total` is the whole batch,
+    `inserted` what was appended of its good rows, `bad` its bad rows, so the
+    four numbers add up."""
     tag = F.col("_part")
-    parts = batch.select(F.lit("total").alias("_part")).unionByName(
+    parts = total.select(F.lit("total").alias("_part")).unionByName(
         inserted.select(F.lit("inserted").alias("_part")))
     if bad is not None:
         parts = parts.unionByName(bad.select(F.lit("failed").alias("_part")))
@@ -83,7 +88,9 @@ def bad_record_reason(df: DataFrame) -> Column:
     """First violated rule of the bronze contract, or NULL."""
     def overflow(c: str, dt: T.DecimalType) -> Column:
         return F.col(c).isNotNull() & F.col(c).try_cast(dt).isNull()
+    corrupt = [(F.col(CORRUPT).isNotNull(), "corrupt record")] if CORRUPT in df.columns else []
     rules = [
+        *corrupt,
         (F.col("timestamp").isNull(), "timestamp is null"),
         (F.col("symbol").isNull(), "symbol is null"),
         (F.length("symbol") > SYMBOL_MAX_LEN, "symbol too long"),
@@ -116,29 +123,66 @@ def cast_bars(df: DataFrame) -> DataFrame:
 
 def with_ids(df: DataFrame, start: int = 1) -> DataFrame:
     """Unique, increasing-by-partition surrogate ids without a shuffle or
-    a single-task row_number (gaps allowed, as with a sequence)."""
+    a single-task row_number (gaps allowed, as with a sequence).  Write the
+    result before using it twice: a second evaluation may number differently."""
     return df.withColumn("id", F.monotonically_increasing_id() + F.lit(start))
 
 
-def append_bronze(spark: SparkSession, batch: DataFrame, path: str,
-                  keys: Sequence[str] = BRONZE_KEY) -> DataFrame:
-    """K01 as a write: append the first-arrival, absent rows to the bronze
-    folder (partitioned by date, sorted by symbol and time - K10).  Returns
-    the stats row (K02).
-
-    The rows to append are computed once into a staging table in the shared
-    checkpoint folder (a lineage cut that survives executor loss), then
-    appended from there; the stats count the staged rows.  Re-evaluating the
-    anti-join after the append would find the rows already present."""
+def next_id(spark: SparkSession, path: str) -> int:
+    """First id the next load of the bronze folder may use: from the log of
+    loads (one row each), or from the table where it has no log."""
+    log = read_if_exists(spark, f"{path.rstrip('/')}_loads")
+    source = (log, "high_id") if log is not None else (read_if_exists(spark, path), "id")
+    if source[0] is None or source[1] not in source[0].columns:
+        return 1
+    return (source[0].agg(F.max(source[1])).first()[0] or 0) + 1
+
+
+def load_bronze(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str] = BRONZE_KEY,
+                load_id: str | None = None) -> dict[str, DataFrame]:
+    """The one load of bronze, for batches and streams (K01, K02, K03, P09):
+
+    1. the batch is evaluated once, into a staged table with each row's fault;
+    2. faulty rows go to ``<path>_quarantine`` (partition ``load``) with their reason;
+    3. of the good rows the first arrival of each key that the target does not
+       hold is staged with its id, and the ids are booked in ``<path>_loads``;
+    4. the staged rows are appended (partitioned by date, sorted by symbol and
+       time - K10).
+
+    A repeated load with one `load_id` replaces its quarantine rows and appends
+    nothing twice.  Ids of rows that already have one are kept.  Returns the
+    stats row, the appended rows, the quarantined rows and the touched
+    (symbol, day) pairs."""
     from barlake.session import scratch_path
+    path = path.rstrip("/")
+    load_id = load_id or uuid.uuid4().hex[:12]
+    staged = _stage(spark, batch.withColumn("reason", bad_record_reason(batch)), scratch_path(spark, "load-batch"))
+    good = staged.filter(F.col("reason").isNull()).drop("reason", *([CORRUPT] if CORRUPT in staged.columns else []))
+    bad = staged.filter(F.col("reason").isNotNull())
     target = read_if_exists(spark, path)
-    good, bad = split_bad_records(batch)
-    staging = scratch_path(spark, "bronze-staging")
     rows = insert_if_absent(good, target, keys)
-    rows.write.parquet(staging)
-    new = spark.read.schema(rows.schema).parquet(staging)       # schema given: an empty stage reads fine
+    if "id" not in rows.columns:
+        rows = with_ids(rows, next_id(spark, path))
+    new = _stage(spark, rows, scratch_path(spark, "load-rows"))
+    stats = load_stats(staged, new, bad)
+    (new.agg(F.max("id").alias("high_id")).select(F.lit(load_id).alias("load"), "high_id").filter("high_id is not null")
+        .write.mode("append").parquet(f"{path}_loads"))             # booked before any row can be seen
+    (bad.withColumn("load", F.lit(load_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load").parquet(f"{path}_quarantine"))
     write_layer(new.withColumn("date", F.to_date("timestamp")), path, mode="append")
-    return load_stats(batch, new, bad)
+    touched = new.select("symbol", F.to_date("timestamp").alias("day")).distinct()
+    return {"stats": stats, "inserted": new, "quarantined": bad, "touched": touched}
+
+
+def _stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)       # schema given: an empty stage reads fine
+
+
+def append_bronze(spark: SparkSession, batch: DataFrame, path: str,
+                  keys: Sequence[str] = BRONZE_KEY) -> DataFrame:
+    """`load_bronze`, returning the stats row only."""
+    return load_bronze(spark, batch, path, keys)["stats"]
 
 
 def read_if_exists(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
@@ -153,15 +197,42 @@ def read_if_exists(spark: SparkSession, path: str, merge_schema: bool = False) -
 
 
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str = "date",
-                sort_by: Sequence[str] = ("symbol", "timestamp"), max_records_per_file: int | None = None) -> None:
+                sort_by: Sequence[str] = ("symbol", "timestamp")) -> None:
     """Write a layer folder partitioned by date (see `clustered`).
     With mode 'overwrite' only the touched date partitions are replaced
     (dynamic partition overwrite)."""
-    w = (clustered(df, partition_by, sort_by)
-         .write.mode(mode).option("partitionOverwriteMode", "dynamic"))
-    if max_records_per_file:            # K04: bound file size instead of per-row commits
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.partitionBy(partition_by).parquet(path)
+    (clustered(df, partition_by, sort_by)
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
+
+
+def replace_slices(spark: SparkSession, path: str, fresh: DataFrame, slices: DataFrame,
+                   partition_col: str = "date", sort_by: Sequence[str] = ("symbol", "timestamp")) -> None:
+    """Replace the (symbol, day) `slices` of a folder partitioned by day with
+    the rows `fresh`: only the folders of those days are read and written, the
+    rest of their rows is kept, and a day that ends up empty loses its folder.
+    The number of days is bounded by the calendar."""
+    from barlake.session import scratch_path
+    days = [r[0] for r in slices.select("day").distinct().collect()]
+    if not days:
+        return
+    old = read_if_exists(spark, path, merge_schema=True)
+    if old is not None:
+        gone = slices.select(F.col("day").alias(partition_col), "symbol")
+        kept = old.filter(F.col(partition_col).isin(days)).join(gone, [partition_col, "symbol"], "left_anti")
+        fresh = kept.unionByName(fresh, allowMissingColumns=True)
+    staged = _stage(spark, fresh, scratch_path(spark, "slices"))
+    left = {r[0] for r in staged.select(partition_col).distinct().collect()}
+    if left:
+        write_layer(staged, path, partition_by=partition_col, sort_by=sort_by)
+    drop_partitions(spark, path, partition_col, [d for d in days if d not in left])
+
+
+def drop_partitions(spark: SparkSession, path: str, partition_col: str, values: Sequence) -> None:
+    """Remove partition folders through the storage's own file system."""
+    jvm = spark.sparkContext._jvm
+    for v in values:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={v}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def clustered(df: DataFrame, partition_by: str = "date",
@@ -176,16 +247,9 @@ def clustered(df: DataFrame, partition_by: str = "date",
 
 
 def create_layers(root: str, layers: Sequence[str] = ("bronze", "silver", "gold")) -> list[str]:
-    """The layer folders under one root.  Local paths are created; on
-    object stores / HDFS (URIs) a folder exists once its first write lands."""
-    out = []
-    for layer in layers:
-        p = f"{root.rstrip('/')}/{layer}"
-        local = root[len("file:"):] if root.startswith("file:") else (None if "://" in root else root)
-        if local is not None:
-            os.makedirs(os.path.join(local, layer), exist_ok=True)
-        out.append(p)
-    return out
+    """The layer folders under one root.  A folder exists once its first
+    write lands, on whatever storage the root names."""
+    return [f"{root.rstrip('/')}/{layer}" for layer in layers]
 
 
 def stage_records(df: DataFrame) -> DataFrame:

@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 
 from barlake.operators import quality, writes
 from barlake.schema import (
-    BRONZE_COLUMNS, DEFAULT_SOURCE, MIN_ROWS_DAILY, MIN_SYMBOLS, UPSTREAM_RENAMES,
+    BRONZE_COLUMNS, CORRUPT, DEFAULT_SOURCE, MIN_ROWS_DAILY, MIN_ROWS_HOURLY, MIN_SYMBOLS, SOURCE_HOURLY, UPSTREAM_RENAMES,
 )
-from barlake.sources.landing import missing_symbols, require_rows, time_range
+from barlake.session import scratch_path
+from barlake.sources.landing import missing_symbols, read_folder, require_rows, time_range
 
 
 def with_metadata(df: DataFrame, source: str | None = None, ingested_at=None,
@@ -34,6 +35,8 @@ def with_metadata(df: DataFrame, source: str | None = None, ingested_at=None,
 
 def canonical_names(df: DataFrame) -> DataFrame:
     """Date/Datetime -> timestamp, Open -> open, ..."""
+    if "Date" in df.columns and "Datetime" in df.columns:
+        df = df.withColumn("Datetime", F.coalesce("Datetime", "Date")).drop("Date")
     present = {k: v for k, v in UPSTREAM_RENAMES.items() if k in df.columns}
     return df.withColumnsRenamed(present)
 
@@ -76,7 +79,7 @@ def normalize_upstream(df: DataFrame, source: str | None = None, ingested_at=Non
     x = apply_defaults(to_utc(x), ingested_at)
     x = nan_to_null(x.withColumns({c: F.col(c).cast("double")
                                    for c in ("open", "high", "low", "close", "volume")}))
-    return x.select(*BRONZE_COLUMNS)
+    return x.select(*BRONZE_COLUMNS, *([CORRUPT] if CORRUPT in x.columns else []))
 
 
 def bronze_typed(df: DataFrame) -> DataFrame:
@@ -87,26 +90,39 @@ def bronze_typed(df: DataFrame) -> DataFrame:
 def ingest_live(spark: SparkSession, landed: DataFrame, bronze_path: str, as_of,
                 source: str = DEFAULT_SOURCE) -> dict[str, DataFrame]:
     """Landing batch -> non-empty check -> warnings -> conflict-ignoring
-    append -> freshness.  Returns the reports (small DataFrames)."""
-    batch = normalize_upstream(landed, source=source, ingested_at=as_of)
+    load -> freshness.  Returns the reports (small DataFrames) and the touched
+    (symbol, day) pairs."""
+    batch = _evaluated(spark, normalize_upstream(landed, source=source, ingested_at=as_of))
     require_rows(batch, "no data fetched")
     issues = quality.batch_issues(batch)
-    stats = writes.append_bronze(spark, writes.with_ids(batch), bronze_path)
-    fresh = quality.freshness(spark.read.parquet(bronze_path), as_of)
-    return {"issues": issues, "stats": stats, "freshness": fresh}
+    out = writes.load_bronze(spark, batch, bronze_path)
+    fresh = quality.freshness(read_folder(spark, bronze_path, "bronze"), as_of)
+    return {"issues": issues, "stats": out["stats"], "freshness": fresh, "touched": out["touched"]}
 
 
 def backfill(spark: SparkSession, landed: DataFrame, bronze_path: str, source: str,
              expected_symbols, start=None, end=None, ingested_at=None,
-             min_symbols: int = MIN_SYMBOLS, min_rows: int = MIN_ROWS_DAILY) -> dict[str, DataFrame]:
+             min_symbols: int = MIN_SYMBOLS, min_rows: int | None = None) -> dict[str, DataFrame]:
     """C02 for any interval: range scan -> missing-symbol report -> batch
-    validation (raises below `min_symbols`) -> conflict-ignoring append ->
-    load stats -> coverage of this source."""
+    validation (raises below `min_symbols`, warns below `min_rows`, by default
+    the source's own threshold) -> conflict-ignoring load -> load stats ->
+    coverage of this source."""
+    if min_rows is None:
+        min_rows = MIN_ROWS_HOURLY if source == SOURCE_HOURLY else MIN_ROWS_DAILY
     batch = normalize_upstream(landed, source=source, ingested_at=ingested_at)
-    batch = time_range(batch, start, end)
-    missing = missing_symbols(batch, expected_symbols)
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in batch.columns else F.lit(False)
+    inside = time_range(batch.filter(~corrupt), start, end)
+    batch = _evaluated(spark, inside.unionByName(batch.filter(corrupt)) if CORRUPT in batch.columns else inside)
+    missing = missing_symbols(batch.filter(F.col("symbol").isNotNull()), expected_symbols)
     report = quality.check_batch(quality.validate_batch(batch, min_symbols, min_rows))
-    stats = writes.append_bronze(spark, writes.with_ids(batch), bronze_path)
-    cov = quality.coverage(spark.read.parquet(bronze_path), source)
-    return {"missing": missing, "validation": report, "stats": stats, "coverage": cov}
+    out = writes.load_bronze(spark, batch, bronze_path)
+    cov = quality.coverage(read_folder(spark, bronze_path, "bronze"), source)
+    return {"missing": missing, "validation": report, "stats": out["stats"], "coverage": cov, "touched": out["touched"]}
 
+
+def _evaluated(spark: SparkSession, batch: DataFrame) -> DataFrame:
+    """The normalised batch as a staged table: the landing files are read and
+    parsed once, whatever is checked, counted and loaded afterwards."""
+    path = scratch_path(spark, "landed")
+    batch.write.parquet(path)
+    return spark.read.schema(batch.schema).parquet(path)

@@ -3,10 +3,14 @@ incremental / carried incremental), refresh gold.
 
 Layers are date-partitioned Parquet folders.  Without a table format, an
 upsert (K05) is: read only the target partitions the new rows touch (a
-runtime partition filter on their date range, then a semi join on the exact
-dates), drop the rows whose key comes again, union the new rows, write the
-result to a staging folder, then overwrite just those partitions of the
-target from the staging copy - a plan never reads and overwrites one path.
+partition filter on their dates), drop the rows whose key comes again, union
+the new rows, write the result to a staging folder, then overwrite just those
+partitions of the target from the staging copy - a plan never reads and
+overwrites one path.
+
+State of the silver job, below ``state_path``: ``days`` (per symbol and day the
+last validated row, partitioned by day) and ``last`` (per symbol the newest of
+these, a small table whose maximum is the high-water mark).
 """
 
 from __future__ import annotations
@@ -18,8 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators import writes
+from barlake.operators.bars import daily_bars
 from barlake.plans import gold as gold_plan
 from barlake.plans import silver as silver_plan
+from barlake.schema import GOLD_COLUMNS
 from barlake.session import scratch_path
 
 
@@ -35,9 +41,11 @@ def merge_into_layer(spark: SparkSession, new: DataFrame, path: str,
     if target is None:
         writes.write_layer(new, path, mode="overwrite", partition_by=partition_col)
         return
-    touched = new.select(partition_col).distinct()
-    kept = (_within_partition_range(target, new, partition_col)
-            .join(touched, partition_col, "left_semi")
+    new = _staged(spark, new, "merge-new")         # read for its dates, the keys and the rows
+    dates = [r[0] for r in new.select(partition_col).distinct().collect()]      # bounded by the calendar
+    if not dates:
+        return
+    kept = (target.filter(F.col(partition_col).isin(dates))
             .join(new.select(*keys), list(keys), "left_anti"))
     merged = kept.unionByName(new, allowMissingColumns=True)
     staging = scratch_path(spark, "merge-staging")
@@ -46,15 +54,6 @@ def merge_into_layer(spark: SparkSession, new: DataFrame, path: str,
     writes.write_layer(staged, path, mode="overwrite", partition_by=partition_col)
 
 
-def _within_partition_range(target: DataFrame, new: DataFrame, partition_col: str) -> DataFrame:
-    """Target restricted to the [min, max] partition values of `new`: one
-    scalar subquery that becomes a runtime partition filter, so only those
-    folders are listed and read.  (A semi join alone is not enough: dynamic
-    partition pruning is dropped unless the join reuses a broadcast.)"""
-    rng = new.agg(F.struct(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"))).scalar()
-    return target.filter((F.col(partition_col) >= rng.getField("lo")) & (F.col(partition_col) <= rng.getField("hi")))
-
-
 def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared checkpoint folder and read back: a lineage cut
     that survives executor loss and lets two outputs share one computation."""
@@ -63,91 +62,169 @@ def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)      # schema given: an empty stage reads fine
 
 
-def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mode: str = "carry",
-                   state_path: str | None = None, updated_at=None, lag_slices=("day",),
-                   changed: DataFrame | None = None, since=None):
-    """C03 as a job.  Returns the first UTC day whose silver rows may have
-    changed (None after a full rebuild, or when nothing changed) - the day to
-    refresh gold from.
+def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mode: str | None = None,
+                   state_path: str | None = None, updated_at=None, lag_slices=None,
+                   changed: DataFrame | None = None, since=None) -> DataFrame | None:
+    """C03 as a job.  Returns the (symbol, day) slices whose silver rows may
+    have changed - what gold has to follow - or None after a full rebuild or a
+    reference run.
 
     * ``full``      - rebuild every partition from all of bronze;
     * ``reference`` - rows after the target's global high-water mark, no
       carried state (the original incremental model; late rows are lost);
     * ``carry``     - the same filter, seeded with each symbol's last validated
-      row; equals a full refresh while bars arrive in time order;
-    * ``recompute`` - R04 partition recompute: rebuild every day from the
-      first day touched by `changed` (the rows just loaded) or `since`,
-      seeded with each symbol's last validated row before that day; equals a
-      full refresh also when late rows arrive.
-
-    With a `state_path`, every mode but ``reference`` keeps
-    ``<state_path>/days``: one row per symbol and day with the day's last
-    validated row (see `silver.day_summary`), the seed source of the
-    incremental modes."""
-    days_path = None if state_path is None else f"{state_path.rstrip('/')}/days"
+      row; equals a full refresh while bars arrive in time order.  Rows of
+      `changed` at or before the mark are not applied: they are written to
+      ``<state_path>/late``;
+    * ``recompute`` - R04: rebuild the (symbol, day) slices that `changed` (the
+      rows just loaded) touches, or all from the day of `since` on, and each
+      symbol's next slice; equals a full refresh also when late rows arrive,
+      days and slices that become empty included.
+
+    The mode is ``recompute`` where `changed` or `since` is given, else
+    ``carry``.  `lag_slices` None: by hour within days if a (symbol, day) holds
+    more than SLICE_ROWS rows, else by day.  A run that failed can be repeated:
+    ``last``, which mark and seeds come from, is written after all else."""
+    mode = mode or ("carry" if changed is None and since is None else "recompute")
+    if mode not in ("full", "reference", "carry", "recompute"):
+        raise ValueError(f"unknown mode {mode}")
     if mode == "reference":
         target = writes.read_if_exists(spark, silver_path, merge_schema=True)
-        if target is None:
-            mode = "full"
-        else:
+        if target is not None:
             # the mark is read once as a value: `new` must not depend on files the merge replaces
             hwm = target.agg(F.max("timestamp")).first()[0]
-            new = silver_plan.build_silver(bronze, updated_at=updated_at, lag_slices=lag_slices,
-                                           high_water=hwm)
+            new = silver_plan.build_silver(bronze, updated_at=updated_at, high_water=hwm,
+                                           lag_slices=lag_slices or silver_plan.LAG_SLICES)
             merge_into_layer(spark, new, silver_path, target=target)
-            return None if hwm is None else _as_date(hwm)
-    if mode not in ("full", "carry", "recompute"):
-        raise ValueError(f"unknown mode {mode}")
-    days = None if days_path is None else writes.read_if_exists(spark, days_path)
-    if mode != "full" and days is None:
-        if days_path is None:
+            return None
+        mode = "full"
+    state = None if state_path is None else state_path.rstrip("/")
+    days = None if state is None else writes.read_if_exists(spark, f"{state}/days")
+    if mode != "full" and (days is None or high_water_mark(spark, state) is None):
+        if state is None:
             raise ValueError(f"{mode} mode needs a state_path")
         mode = "full"                              # first run
-
     if mode == "full":
-        valid = _staged(spark, silver_plan.validated(bronze), "silver-valid")
-        out = silver_plan.finish_silver(valid, updated_at, None, lag_slices).withColumn("date", F.to_date("timestamp"))
-        (writes.clustered(out).write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy("date").parquet(silver_path))
-        if days_path is not None:
-            (silver_plan.day_summary(valid).write.mode("overwrite")
-             .option("partitionOverwriteMode", "static").partitionBy("day").parquet(days_path))
+        _full(spark, bronze, silver_path, state, updated_at, lag_slices)
         return None
-
     if mode == "carry":
-        hwm = days.agg(F.max("timestamp")).scalar()
-        valid = _staged(spark, silver_plan.validated(silver_plan.since_high_water(bronze, hwm)), "silver-valid")
-        new = silver_plan.finish_silver(valid, updated_at, silver_plan.seeds_before(days), lag_slices)
-        merge_into_layer(spark, new, silver_path)
-        # the touched days' summaries: new rows are later than every stored one
-        touched = silver_plan.day_summary(valid)
-        before = (_within_partition_range(days, touched, "day")
-                  .join(touched.select("symbol", "day"), ["symbol", "day"], "left_semi"))
-        merged = (touched.unionByName(before).groupBy("symbol", "day")
-                  .agg(F.max_by(F.struct("timestamp", "close", "volume"), F.col("timestamp")).alias("s"))
-                  .select("symbol", "day", "s.timestamp", "s.close", "s.volume"))
-        writes.write_layer(_staged(spark, merged, "silver-days"), days_path, partition_by="day",
-                           sort_by=("symbol",))
-        return valid.agg(F.min(F.to_date("timestamp"))).first()[0]
-
-    # recompute
-    if since is None:
-        if changed is None:
-            raise ValueError("recompute mode needs `changed` rows or `since`")
-        first = changed.agg(F.min(F.to_date("timestamp"))).first()[0]   # one date
-        if first is None:
-            return None
+        return _carry(spark, bronze, silver_path, state, updated_at, lag_slices, changed)
+    if since is not None:
+        first = F.to_date(F.lit(since))
+        old = days.filter(F.col("day") >= first).select("symbol", "day")
+        come = _from_day(bronze, first).select("symbol", F.to_date("timestamp").alias("day"))
+        touched = old.unionByName(come).distinct()
+    elif changed is not None:
+        touched = (changed.select("symbol", "day") if "day" in changed.columns else
+                   changed.select("symbol", F.to_date("timestamp").alias("day"))).distinct()
     else:
-        first = since
-    first_day = F.to_date(F.lit(first))
-    rows = bronze.filter(F.to_date("timestamp") >= first_day)
-    if "date" in bronze.columns:
-        rows = rows.filter(F.col("date") >= first_day)     # partition pruning
-    valid = _staged(spark, silver_plan.validated(rows), "silver-valid")
-    new = silver_plan.finish_silver(valid, updated_at, silver_plan.seeds_before(days, first), lag_slices)
-    writes.write_layer(new.withColumn("date", F.to_date("timestamp")), silver_path)          # days >= first only
-    writes.write_layer(silver_plan.day_summary(valid), days_path, partition_by="day", sort_by=("symbol",))
-    return _as_date(first)
+        raise ValueError("recompute mode needs `changed` rows or `since`")
+    return _recompute(spark, bronze, silver_path, state, days, touched, updated_at, lag_slices)
+
+
+SLICE_ROWS = 20_000        # rows of a (symbol, day) from which its LAG is split by hour
+
+
+def _summary(spark: SparkSession, valid: DataFrame, lag_slices) -> tuple[DataFrame, tuple]:
+    """The day summary of staged validated rows, staged, and the LAG slices."""
+    days = _staged(spark, silver_plan.day_summary(valid).join(
+        valid.groupBy("symbol", F.to_date("timestamp").alias("day")).agg(F.count("*").alias("n")), ["symbol", "day"]),
+        "silver-days")
+    if lag_slices is None:
+        most = days.agg(F.max("n")).first()[0] or 0
+        lag_slices = silver_plan.LAG_SLICES if most > SLICE_ROWS else ("day",)
+    return days.drop("n"), tuple(lag_slices)
+
+
+def _write_last(days: DataFrame, state: str) -> None:
+    silver_plan.seeds_before(days).coalesce(1).write.mode("overwrite").parquet(f"{state}/last")
+
+
+def _full(spark, bronze, silver_path, state, updated_at, lag_slices) -> None:
+    valid = _staged(spark, silver_plan.validated(bronze), "silver-valid")
+    days, slices = _summary(spark, valid, lag_slices)
+    out = silver_plan.finish_silver(valid, updated_at, None, slices).withColumn("date", F.to_date("timestamp"))
+    (writes.clustered(out).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("date").parquet(silver_path))
+    if state is not None:
+        (days.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("day").parquet(f"{state}/days"))
+        _write_last(days, state)
+
+
+def high_water_mark(spark: SparkSession, state_path: str):
+    """Time of the newest validated row, from the small ``last`` table; None before the first run."""
+    last = writes.read_if_exists(spark, f"{state_path.rstrip('/')}/last")
+    return None if last is None else last.agg(F.max("timestamp")).first()[0]
+
+
+def _carry(spark, bronze, silver_path, state, updated_at, lag_slices, changed):
+    """Rows after the mark.  They are later than every stored row, so only the
+    mark's own day is merged; other days are written as they are.  Writing them
+    again (a retry) replaces the same rows."""
+    last = _staged(spark, writes.read_if_exists(spark, f"{state}/last"), "silver-last")     # `last` is replaced below
+    mark = last.agg(F.max("timestamp")).first()[0]
+    if changed is not None:
+        late = changed.filter(F.col("timestamp") <= F.lit(mark))
+        late.write.mode("append").parquet(f"{state}/late")
+    valid = _staged(spark, silver_plan.validated(silver_plan.since_high_water(bronze, mark)), "silver-valid")
+    fresh, slices = _summary(spark, valid, lag_slices)
+    new = silver_plan.finish_silver(valid, updated_at, last, slices).withColumn("date", F.to_date("timestamp"))
+    day = _as_date(mark)
+    target = spark.read.option("mergeSchema", "true").parquet(silver_path)
+    kept = target.filter((F.col("date") == F.lit(day)) & (F.col("timestamp") <= F.lit(mark)))
+    merged = _staged(spark, kept.unionByName(new, allowMissingColumns=True), "silver-new")
+    writes.write_layer(merged, silver_path)
+    old = writes.read_if_exists(spark, f"{state}/days").filter(F.col("day") == F.lit(day))
+    same_day = old.join(fresh.select("symbol", "day"), ["symbol", "day"], "left_anti")
+    _staged_overwrite(spark, same_day.unionByName(fresh), f"{state}/days", "day")
+    newest = silver_plan._last_by(last.unionByName(fresh.select(*last.columns)), ["symbol"]).select(*last.columns)
+    _staged(spark, newest, "silver-last").coalesce(1).write.mode("overwrite").parquet(f"{state}/last")
+    return fresh.select("symbol", "day")
+
+
+def _staged_overwrite(spark, rows, path, partition_col) -> None:
+    writes.write_layer(_staged(spark, rows, "silver-state"), path, partition_by=partition_col, sort_by=("symbol",))
+
+
+def _from_day(bronze: DataFrame, first) -> DataFrame:
+    rows = bronze.filter(F.to_date("timestamp") >= first)
+    return rows.filter(F.col("date") >= first) if "date" in bronze.columns else rows
+
+
+def _of_slices(bronze: DataFrame, slices: DataFrame) -> DataFrame:
+    """Bronze rows of the (symbol, day) slices; only the folders of their days
+    are read (the list of days is bounded by the calendar)."""
+    dates = [r[0] for r in slices.select("day").distinct().collect()]
+    rows = bronze.withColumn("_day", F.to_date("timestamp"))
+    if dates:           # a range that file statistics can serve where there are no folders
+        rows = rows.filter((F.col("timestamp") >= F.lit(min(dates)).cast("timestamp"))
+                           & (F.col("timestamp") < F.date_add(F.lit(max(dates)), 1).cast("timestamp")))
+    rows = rows.filter(F.col("date" if "date" in bronze.columns else "_day").isin(dates)) if dates else rows.limit(0)
+    wanted = slices.select("symbol", F.col("day").alias("_day"))
+    return rows.join(wanted, ["symbol", "_day"], "left_semi").drop("_day").select(bronze.columns)
+
+
+def _recompute(spark, bronze, silver_path, state, days, touched, updated_at, lag_slices):
+    """R04 on the touched slices and each symbol's next one."""
+    touched = _staged(spark, touched.filter("symbol is not null and day is not null"), "touched")
+    valid = _staged(spark, silver_plan.validated(_of_slices(bronze, touched)), "silver-valid")
+    fresh, slices = _summary(spark, valid, lag_slices)
+    symbols = touched.select("symbol").distinct()
+    known = (days.join(touched, ["symbol", "day"], "left_anti").unionByName(fresh, allowMissingColumns=True)
+             .join(symbols, "symbol", "left_semi"))
+    known = _staged(spark, known, "silver-known")              # one row per day of the touched symbols
+    affected = _staged(spark, silver_plan.affected_slices(known, touched), "affected")
+    others = affected.join(touched, ["symbol", "day"], "left_anti")
+    rows = valid.unionByName(silver_plan.validated(_of_slices(bronze, others)))
+    new = silver_plan.finish_silver(rows, updated_at, silver_plan.seeds_of_slices(known, affected), slices)
+    writes.replace_slices(spark, silver_path, new.withColumn("date", F.to_date("timestamp")), affected)
+    writes.replace_slices(spark, f"{state}/days", fresh, touched, "day", ("symbol",))
+    last = writes.read_if_exists(spark, f"{state}/last")
+    newest = (last.join(symbols, "symbol", "left_anti")
+              .unionByName(silver_plan.seeds_before(known).select(*last.columns)))
+    _staged(spark, newest, "silver-last").coalesce(1).write.mode("overwrite").parquet(f"{state}/last")
+    return affected
 
 
 def _as_date(value) -> date:
@@ -178,19 +255,42 @@ def refresh_gold_since(spark: SparkSession, silver_path: str, gold_path: str, si
     writes.write_layer(_staged(spark, fresh, "gold-staging"), gold_path, mode="overwrite", sort_by=("symbol",))
 
 
-def refresh_layers(spark: SparkSession, bronze: DataFrame, root: str, mode: str = "carry",
-                   changed: DataFrame | None = None, since=None, updated_at=None,
-                   lag_slices=("day",)):
-    """Silver then gold after a load: gold is rebuilt only from the first
-    day silver touched (fully after a full silver rebuild).  Layout:
-    ``<root>/silver``, ``<root>/gold``, state in ``<root>/_silver_state``."""
+def refresh_gold_slices(spark: SparkSession, silver_path: str, gold_path: str, slices: DataFrame,
+                        updated_at=None) -> None:
+    """Incremental gold after a silver run: the daily bars of the changed
+    (symbol, day) `slices`, and each symbol's next day, whose return may change
+    with them.  Silver is read only for those days; gold, one row per symbol
+    and day, for the touched symbols."""
+    slices = _staged(spark, slices, "gold-slices")
+    dates = [r[0] for r in slices.select("day").distinct().collect()]        # bounded by the calendar
+    if not dates:
+        return
+    stamp = F.current_timestamp() if updated_at is None else F.lit(updated_at).cast("timestamp")
+    silver = spark.read.option("mergeSchema", "true").parquet(silver_path).filter(F.col("date").isin(dates))
+    rows = silver.join(slices.withColumnRenamed("day", "date"), ["symbol", "date"], "left_semi")
+    bars = _staged(spark, daily_bars(rows), "gold-bars")
+    old = (spark.read.parquet(gold_path).join(slices.select("symbol").distinct(), "symbol", "left_semi")
+           .join(slices.withColumnRenamed("day", "date"), ["symbol", "date"], "left_anti"))
+    known = _staged(spark, old.select(*bars.columns).unionByName(bars), "gold-known")
+    affected = silver_plan.affected_slices(known.withColumnRenamed("date", "day"), slices)
+    affected = _staged(spark, affected, "gold-affected")
+    fresh = (gold_plan.daily_metrics(known)
+             .join(affected.withColumnRenamed("day", "date"), ["symbol", "date"], "left_semi")
+             .withColumn("updated_at", stamp).select(*GOLD_COLUMNS))
+    writes.replace_slices(spark, gold_path, fresh, affected, "date", ("symbol",))
+
+
+def refresh_layers(spark: SparkSession, bronze: DataFrame, root: str, mode: str | None = None,
+                   changed: DataFrame | None = None, since=None, updated_at=None, lag_slices=None):
+    """Silver then gold after a load: gold follows the slices silver touched
+    (or is rebuilt after a full silver build).  Layout: ``<root>/silver``,
+    ``<root>/gold``, state in ``<root>/_silver_state``.  Returns the slices."""
     root = root.rstrip("/")
     silver_path, gold_path = f"{root}/silver", f"{root}/gold"
-    first_day = refresh_silver(spark, bronze, silver_path, mode=mode, state_path=f"{root}/_silver_state",
-                               updated_at=updated_at, lag_slices=lag_slices, changed=changed, since=since)
-    gold = writes.read_if_exists(spark, gold_path)
-    if gold is None or (mode == "full" and first_day is None):
+    slices = refresh_silver(spark, bronze, silver_path, mode=mode, state_path=f"{root}/_silver_state",
+                            updated_at=updated_at, lag_slices=lag_slices, changed=changed, since=since)
+    if slices is None or writes.read_if_exists(spark, gold_path) is None:
         refresh_gold(spark, silver_path, gold_path, updated_at)
-    elif first_day is not None:
-        refresh_gold_since(spark, silver_path, gold_path, str(first_day), updated_at)
-    return first_day
+    else:
+        refresh_gold_slices(spark, silver_path, gold_path, slices, updated_at)
+    return slices

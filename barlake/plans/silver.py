@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.functions.columns import (
@@ -29,6 +29,8 @@ from barlake.operators.sequence import with_previous
 from barlake.schema import OUTLIER_RETURN_PCT, SILVER_COLUMNS
 
 STATE_COLUMNS = ["symbol", "timestamp", "close", "volume"]
+# The per-symbol LAG is split by hour within days, so a hot symbol-day spreads over tasks.
+LAG_SLICES = ("hour", "day")
 
 
 def _stamp(updated_at) -> Column:
@@ -73,7 +75,7 @@ def validated(bronze: DataFrame) -> DataFrame:
 
 
 def with_returns(valid: DataFrame, initial_state: DataFrame | None = None,
-                 lag_slices=("day",)) -> DataFrame:
+                 lag_slices=LAG_SLICES) -> DataFrame:
     """P13-P17 + W03/W04 on validated rows (before the outlier filter).
     `lag_slices`: nested time units the per-symbol LAG is split by (finest
     first), e.g. ``("hour", "day")`` for tick-dense symbols."""
@@ -99,7 +101,7 @@ def drop_outliers(df: DataFrame) -> DataFrame:
 
 
 def finish_silver(valid: DataFrame, updated_at: datetime | str | None = None,
-                  initial_state: DataFrame | None = None, lag_slices=("day",)) -> DataFrame:
+                  initial_state: DataFrame | None = None, lag_slices=LAG_SLICES) -> DataFrame:
     """Validated rows -> silver rows (returns, spreads, outlier filter)."""
     out = drop_outliers(with_returns(valid, initial_state, lag_slices))
     return out.withColumn("updated_at", _stamp(updated_at)).select(*SILVER_COLUMNS)
@@ -107,7 +109,7 @@ def finish_silver(valid: DataFrame, updated_at: datetime | str | None = None,
 
 def build_silver(bronze: DataFrame, updated_at: datetime | str | None = None,
                  high_water=None, initial_state: DataFrame | None = None,
-                 lag_slices=("day",)) -> DataFrame:
+                 lag_slices=LAG_SLICES) -> DataFrame:
     """Silver rows in the 22-column contract.
 
     * full refresh: `build_silver(bronze)`;
@@ -119,21 +121,46 @@ def build_silver(bronze: DataFrame, updated_at: datetime | str | None = None,
     return finish_silver(valid, updated_at, initial_state, lag_slices)
 
 
+def _last_by(rows: DataFrame, keys: list, order: str = "timestamp") -> DataFrame:
+    """The latest (timestamp, close, volume) per key: one hash aggregate."""
+    return rows.groupBy(*keys).agg(F.max_by("timestamp", order).alias("_t"), F.max_by("close", order).alias("close"),
+                                   F.max_by("volume", order).alias("volume")).withColumnRenamed("_t", "timestamp")
+
+
 def day_summary(valid: DataFrame) -> DataFrame:
     """Per (symbol, UTC day): the day's last validated row - the seed any
     later rebuild of the following days needs (one row per symbol-day)."""
-    return (valid.groupBy("symbol", F.to_date("timestamp").alias("day"))
-            .agg(F.max_by(F.struct("timestamp", "close", "volume"), F.col("timestamp")).alias("s"))
-            .select("symbol", "day", "s.timestamp", "s.close", "s.volume"))
+    rows = valid.select("symbol", F.to_date("timestamp").alias("day"), "timestamp", "close", "volume")
+    return _last_by(rows, ["symbol", "day"]).select("symbol", "day", "timestamp", "close", "volume")
 
 
 def seeds_before(days: DataFrame, first_day=None) -> DataFrame:
     """Carry seeds from a day summary: per symbol, the last validated row of
     its newest day before `first_day` (of all days when None)."""
     d = days if first_day is None else days.filter(F.col("day") < F.to_date(F.lit(first_day)))
-    return (d.groupBy("symbol")
-            .agg(F.max_by(F.struct("timestamp", "close", "volume"), F.col("day")).alias("s"))
-            .select("symbol", "s.timestamp", "s.close", "s.volume"))
+    return _last_by(d, ["symbol"], "day").select(*STATE_COLUMNS)
+
+
+def affected_slices(days: DataFrame, touched: DataFrame) -> DataFrame:
+    """(symbol, day) slices whose silver rows may change with the `touched`
+    ones: those themselves and, LAG having offset 1, each symbol's next slice
+    in the day summary `days`.  Per symbol the input has one row per calendar
+    day."""
+    marks = (days.select("symbol", "day", F.lit(True).alias("stored"))
+             .unionByName(touched.select("symbol", "day", F.lit(False).alias("stored"))))
+    after = marks.withColumn("_n", F.datediff("day", F.lit("1970-01-01").cast("date")))
+    after = after.withColumn("next", F.min(F.when(F.col("stored"), F.col("day"))).over(
+        Window.partitionBy("symbol").orderBy("_n").rangeBetween(1, Window.unboundedFollowing)))
+    nexts = after.filter(~F.col("stored") & F.col("next").isNotNull()).select("symbol", F.col("next").alias("day"))
+    return touched.select("symbol", "day").unionByName(nexts).distinct()
+
+
+def seeds_of_slices(days: DataFrame, slices: DataFrame) -> DataFrame:
+    """Older rows the LAG of `slices` needs: for each, the symbol's last
+    validated row of the day before it, unless that day is a slice itself."""
+    marked = days.join(slices.select("symbol", "day", F.lit(True).alias("_in")), ["symbol", "day"], "left")
+    following = F.lead("_in").over(Window.partitionBy("symbol").orderBy("day"))
+    return marked.withColumn("_next", following).filter("_next and _in is null").select(*STATE_COLUMNS)
 
 
 def silver_state(bronze: DataFrame, high_water=None,
@@ -143,9 +170,7 @@ def silver_state(bronze: DataFrame, high_water=None,
     v = validated(since_high_water(bronze, high_water)).select(*STATE_COLUMNS)
     if previous_state is not None:
         v = v.unionByName(previous_state.select(*STATE_COLUMNS))
-    return (v.groupBy("symbol")
-            .agg(F.max_by(F.struct("timestamp", "close", "volume"), F.col("timestamp")).alias("s"))
-            .select("symbol", "s.timestamp", "s.close", "s.volume"))
+    return _last_by(v, ["symbol"]).select(*STATE_COLUMNS)
 
 
 def upsert_by_key(target: DataFrame, new: DataFrame, keys=("timestamp", "symbol")) -> DataFrame:

@@ -8,11 +8,6 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 # Fixed values (must stay equal to the original pipeline's for equal results)
 # ---------------------------------------------------------------------------
-# Symbols polled by the live job, and the nine used by the backfills.
-LIVE_SYMBOLS = ["BTC-USD", "ETH-USD", "XRP-USD", "ADA-USD", "DOGE-USD",
-                "BNB-USD", "DOT-USD", "LTC-USD", "LINK-USD", "MATIC-USD"]
-BACKFILL_SYMBOLS = ["BTC-USD", "ETH-USD", "XRP-USD", "ADA-USD", "DOGE-USD",
-                    "BNB-USD", "DOT-USD", "LTC-USD", "LINK-USD"]
 # Source labels written by the live job and the daily / hourly backfills.
 SOURCE_LIVE = "yahoo_finance"
 SOURCE_DAILY = "yahoo_finance_daily"
@@ -40,13 +35,9 @@ VOLUME_DECIMAL = T.DecimalType(20, 2)
 # Upstream frame column names and their bronze names.
 UPSTREAM_RENAMES = {"Date": "timestamp", "Datetime": "timestamp", "Open": "open",
                     "High": "high", "Low": "low", "Close": "close", "Volume": "volume"}
-# ---------------------------------------------------------------------------
-
 BRONZE_COLUMNS = ["timestamp", "symbol", "open", "high", "low", "close", "volume",
                   "source", "ingestion_timestamp"]
 BRONZE_KEY = ["timestamp", "symbol", "source"]
-SILVER_KEY = ["timestamp", "symbol"]
-GOLD_KEY = ["date", "symbol"]
 
 SILVER_COLUMNS = ["timestamp", "symbol", "open", "high", "low", "close", "volume", "source",
                   "ingestion_timestamp", "intraperiod_change", "intraperiod_change_pct",
@@ -57,9 +48,15 @@ SILVER_COLUMNS = ["timestamp", "symbol", "open", "high", "low", "close", "volume
 GOLD_COLUMNS = ["date", "symbol", "open", "high", "low", "close", "volume", "price_change",
                 "price_change_pct", "daily_spread", "spread_pct", "daily_return_pct",
                 "log_return", "data_points", "first_timestamp", "last_timestamp", "updated_at"]
+# ---------------------------------------------------------------------------
 
-# Upstream bars as they land (one file set per fetch), before renaming.
+# A landed line that does not parse, kept as text.
+CORRUPT = "corrupt_record"
+
+# Upstream bars as they land (one file set per fetch), before renaming: daily
+# frames name the bar time Date, intraday ones Datetime.
 UPSTREAM_SCHEMA = T.StructType([
+    T.StructField("Date", T.TimestampType(), True),
     T.StructField("Datetime", T.TimestampType(), True),
     T.StructField("Open", T.DoubleType(), True),
     T.StructField("High", T.DoubleType(), True),
@@ -83,16 +80,3 @@ BRONZE_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), True),
     T.StructField("ingestion_timestamp", T.TimestampType(), True),
 ])
-
-BRONZE_TYPED_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType(), False),
-    T.StructField("timestamp", T.TimestampType(), False),
-    T.StructField("symbol", T.StringType(), False),
-    T.StructField("open", PRICE_DECIMAL, True),
-    T.StructField("high", PRICE_DECIMAL, True),
-    T.StructField("low", PRICE_DECIMAL, True),
-    T.StructField("close", PRICE_DECIMAL, True),
-    T.StructField("volume", VOLUME_DECIMAL, True),
-    T.StructField("source", T.StringType(), True),
-    T.StructField("ingestion_timestamp", T.TimestampType(), True),
-])

@@ -10,28 +10,48 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.schema import UPSTREAM_SCHEMA
+from barlake.schema import CORRUPT, UPSTREAM_SCHEMA
 
 
 def read_bars(spark: SparkSession, path: str, fmt: str = "parquet",
               schema: T.StructType = UPSTREAM_SCHEMA,
               start: datetime | str | None = None, end: datetime | str | None = None,
-              symbols: Iterable[str] | None = None, time_col: str = "Datetime") -> DataFrame:
-    """Scan landed bars.  Range and symbol predicates are plain filters so
-    they reach the Parquet scan (`PushedFilters`) and prune partitions."""
-    reader = spark.read.schema(schema).format(fmt)
+              symbols: Iterable[str] | None = None) -> DataFrame:
+    """Scan landed bars whose time is named ``Date`` or ``Datetime``.  Range and
+    symbol predicates are plain filters so they reach the Parquet scan
+    (`PushedFilters`).  A JSON or CSV line that does not parse, or that holds a
+    value of another type, keeps its text in ``corrupt_record``."""
+    reader = spark.read.format(fmt)
+    if fmt in ("csv", "json"):
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if fmt == "csv":
-        reader = reader.option("header", "true").option("mode", "PERMISSIVE")
-    if fmt == "json":
-        reader = reader.option("mode", "PERMISSIVE")
-    df = reader.load(path)
-    df = time_range(df, start, end, time_col)
+        reader = reader.option("header", "true").option("enforceSchema", "false")
+        head = spark.read.option("header", "true").csv(path).columns            # names of the files' columns
+        schema = T.StructType([schema[c] for c in head if c in schema.names] + [schema[CORRUPT]])
+    df = reader.schema(schema).load(path)
+    names = [c for c in ("Datetime", "Date") if c in df.columns]
+    if not names:
+        raise ValueError("landed bars have neither a Date nor a Datetime column")
+    keep = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
+    if start is not None or end is not None:
+        inside = F.lit(False)
+        for i, c in enumerate(names):
+            here = F.lit(True)
+            if start is not None:
+                here = here & (F.col(c) >= F.lit(start).cast("timestamp"))
+            if end is not None:
+                here = here & (F.col(c) < F.lit(end).cast("timestamp"))
+            for earlier in names[:i]:
+                here = here & F.col(earlier).isNull()
+            inside = inside | here
+        df = df.filter(inside | keep)
     if symbols is not None:
-        df = only_symbols(df, symbols)
+        df = df.filter(F.col("symbol").isin(list(symbols)) | keep)
     return df
 
 
@@ -86,7 +106,11 @@ def read_layer(spark: SparkSession, root: str, layer: str) -> DataFrame:
     """Named scan of a layer table (S06); schema merged across appends.  A
     layer with no files yet (never written, or written empty) reads as an
     empty frame with the layer's columns."""
-    path = f"{root.rstrip('/')}/{layer}"
+    return read_folder(spark, f"{root.rstrip('/')}/{layer}", layer)
+
+
+def read_folder(spark: SparkSession, path: str, layer: str) -> DataFrame:
+    """A layer's folder, empty with the layer's columns before its first rows."""
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
     except Exception as e:  # noqa: BLE001 - only "nothing there yet" is absorbed
@@ -99,8 +123,3 @@ def flatten_columns(df: DataFrame, struct_col: str) -> DataFrame:
     """Drop a header level (P06): a struct column's fields become top-level."""
     others = [c for c in df.columns if c != struct_col]
     return df.select(*others, f"{struct_col}.*")
-
-
-def predicate_time(ts: Column, as_of, interval: str) -> Column:
-    """``ts > as_of - interval``."""
-    return ts > (F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {interval}"))

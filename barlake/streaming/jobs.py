@@ -14,11 +14,11 @@ its silver model is an incremental table.  Here:
   results equal a full refresh when bars arrive in time order (carry), or
   always (recompute, which also applies late rows).
 * R03 `run_daily_bars_stream`: silver file stream -> event-time watermark ->
-  1-day tumbling window per symbol -> append (a day is emitted once the
-  watermark passes its end).  A file stream sees every rewritten file as new,
+  1-day tumbling window per symbol -> each micro-batch replaces the bars it
+  changed, the open day's included.  A file stream sees every rewritten file as new,
   so R03 must read an append-only feed of silver rows, not the merged silver
   layer (whose partitions the batch jobs rewrite); for the layer itself use
-  `plans.jobs.refresh_gold_since`.
+  `plans.jobs.refresh_gold_slices`.
 
 All checkpoints and state live under the cluster's shared checkpoint folder.
 """
@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from barlake.operators import writes
 from barlake.operators.bars import _ohlcv_aggs
 from barlake.schema import BRONZE_KEY
+from barlake.session import scratch_path
 
 
 def _run(writer, trigger_available_now: bool = True, timeout_s: int | None = None) -> None:
@@ -47,17 +48,16 @@ def _run(writer, trigger_available_now: bool = True, timeout_s: int | None = Non
 def run_bronze_stream(spark: SparkSession, landing_path: str, schema: T.StructType,
                       target_path: str, checkpoint: str, fmt: str = "parquet",
                       max_files_per_trigger: int | None = None) -> None:
-    """Process every landed file once (availableNow), appending first
-    arrivals whose (timestamp, symbol, source) is not in the target yet."""
+    """Process every landed file once (availableNow) through the same load
+    as a batch: faulty rows to quarantine, first arrivals whose (timestamp,
+    symbol, source) the target does not hold yet appended."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing_path)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        target = writes.read_if_exists(batch.sparkSession, target_path)
-        new = writes.insert_if_absent(batch, target, BRONZE_KEY)
-        writes.write_layer(new.withColumn("date", F.to_date("timestamp")), target_path, mode="append")
+        writes.load_bronze(batch.sparkSession, batch, target_path, BRONZE_KEY, load_id=f"batch-{batch_id}")
 
     _run(stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint))
 
@@ -75,7 +75,8 @@ def dedup_stream(stream: DataFrame, watermark: str = "2 hours",
 def run_silver_stream(spark: SparkSession, bronze_path: str, schema: T.StructType,
                       silver_path: str, state_path: str, late_path: str, checkpoint: str,
                       updated_at=None, max_files_per_trigger: int | None = None,
-                      lag_slices=("day",), policy: str = "carry", feed_path: str | None = None) -> None:
+                      lag_slices=None, policy: str = "carry", feed_path: str | None = None,
+                      first_batch: int = 0) -> None:
     """Each micro-batch of new bronze rows runs the incremental silver
     job (`plans.jobs.refresh_silver`), whose per-day state lives in
     `state_path`.
@@ -85,12 +86,15 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, schema: T.StructTyp
     * ``recompute`` - late rows are applied too: the days from the first day
       they touch are rebuilt from the bronze table at `bronze_path`.
 
-    A retried micro-batch is harmless: the merge deletes and re-inserts by key
-    and the high-water mark only moves once the rows are written.
+    A retried micro-batch gives the same: the mark before the batch is stored
+    with the batch id before anything else, late report and feed go by it, and
+    the job's own state moves after its rows.
 
     `feed_path` (carry only): each batch's new silver rows are also written to
     an append-only feed (partition ``epoch=<batch id>``) that a downstream
-    file stream - the daily bars, R03 - can read."""
+    file stream - the daily bars, R03 - can read.  `first_batch` is the number
+    of the query's first batch in the state's count (a query restarted on a new
+    checkpoint goes on, or repeats, where the old one was)."""
     if feed_path is not None and policy != "carry":
         raise ValueError("an append-only feed needs the carry policy (recompute rewrites earlier days)")
     from barlake.plans import jobs
@@ -99,38 +103,48 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, schema: T.StructTyp
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(bronze_path)
-    days_path = f"{state_path.rstrip('/')}/days"
+
+    def by_epoch(rows: DataFrame, batch_id: int, path: str) -> None:
+        (rows.withColumn("epoch", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
 
     def clean(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        batch.persist()          # read by the late report and the job; lost blocks re-read the files
-        try:
-            days = writes.read_if_exists(s, days_path)
-            late = (batch.limit(0) if days is None
-                    else batch.filter(F.col("timestamp") <= days.agg(F.max("timestamp")).scalar()))
-            (late.withColumn("epoch", F.lit(batch_id)).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(late_path))
-            if policy == "recompute" and days is not None:
-                jobs.refresh_silver(s, s.read.schema(schema).parquet(bronze_path), silver_path, mode="recompute",
-                                    state_path=state_path, updated_at=updated_at, lag_slices=lag_slices,
-                                    changed=batch)
-            else:
-                mark = None if days is None else days.agg(F.max("timestamp")).first()[0]
-                jobs.refresh_silver(s, batch, silver_path, mode="carry", state_path=state_path,
-                                    updated_at=updated_at, lag_slices=lag_slices)
-                if feed_path is not None:
-                    fresh = s.read.parquet(silver_path)
-                    if mark is not None:      # only rows this batch added (later than the old mark)
-                        fresh = fresh.filter((F.col("date") >= F.to_date(F.lit(mark)))
-                                             & (F.col("timestamp") > F.lit(mark)))
-                    (fresh.drop("date").withColumn("epoch", F.lit(batch_id)).write.mode("overwrite")
-                     .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(feed_path))
-        finally:
-            batch.unpersist()
+        batch_id += first_batch
+        mark, repeated = mark_of_batch(s, state_path, batch_id)
+        late = batch.limit(0) if mark is None else batch.filter(F.col("timestamp") <= F.lit(mark))
+        by_epoch(late, batch_id, late_path)
+        if policy == "recompute" and mark is not None:
+            jobs.refresh_silver(s, s.read.schema(schema).parquet(bronze_path), silver_path, mode="recompute",
+                                state_path=state_path, updated_at=updated_at, lag_slices=lag_slices, changed=batch)
+            return
+        if not (repeated and jobs.high_water_mark(s, state_path) != mark):      # else the job had finished
+            jobs.refresh_silver(s, batch, silver_path, mode="carry", state_path=state_path,
+                                updated_at=updated_at, lag_slices=lag_slices)
+        if feed_path is not None:
+            fresh = s.read.parquet(silver_path)
+            if mark is not None:      # only rows this batch added (later than the old mark)
+                fresh = fresh.filter((F.col("date") >= F.to_date(F.lit(mark))) & (F.col("timestamp") > F.lit(mark)))
+            by_epoch(fresh.drop("date"), batch_id, feed_path)
 
     _run(stream.writeStream.foreachBatch(clean).option("checkpointLocation", checkpoint))
 
 
+def mark_of_batch(spark: SparkSession, state_path: str, batch_id: int):
+    """The high-water mark before the batch, and whether the batch has been
+    begun before: stored at its first attempt, read back at a retry."""
+    from barlake.plans import jobs
+    path = f"{state_path.rstrip('/')}/batches"
+    known = writes.read_if_exists(spark, path)
+    row = None if known is None else known.filter(F.col("batch") == batch_id).select("mark").first()
+    if row is not None:
+        return row[0], True
+    mark = jobs.high_water_mark(spark, state_path)
+    (spark.range(1).select(F.lit(mark).cast("timestamp").alias("mark"), F.lit(batch_id).alias("batch"))
+        .coalesce(1).write.mode("append").partitionBy("batch").parquet(path))
+    return mark, False
+
+
 # ---------------------------------------------------------------------------
 # R03
 # ---------------------------------------------------------------------------
@@ -145,10 +159,19 @@ def daily_bars_stream(silver_stream: DataFrame, delay: str = "0 seconds") -> Dat
 def run_daily_bars_stream(spark: SparkSession, silver_path: str, schema: T.StructType,
                           out_path: str, checkpoint: str, delay: str = "0 seconds",
                           max_files_per_trigger: int | None = None) -> None:
-    """Finished days only (append mode)."""
+    """Daily bars up to the last row seen, the open day included: each
+    micro-batch replaces the (symbol, day) bars it changed.  The state holds
+    the days inside the watermark."""
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     bars = daily_bars_stream(reader.load(silver_path), delay)
-    _run(bars.writeStream.format("parquet").outputMode("append")
-         .option("path", out_path).option("checkpointLocation", checkpoint))
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        path = scratch_path(s, "daily-bars")
+        batch.write.parquet(path)
+        rows = s.read.schema(batch.schema).parquet(path)
+        writes.replace_slices(s, out_path, rows, rows.select("symbol", F.col("date").alias("day")), "date", ("symbol",))
+
+    _run(bars.writeStream.foreachBatch(replace).outputMode("update").option("checkpointLocation", checkpoint))

@@ -16,7 +16,7 @@ CORE = ["silver_full", "gold_full", "latest_prices", "silver_incremental_carry",
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(QUERIES) - set(SQLS)
-    assert rows_only == {"surrogate_ids"}
+    assert rows_only == set()
 
 
 def test_entry_smoke(spark):
@@ -50,14 +50,6 @@ def test_fixture_counts(spark):
     assert gold(spark, SF_GATE).count() == 150
 
 
-def test_rows_only_queries(spark):
-    ids = QUERIES["surrogate_ids"](spark, SF_SMALL)
-    assert ids.count() == ids.select("id").distinct().count() == 1000
-    s = QUERIES["sample_rows"](spark, SF_SMALL)
-    assert s.count() == 5
-    assert sorted(r.id for r in s.collect()) == sorted(r.id for r in QUERIES["sample_rows"](spark, SF_SMALL).collect())
-
-
 def test_every_survey_operator_has_a_registered_query():
     import re
     from barlake import catalog
