@@ -271,7 +271,7 @@ def remove_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFra
     """Rows of ``docs`` whose document is not contaminated, all columns kept."""
     bad = (contamination(spark, docs, benchmark).filter("contaminated")
            .select(F.col("doc_id").alias("_bad_id")).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]), "left_anti")
+    return docs.hint("merge").join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]), "left_anti")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -287,7 +287,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One document of each near-duplicate group, all columns kept."""
     gone = near_duplicates(spark, docs).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return docs.hint("merge").join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

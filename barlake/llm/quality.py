@@ -159,7 +159,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFr
     """Rows of ``docs`` that are not rejected, all columns kept."""
     bad = (score_quality(spark, docs, labels).groupBy(F.col("doc_id").alias("_bad"))
            .agg(F.bool_and("rejected").alias("r")).filter("r").drop("r"))
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]), "left_anti")
+    return docs.hint("merge").join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]), "left_anti")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -198,7 +198,8 @@ def remove_passages(spark: SparkSession, docs: DataFrame) -> DataFrame:
     if there, follows the text.  Documents without a repeated passage are unchanged."""
     spans = (repeated_passages(spark, docs).groupBy(F.col("doc_id").alias("__passage_doc"))
              .agg(F.sort_array(F.collect_set(F.struct("first_word", "n_words"))).alias("__passage_spans")))
-    joined = docs.join(spans, docs["doc_id"].cast("long") == spans["__passage_doc"], "left").drop("__passage_doc")
+    joined = (docs.hint("merge").join(spans, docs["doc_id"].cast("long") == spans["__passage_doc"], "left")
+              .drop("__passage_doc"))
 
     @F.pandas_udf("string")
     def cut(texts, spans):
