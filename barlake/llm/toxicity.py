@@ -1,10 +1,11 @@
 """8. Toxicity by the nearest labelled examples.
 
 Examples are at most SAMPLE labelled documents (the first by a hash of the id).
-Terms are words and their first 3 to 6 letters; the vocabulary keeps terms whose
-presence depends on the label (log-likelihood ratio G2), at most VOCABULARY of
-them, the strongest first.  A document is its TF-IDF vector over the vocabulary,
-counted over its whole text.
+Terms are words and their first 3 to 6 letters; the vocabulary keeps terms that
+depend on the label (log-likelihood ratio G2) and whose documents are toxic for
+the most part, at most VOCABULARY of them, the strongest first; equal texts
+count once for it.  A document is its TF-IDF vector over the vocabulary, counted
+over its whole text.
 
 Neighbours are exact: an inverted index over the examples holds, for each term
 and block of BLOCK examples, the largest weight; the sum of query weight times
@@ -38,6 +39,7 @@ SAMPLE = 20_000
 VOCABULARY = 4096
 LEAST_G2 = 25.0           # a chance of about 6e-7 for a term that says nothing
 LEAST_DOCS = 5
+LEAST_SHARE = 0.8         # of a term's documents are toxic
 BLOCK = 64
 K = 16
 THRESHOLD = 0.3
@@ -216,7 +218,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     p = n_toxic / n_docs
     g2 = 2 * (cell(a, n * p) + cell(n - a, n * (1 - p)) + cell(F.lit(float(n_toxic)) - a, (F.lit(float(n_docs)) - n) * p) +
               cell(F.lit(float(n_docs - n_toxic)) - n + a, (F.lit(float(n_docs)) - n) * (1 - p)))
-    terms = (_term_table(sample).filter(F.col("n") >= LEAST_DOCS).withColumn("g2", F.round(g2, 6))
+    distinct = sample.groupBy(F.xxhash64("text")).agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
+    terms = (_term_table(distinct).filter(F.col("n") >= LEAST_DOCS).filter(F.col("toxic") >= LEAST_SHARE * F.col("n"))
+             .withColumn("g2", F.round(g2, 6))
              .filter(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "term").limit(VOCABULARY).collect())
     vocabulary = {t["term"]: i for i, t in enumerate(terms)}
     idf = np.array([np.log((1 + n_docs) / (1 + t["n"])) + 1 for t in terms])
