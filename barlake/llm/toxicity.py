@@ -205,7 +205,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE))
     sample = staged(spark, docs.select(F.col("doc_id").cast("long"), "text")
                     .join(F.broadcast(known), "doc_id"), "toxic-sample")                    # at most SAMPLE ids
-    n_docs, n_toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    distinct = sample.groupBy(F.xxhash64("text")).agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
+    n_docs, n_toxic = distinct.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     empty = BlockMaxIndex.build([], 0)
     if not n_toxic or n_toxic == n_docs:
         share = n_toxic / n_docs if n_docs else 0.0
@@ -218,7 +219,6 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     p = n_toxic / n_docs
     g2 = 2 * (cell(a, n * p) + cell(n - a, n * (1 - p)) + cell(F.lit(float(n_toxic)) - a, (F.lit(float(n_docs)) - n) * p) +
               cell(F.lit(float(n_docs - n_toxic)) - n + a, (F.lit(float(n_docs)) - n) * (1 - p)))
-    distinct = sample.groupBy(F.xxhash64("text")).agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
     terms = (_term_table(distinct).filter(F.col("n") >= LEAST_DOCS).filter(F.col("toxic") >= LEAST_SHARE * F.col("n"))
              .withColumn("g2", F.round(g2, 6))
              .filter(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "term").limit(VOCABULARY).collect())
