@@ -1,5 +1,7 @@
 """Physical-plan properties that matter at scale."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,18 +27,17 @@ def final_plan(df) -> str:
     return text.split("== Initial Plan ==")[0]
 
 
-def test_silver_scans_bronze_once_and_reuses_the_dedup_shuffle(spark):
-    p = final_plan(silver_plan.build_silver(raw(spark, SF_GATE), updated_at="2024-01-31"))
-    assert "ReusedExchange" in p
-    assert p.count("Scan parquet ") == 1
-    assert "WindowGroupLimit" in plan(silver(spark, SF_GATE), "simple") and "Partial" in plan(silver(spark, SF_GATE), "simple")
+def test_silver_has_partial_dedup_and_hash_aggregates_only(spark):
+    p = plan(silver(spark, SF_GATE), "simple")
+    assert "WindowGroupLimit" in p and "Partial" in p
+    assert "SortAggregate" not in p
 
 
-def test_silver_lag_is_split_by_symbol_and_day(spark):
+def test_silver_lag_is_split_by_symbol_and_hour(spark):
     p = plan(silver(spark, SF_GATE), "simple")
     assert "hashpartitioning(symbol#" in p and "_bucket" in p
-    # the only exchange on `symbol` alone carries the per-slice summary (one row per symbol-day)
-    assert "SortAggregate(key=[symbol" in p
+    # the summaries that go up a level are hash aggregates of the carried columns only
+    assert "partial_max_by(close" in p and "partial_max_by(volume" in p
 
 
 def test_gold_rollup_is_a_partial_hash_aggregate(spark, tmp_path):
@@ -76,7 +77,8 @@ def test_load_reads_only_the_batch_date_range_of_bronze(spark, tmp_path):
     batch = bronze(spark, [{"timestamp": ts(2, days=9), "id": 99}])
     p = plan(writes.insert_if_absent(batch, target), "simple")
     scan = [line for line in p.splitlines() if "FileScan parquet" in line][0]
-    assert "PartitionFilters: [isnotnull(date" in scan and "Subquery" in scan
+    filters = scan[scan.index("PartitionFilters"):]
+    assert "date#" in filters and str(ts(2, days=9).date()) in filters
     assert writes.insert_if_absent(batch, target).count() == 1
 
 
@@ -89,13 +91,34 @@ def test_incremental_silver_prunes_bronze_partitions(spark, tmp_path):
     assert all("PartitionFilters: [isnotnull(date" in s_ and "2024-01-25" in s_ for s_ in scans)
 
 
-def test_merge_reads_only_the_increments_date_range(spark, tmp_path):
+def _folders(path: str) -> dict[str, set]:
+    return {d: set(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if "=" in d}
+
+
+def test_one_late_bar_rewrites_only_its_days(spark, tmp_path):
+    from bars_data import bronze, ts
     from barlake.plans import jobs
-    path = str(tmp_path / "silver")
-    s = silver(spark, SF_SMALL).withColumn("date", F.to_date("timestamp"))
-    writes.write_layer(s, path)
-    new = s.filter(F.col("date") >= F.lit("2024-01-29").cast("date"))
-    kept = (jobs._within_partition_range(spark.read.parquet(path), new, "date"))
-    scan = [line for line in plan(kept, "simple").splitlines() if "FileScan parquet" in line][0]
-    assert "PartitionFilters: [isnotnull(date" in scan and "Subquery" in scan
-    assert "dynamicpruningexpression(true)" not in scan
+    path, state = str(tmp_path / "silver"), str(tmp_path / "state")
+    rows = bronze(spark, [{"timestamp": ts(3, days=d), "close": 10.0 + d / 10, "id": d + 1} for d in range(12)])
+    jobs.refresh_silver(spark, rows, path, mode="full", state_path=state)
+    before, days = _folders(path), _folders(state + "/days")
+    late = bronze(spark, [{"timestamp": ts(1, days=4), "id": 99, "close": 10.2}])
+    slices = jobs.refresh_silver(spark, rows.unionByName(late), path, state_path=state, changed=late)
+    touched = {f"date={ts(0, days=d).date()}" for d in (4, 5)}          # the bar's day and the symbol's next one
+    assert {f"date={r.day}" for r in slices.collect()} == touched
+    assert {d for d, files in _folders(path).items() if before.get(d) != files} == touched
+    assert {d for d, files in _folders(state + "/days").items() if days.get(d) != files} == {f"day={ts(0, days=4).date()}"}
+
+
+def test_carry_merges_only_the_marks_day(spark, tmp_path):
+    from bars_data import bronze, ts
+    from barlake.plans import jobs
+    path, state = str(tmp_path / "silver"), str(tmp_path / "state")
+    rows = bronze(spark, [{"timestamp": ts(3, days=d), "close": 10.0 + d / 10, "id": d + 1} for d in range(6)])
+    jobs.refresh_silver(spark, rows, path, mode="full", state_path=state)
+    before = _folders(path)
+    more = bronze(spark, [{"timestamp": ts(5, days=5), "id": 50, "close": 10.6}, {"timestamp": ts(1, days=6), "id": 51, "close": 10.7}])
+    jobs.refresh_silver(spark, rows.unionByName(more), path, mode="carry", state_path=state)
+    changed = {d for d, files in _folders(path).items() if before.get(d) != files}
+    assert changed == {f"date={ts(0, days=d).date()}" for d in (5, 6)}
+    assert spark.read.parquet(path).count() == 8
