@@ -221,3 +221,59 @@ def test_command_line_refresh_after_a_second_load(spark, tmp_path, capsys):
     want = gold_plan.build_gold(silver_plan.build_silver(r)).drop("updated_at")
     got = spark.read.parquet(root + "/gold").drop("updated_at").select(*want.columns)
     assert got.count() == want.count() == 148 and got.exceptAll(want).count() == 0
+
+
+def test_broken_lines_and_wrong_types_go_to_quarantine(spark, tmp_path):
+    from barlake.plans import ingest
+    land, out = tmp_path / "landing", str(tmp_path / "bronze")
+    land.mkdir()
+    good = '{"Date":"2024-01-01T00:00:00Z","Open":1.0,"High":2.0,"Low":0.5,"Close":1.5,"Volume":3.0,"symbol":"%s"}'
+    lines = [good % f"S{i}" for i in range(6)] + ['{"Date":"2024-01-02T0', good.replace("1.0", '"abc"', 1) % "S1",
+                                                 good.replace("2024-01-01", "2024-01-03").replace("1.5", "1e13") % "S2"]
+    (land / "a.json").write_text("\n".join(lines))
+    bars_ = landing.read_bars(spark, str(land), "json")
+    report = ingest.ingest_live(spark, bars_, out, "2024-01-04 00:00:00")
+    s = report["stats"].first()
+    assert (s.inserted, s.duplicates, s.failed, s.total) == (6, 0, 3, 9)
+    bad = spark.read.parquet(out + "_quarantine").collect()
+    assert sorted(r.reason for r in bad) == ["close overflows decimal(20,8)", "corrupt record", "corrupt record"]
+    assert {r.corrupt_record for r in bad if r.reason == "corrupt record"} == {lines[6], lines[7]}
+    again = ingest.ingest_live(spark, bars_, out, "2024-01-04 01:00:00")["stats"].first()
+    assert (again.inserted, again.duplicates, again.failed) == (0, 6, 3)
+    assert spark.read.parquet(out).select("id").distinct().count() == 6
+
+
+@pytest.mark.parametrize("fail_at", [2, 5, 8, 10])
+def test_silver_stream_survives_a_failure_between_two_writes(spark, tmp_path, monkeypatch, fail_at):
+    from pyspark.sql.readwriter import DataFrameWriter
+    land = str(tmp_path / "landing")
+    p = {k: str(tmp_path / k) for k in ("silver", "state", "late", "ckpt", "feed")}
+
+    def run():
+        run_silver_stream(spark, land, BRONZE_SCHEMA, p["silver"], p["state"], p["late"], p["ckpt"], updated_at=AS_OF,
+                          feed_path=p["feed"])
+
+    first = bronze(spark, [{"timestamp": ts(h), "close": 10.0 + h / 10, "id": h} for h in range(1, 5)])
+    first.write.parquet(land)
+    run()
+    second = bronze(spark, [{"timestamp": ts(2), "id": 50, "close": 11.0}] +
+                    [{"timestamp": ts(h), "close": 10.0 + h / 10, "id": h} for h in (5, 6, 30)])
+    second.write.mode("append").parquet(land)
+    write, calls = DataFrameWriter.parquet, []
+
+    def failing(self, *args, **kwargs):
+        calls.append(1)
+        if len(calls) == fail_at:
+            raise RuntimeError("lost")
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", failing)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    run()
+    rows = sorted((r.timestamp, r.close, r.simple_return_pct) for r in spark.read.parquet(p["silver"]).collect())
+    every = first.unionByName(second.filter("id <> 50"))
+    assert rows == sorted((r.timestamp, r.close, r.simple_return_pct)
+                          for r in silver_plan.build_silver(every, updated_at=AS_OF).collect())
+    assert [r.id for r in spark.read.parquet(p["late"]).collect()] == [50]
+    assert sorted(r.timestamp for r in spark.read.parquet(p["feed"]).collect()) == [r[0] for r in rows]
