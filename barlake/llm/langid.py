@@ -207,10 +207,12 @@ def predict(docs: DataFrame, net: dict[str, np.ndarray], langs: list[str]) -> Da
 def fit(docs: DataFrame) -> tuple[dict[str, np.ndarray], list[str]]:
     """Train on one piece of each sampled document, from anywhere in its text."""
     size = F.greatest(F.length("text") - PIECE, F.lit(0)) + 1
+    # only rows whose hash can be among the first SAMPLE are sorted, so no task sends many to the driver
+    highest = min(2**63 - 1, int(-2**63 + 2**64 * 4 * SAMPLE / max(1, docs.count())))
     pieces = (docs.filter("text is not null and lang is not null and doc_id is not null").filter(~held_out())
               .select("lang", F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit("at")), size) + 1).cast("int"), F.lit(PIECE))
                       .alias("piece"), F.xxhash64("doc_id").alias("order"), "doc_id")
-              .orderBy("order", "doc_id").limit(SAMPLE).select("lang", "piece").collect())
+              .filter(F.col("order") <= F.lit(highest)).orderBy("order", "doc_id").limit(SAMPLE).select("lang", "piece").collect())
     langs = sorted({p[0] for p in pieces})
     if not langs:
         return init_net(1, np.random.default_rng(0)), []
