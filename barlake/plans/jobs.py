@@ -127,9 +127,7 @@ SLICE_ROWS = 20_000        # rows of a (symbol, day) from which its LAG is split
 
 def _summary(spark: SparkSession, valid: DataFrame, lag_slices) -> tuple[DataFrame, tuple]:
     """The day summary of staged validated rows, staged, and the LAG slices."""
-    days = _staged(spark, silver_plan.day_summary(valid).join(
-        valid.groupBy("symbol", F.to_date("timestamp").alias("day")).agg(F.count("*").alias("n")), ["symbol", "day"]),
-        "silver-days")
+    days = _staged(spark, silver_plan.day_summary(valid, counted=True), "silver-days")
     if lag_slices is None:
         most = days.agg(F.max("n")).first()[0] or 0
         lag_slices = silver_plan.LAG_SLICES if most > SLICE_ROWS else ("day",)
@@ -162,7 +160,7 @@ def _carry(spark, bronze, silver_path, state, updated_at, lag_slices, changed):
     """Rows after the mark.  They are later than every stored row, so only the
     mark's own day is merged; other days are written as they are.  Writing them
     again (a retry) replaces the same rows."""
-    last = _staged(spark, writes.read_if_exists(spark, f"{state}/last"), "silver-last")     # `last` is replaced below
+    last = writes.read_if_exists(spark, f"{state}/last")        # replaced at the end, from a staged copy
     mark = last.agg(F.max("timestamp")).first()[0]
     if changed is not None:
         late = changed.filter(F.col("timestamp") <= F.lit(mark))

@@ -122,16 +122,18 @@ def build_silver(bronze: DataFrame, updated_at: datetime | str | None = None,
 
 
 def _last_by(rows: DataFrame, keys: list, order: str = "timestamp") -> DataFrame:
-    """The latest (timestamp, close, volume) per key: one hash aggregate."""
+    """The latest (timestamp, close, volume) per key and the rows' number `n`: one hash aggregate."""
     return rows.groupBy(*keys).agg(F.max_by("timestamp", order).alias("_t"), F.max_by("close", order).alias("close"),
-                                   F.max_by("volume", order).alias("volume")).withColumnRenamed("_t", "timestamp")
+                                   F.max_by("volume", order).alias("volume"),
+                                   F.count("*").alias("n")).withColumnRenamed("_t", "timestamp")
 
 
-def day_summary(valid: DataFrame) -> DataFrame:
+def day_summary(valid: DataFrame, counted: bool = False) -> DataFrame:
     """Per (symbol, UTC day): the day's last validated row - the seed any
-    later rebuild of the following days needs (one row per symbol-day)."""
+    later rebuild of the following days needs (one row per symbol-day) - and,
+    if `counted`, its number of rows."""
     rows = valid.select("symbol", F.to_date("timestamp").alias("day"), "timestamp", "close", "volume")
-    return _last_by(rows, ["symbol", "day"]).select("symbol", "day", "timestamp", "close", "volume")
+    return _last_by(rows, ["symbol", "day"]).select("symbol", "day", "timestamp", "close", "volume", *(["n"] if counted else []))
 
 
 def seeds_before(days: DataFrame, first_day=None) -> DataFrame:
