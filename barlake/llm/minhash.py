@@ -45,7 +45,7 @@ ROWS, BANDS = 4, 32
 SAMPLES = ROWS * BANDS
 SKETCH_BITS = 512
 SIGMAS = 6
-ROUNDS = 4                # rounds of bucket pivots before the rest is listed
+ROUNDS = 1                # rounds of bucket pivots before the rest is listed
 PENDING = 4               # ... while more pairs are open than PENDING times the band entries
 
 WORD_CACHE = 400_000
