@@ -13,7 +13,7 @@ from barlake.plans import silver as silver_plan
 
 from conftest import SF_GATE, SF_SMALL
 
-STREAMS = {"stream_bronze", "stream_dedup", "stream_silver", "stream_daily_bars", "stream_silver_late",
+STREAMS = {"stream_silver_replay", "stream_bronze", "stream_dedup", "stream_silver", "stream_daily_bars", "stream_silver_late",
            "stream_daily_from_silver_feed"}
 
 
