@@ -99,10 +99,10 @@ def test_odd_sketches_let_similar_pairs_through():
             rest = rng.integers(0, 2**63, 100 - common, np.uint64)
             half = len(rest) // 2
             sets += [np.concatenate([both, rest[:half]]), np.concatenate([both, rest[half:]])]
-        odd = M.odd_sketches(M.signatures(sets))
+        odd = M.odd_sketches(M.signatures(sets)).view(np.uint64)
         bits = np.bitwise_count(odd[::2] ^ odd[1::2]).sum(1)
         assert bits.max() <= M.differing_bits_limit()
-    far = M.odd_sketches(M.signatures([rng.integers(0, 2**63, 100, np.uint64) for _ in range(200)]))
+    far = M.odd_sketches(M.signatures([rng.integers(0, 2**63, 100, np.uint64) for _ in range(200)])).view(np.uint64)
     assert (np.bitwise_count(far[::2] ^ far[1::2]).sum(1) > M.differing_bits_limit()).mean() > 0.95
 
 
