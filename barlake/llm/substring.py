@@ -1,13 +1,21 @@
 """10. Substring dedup by content-defined chunking.
 
-A text is cut into chunks after the words at whose end a gear rolling hash of
-the last 16 bytes falls under a threshold, at least MIN_WORDS words apart, so
-cuts move with the content and an insertion only changes the chunks it touches.
-Chunks are grouped by digest; a document that shares chunks with an earlier
-document (smaller doc_id, the first that has the chunk) is compared with it:
-from each shared chunk the match is extended word by word in both directions,
-and matches of more than PASSAGE_WORDS words are repeated passages.  The first
-document keeps its passage; later ones lose theirs.
+The chunks of a text are runs of CHUNK_WORDS words that end at a content-defined
+cut: in every window of WINDOW words (the shortest passage) the word end with the
+least gear rolling hash of the last 16 bytes, among the ends that leave room for
+a whole chunk.  Every window has a cut, whatever its words, and the cut depends
+on nothing outside it, so two documents that share a window share its chunk.
+
+Windows whose chunk two documents have are candidates; their digests are grouped,
+and a document is compared with the first document (smallest doc_id) of each of
+its windows.  So every window that an earlier document has is found: there is no
+least number of cuts, and the first holder is that of the whole window, not of
+its parts.  From the window the match is extended word by word in both
+directions; matches of more than PASSAGE_WORDS words are repeated passages.  The
+first document keeps its passage; later ones lose theirs.
+
+The shared chunks are told to the tasks as a bitmap of 2**BITMAP_BITS bits; a
+chunk that is in it by chance only adds candidates.
 
 Words are split at ASCII white space and compared byte for byte, so passages
 match across different line breaks.  Defined results: null, empty and short
@@ -19,8 +27,10 @@ columns pass through ``remove_passages`` untouched.
 
 from __future__ import annotations
 
-from collections import OrderedDict, defaultdict
-from collections.abc import Iterator
+from collections import OrderedDict
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -29,16 +39,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm.common import binaries, staged, table
+from barlake.llm.common import binaries, mix64, staged, table
 
 PASSAGE_WORDS = 50        # a repeated passage has more words than this
-MIN_WORDS = 4             # least words of a chunk
-MEAN_WORDS = 6            # a word end is a cut with probability 1 in MEAN_WORDS
-SHARED_WORDS = 8          # least words in shared chunks for two documents to be compared
+WINDOW = PASSAGE_WORDS + 1
+CHUNK_WORDS = 20          # words of a chunk
+CUTS = WINDOW - CHUNK_WORDS + 1   # word ends of a window that can be its cut; a power of two
+BITMAP_BITS = 25
 BLOCK = 8 << 20           # bytes hashed at a time
 
 GEAR = np.random.default_rng(10).integers(0, 2**32, 256, np.uint32)
-CUT = np.uint32(2**32 // MEAN_WORDS)
+RADIX = 0x9E3779B97F4A7C15              # odd, so it has an inverse modulo 2**64
+INVERSE = pow(RADIX, -1, 2**64)
 
 
 def gear_hash(data: bytes) -> np.ndarray:
@@ -63,96 +75,163 @@ def word_hashes_at_ends(norm: bytes, ends: np.ndarray) -> np.ndarray:
     return out
 
 
-def chunk(data: bytes | None) -> tuple[list[bytes], list[int], list[int]]:
-    """Words of a text, first word of each chunk (and the number of words at the
-    end), and the chunks' digests."""
-    words = (data or b"").split()
-    if not words:
-        return words, [0], []
-    norm = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    cuts = [0]
-    last = 0
-    for w in np.flatnonzero(word_hashes_at_ends(norm, ends) < CUT).tolist():
-        if w + 1 - last >= MIN_WORDS:
-            last = w + 1
-            cuts.append(last)
-    if last < len(words):
-        cuts.append(len(words))
-    begin = [0, *(ends[np.array(cuts[1:]) - 1] + 1).tolist()]
-    digests = [xxhash.xxh3_64_intdigest(norm[a:b - 1]) - 2**63 for a, b in zip(begin, begin[1:])]
-    return words, cuts, digests
-
-
-def chunk_table(docs: DataFrame) -> DataFrame:
-    """(digest, doc_id, words): one row per chunk of at least MIN_WORDS words."""
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+@dataclass
+class Words:
+    """A text's words as hashes, with rolling digests of any run of them."""
+
+    hashes: np.ndarray
+    sums: np.ndarray      # sums[i]: words before i, each times RADIX to its place
+    shift: np.ndarray     # inverse powers of RADIX
+    gear: np.ndarray      # gear hash at each word's end
+
+    @classmethod
+    def of(cls, data: bytes | None) -> Words:
+        words = (data or b"").split()
+        n = len(words)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(hashes * _powers(RADIX, n), out=sums[1:])
+        if n < WINDOW:
+            return cls(hashes, sums, _powers(INVERSE, n + 1), np.empty(0, np.uint32))
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
+        return cls(hashes, sums, _powers(INVERSE, n + 1), word_hashes_at_ends(b" ".join(words), ends))
+
+    def runs(self, n: int) -> np.ndarray:
+        """Digests of all runs of n words."""
+        return mix64((self.sums[n:] - self.sums[:-n]) * self.shift[:len(self.sums) - n])
+
+    def chunks(self) -> np.ndarray:
+        """The digest of each window's chunk."""
+        key = self.gear[CHUNK_WORDS - 1:].astype(np.uint64) << np.uint64(32) | self.runs(CHUNK_WORDS) >> np.uint64(32)
+        step = 1
+        while step < CUTS:
+            key = np.minimum(key[:-step], key[step:])
+            step *= 2
+        return mix64(key)
+
+    @cached_property
+    def windows(self) -> np.ndarray:
+        return self.runs(WINDOW) if len(self.hashes) >= WINDOW else np.empty(0, np.uint64)
+
+    @cached_property
+    def ordered(self) -> tuple[np.ndarray, np.ndarray]:
+        """Window digests in order, and their places."""
+        places = np.argsort(self.windows, kind="stable")
+        return self.windows[places], places
+
+
+def _digests(docs: DataFrame, of: Callable[[Words], np.ndarray]) -> DataFrame:
+    """(digest, doc_id): the distinct digests that ``of`` makes of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made():
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(digests).view(np.int64)),
+                                               pa.array(np.repeat(np.array(ids, np.int64), list(map(len, digests))))],
+                                              names=["digest", "doc_id"])
+
         for batch in batches:
-            digest, doc, words = [], [], []
+            digests, ids, n = [], [], 0
             for doc_id, data in zip(batch.column(0).to_pylist(), binaries(batch.column(1))):
-                _, cuts, digests = chunk(data)
-                for a, b, d in zip(cuts, cuts[1:], digests):
-                    if b - a >= MIN_WORDS:
-                        digest.append(d)
-                        doc.append(doc_id)
-                        words.append(b - a)
-                if len(digest) >= 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (digest, doc, words)],
-                                                     names=["digest", "doc_id", "words"])
-                    digest, doc, words = [], [], []
-            if digest:
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (digest, doc, words)],
-                                                 names=["digest", "doc_id", "words"])
+                words = Words.of(data)
+                if len(words.hashes) >= WINDOW:
+                    digests.append(np.unique(of(words)))
+                    ids.append(doc_id)
+                    n += len(digests[-1])
+                if n >= 200_000:
+                    yield made()
+                    digests, ids, n = [], [], 0
+            if n:
+                yield made()
 
     return (docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
-            .mapInArrow(run, "digest long, doc_id long, words long"))
+            .mapInArrow(run, "digest long, doc_id long"))
+
+
+def _shared(digests: DataFrame) -> DataFrame:
+    """(digest, source_id) of the digests that several documents have."""
+    return (digests.groupBy("digest").agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
+            .filter("source_id < last").drop("last"))
+
+
+def shared_chunks(docs: DataFrame) -> np.ndarray:
+    """Bitmap, by the low bits of the digest, of the chunks that several documents have."""
+    bit = F.col("digest").bitwiseAND(2**BITMAP_BITS - 1)
+    parts = (_shared(_digests(docs, Words.chunks)).select(F.shiftright(bit, 15).alias("part"), bit.bitwiseAND(2**15 - 1).alias("bit"))
+             .groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())     # at most 2**(BITMAP_BITS - 15) rows
+    out = np.zeros((2**(BITMAP_BITS - 15), 2**12), np.uint8)
+    for part, bits in parts:
+        out[part] = np.frombuffer(bits, np.uint8)
+    return out.reshape(-1)
+
+
+def candidate_windows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(digest, doc_id): the windows whose chunk several documents have."""
+    shared = spark.sparkContext.broadcast(shared_chunks(docs))
+
+    def candidates(words: Words) -> np.ndarray:
+        at = words.chunks() & np.uint64(2**BITMAP_BITS - 1)
+        return words.windows[(shared.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
 
+    return _digests(docs, candidates)
 
-def common_passages(left: tuple, right: tuple) -> list[tuple[int, int]]:
+
+def _reach(left: Words, a: int, right: Words, places: np.ndarray) -> tuple[int, int]:
+    """The place in ``right`` from which the most words equal those of ``left``
+    from ``a`` on, and their number."""
+
+    def equal(at: int) -> int:
+        n = min(len(left.hashes) - a, len(right.hashes) - at)
+        differ = left.hashes[a:a + n] != right.hashes[at:at + n]
+        return int(differ.argmax()) if differ.any() else n
+
+    if len(places) == 1:
+        return int(places[0]), equal(int(places[0]))
+    low, high = np.zeros(len(places), np.int64), np.minimum(len(left.hashes) - a, len(right.hashes) - places)
+    while (low < high).any():
+        mid = (low + high + 1) // 2
+        same = ((left.sums[a + mid] - left.sums[a]) * left.shift[a] ==
+                (right.sums[places + mid] - right.sums[places]) * right.shift[places])
+        low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
+    best = int(low.argmax())
+    at, n = int(places[best]), equal(int(places[best]))
+    if n < low[best]:                                   # digests met by chance
+        at, n = max(((p, equal(p)) for p in places.tolist()), key=lambda x: x[1])
+    return at, n
+
+
+def common_passages(left: Words, right: Words) -> list[tuple[int, int]]:
     """Word ranges of ``left`` of more than PASSAGE_WORDS words that also occur
-    in ``right``, grown from shared chunks; both are (word hashes, cuts, digests)."""
-    words, cuts, digests = left
-    others, other_cuts, other_digests = right
-    places = defaultdict(list)
-    for at, d in zip(other_cuts, other_digests):
-        places[d].append(at)
+    in ``right``, grown from shared windows; they cover every shared window."""
+    digests, places = right.ordered
+    low = np.searchsorted(digests, left.windows, "left")
+    high = np.searchsorted(digests, left.windows, "right")
     spans: list[tuple[int, int]] = []
     done = 0
-    for a, b, d in zip(cuts, cuts[1:], digests):
-        if b <= done or d not in places:
+    for a in np.flatnonzero(low < high).tolist():
+        if a + WINDOW <= done:
+            continue
+        at, n = _reach(left, a, right, places[low[a]:high[a]])
+        if n < WINDOW:
             continue
-        best = (0, 0)
-        for at in places[d]:
-            n = min(len(words) - a, len(others) - at)
-            differ = words[a:a + n] != others[at:at + n]
-            right_len = int(differ.argmax()) if differ.any() else n
-            n = min(a, at)
-            differ = (words[a - n:a] != others[at - n:at])[::-1]
-            left_len = int(differ.argmax()) if differ.any() else n
-            if right_len and left_len + right_len > best[1] - best[0]:
-                best = (a - left_len, a + right_len)
-        if best[1] - best[0] > PASSAGE_WORDS:
-            spans.append(best)
-        done = max(done, best[1])
+        m = min(a, at)
+        differ = (left.hashes[a - m:a] != right.hashes[at - m:at])[::-1]
+        spans.append((a - (int(differ.argmax()) if differ.any() else m), a + n))
+        done = a + n
     return spans
 
 
-def _hashed(data: bytes | None) -> tuple:
-    words, cuts, digests = chunk(data)
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), cuts, digests
-
-
 def repeated_passages(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, source_id, first_word, n_words, passage): every passage of a
     document that an earlier document also has; ``passage`` is its digest."""
-    chunks = chunk_table(docs)
-    first = (chunks.groupBy("digest").agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
-             .filter("source_id < last").drop("last"))
-    first = staged(spark, first, "chunk-sources")         # a table: the join can then split a digest with very many rows
-    pairs = (chunks.join(first, "digest").filter("doc_id > source_id")
-             .groupBy("doc_id", "source_id").agg(F.sum("words").alias("words"))
-             .filter(F.col("words") >= SHARED_WORDS).select("doc_id", "source_id"))
+    windows = staged(spark, candidate_windows(spark, docs), "chunk-windows")
+    first = staged(spark, _shared(windows), "chunk-sources")  # a table: the join can then split a digest with very many rows
+    pairs = windows.join(first, "digest").filter("doc_id > source_id").select("doc_id", "source_id").distinct()
     pairs = staged(spark, pairs, "chunk-pairs")
     # both joins read one exchange of the texts; merge joins at every size
     texts = docs.select(F.col("doc_id").cast("long"), "text")
@@ -166,12 +245,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame) -> DataFrame:
             for doc_id, source_id, text, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                                        binaries(batch.column(2)), binaries(batch.column(3))):
                 if source_id not in recent or recent[source_id][0] != source:
-                    recent[source_id] = (source, _hashed(source))
+                    recent[source_id] = (source, Words.of(source))
                     if len(recent) > 16:
                         recent.popitem(last=False)
-                left = _hashed(text)
+                left = Words.of(text)
                 for a, b in common_passages(left, recent[source_id][1]):
-                    out.append((doc_id, source_id, a, b - a, xxhash.xxh3_128_hexdigest(left[0][a:b].tobytes())))
+                    out.append((doc_id, source_id, a, b - a, xxhash.xxh3_128_hexdigest(left.hashes[a:b].tobytes())))
             cols = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.string())],

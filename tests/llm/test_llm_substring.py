@@ -78,3 +78,15 @@ def test_hash_blocks_agree(monkeypatch):
     for b in data[:16]:
         h = (h * 2 + int(S.GEAR[b])) % 2**32
     assert h == int(S.gear_hash(data)[15])
+
+
+def test_passage_whose_parts_come_from_other_documents(spark):
+    """The first holder of the whole passage is found, not those of its parts."""
+    p = words(50, 80).split()
+    docs = [(1, words(51, 30) + " " + " ".join(p[:40])), (2, " ".join(p[40:]) + " " + words(52, 30))]
+    docs += [(3 + i, words(60 + i, 20) + " " + " ".join(p[i:i + 50]) + " " + words(90 + i, 20)) for i in range(0, 31, 5)]
+    docs += [(100, words(53, 25) + " " + " ".join(p) + " " + words(54, 25)), (200, " ".join(p[:70]) + " " + words(55, 25)),
+             (201, words(56, 9) + " " + " ".join(p[9:60]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.source_id, r.first_word, r.n_words) for r in S.repeated_passages(spark, df).collect()}
+    assert got == {(200, 100, 0, 70), (201, 100, 9, 51)}
