@@ -90,3 +90,35 @@ def test_passage_whose_parts_come_from_other_documents(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {(r.doc_id, r.source_id, r.first_word, r.n_words) for r in S.repeated_passages(spark, df).collect()}
     assert got == {(200, 100, 0, 70), (201, 100, 9, 51)}
+
+
+def test_every_passage_of_51_words_and_repeated_lines(spark):
+    """Full recall however few distinct word ends a passage has."""
+    docs, want = [], set()
+    for k in range(300):                                       # prose of exactly 51 words
+        p = words(10_000 + k, 51)
+        docs += [(2 * k, words(20_000 + k, 7) + " " + p + " " + words(30_000 + k, 7)), (2 * k + 1, words(40_000 + k, 5) + "\n" + p)]
+        want.add(2 * k + 1)
+    for k in range(60):                                        # one line of 1 to 10 words over and over
+        line = words(50_000 + k, 1 + k % 10).split()
+        p = " ".join((line * 60)[:51 + k])
+        docs += [(1000 + 2 * k, words(60_000 + k, 12) + " " + p + " " + words(70_000 + k, 3)), (1001 + 2 * k, p + " " + words(80_000 + k, 20))]
+        want.add(1001 + 2 * k)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id for r in S.repeated_passages(spark, df).collect()}
+    assert got == want == flagged(docs)
+
+
+def test_matches_in_repetitive_texts_are_exact():
+    rng = random.Random(11)
+    for _ in range(300):
+        a, b = ([rng.choice("ab").encode() * rng.randint(1, 2) for _ in range(rng.randint(40, 90))] * rng.randint(1, 3) for _ in range(2))
+        p = [rng.choice([b"x", b"y"])] * rng.randint(40, 130)
+        i, j = rng.randint(0, len(a)), rng.randint(0, len(b))
+        a, b = a[:i] + p + a[i:], b[:j] + p[rng.randint(0, 9):] + b[j:]
+        runs = {tuple(b[k:k + 51]) for k in range(len(b) - 50)}
+        covered = {w for k in range(len(a) - 50) if tuple(a[k:k + 51]) in runs for w in range(k, k + 51)}
+        spans = S.common_passages(S.Words.of(b" ".join(a)), S.Words.of(b" ".join(b)))
+        assert {w for x, y in spans for w in range(x, y)} == covered
+        text = b" " + b" ".join(b) + b" "
+        assert all(b" " + b" ".join(a[x:y]) + b" " in text for x, y in spans)
