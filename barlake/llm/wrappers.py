@@ -1,4 +1,4 @@
-"""9. HTML extraction by union-free wrappers, one per host.
+"""9. HTML extraction by union-free wrappers, one per host and kind of page.
 
 A page is a stream of tags and texts.  Folding replaces adjacent repetitions of
 a group of tags by the group in a repetition (`+`), which gives the page's
@@ -7,16 +7,22 @@ a repeated group of one stream meets a single copy of its content in the other,
 the copy counts as one repetition; repeated groups that begin alike are aligned
 inside; what remains unmatched becomes optional.  The result, a regular
 expression without unions, is the host's wrapper, and its text slots are judged
-once: a slot is main text if it lies in the article (or the main part, or the
-body, where the wrapper has none) and in no menu, header, footer, sidebar,
-notice, advert, form, script, style or reader comment.  A page's texts take the
-judgement of the slots that its shape is aligned with.
+once: a slot is main text if it lies in the article (or the main part; in the
+body for pages that have neither) and in no menu, header, footer, sidebar,
+notice, advert, form, script, style or reader comment.  A text that its
+page's own tags put into the article or outside stays there; others count as in
+the article if the slot that they are aligned with is, so a chance alignment
+never takes a text away.
+
+Pages with text in an article or main part and pages without are two kinds: each
+has its own wrapper, so a host's articles take nothing from its other pages.
 
 Shapes are aligned GROUP at a time and the results again, so a host with very
 many shapes is never one task's work; equal shapes of a host count once.
 
 Defined results: a null, empty or text-free page gives an empty text; a null or
-odd url has the host ''; rows that share a page_id are extracted one by one;
+odd url has the host '', whose pages have nothing in common and are each their
+own wrapper; rows that share a page_id are extracted one by one;
 unclosed and stray tags are tolerated; extra columns are ignored.
 """
 
@@ -238,10 +244,9 @@ def _slots(items: list) -> int:
 
 
 def roles(wrapper: list, shape: list) -> list[bool]:
-    """Whether each text slot of a shape is main text, by the wrapper's slots it
-    is aligned with; slots that meet none are judged by their own place."""
+    """Whether each text slot of a shape is main text, by its own place and the
+    wrapper's slots it is aligned with."""
     judged = judge(wrapper)
-    inside = any(v for v in judged)
     own = judge(shape)
     taken: list[bool | None] = list(own)
     a, b = _plain(wrapper), shape
@@ -255,7 +260,8 @@ def roles(wrapper: list, shape: list) -> list[bool]:
     for i, j, n in match.get_matching_blocks():
         for k in range(n):
             taken[at_b[j + k]:at_b[j + k + 1]] = judged[at_a[i + k]:at_a[i + k + 1]]
-    return [bool(v) if inside else v is not False for v in taken]
+    inside = any(own)
+    return [o if o is not None else bool(v) or not inside for o, v in zip(own, taken)]
 
 
 def main_text(html: str, main: list[bool] | None) -> str:
@@ -272,55 +278,62 @@ def main_text(html: str, main: list[bool] | None) -> str:
     return "\n".join(x for x in lines if x)
 
 
-def _shape(html: str | None) -> tuple[str, str]:
-    shape = json.dumps(fold(tokens(html or "")[0])[0])
-    return shape, xxhash.xxh3_128_hexdigest(shape)
+def _shape(html: str | None) -> tuple[str, str, bool]:
+    items = fold(tokens(html or "")[0])[0]
+    shape = json.dumps(items)
+    return shape, xxhash.xxh3_128_hexdigest(shape), any(judge(items))
 
 
 def shapes(pages: DataFrame) -> DataFrame:
-    """(page_id, url, html, host, digest, shape) of every page."""
+    """(host, digest, shape, article) of every page; ``article``: it has text in
+    an article or main part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [_shape(x.as_py()) for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([
                 pa.array([host_of(u.as_py()) for u in batch.column(1)], pa.string()),
-                pa.array([d for _, d in made], pa.string()), pa.array([s for s, _ in made], pa.string())],
-                names=["host", "digest", "shape"])
+                pa.array([m[1] for m in made], pa.string()), pa.array([m[0] for m in made], pa.string()),
+                pa.array([m[2] for m in made], pa.bool_())],
+                names=["host", "digest", "shape", "article"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "host string, digest string, shape string")
+    return pages.select("page_id", "url", "html").mapInArrow(run, "host string, digest string, shape string, article boolean")
 
 
 def infer(spark: SparkSession, found: DataFrame) -> DataFrame:
-    """(host, wrapper): the shapes (host, shape) of each host aligned into one."""
+    """(host, article, wrapper): the shapes (host, article, shape) of each host
+    and kind of page aligned into one."""
 
     def run(key, table):
         ordered = sorted(table["shape"].to_pylist(), key=lambda s: (-len(s), s))
         wrapper = json.loads(ordered[0])
         for s in ordered[1:]:
             wrapper = align(wrapper, json.loads(s))
-        return pa.table({"host": [key[0].as_py()], "shape": [json.dumps(wrapper)]})
+        return pa.table({"host": [key[0].as_py()], "article": [key[1].as_py()], "shape": [json.dumps(wrapper)]})
 
-    current = found.select("host", "shape")
+    kind = ["host", "article"]
+    current = found.select(*kind, "shape")
     while True:
-        sizes = current.groupBy("host").agg(F.count("*").alias("n"))
-        grouped = (current.join(sizes, "host")
+        sizes = current.groupBy(*kind).agg(F.count("*").alias("n"))
+        grouped = (current.join(sizes, kind)
                    .withColumn("part", F.pmod(F.xxhash64("shape"), F.ceil(F.col("n") / GROUP))))
-        current = staged(spark, grouped.groupBy("host", "part").applyInArrow(run, "host string, shape string"), "wrappers")
-        if not current.groupBy("host").count().filter("count > 1").head(1):
+        current = staged(spark, grouped.groupBy(*kind, "part").applyInArrow(run, "host string, article boolean, shape string"),
+                         "wrappers")
+        if not current.groupBy(*kind).count().filter("count > 1").head(1):
             return current.withColumnRenamed("shape", "wrapper")
 
 
 def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    found = staged(spark, shapes(pages).groupBy("host", "digest").agg(F.min("shape").alias("shape")), "page-shapes")
+    found = staged(spark, shapes(pages).filter("host <> ''").groupBy("host", "digest", "article")
+                   .agg(F.min("shape").alias("shape")), "page-shapes")
 
     @F.pandas_udf("array<boolean>")
     def judged(wrapper, shape):
         import pandas as pd
         return pd.Series([roles(json.loads(w), json.loads(s)) for w, s in zip(wrapper, shape)], dtype=object)
 
-    known = staged(spark, found.join(infer(spark, found), "host").select("host", "digest", judged("wrapper", "shape").alias("main")),
+    known = staged(spark, found.join(infer(spark, found), ["host", "article"]).select("host", "digest", judged("wrapper", "shape").alias("main")),
                    "page-roles")
     few = known.count() <= SHAPES_BROADCAST
 

@@ -152,6 +152,19 @@ def test_page_parts(spark):
     assert W.extract(spark, df.limit(0)).count() == 0
 
 
+def test_hosts_with_two_kinds_of_pages(spark):
+    """A page without <article> keeps its text whatever the host's other pages have."""
+    article = "<html><body><nav><a>Menu</a></nav><div><p>x</p></div><article><h1>T</h1><p>one</p><p>two</p></article><footer>F</footer></body></html>"
+    plain = "<html><body><nav><a>Menu</a></nav><div><h2>List</h2><p>first</p><p>second<br>line</p><div>third</div></div><footer>F</footer></body></html>"
+    old = "<body><table><tr><td>old <b>text</b></td></tr></table><p>end</p></body>"
+    urls = ["http://mixed.example/{}", None, "/relative/{}", "odd"]
+    made = [(u and u.format(k), html) for u in urls for k, html in enumerate([article, plain, old])]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(made)], "page_id long, url string, html string")
+    want = ["T\none\ntwo", "List\nfirst\nsecond line\nthird", "old text\nend"]
+    got = {r.page_id: r.text for r in W.extract(spark, df).collect()}
+    assert [got[i] for i in range(len(made))] == want * len(urls)
+
+
 def test_alignment_makes_optional_and_repeated_groups():
     a = W.fold("article h1 # /h1 p # /p p # /p /article".split())[0]
     b = W.fold("article h1 # /h1 p # /p /article".split())[0]
