@@ -9,7 +9,7 @@ text, in windows that overlap by CONTEXT bytes on both sides.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter;
 rows without lang or doc_id teach nothing; with no teaching rows every text is
-``und``; rows that share a doc_id are predicted one by one.  Extra columns and
+``und``; rows that share a doc_id teach once and are predicted one by one.  Extra columns and
 the columns source and lang are no inputs of a prediction.
 """
 
@@ -207,12 +207,19 @@ def predict(docs: DataFrame, net: dict[str, np.ndarray], langs: list[str]) -> Da
 def fit(docs: DataFrame) -> tuple[dict[str, np.ndarray], list[str]]:
     """Train on one piece of each sampled document, from anywhere in its text."""
     size = F.greatest(F.length("text") - PIECE, F.lit(0)) + 1
-    # only rows whose hash can be among the first SAMPLE are sorted, so no task sends many to the driver
-    highest = min(2**63 - 1, int(-2**63 + 2**64 * 4 * SAMPLE / max(1, docs.count())))
-    pieces = (docs.filter("text is not null and lang is not null and doc_id is not null").filter(~held_out())
+    usable = (docs.filter("text is not null and lang is not null and doc_id is not null").filter(~held_out())
               .select("lang", F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit("at")), size) + 1).cast("int"), F.lit(PIECE))
-                      .alias("piece"), F.xxhash64("doc_id").alias("order"), "doc_id")
-              .filter(F.col("order") <= F.lit(highest)).orderBy("order", "doc_id").limit(SAMPLE).select("lang", "piece").collect())
+                      .alias("piece"), F.xxhash64("doc_id").alias("order"), "doc_id"))
+    # only rows whose hash can be among the first SAMPLE are sorted, so no task sends many to the driver
+    share = 4 * SAMPLE / max(1, usable.agg(F.approx_count_distinct("doc_id")).first()[0])
+    while True:
+        highest = min(2**63 - 1, int(-2**63 + 2**64 * share))
+        pieces = (usable.filter(F.col("order") <= F.lit(highest)).groupBy("order", "doc_id")
+                  .agg(F.min(F.struct("lang", "piece")).alias("first")).orderBy("order", "doc_id").limit(SAMPLE)
+                  .select("first.*").collect())
+        if len(pieces) == SAMPLE or share >= 1:
+            break
+        share *= 4
     langs = sorted({p[0] for p in pieces})
     if not langs:
         return init_net(1, np.random.default_rng(0)), []

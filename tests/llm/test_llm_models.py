@@ -78,6 +78,23 @@ def test_language_accuracy(spark):
     assert out.filter("score < 0 or score > 1 or score is null").count() == 0
 
 
+def test_language_sample_is_full_with_few_labels(spark, monkeypatch):
+    """The sample is taken from the labelled rows, however many others there are."""
+    monkeypatch.setattr(L, "SAMPLE", 60)
+    seen = []
+    monkeypatch.setattr(L, "train", lambda pieces, labels, classes: seen.append(pieces))
+    docs = (spark.range(40_000).withColumnRenamed("id", "doc_id")
+            .withColumn("text", F.concat(F.lit("text "), F.col("doc_id")))
+            .withColumn("lang", F.when(F.col("doc_id") % 200 == 0, F.when(F.col("doc_id") % 400 == 0, "en").otherwise("de"))))
+    assert L.fit(docs)[1] == ["de", "en"] and len(seen[-1]) == 60
+    few = docs.filter("lang is null or doc_id < 4000")                     # all labelled rows, where they are fewer
+    taught = few.filter("lang is not null and crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2")
+    L.fit(few)
+    assert sorted(seen[-1]) == sorted(r.text.encode() for r in taught.collect())
+    L.fit(docs.unionByName(docs.filter("doc_id % 200 = 0").crossJoin(spark.range(30).select())))   # copies teach once
+    assert len(seen[-1]) == len(set(seen[-1])) == 60
+
+
 def test_language_gradients():
     rng = np.random.default_rng(0)
     net = L.init_net(3, rng)
