@@ -928,12 +928,12 @@ def _sparse_loads(spark, d) -> tuple[DataFrame, DataFrame]:
     return r.filter(F.to_date("timestamp") != F.lit(_LATE_TS[:10]).cast("date")), late
 
 
-def _recomputed(spark, d, name: str) -> tuple[str, DataFrame]:
-    """Silver and gold, then the late row, by the default mode."""
+def _recomputed(spark, d, name: str, loads=_sparse_loads) -> tuple[str, DataFrame]:
+    """Silver and gold, then the late rows, by the default mode."""
     from barlake.plans import jobs
     from barlake.session import scratch_path
     root = scratch_path(spark, name)
-    first, late = _sparse_loads(spark, d)
+    first, late = loads(spark, d)
     bronze_path = f"{root}/bronze"
     for i, load in enumerate((first, late)):
         writes.write_layer(load.withColumn("date", F.to_date("timestamp")), bronze_path, mode="append")
@@ -965,6 +965,60 @@ def q_late_report(spark, d):
     return spark.read.parquet(p["state"] + "/late")
 
 
+# the same over all rows: each event is the only bar of its symbol and day, symbols
+# grow with the table over 60 days, and every symbol has a late row
+_SPREAD_LATE_TS = "2024-01-21 00:00:00"
+_SPREAD = f"""spread AS (
+  SELECT * REPLACE (TIMESTAMP '2024-01-01 00:00:00' + CAST(id % 60 AS INTEGER) * INTERVAL '1 day' AS "timestamp",
+                    replace(symbol, '-USD', '') || CAST(id // 60 AS VARCHAR) || '-USD' AS symbol)
+  FROM raw
+), late AS (
+  SELECT * REPLACE (TIMESTAMP '{_SPREAD_LATE_TS}' AS "timestamp", close / 1000 AS close, open / 1000 AS open,
+                    TIMESTAMP '{AS_OF}' AS ingestion_timestamp, -id AS id)
+  FROM (SELECT * FROM spread WHERE close > 0 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY id) = 1)
+), both_loads AS (
+  SELECT * FROM spread WHERE "timestamp" <> TIMESTAMP '{_SPREAD_LATE_TS}'
+  UNION ALL SELECT * FROM late
+)"""
+
+
+def _spread_loads(spark, d) -> tuple[DataFrame, DataFrame]:
+    r = raw(spark, d).withColumns({
+        "timestamp": F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 60 as int))"),
+        "symbol": F.expr("concat(replace(symbol, '-USD', ''), id div 60, '-USD')")})
+    late = (r.filter("close > 0").groupBy("symbol").agg(F.min_by(F.struct(*r.columns), "id").alias("r")).select("r.*")
+            .withColumns({"timestamp": F.lit(_SPREAD_LATE_TS).cast("timestamp"), "close": F.col("close") / 1000,
+                          "open": F.col("open") / 1000, "id": -F.col("id"),
+                          "ingestion_timestamp": F.lit(AS_OF).cast("timestamp")}))
+    return r.filter(F.col("timestamp") != F.lit(_SPREAD_LATE_TS).cast("timestamp")), late
+
+
+_SPREAD_PARTS = [oracle.RAW, _SPREAD, *oracle.silver_ctes("b_", "both_loads"), *oracle.gold_ctes("b_", "b_silver")]
+
+
+@register("silver_recompute_late_symbols", "R04 C03 (late rows of every symbol)", oracle.with_ctes(_SPREAD_PARTS, _cmp_sql("b_silver")))
+def q_late_symbols_silver(spark, d):
+    root = _recomputed(spark, d, "late-symbols-silver", _spread_loads)[0]
+    return silver_cmp(spark.read.parquet(root + "/silver").drop("date"))
+
+
+@register("gold_recompute_late_symbols", "R04 C04 (late rows of every symbol)", oracle.with_ctes(_SPREAD_PARTS, "SELECT * FROM b_gold"))
+def q_late_symbols_gold(spark, d):
+    return spark.read.parquet(_recomputed(spark, d, "late-symbols-gold", _spread_loads)[0] + "/gold").drop("updated_at")
+
+
+@register("late_report_symbols", "R04 (late rows of every symbol, carry run)",
+          oracle.with_ctes([oracle.RAW, _SPREAD], f"SELECT {RAW_COLS} FROM late"))
+def q_late_report_symbols(spark, d):
+    from barlake.plans import jobs
+    p = _stream_dirs(spark, "late-report-symbols")
+    first, late = _spread_loads(spark, d)
+    jobs.refresh_silver(spark, first, p["out"], mode="carry", state_path=p["state"], updated_at=AS_OF)
+    jobs.refresh_silver(spark, first.unionByName(late), p["out"], mode="carry", state_path=p["state"], updated_at=AS_OF,
+                        changed=late)
+    return spark.read.parquet(p["state"] + "/late")
+
+
 @register("stream_silver_replay", "R02 (every batch run twice)", S("silver", "SELECT count(*) AS n_rows, count(*) AS n_feed FROM silver"))
 def q_stream_replay(spark, d):
     """Each delivery is processed, its checkpointed progress forgotten, and processed again."""

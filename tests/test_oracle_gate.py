@@ -37,6 +37,19 @@ def test_query_matches_oracle_gate(spark, con_gate, name):
     assert ok, msg
 
 
+def test_late_rows_of_every_symbol_empty_many_days(spark):
+    """The fixture of the *_late_symbols queries reaches every symbol and many days."""
+    from barlake.catalog import _spread_loads, raw
+    from barlake.plans.silver import build_silver
+    first, late = _spread_loads(spark, SF_SMALL)
+    assert first.count() > 0.95 * raw(spark, SF_SMALL).count()
+    assert first.select("symbol", "timestamp").distinct().count() == first.count()
+    assert late.count() >= 0.9 * first.select("symbol").distinct().count() > 20
+    before, after = (build_silver(x).select("symbol", "timestamp") for x in (first, first.unionByName(late)))
+    emptied = before.exceptAll(after)
+    assert emptied.select("symbol").distinct().count() > 20 and emptied.select("timestamp").distinct().count() > 5
+
+
 def test_fixture_counts(spark):
     """FIXTURES.md expected counts at sf0.01."""
     from barlake.catalog import gold, raw, silver
