@@ -61,9 +61,10 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str,
             .agg(F.max(order_col).alias("_at"), *[F.max_by(s, F.col(order_col)).alias(f"_of_{s}") for s in srcs])
             .select(*keys, _BUCKET, F.col("_at").alias(order_col), *[F.col(f"_of_{s}").alias(s) for s in srcs]))
     if len(slices) > 1:
-        upper = last.withColumnRenamed(_BUCKET, "_slice_start")
-        prev = with_previous(upper, keys, "_slice_start", carried, slices=slices[1:])
-        prev = prev.withColumnRenamed("_slice_start", _BUCKET)
+        start = f"_start{len(slices)}"              # a name of its own at every level
+        upper = last.withColumnRenamed(_BUCKET, start)
+        prev = with_previous(upper, keys, start, carried, slices=slices[1:])
+        prev = prev.withColumnRenamed(start, _BUCKET)
     else:
         per_key = Window.partitionBy(*keys).orderBy(_BUCKET)
         prev = last.select(*keys, _BUCKET, *[F.lag(c).over(per_key).alias(o) for c, o in carried.items()])

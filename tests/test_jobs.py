@@ -20,17 +20,19 @@ AS_OF = "2024-01-31 00:00:00"
 
 def test_csv_landing_read_with_pushdown(spark, tmp_path):
     up = spark.createDataFrame(
-        [(datetime(2024, 1, 1, h), 1.0 + h, 2.0 + h, 0.5, 1.5 + h, 10.0, sym)
+        [(None, datetime(2024, 1, 1, h), 1.0 + h, 2.0 + h, 0.5, 1.5 + h, 10.0, sym)
          for h in range(6) for sym in ("BTC-USD", "ETH-USD")], UPSTREAM_SCHEMA)
-    path = str(tmp_path / "landing")
-    up.write.option("header", "true").csv(path)
-    got = landing.read_bars(spark, path, "csv", start="2024-01-01 02:00:00", end="2024-01-01 05:00:00",
-                            symbols=["ETH-USD"])
-    plan = got._sc._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
-    assert "PushedFilters" in plan and "ETH-USD" in plan
-    rows = ingest.normalize_upstream(got, source="yahoo_finance_hourly", ingested_at=AS_OF).collect()
-    assert sorted(r.timestamp.hour for r in rows) == [2, 3, 4]
-    assert {r.symbol for r in rows} == {"ETH-USD"} and rows[0].source == "yahoo_finance_hourly"
+    for name, frame in (("both", up), ("intraday", up.drop("Date")),
+                        ("daily", up.drop("Date").withColumnRenamed("Datetime", "Date"))):
+        path = str(tmp_path / name)
+        frame.write.option("header", "true").csv(path)
+        got = landing.read_bars(spark, path, "csv", start="2024-01-01 02:00:00", end="2024-01-01 05:00:00",
+                                symbols=["ETH-USD"])
+        plan = got._sc._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+        assert "PushedFilters" in plan and "ETH-USD" in plan
+        rows = ingest.normalize_upstream(got, source="yahoo_finance_hourly", ingested_at=AS_OF).collect()
+        assert sorted(r.timestamp.hour for r in rows) == [2, 3, 4]
+        assert {r.symbol for r in rows} == {"ETH-USD"} and rows[0].source == "yahoo_finance_hourly"
 
 
 def test_require_rows_and_presets(spark):
