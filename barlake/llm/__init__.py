@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline, on Spark.
 
-Ten operators over ``documents``, ``benchmark``, ``embeddings``, ``labels`` and
+Thirteen operators over ``documents``, ``benchmark``, ``embeddings``, ``labels`` and
 ``pages``; ``registry`` holds their registered queries.  Nothing else in the
 library imports this package.
 """
