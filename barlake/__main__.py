@@ -19,7 +19,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.operators import quality, serving, writes
+from barlake.operators import quality, serving
+from barlake.operators.layers import read_stored
 from barlake.plans import ingest, jobs
 from barlake.schema import DEFAULT_COMPARE_DAYS, SOURCE_LIVE, UPSTREAM_SCHEMA
 from barlake.session import REQUIRED_CONF
@@ -102,7 +103,7 @@ def main(argv: list[str] | None = None) -> None:
         bronze = landing.read_layer(spark, root, "bronze")
         changed = None
         if a.since is None and a.mode in (None, "recompute"):
-            changed = writes.read_if_exists(spark, pending)
+            changed = read_stored(spark, pending)
             if a.mode == "recompute" and changed is None:
                 p.error("--mode recompute needs --since or a load before it")
         if a.cmd == "silver":

@@ -829,7 +829,7 @@ def q_gold_refresh_job(spark, d):
     from barlake.plans import jobs
     from barlake.session import scratch_path
     root = scratch_path(spark, "lake")
-    _, silver_path, gold_path = writes.create_layers(root)
+    _, silver_path, gold_path = writes.create_layers(spark, root)
     jobs.refresh_silver(spark, raw(spark, d), silver_path, mode="full", updated_at=AS_OF)
     jobs.refresh_gold(spark, silver_path, gold_path, updated_at=AS_OF)
     return landing.read_layer(spark, root, "gold").drop("updated_at")
@@ -840,7 +840,7 @@ def q_gold_incremental_job(spark, d):
     from barlake.plans import jobs
     from barlake.session import scratch_path
     root = scratch_path(spark, "lake-inc")
-    bronze_path, silver_path, gold_path = writes.create_layers(root)
+    bronze_path, silver_path, gold_path = writes.create_layers(spark, root)
     state = f"{root}/silver_state"
     r = raw(spark, d)
     cut = F.lit(CUT).cast("timestamp")
@@ -906,26 +906,41 @@ def q_stream_daily_feed(spark, d):
 # late rows that empty a day: a late row just before a day's only bar makes
 # that bar an outlier
 # ---------------------------------------------------------------------------
-_LATE_TS = "2024-01-15 00:00:00"
+# All rows: each event is the only bar of its symbol and day, and every symbol has a
+# late row on a day of its own.
 _SPARSE = f"""sparse AS (
-  SELECT * FROM raw WHERE symbol = '{HISTORY_SYMBOL}' AND id % 7 = 0
+  SELECT * REPLACE (TIMESTAMP '2024-01-01 00:00:00' + CAST(id % 60 AS INTEGER) * INTERVAL '1 day' AS "timestamp",
+                    replace(symbol, '-USD', '') || CAST(id // 60 AS VARCHAR) || '-USD' AS symbol),
+         TIMESTAMP '2024-01-04 00:00:00' + CAST((id // 60) % 50 AS INTEGER) * INTERVAL '1 day' AS late_at
+  FROM raw
 ), late AS (
-  SELECT * REPLACE (TIMESTAMP '{_LATE_TS}' AS "timestamp", close / 1000 AS close, open / 1000 AS open,
+  SELECT * EXCLUDE (late_at) REPLACE (late_at AS "timestamp", close / 1000 AS close, open / 1000 AS open,
                     TIMESTAMP '{AS_OF}' AS ingestion_timestamp, -id AS id)
-  FROM (SELECT * FROM sparse WHERE close > 0 ORDER BY id LIMIT 1)
+  FROM (SELECT * FROM sparse WHERE close > 0 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY id) = 1)
 ), both_loads AS (
-  SELECT * FROM (SELECT * FROM sparse WHERE NOT (CAST("timestamp" AS DATE) = DATE '{_LATE_TS[:10]}'))
+  SELECT * EXCLUDE (late_at) FROM sparse WHERE "timestamp" <> late_at
   UNION ALL SELECT * FROM late
 )"""
 
 
+def _one_bar_a_day(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({
+        "timestamp": F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 60 as int))"),
+        "symbol": F.expr("concat(replace(symbol, '-USD', ''), id div 60, '-USD')")})
+
+
+def _late_of_symbols(rows: DataFrame, at: str) -> DataFrame:
+    """One late row per symbol, from its first usable bar, at the time `at`."""
+    columns = [c for c in rows.columns if c != at]
+    return (rows.filter("close > 0").groupBy("symbol").agg(F.min_by(F.struct(*rows.columns), "id").alias("r")).select("r.*")
+            .withColumns({"timestamp": F.col(at), "close": F.col("close") / 1000, "open": F.col("open") / 1000,
+                          "id": -F.col("id"), "ingestion_timestamp": F.lit(AS_OF).cast("timestamp")}).select(*columns))
+
+
 def _sparse_loads(spark, d) -> tuple[DataFrame, DataFrame]:
-    r = raw(spark, d).filter((F.col("symbol") == HISTORY_SYMBOL) & (F.col("id") % 7 == 0))
-    late = (r.filter("close > 0").orderBy("id").limit(1)
-            .withColumns({"timestamp": F.lit(_LATE_TS).cast("timestamp"), "close": F.col("close") / 1000,
-                          "open": F.col("open") / 1000, "id": -F.col("id"),
-                          "ingestion_timestamp": F.lit(AS_OF).cast("timestamp")}))
-    return r.filter(F.to_date("timestamp") != F.lit(_LATE_TS[:10]).cast("date")), late
+    r = _one_bar_a_day(raw(spark, d)).withColumn(
+        "late_at", F.expr("timestamp'2024-01-04 00:00:00' + make_interval(0, 0, 0, cast((id div 60) % 50 as int))"))
+    return r.filter(F.col("timestamp") != F.col("late_at")).drop("late_at"), _late_of_symbols(r, "late_at")
 
 
 def _recomputed(spark, d, name: str, loads=_sparse_loads) -> tuple[str, DataFrame]:
@@ -962,11 +977,10 @@ def q_late_report(spark, d):
     jobs.refresh_silver(spark, first, p["out"], mode="carry", state_path=p["state"], updated_at=AS_OF)
     jobs.refresh_silver(spark, first.unionByName(late), p["out"], mode="carry", state_path=p["state"], updated_at=AS_OF,
                         changed=late)
-    return spark.read.parquet(p["state"] + "/late")
+    return spark.read.parquet(p["state"] + "/late").drop("mark")
 
 
-# the same over all rows: each event is the only bar of its symbol and day, symbols
-# grow with the table over 60 days, and every symbol has a late row
+# the same with all symbols' late rows on one day
 _SPREAD_LATE_TS = "2024-01-21 00:00:00"
 _SPREAD = f"""spread AS (
   SELECT * REPLACE (TIMESTAMP '2024-01-01 00:00:00' + CAST(id % 60 AS INTEGER) * INTERVAL '1 day' AS "timestamp",
@@ -983,14 +997,8 @@ _SPREAD = f"""spread AS (
 
 
 def _spread_loads(spark, d) -> tuple[DataFrame, DataFrame]:
-    r = raw(spark, d).withColumns({
-        "timestamp": F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 60 as int))"),
-        "symbol": F.expr("concat(replace(symbol, '-USD', ''), id div 60, '-USD')")})
-    late = (r.filter("close > 0").groupBy("symbol").agg(F.min_by(F.struct(*r.columns), "id").alias("r")).select("r.*")
-            .withColumns({"timestamp": F.lit(_SPREAD_LATE_TS).cast("timestamp"), "close": F.col("close") / 1000,
-                          "open": F.col("open") / 1000, "id": -F.col("id"),
-                          "ingestion_timestamp": F.lit(AS_OF).cast("timestamp")}))
-    return r.filter(F.col("timestamp") != F.lit(_SPREAD_LATE_TS).cast("timestamp")), late
+    r = _one_bar_a_day(raw(spark, d)).withColumn("late_at", F.lit(_SPREAD_LATE_TS).cast("timestamp"))
+    return r.filter(F.col("timestamp") != F.col("late_at")).drop("late_at"), _late_of_symbols(r, "late_at")
 
 
 _SPREAD_PARTS = [oracle.RAW, _SPREAD, *oracle.silver_ctes("b_", "both_loads"), *oracle.gold_ctes("b_", "b_silver")]
@@ -1016,7 +1024,7 @@ def q_late_report_symbols(spark, d):
     jobs.refresh_silver(spark, first, p["out"], mode="carry", state_path=p["state"], updated_at=AS_OF)
     jobs.refresh_silver(spark, first.unionByName(late), p["out"], mode="carry", state_path=p["state"], updated_at=AS_OF,
                         changed=late)
-    return spark.read.parquet(p["state"] + "/late")
+    return spark.read.parquet(p["state"] + "/late").drop("mark")
 
 
 @register("stream_silver_replay", "R02 (every batch run twice)", S("silver", "SELECT count(*) AS n_rows, count(*) AS n_feed FROM silver"))
@@ -1067,3 +1075,234 @@ def q_quality_wide(spark, d):
 SELECT "timestamp", count(*) AS n_records FROM wide WHERE symbol = 'BTC-USD' GROUP BY "timestamp" HAVING count(*) > 1"""))
 def q_unique_wide(spark, d):
     return quality.failing_rows(_wide(spark, d), quality.Test("timestamp", "unique", where="symbol = 'BTC-USD'"))
+
+
+# ---------------------------------------------------------------------------
+# LAG slices of any depth (W03, W04): ticks by minute, hour and day
+# ---------------------------------------------------------------------------
+_TICKS_SQL = """SELECT "timestamp", symbol, close, lag(close) OVER w AS prev_close, lag("timestamp") OVER w AS prev_timestamp
+FROM (SELECT ts AS "timestamp", upper(event_type) || '-USD' AS symbol, arg_min(value, event_id) AS close
+      FROM events WHERE value IS NOT NULL GROUP BY ts, event_type)
+WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp")"""
+
+
+def _ticks(spark, d) -> DataFrame:
+    events = fixtures.load_table(spark, d, "events").filter("value is not null")
+    ticks = fixtures.tick_bars(events.groupBy("ts", "event_type").agg(F.min_by("value", "event_id").alias("value")))
+    return ticks.select("timestamp", "symbol", "close")
+
+
+def _with_last_tick(ticks: DataFrame, slices) -> DataFrame:
+    from barlake.operators.sequence import with_previous
+    return with_previous(ticks, ["symbol"], "timestamp", {"close": "prev_close", "timestamp": "prev_timestamp"}, slices=slices)
+
+
+@register("tick_lag_nested", "W03 W04 (minute, hour and day slices)", _TICKS_SQL)
+def q_tick_lag_nested(spark, d):
+    return _with_last_tick(_ticks(spark, d), ("minute", "hour", "day"))
+
+
+@register("tick_lag_measured", "W03 W04 (slices chosen from measured sizes)", _TICKS_SQL)
+def q_tick_lag_measured(spark, d):
+    from barlake.operators.sequence import choose_slices
+    ticks = _ticks(spark, d)
+    return _with_last_tick(ticks, choose_slices(ticks, ["symbol"], "timestamp", limit=24))
+
+
+# ---------------------------------------------------------------------------
+# change feed (R02-R04): late rows of every symbol through silver to gold as
+# streams, every batch run twice
+# ---------------------------------------------------------------------------
+@register("stream_gold_changes", "R02 R03 R04 (change feed, late rows of every symbol, batches run twice)",
+          oracle.with_ctes(_LATE_PARTS, "SELECT * FROM b_gold"))
+def q_stream_gold_changes(spark, d):
+    from barlake.streaming import run_gold_stream, run_silver_stream
+    first, late = _sparse_loads(spark, d)
+    p = _stream_dirs(spark, "stream-gold")
+    feed, gold_path = p["late"] + "-changes", p["out"] + "-gold"
+    for i, part in enumerate((first, late)):
+        path = f"{p['landing']}/load={i}"
+        part.write.parquet(path)
+        for attempt in range(2):
+            run_silver_stream(spark, path, first.schema, p["out"], p["state"], p["late"], f"{p['checkpoint']}/{i}-{attempt}",
+                              updated_at=AS_OF, policy="recompute", first_batch=i, changes_path=feed, table_path=p["landing"])
+            run_gold_stream(spark, feed, gold_path, p["state"] + "-gold", f"{p['checkpoint']}-gold/{attempt}", updated_at=AS_OF)
+    return spark.read.parquet(gold_path).drop("updated_at")
+
+
+# ---------------------------------------------------------------------------
+# access by symbol
+# ---------------------------------------------------------------------------
+def _symbol_layout(spark, d) -> str:
+    """A copy of silver by symbol bucket and month, kept up over a late load."""
+    from barlake.plans import by_symbol, jobs
+    from barlake.session import scratch_path
+    root = scratch_path(spark, "by-symbol")
+    first, late = _sparse_loads(spark, d)
+    for i, load in enumerate((first, late)):
+        writes.write_layer(load.withColumn("date", F.to_date("timestamp")), f"{root}/bronze", mode="append")
+        slices = jobs.refresh_silver(spark, landing.read_layer(spark, root, "bronze"), f"{root}/silver", updated_at=AS_OF,
+                                     state_path=f"{root}/state", changed=late if i else None)
+        if i:
+            by_symbol.refresh(spark, f"{root}/silver", f"{root}/by_symbol", slices)
+        else:
+            by_symbol.build(spark, landing.read_layer(spark, root, "silver"), f"{root}/by_symbol", buckets=8)
+    return f"{root}/by_symbol"
+
+
+@register("symbol_layout_rows", "K10 R04 (copy by symbol, after late rows)", oracle.with_ctes(_LATE_PARTS, _cmp_sql("b_silver")))
+def q_symbol_layout_rows(spark, d):
+    return silver_cmp(spark.read.parquet(_symbol_layout(spark, d)).drop("bucket", "month"))
+
+
+@register("symbol_layout_history", "K10 F05 S03 (some symbols' period from their buckets)", oracle.with_ctes(_LATE_PARTS, f"""
+{_cmp_sql("b_silver")} WHERE symbol IN ('CLICK0-USD', 'VIEW1-USD', 'SIGNUP3-USD') AND "timestamp" >= TIMESTAMP '{RANGE_START}'
+  AND "timestamp" < TIMESTAMP '2024-02-20 00:00:00'"""))
+def q_symbol_layout_history(spark, d):
+    from barlake.plans import by_symbol
+    return silver_cmp(by_symbol.read_symbols(spark, _symbol_layout(spark, d), ["CLICK0-USD", "VIEW1-USD", "SIGNUP3-USD"],
+                                             RANGE_START, "2024-02-20 00:00:00"))
+
+
+# ---------------------------------------------------------------------------
+# stored columns of a layer over three writes
+# ---------------------------------------------------------------------------
+@register("schema_record_evolution", "K05 K06 S06 (columns added and widened over three writes)", S("silver", f"""
+SELECT "timestamp", symbol, close, CAST(flag_zero_volume AS BIGINT) AS flag_zero_volume,
+  CASE WHEN "timestamp" >= TIMESTAMP '{RANGE_START}' THEN volume END AS volume,
+  CASE WHEN "timestamp" >= {TS_CUT} THEN spread END AS spread, CAST("timestamp" AS DATE) AS date FROM silver"""))
+def q_schema_record(spark, d):
+    from barlake.plans import jobs
+    from barlake.session import scratch_path
+    root, s = scratch_path(spark, "schema-record"), silver(spark, d)
+    early, middle = F.lit(RANGE_START).cast("timestamp"), F.lit(CUT).cast("timestamp")
+    t, base = F.col("timestamp"), ["timestamp", "symbol", "close"]
+    loads = [s.filter(t < early).select(*base, "flag_zero_volume"),
+             s.filter((t >= early) & (t < middle)).select(*base, F.col("flag_zero_volume").cast("long"), "volume"),
+             s.filter(t >= middle).select(*base, "flag_zero_volume", "volume", "spread")]
+    for load in loads:
+        jobs.merge_into_layer(spark, load, f"{root}/silver")
+    return landing.read_layer(spark, root, "silver")
+
+
+# ---------------------------------------------------------------------------
+# a landed file that can't be read (S01, S04): the other symbols load
+# ---------------------------------------------------------------------------
+_BROKEN = "ERROR-USD"
+
+
+def _landed_with_broken_file(spark, d) -> str:
+    """One file per symbol; that of one symbol is cut in half."""
+    from barlake.operators.layers import storage
+    path = _stream_dirs(spark, "landing-broken")["landing"]
+    up = fixtures.upstream_bars(fixtures.load_table(spark, d, "events"))
+    (up.withColumn("Datetime", F.col("Datetime").cast("timestamp")).repartition("symbol").write.partitionBy("symbol").parquet(path))
+    fs, folder = storage(spark, f"{path}/symbol={_BROKEN}")
+    for status in fs.listStatus(folder):
+        if status.getPath().getName().startswith("part-"):
+            source = fs.open(status.getPath())
+            data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(source)
+            source.close()
+            out = fs.create(status.getPath(), True)
+            out.write(bytearray(data[:len(data) // 2]))
+            out.close()
+    return path
+
+
+@register("landing_isolated_rows", "S01 S02 P01 P02 (one file unreadable)", S("raw", f"""{_NORMALIZED.format(source=SOURCE_HOURLY)}
+WHERE symbol <> '{_BROKEN}' AND "timestamp" >= TIMESTAMP '{RANGE_START}'"""))
+def q_landing_isolated(spark, d):
+    bars_, _ = landing.read_isolated(spark, _landed_with_broken_file(spark, d), start=RANGE_START)
+    return ingest.normalize_upstream(bars_, source=SOURCE_HOURLY, ingested_at=AS_OF)
+
+
+@register("landing_symbol_report", "S01 S04 (rows, failed files and status per expected symbol)", S("raw", f"""
+SELECT e.symbol, CASE WHEN e.symbol = '{_BROKEN}' THEN 0 ELSE count(r.symbol) END AS n_rows,
+  CAST(e.symbol = '{_BROKEN}' AS BIGINT) AS n_failed,
+  CASE WHEN e.symbol = '{_BROKEN}' THEN 'failed' WHEN count(r.symbol) > 0 THEN 'loaded' ELSE 'missing' END AS status
+FROM (SELECT unnest([{_in(EXPECTED_SYMBOLS)}]) AS symbol) e LEFT JOIN raw r ON r.symbol = e.symbol GROUP BY e.symbol"""))
+def q_landing_symbol_report(spark, d):
+    bars_, failed = landing.read_isolated(spark, _landed_with_broken_file(spark, d))
+    return landing.symbol_report(bars_, failed, EXPECTED_SYMBOLS)
+
+
+# ---------------------------------------------------------------------------
+# tests during the write (T01-T04, T07), uniqueness of touched days
+# ---------------------------------------------------------------------------
+@register("quality_gold_observed", "T01 T03 T07 (counted by the job that writes gold)",
+          S("gold", _suite_sql("gold_t", "gold", quality.GOLD_SUITE), [_GOLD_STAMPED]))
+def q_quality_gold_observed(spark, d):
+    from barlake.plans import jobs
+    from barlake.session import scratch_path
+    root = scratch_path(spark, "gold-tested")
+    jobs.refresh_silver(spark, raw(spark, d), f"{root}/silver", mode="full", updated_at=AS_OF)
+    return jobs.refresh_gold(spark, f"{root}/silver", f"{root}/gold", updated_at=AS_OF, suite=quality.GOLD_SUITE)
+
+
+@register("quality_bronze_observed", "T01 T02 T03 T04 T07 (counted by the job that writes bronze)",
+          S("raw", _suite_sql("raw", "bronze", quality.BRONZE_SUITE)))
+def q_quality_bronze_observed(spark, d):
+    from barlake.operators.layers import read_stored
+    from barlake.session import scratch_path
+    path = scratch_path(spark, "bronze-tested")
+    rows, seen = quality.observe_suite(raw(spark, d).withColumn("date", F.to_date("timestamp")), quality.BRONZE_SUITE)
+    writes.write_layer(rows, path, mode="append")
+    return quality.observed_report(spark, seen, quality.BRONZE_SUITE, "bronze", lambda: read_stored(spark, path))
+
+
+@register("unique_in_touched_days", "T02 T06 (key repeats in the days of the last load)", S("raw", f"""
+SELECT "timestamp", symbol, source, count(*) AS n_records FROM raw WHERE "timestamp" >= {TS_CUT}
+GROUP BY "timestamp", symbol, source HAVING count(*) > 1"""))
+def q_unique_touched(spark, d):
+    path, loads = _bronze_loads(spark, d)
+    for load in loads:
+        writes.write_layer(load.withColumn("date", F.to_date("timestamp")), path, mode="append")
+    days = [r[0] for r in loads[-1].select(F.to_date("timestamp")).distinct().collect()]
+    return quality.key_violations_in(spark, path, days, ["timestamp", "symbol", "source"])
+
+
+# ---------------------------------------------------------------------------
+# counts kept up to date (A04-A07, A13-A15) over late rows and emptied days
+# ---------------------------------------------------------------------------
+def _silver_summary(spark, d) -> str:
+    from barlake.plans import jobs, summary
+    from barlake.session import scratch_path
+    root = scratch_path(spark, "summary")
+    first, late = _sparse_loads(spark, d)
+    for i, load in enumerate((first, late)):
+        writes.write_layer(load.withColumn("date", F.to_date("timestamp")), f"{root}/bronze", mode="append")
+        slices = jobs.refresh_silver(spark, landing.read_layer(spark, root, "bronze"), f"{root}/silver", updated_at=AS_OF,
+                                     state_path=f"{root}/state", changed=late if i else None)
+        if i:
+            summary.refresh(spark, f"{root}/silver", f"{root}/summary", slices)
+        else:
+            summary.build(landing.read_layer(spark, root, "silver"), f"{root}/summary")
+    return f"{root}/summary"
+
+
+@register("summary_coverage", "A04 A06 A13 A14 (kept up to date)", oracle.with_ctes(_LATE_PARTS, """
+SELECT symbol, count(*) AS record_count, min("timestamp") AS earliest, max("timestamp") AS latest FROM b_silver GROUP BY symbol"""))
+def q_summary_coverage(spark, d):
+    from barlake.plans import summary
+    return summary.coverage(summary.counts(spark, _silver_summary(spark, d)))
+
+
+@register("summary_totals", "A05 A07 (kept up to date)", oracle.with_ctes(_LATE_PARTS, """
+SELECT source, count(*) AS total_records FROM b_silver GROUP BY source
+UNION ALL SELECT 'all', count(*) FROM b_silver"""))
+def q_summary_totals(spark, d):
+    from barlake.plans import summary
+    kept = summary.counts(spark, _silver_summary(spark, d))
+    return summary.count_by(kept, "source").unionByName(
+        summary.total_rows(kept).select(F.lit("all").alias("source"), F.col("total_rows").alias("total_records")))
+
+
+@register("summary_distinct_symbols", "A15 (merged sketches, within their stated bound)", oracle.with_ctes(_LATE_PARTS, """
+SELECT source, count(DISTINCT symbol) AS symbols, true AS within_bound FROM b_silver GROUP BY source"""))
+def q_summary_distinct(spark, d):
+    from barlake.plans import summary
+    path = _silver_summary(spark, d)
+    exact = summary.counts(spark, path).groupBy("source").agg(F.count_distinct("symbol").alias("symbols"))
+    miss = F.abs(F.col("symbols_estimate") - F.col("symbols"))
+    return exact.join(summary.approx_symbols(spark, path, "source"), "source").select(
+        "source", "symbols", (miss <= F.ceil(F.col("symbols") * summary.ERROR_BOUND)).alias("within_bound"))

@@ -13,6 +13,9 @@ same values in two levels:
    slices, bounded by the calendar - and its result is put in front of each
    slice as a *seed* row that is dropped after the LAG.
 
+Slices nest to any depth (`slices`, finest first), so level 2 is split the same
+way; `choose_slices` picks the depth from measured slice sizes.
+
 Optional `initial` rows (state carried from an earlier run) take part as
 ordinary older rows and are dropped from the result, so an incremental run
 continues the sequence exactly where the previous run stopped.
@@ -29,6 +32,10 @@ _SEED = "_seed"
 _BUCKET = "_bucket"
 
 
+# Nested time units, finest first, and how many of a unit the next one holds.
+UNITS = {"second": 60, "minute": 60, "hour": 24, "day": 0}
+
+
 def _slice(order_col: str, unit: str) -> Column:
     return F.to_date(F.col(order_col)) if unit == "day" else F.date_trunc(unit, F.col(order_col))
 
@@ -45,7 +52,7 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str,
     one level up, and only the last level is a plain per-key window - so a
     hot day can be spread over hours.  `bucket` overrides the first level."""
     keys = list(keys)
-    srcs = list(values)
+    srcs = [c for c in values if c != order_col]
     slices = list(slices)
     bucket = _slice(order_col, slices[0]) if bucket is None else bucket
     rows = df.withColumn(_SEED, F.lit(False))
@@ -78,6 +85,36 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str,
     return out.filter(~F.col(_SEED)).drop(_SEED, _BUCKET)
 
 
+def choose_slices(df: DataFrame, keys: Sequence[str], order_col: str, limit: int = 20_000,
+                  coarsest: str = "day") -> tuple[str, ...]:
+    """Slices for `with_previous`, finest first, such that no LAG of a key sorts
+    more than about `limit` rows: the coarsest unit whose largest slice fits (one
+    counting aggregate per unit tried, from days down; seconds if none fits), then
+    the coarsest unit that holds at most `limit` slices of the unit below, up to
+    days, whose number per key the calendar bounds."""
+    units = list(UNITS)
+    at = units.index(coarsest)
+    while at:
+        sizes = df.groupBy(*keys, _slice(order_col, units[at]).alias(_BUCKET)).agg(F.count("*").alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= limit:
+            break
+        at -= 1
+    return nested_slices(units[at], limit)
+
+
+def nested_slices(finest: str, limit: int = 20_000) -> tuple[str, ...]:
+    """The units above `finest` that keep every level within `limit` slices."""
+    units, chain = list(UNITS), [finest]
+    while chain[-1] != "day":
+        at = units.index(chain[-1])
+        held, above = UNITS[units[at]], at + 1
+        while above + 1 < len(units) and held * UNITS[units[above]] <= limit:
+            held *= UNITS[units[above]]
+            above += 1
+        chain.append(units[above])
+    return tuple(chain)
+
+
 def with_previous_plain(df: DataFrame, keys: Sequence[str], order_col: str,
                         values: dict[str, str]) -> DataFrame:
     """Single-level LAG per key.  Only for inputs whose rows per key have a

@@ -9,10 +9,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlake.operators.layers import read_stored, record_schema, storage, stored_days
 from barlake.schema import (
     BRONZE_KEY, CORRUPT, PRICE_DECIMAL, SOURCE_MAX_LEN, SYMBOL_MAX_LEN, VOLUME_DECIMAL,
 )
@@ -131,8 +132,8 @@ def with_ids(df: DataFrame, start: int = 1) -> DataFrame:
 def next_id(spark: SparkSession, path: str) -> int:
     """First id the next load of the bronze folder may use: from the log of
     loads (one row each), or from the table where it has no log."""
-    log = read_if_exists(spark, f"{path.rstrip('/')}_loads")
-    source = (log, "high_id") if log is not None else (read_if_exists(spark, path), "id")
+    log = read_stored(spark, f"{path.rstrip('/')}_loads")
+    source = (log, "high_id") if log is not None else (read_stored(spark, path), "id")
     if source[0] is None or source[1] not in source[0].columns:
         return 1
     return (source[0].agg(F.max(source[1])).first()[0] or 0) + 1
@@ -159,13 +160,14 @@ def load_bronze(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     staged = _stage(spark, batch.withColumn("reason", bad_record_reason(batch)), scratch_path(spark, "load-batch"))
     good = staged.filter(F.col("reason").isNull()).drop("reason", *([CORRUPT] if CORRUPT in staged.columns else []))
     bad = staged.filter(F.col("reason").isNotNull())
-    target = read_if_exists(spark, path)
+    target = read_stored(spark, path)
     rows = insert_if_absent(good, target, keys)
     if "id" not in rows.columns:
         rows = with_ids(rows, next_id(spark, path))
     new = _stage(spark, rows, scratch_path(spark, "load-rows"))
     stats = load_stats(staged, new, bad)
-    (new.agg(F.max("id").alias("high_id")).select(F.lit(load_id).alias("load"), "high_id").filter("high_id is not null")
+    (new.agg(F.min("id").alias("low_id"), F.max("id").alias("high_id")).filter("high_id is not null")
+        .select(F.lit(load_id).alias("load"), "low_id", "high_id")
         .write.mode("append").parquet(f"{path}_loads"))             # booked before any row can be seen
     (bad.withColumn("load", F.lit(load_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("load").parquet(f"{path}_quarantine"))
@@ -185,41 +187,45 @@ def append_bronze(spark: SparkSession, batch: DataFrame, path: str,
     return load_bronze(spark, batch, path, keys)["stats"]
 
 
-def read_if_exists(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
-    """The folder's table, or None before the first write.  `merge_schema`
-    (reads every footer) only for layers whose columns evolve (K06)."""
-    try:
-        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
-    except Exception as e:  # noqa: BLE001 - missing folder / no files yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-
-
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str = "date",
                 sort_by: Sequence[str] = ("symbol", "timestamp")) -> None:
-    """Write a layer folder partitioned by date (see `clustered`).
-    With mode 'overwrite' only the touched date partitions are replaced
-    (dynamic partition overwrite)."""
+    """Write a layer folder partitioned by date (see `clustered`) and
+    advance its record of columns (`layers`).  With mode 'overwrite' only the
+    touched date partitions are replaced (dynamic partition overwrite)."""
+    record_schema(df.sparkSession, path, df.schema)
     (clustered(df, partition_by, sort_by)
      .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
 
 
+def write_whole(df: DataFrame, path: str, partition_by: str = "date",
+                sort_by: Sequence[str] = ("symbol", "timestamp")) -> None:
+    """Replace a layer day by day: each folder is overwritten, then those of days
+    that are no more are dropped, so a run that fails leaves every day either old
+    or new, and can be repeated.  The days written are observed by the write."""
+    spark, seen = df.sparkSession, Observation()
+    before = stored_days(spark, path, partition_by)
+    record_schema(spark, path, df.schema, replace=True)
+    (clustered(df.observe(seen, F.collect_set(partition_by).alias("days")), partition_by, sort_by)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
+    left = set(seen.get.get("days") or [])          # bounded by the calendar
+    drop_partitions(spark, path, partition_by, [d for d in before if d not in left])
+
+
 def replace_slices(spark: SparkSession, path: str, fresh: DataFrame, slices: DataFrame,
                    partition_col: str = "date", sort_by: Sequence[str] = ("symbol", "timestamp")) -> None:
     """Replace the (symbol, day) `slices` of a folder partitioned by day with
-    the rows `fresh`: only the folders of those days are read and written, the
-    rest of their rows is kept, and a day that ends up empty loses its folder.
+    the rows `fresh`: only the folders of those days are listed, read and written,
+    the rest of their rows is kept, and a day that ends up empty loses its folder.
     The number of days is bounded by the calendar."""
     from barlake.session import scratch_path
     days = [r[0] for r in slices.select("day").distinct().collect()]
     if not days:
         return
-    old = read_if_exists(spark, path, merge_schema=True)
+    record_schema(spark, path, fresh.schema)
+    old = read_stored(spark, path, days, partition_col)
     if old is not None:
         gone = slices.select(F.col("day").alias(partition_col), "symbol")
-        kept = old.filter(F.col(partition_col).isin(days)).join(gone, [partition_col, "symbol"], "left_anti")
-        fresh = kept.unionByName(fresh, allowMissingColumns=True)
+        fresh = old.join(gone, [partition_col, "symbol"], "left_anti").unionByName(fresh, allowMissingColumns=True)
     staged = _stage(spark, fresh, scratch_path(spark, "slices"))
     left = {r[0] for r in staged.select(partition_col).distinct().collect()}
     if left:
@@ -227,12 +233,22 @@ def replace_slices(spark: SparkSession, path: str, fresh: DataFrame, slices: Dat
     drop_partitions(spark, path, partition_col, [d for d in days if d not in left])
 
 
+def replace_days(spark: SparkSession, path: str, fresh: DataFrame, days: Sequence, partition_col: str = "date",
+                 sort_by: Sequence[str] = ("symbol", "timestamp")) -> None:
+    """Replace whole `days` of a layer; a day without rows loses its folder."""
+    from barlake.session import scratch_path
+    staged = _stage(spark, fresh, scratch_path(spark, "days"))
+    left = {r[0] for r in staged.select(partition_col).distinct().collect()}
+    if left:
+        write_layer(staged, path, partition_by=partition_col, sort_by=sort_by)
+    drop_partitions(spark, path, partition_col, [d for d in days if d not in left])
+
+
 def drop_partitions(spark: SparkSession, path: str, partition_col: str, values: Sequence) -> None:
     """Remove partition folders through the storage's own file system."""
-    jvm = spark.sparkContext._jvm
     for v in values:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={v}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        fs, folder = storage(spark, f"{path.rstrip('/')}/{partition_col}={v}")
+        fs.delete(folder, True)
 
 
 def clustered(df: DataFrame, partition_by: str = "date",
@@ -246,10 +262,14 @@ def clustered(df: DataFrame, partition_by: str = "date",
     return df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *sort_cols)
 
 
-def create_layers(root: str, layers: Sequence[str] = ("bronze", "silver", "gold")) -> list[str]:
-    """The layer folders under one root.  A folder exists once its first
-    write lands, on whatever storage the root names."""
-    return [f"{root.rstrip('/')}/{layer}" for layer in layers]
+def create_layers(spark: SparkSession, root: str, layers: Sequence[str] = ("bronze", "silver", "gold")) -> list[str]:
+    """Make the layer folders under one root, on whatever storage it names;
+    those that exist stay as they are."""
+    paths = [f"{root.rstrip('/')}/{layer}" for layer in layers]
+    for path in paths:
+        fs, folder = storage(spark, path)
+        fs.mkdirs(folder)
+    return paths
 
 
 def stage_records(df: DataFrame) -> DataFrame:

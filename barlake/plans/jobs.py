@@ -16,13 +16,15 @@ these, a small table whose maximum is the high-water mark).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barlake.operators import writes
+from barlake.operators import quality, writes
 from barlake.operators.bars import daily_bars
+from barlake.operators.layers import read_stored, record_schema, stored_days
+from barlake.operators.sequence import choose_slices
 from barlake.plans import gold as gold_plan
 from barlake.plans import silver as silver_plan
 from barlake.schema import GOLD_COLUMNS
@@ -30,23 +32,21 @@ from barlake.session import scratch_path
 
 
 def merge_into_layer(spark: SparkSession, new: DataFrame, path: str,
-                     keys: Sequence[str] = ("timestamp", "symbol"), partition_col: str = "date",
-                     target: DataFrame | None = None) -> None:
+                     keys: Sequence[str] = ("timestamp", "symbol"), partition_col: str = "date") -> None:
     """K05 + K06 on a partitioned folder: delete-then-insert by key, only in
-    the partitions `new` touches; new columns are appended (old rows NULL).
-    `target` may be passed when the caller has already read the folder."""
+    the partitions `new` touches, whose folders alone are listed; new columns are
+    appended (old rows NULL)."""
     new = new if partition_col in new.columns else new.withColumn(partition_col, F.to_date("timestamp"))
-    if target is None:
-        target = writes.read_if_exists(spark, path, merge_schema=True)
-    if target is None:
-        writes.write_layer(new, path, mode="overwrite", partition_by=partition_col)
-        return
+    record_schema(spark, path, new.schema)         # a column of another type stops here
     new = _staged(spark, new, "merge-new")         # read for its dates, the keys and the rows
     dates = [r[0] for r in new.select(partition_col).distinct().collect()]      # bounded by the calendar
     if not dates:
         return
-    kept = (target.filter(F.col(partition_col).isin(dates))
-            .join(new.select(*keys), list(keys), "left_anti"))
+    target = read_stored(spark, path, dates, partition_col)
+    if target is None:
+        writes.write_layer(new, path, partition_by=partition_col)
+        return
+    kept = target.join(new.select(*keys), list(keys), "left_anti")
     merged = kept.unionByName(new, allowMissingColumns=True)
     staging = scratch_path(spark, "merge-staging")
     writes.write_layer(merged, staging, mode="overwrite", partition_by=partition_col)
@@ -83,24 +83,23 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
 
     The mode is ``recompute`` where `changed` or `since` is given, else
     ``carry``.  `lag_slices` None: by hour within days if a (symbol, day) holds
-    more than SLICE_ROWS rows, else by day.  A run that failed can be repeated:
+    more than SLICE_ROWS rows (and finer where hours do, `choose_slices`), else by day.  A run that failed can be repeated:
     ``last``, which mark and seeds come from, is written after all else."""
     mode = mode or ("carry" if changed is None and since is None else "recompute")
     if mode not in ("full", "reference", "carry", "recompute"):
         raise ValueError(f"unknown mode {mode}")
     if mode == "reference":
-        target = writes.read_if_exists(spark, silver_path, merge_schema=True)
+        target = read_stored(spark, silver_path)
         if target is not None:
             # the mark is read once as a value: `new` must not depend on files the merge replaces
             hwm = target.agg(F.max("timestamp")).first()[0]
             new = silver_plan.build_silver(bronze, updated_at=updated_at, high_water=hwm,
                                            lag_slices=lag_slices or silver_plan.LAG_SLICES)
-            merge_into_layer(spark, new, silver_path, target=target)
+            merge_into_layer(spark, new, silver_path)
             return None
         mode = "full"
     state = None if state_path is None else state_path.rstrip("/")
-    days = None if state is None else writes.read_if_exists(spark, f"{state}/days")
-    if mode != "full" and (days is None or high_water_mark(spark, state) is None):
+    if mode != "full" and (state is None or high_water_mark(spark, state) is None):
         if state is None:
             raise ValueError(f"{mode} mode needs a state_path")
         mode = "full"                              # first run
@@ -111,7 +110,7 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
         return _carry(spark, bronze, silver_path, state, updated_at, lag_slices, changed)
     if since is not None:
         first = F.to_date(F.lit(since))
-        old = days.filter(F.col("day") >= first).select("symbol", "day")
+        old = read_stored(spark, f"{state}/days", _days_from(spark, f"{state}/days", since, "day"), "day").select("symbol", "day")
         come = _from_day(bronze, first).select("symbol", F.to_date("timestamp").alias("day"))
         touched = old.unionByName(come).distinct()
     elif changed is not None:
@@ -119,10 +118,11 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, mod
                    changed.select("symbol", F.to_date("timestamp").alias("day"))).distinct()
     else:
         raise ValueError("recompute mode needs `changed` rows or `since`")
-    return _recompute(spark, bronze, silver_path, state, days, touched, updated_at, lag_slices)
+    return _recompute(spark, bronze, silver_path, state, touched, updated_at, lag_slices)
 
 
-SLICE_ROWS = 20_000        # rows of a (symbol, day) from which its LAG is split by hour
+SLICE_ROWS = 20_000        # rows of a (symbol, day) from which its LAG is split further
+NEAR_DAYS = 3              # a neighbouring bar is looked for in so many days around first
 
 
 def _summary(spark: SparkSession, valid: DataFrame, lag_slices) -> tuple[DataFrame, tuple]:
@@ -130,7 +130,7 @@ def _summary(spark: SparkSession, valid: DataFrame, lag_slices) -> tuple[DataFra
     days = _staged(spark, silver_plan.day_summary(valid, counted=True), "silver-days")
     if lag_slices is None:
         most = days.agg(F.max("n")).first()[0] or 0
-        lag_slices = silver_plan.LAG_SLICES if most > SLICE_ROWS else ("day",)
+        lag_slices = ("day",) if most <= SLICE_ROWS else choose_slices(valid, ["symbol"], "timestamp", SLICE_ROWS, "hour")
     return days.drop("n"), tuple(lag_slices)
 
 
@@ -142,17 +142,15 @@ def _full(spark, bronze, silver_path, state, updated_at, lag_slices) -> None:
     valid = _staged(spark, silver_plan.validated(bronze), "silver-valid")
     days, slices = _summary(spark, valid, lag_slices)
     out = silver_plan.finish_silver(valid, updated_at, None, slices).withColumn("date", F.to_date("timestamp"))
-    (writes.clustered(out).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("date").parquet(silver_path))
+    writes.write_whole(out, silver_path)
     if state is not None:
-        (days.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("day").parquet(f"{state}/days"))
+        writes.write_whole(days, f"{state}/days", "day", ("symbol",))
         _write_last(days, state)
 
 
 def high_water_mark(spark: SparkSession, state_path: str):
     """Time of the newest validated row, from the small ``last`` table; None before the first run."""
-    last = writes.read_if_exists(spark, f"{state_path.rstrip('/')}/last")
+    last = read_stored(spark, f"{state_path.rstrip('/')}/last")
     return None if last is None else last.agg(F.max("timestamp")).first()[0]
 
 
@@ -160,20 +158,21 @@ def _carry(spark, bronze, silver_path, state, updated_at, lag_slices, changed):
     """Rows after the mark.  They are later than every stored row, so only the
     mark's own day is merged; other days are written as they are.  Writing them
     again (a retry) replaces the same rows."""
-    last = writes.read_if_exists(spark, f"{state}/last")        # replaced at the end, from a staged copy
+    last = read_stored(spark, f"{state}/last")        # replaced at the end, from a staged copy
     mark = last.agg(F.max("timestamp")).first()[0]
     if changed is not None:
         late = changed.filter(F.col("timestamp") <= F.lit(mark))
-        late.write.mode("append").parquet(f"{state}/late")
+        # by mark: a repeated run, which finds the same mark, replaces its report
+        (late.withColumn("mark", F.date_format(F.lit(mark), "yyyyMMdd'T'HHmmssSSSSSS")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("mark").parquet(f"{state}/late"))
     valid = _staged(spark, silver_plan.validated(silver_plan.since_high_water(bronze, mark)), "silver-valid")
     fresh, slices = _summary(spark, valid, lag_slices)
     new = silver_plan.finish_silver(valid, updated_at, last, slices).withColumn("date", F.to_date("timestamp"))
     day = _as_date(mark)
-    target = spark.read.option("mergeSchema", "true").parquet(silver_path)
-    kept = target.filter((F.col("date") == F.lit(day)) & (F.col("timestamp") <= F.lit(mark)))
+    kept = read_stored(spark, silver_path, [day]).filter(F.col("timestamp") <= F.lit(mark))
     merged = _staged(spark, kept.unionByName(new, allowMissingColumns=True), "silver-new")
     writes.write_layer(merged, silver_path)
-    old = writes.read_if_exists(spark, f"{state}/days").filter(F.col("day") == F.lit(day))
+    old = read_stored(spark, f"{state}/days", [day], "day")
     same_day = old.join(fresh.select("symbol", "day"), ["symbol", "day"], "left_anti")
     _staged_overwrite(spark, same_day.unionByName(fresh), f"{state}/days", "day")
     newest = silver_plan._last_by(last.unionByName(fresh.select(*last.columns)), ["symbol"]).select(*last.columns)
@@ -203,24 +202,73 @@ def _of_slices(bronze: DataFrame, slices: DataFrame) -> DataFrame:
     return rows.join(wanted, ["symbol", "_day"], "left_semi").drop("_day").select(bronze.columns)
 
 
-def _recompute(spark, bronze, silver_path, state, days, touched, updated_at, lag_slices):
-    """R04 on the touched slices and each symbol's next one."""
+def _around(days: Sequence[date]) -> set[date]:
+    return {d + timedelta(n) for d in days for n in range(-NEAR_DAYS, NEAR_DAYS + 1)}
+
+
+def _days_from(spark, path, since, column="date") -> list[date]:
+    return [d for d in stored_days(spark, path, column) if d >= _as_date(since)]
+
+
+def neighbourhood(spark, path, column, touched: DataFrame, fresh: DataFrame, newest: DataFrame | None = None) -> DataFrame:
+    """Rows (symbol, `column`, ...) of a folder with one row per symbol and day:
+    the `fresh` ones in place of those of the `touched` slices, and for each of
+    these at least the symbol's nearest stored days before and after.
+
+    Folders of the NEAR_DAYS days around the touched ones are read first; a symbol
+    with a touched slice that has no neighbour there, though folders lie further
+    out on that side, is looked up in all of them.  `newest` (symbol, day) spares
+    that after each symbol's last day."""
+    slices = touched.withColumnRenamed("day", column)
+    dates = [r[0] for r in touched.select("day").distinct().collect()]      # bounded by the calendar
+    present = stored_days(spark, path, column)
+    near = _around(dates)
+
+    def rows_of(days, symbols):
+        old = read_stored(spark, path, days, column).select(*fresh.columns)
+        return old.join(symbols, "symbol", "left_semi").join(slices, ["symbol", column], "left_anti").unionByName(fresh)
+
+    out = _staged(spark, rows_of([d for d in present if d in near], touched.select("symbol").distinct()), "neighbours")
+    if not present or not dates:
+        return out
+    span = Window.partitionBy("symbol").orderBy("_n")
+    marks = (out.select("symbol", F.col(column).alias("day"), F.lit(False).alias("_touched"))
+             .unionByName(touched.select("symbol", "day", F.lit(True).alias("_touched")))
+             .withColumn("_n", F.datediff("day", F.lit("1970-01-01").cast("date"))))
+    seen = lambda a, b: F.max(~F.col("_touched")).over(span.rangeBetween(a, b))
+    marks = marks.withColumns({"_before": F.coalesce(seen(-NEAR_DAYS, -1), F.lit(False)),
+                               "_after": F.coalesce(seen(1, NEAR_DAYS), F.lit(False))}).filter("_touched")
+    # folders beyond the window: the days between may hold the symbol's neighbour
+    older = ~F.col("_before") & (F.date_sub("day", NEAR_DAYS) > F.lit(min(present)))
+    newer = ~F.col("_after") & (F.date_add("day", NEAR_DAYS) < F.lit(max(present)))
+    if newest is not None:
+        marks = marks.join(newest.select("symbol", F.col("day").alias("_newest")), "symbol", "left")
+        newer = newer & F.coalesce(F.col("day") < F.col("_newest"), F.lit(False))
+        older = older & F.col("_newest").isNotNull()
+    open_ = _staged(spark, marks.filter(older | newer).select("symbol").distinct(), "neighbours-open")
+    if open_.isEmpty():
+        return out
+    return out.join(open_, "symbol", "left_anti").unionByName(
+        rows_of(present, open_).join(open_, "symbol", "left_semi"))
+
+
+def _recompute(spark, bronze, silver_path, state, touched, updated_at, lag_slices):
+    """R04 on the touched slices and each symbol's next one; state is read in the
+    days around them."""
     touched = _staged(spark, touched.filter("symbol is not null and day is not null"), "touched")
     valid = _staged(spark, silver_plan.validated(_of_slices(bronze, touched)), "silver-valid")
     fresh, slices = _summary(spark, valid, lag_slices)
-    symbols = touched.select("symbol").distinct()
-    known = (days.join(touched, ["symbol", "day"], "left_anti").unionByName(fresh, allowMissingColumns=True)
-             .join(symbols, "symbol", "left_semi"))
-    known = _staged(spark, known, "silver-known")              # one row per day of the touched symbols
+    last = read_stored(spark, f"{state}/last")
+    newest = last.select("symbol", F.to_date("timestamp").alias("day"))
+    known = _staged(spark, neighbourhood(spark, f"{state}/days", "day", touched, fresh, newest), "silver-known")
     affected = _staged(spark, silver_plan.affected_slices(known, touched), "affected")
     others = affected.join(touched, ["symbol", "day"], "left_anti")
     rows = valid.unionByName(silver_plan.validated(_of_slices(bronze, others)))
     new = silver_plan.finish_silver(rows, updated_at, silver_plan.seeds_of_slices(known, affected), slices)
     writes.replace_slices(spark, silver_path, new.withColumn("date", F.to_date("timestamp")), affected)
     writes.replace_slices(spark, f"{state}/days", fresh, touched, "day", ("symbol",))
-    last = writes.read_if_exists(spark, f"{state}/last")
-    newest = (last.join(symbols, "symbol", "left_anti")
-              .unionByName(silver_plan.seeds_before(known).select(*last.columns)))
+    standing = last.withColumn("day", F.to_date("timestamp")).join(touched, ["symbol", "day"], "left_anti").select(*last.columns)
+    newest = silver_plan._last_by(standing.unionByName(known.select(*last.columns)), ["symbol"]).select(*last.columns)
     _staged(spark, newest, "silver-last").coalesce(1).write.mode("overwrite").parquet(f"{state}/last")
     return affected
 
@@ -233,13 +281,17 @@ def _as_date(value) -> date:
     return date.fromisoformat(str(value)[:10])
 
 
-def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, updated_at=None) -> None:
+def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, updated_at=None, suite=None) -> DataFrame | None:
     """C04 + K07: full replace of gold from stored silver (one row per symbol
-    and day, sorted by symbol within each date partition - O01)."""
-    silver = spark.read.option("mergeSchema", "true").parquet(silver_path).drop("date")
-    g = gold_plan.build_gold(silver, updated_at=updated_at)
-    (writes.clustered(g, "date", ("symbol",)).write.mode("overwrite")
-      .option("partitionOverwriteMode", "static").partitionBy("date").parquet(gold_path))
+    and day, sorted by symbol within each date partition - O01).  With a `suite`
+    its tests run during the write; returns their report."""
+    g = gold_plan.build_gold(read_stored(spark, silver_path).drop("date"), updated_at=updated_at)
+    if suite is None:
+        writes.write_whole(g, gold_path, "date", ("symbol",))
+        return None
+    g, seen = quality.observe_suite(g, suite)
+    writes.write_whole(g, gold_path, "date", ("symbol",))
+    return quality.observed_report(spark, seen, suite, "gold", lambda: read_stored(spark, gold_path))
 
 
 def refresh_gold_since(spark: SparkSession, silver_path: str, gold_path: str, since,
@@ -247,9 +299,8 @@ def refresh_gold_since(spark: SparkSession, silver_path: str, gold_path: str, si
     """Incremental gold: rebuild only the days >= `since` (e.g. the first day
     an incremental silver run touched).  New rows are staged first, then
     only those date partitions of gold are overwritten."""
-    silver = spark.read.option("mergeSchema", "true").parquet(silver_path)
-    gold = spark.read.parquet(gold_path)
-    fresh = gold_plan.build_gold_since(silver, gold, since, updated_at)
+    silver = read_stored(spark, silver_path, _days_from(spark, silver_path, since))
+    fresh = gold_plan.build_gold_since(silver, read_stored(spark, gold_path), since, updated_at)
     writes.write_layer(_staged(spark, fresh, "gold-staging"), gold_path, mode="overwrite", sort_by=("symbol",))
 
 
@@ -257,19 +308,23 @@ def refresh_gold_slices(spark: SparkSession, silver_path: str, gold_path: str, s
                         updated_at=None) -> None:
     """Incremental gold after a silver run: the daily bars of the changed
     (symbol, day) `slices`, and each symbol's next day, whose return may change
-    with them.  Silver is read only for those days; gold, one row per symbol
-    and day, for the touched symbols."""
+    with them.  Silver is read for those days alone, gold for the days around."""
     slices = _staged(spark, slices, "gold-slices")
     dates = [r[0] for r in slices.select("day").distinct().collect()]        # bounded by the calendar
-    if not dates:
-        return
+    if dates:
+        rows = read_stored(spark, silver_path, dates).join(slices.withColumnRenamed("day", "date"), ["symbol", "date"], "left_semi")
+        apply_bars(spark, _staged(spark, daily_bars(rows), "gold-bars"), slices, gold_path, updated_at)
+
+
+def apply_bars(spark: SparkSession, bars: DataFrame, slices: DataFrame, gold_path: str, updated_at=None) -> None:
+    """Replace the daily `bars` of the (symbol, day) `slices` in gold (a slice
+    without one loses its row) and the metrics of each symbol's next day."""
     stamp = F.current_timestamp() if updated_at is None else F.lit(updated_at).cast("timestamp")
-    silver = spark.read.option("mergeSchema", "true").parquet(silver_path).filter(F.col("date").isin(dates))
-    rows = silver.join(slices.withColumnRenamed("day", "date"), ["symbol", "date"], "left_semi")
-    bars = _staged(spark, daily_bars(rows), "gold-bars")
-    old = (spark.read.parquet(gold_path).join(slices.select("symbol").distinct(), "symbol", "left_semi")
-           .join(slices.withColumnRenamed("day", "date"), ["symbol", "date"], "left_anti"))
-    known = _staged(spark, old.select(*bars.columns).unionByName(bars), "gold-known")
+    if read_stored(spark, gold_path, []) is None:
+        fresh = gold_plan.daily_metrics(bars).withColumn("updated_at", stamp).select(*GOLD_COLUMNS)
+        writes.replace_slices(spark, gold_path, fresh, slices, "date", ("symbol",))
+        return
+    known = _staged(spark, neighbourhood(spark, gold_path, "date", slices, bars), "gold-known")
     affected = silver_plan.affected_slices(known.withColumnRenamed("date", "day"), slices)
     affected = _staged(spark, affected, "gold-affected")
     fresh = (gold_plan.daily_metrics(known)
@@ -287,7 +342,7 @@ def refresh_layers(spark: SparkSession, bronze: DataFrame, root: str, mode: str
     silver_path, gold_path = f"{root}/silver", f"{root}/gold"
     slices = refresh_silver(spark, bronze, silver_path, mode=mode, state_path=f"{root}/_silver_state",
                             updated_at=updated_at, lag_slices=lag_slices, changed=changed, since=since)
-    if slices is None or writes.read_if_exists(spark, gold_path) is None:
+    if slices is None or read_stored(spark, gold_path, []) is None:
         refresh_gold(spark, silver_path, gold_path, updated_at)
     else:
         refresh_gold_slices(spark, silver_path, gold_path, slices, updated_at)
