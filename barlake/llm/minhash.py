@@ -9,19 +9,21 @@ two bitmaps differ; pairs whose estimate lies six standard deviations below the
 threshold are let go, all others are confirmed on their full sets.
 
 Candidates without all pairs of a bucket: the bucket's smallest member is
-compared with every other one.  Members that end in one component need no
-further comparison, so only pairs across components remain; further rounds
-compare other members the same way while there are many, then the rest is
-listed pair by pair.  A shingle that no other candidate document has can't be
-shared, so the number of a document's other shingles bounds every intersection;
-documents and pairs whose bound stays below the threshold are left out, which
-keeps large families of loosely related texts from being compared pair by pair.
-No other pair that shares a band is skipped, unless its two documents are
-already known to be connected.
+compared with every other one, and members that end in one component need no
+further comparison.  Buckets that still hold several components go to tasks as a
+whole (a large one in blocks, each pair of blocks a task), and there every pair
+across components is tested, by odd sketch and then on its full sets, in the first
+band it shares, until the two are connected; a task returns a spanning edge per
+link that joins two components, never its pairs.  A shingle that no other candidate
+text has can't be shared, so the number of a text's other shingles bounds every
+intersection; texts and pairs whose bound stays below the threshold are left out,
+which spares large families of loosely related texts most tests.  No other pair that
+shares a band is skipped, unless its two documents are already connected.
 
 Defined results: null, empty and white-space texts have no shingles and are
 linked with nothing; fewer than five words are one shingle; rows that share a
-doc_id are one document; a row without doc_id is linked with nothing, its
+doc_id are one document, linked with all that any of its texts is linked with; a
+row without doc_id is linked with nothing, its
 component is null and it is kept.  Other columns are ignored.
 """
 
@@ -45,8 +47,10 @@ ROWS, BANDS = 4, 32
 SAMPLES = ROWS * BANDS
 SKETCH_BITS = 512
 SIGMAS = 6
-ROUNDS = 1                # rounds of bucket pivots before the rest is listed
-PENDING = 4               # ... while more pairs are open than PENDING times the band entries
+BLOCK = 4096              # texts of a bucket that one task takes from each side
+BLOCK_BYTES = 32 << 20    # ... and the bytes of these, about
+HELD_SHINGLES = 8 << 20   # shingles of full sets that a task holds
+GROUP = 4096              # entries of small buckets that share a task
 
 WORD_CACHE = 400_000
 _rng = np.random.default_rng(7)
@@ -54,7 +58,7 @@ MULTIPLIERS = _rng.integers(0, 2**64, SAMPLES, np.uint64) | np.uint64(1)
 OFFSETS = _rng.integers(0, 2**64, SAMPLES, np.uint64)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
-SKETCH_SCHEMA = "doc_id long, n_shingles long, digest binary, bands array<long>, odd array<long>"
+SKETCH_SCHEMA = "doc_id long, print long, size long, n_shingles long, digest binary, bands array<long>, odd array<long>"
 
 
 class WordHashes(dict):
@@ -119,35 +123,38 @@ def differing_bits_limit() -> float:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """One row per document: set size, set digest, band keys, odd sketch."""
+    """One row per document: hash of the text, set size, set digest, band keys, odd sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
 
-        def rows(ids, sets):
+        def rows(ids, prints, sizes, sets):
             full = [s for s in sets if len(s)]
             samples = signatures(full) if full else np.empty((0, SAMPLES), np.uint64)
             keys, odd = iter(band_keys(samples).tolist()), iter(odd_sketches(samples).tolist())
             return pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(ids, pa.int64()), pa.array(prints, pa.int64()), pa.array(sizes, pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 pa.array([next(odd) if len(s) else None for s in sets], pa.list_(pa.int64())),
-            ], names=["doc_id", "n_shingles", "digest", "bands", "odd"])
+            ], names=["doc_id", "print", "size", "n_shingles", "digest", "bands", "odd"])
 
         for batch in batches:
-            ids, sets, size = [], [], 0
-            for doc_id, data in zip(batch.column(0).to_pylist(), binaries(batch.column(1))):
+            ids, prints, sizes, sets, size = [], [], [], [], 0
+            for doc_id, data, mark in zip(batch.column(0).to_pylist(), binaries(batch.column(1)), batch.column(2).to_pylist()):
                 ids.append(doc_id)
+                prints.append(mark)
+                sizes.append(len(data or b""))
                 sets.append(shingle_set(data, hashes))
                 size += len(sets[-1])
                 if size >= 100_000 or len(ids) >= 1000:
-                    yield rows(ids, sets)
-                    ids, sets, size = [], [], 0
+                    yield rows(ids, prints, sizes, sets)
+                    ids, prints, sizes, sets, size = [], [], [], [], 0
             if ids:
-                yield rows(ids, sets)
+                yield rows(ids, prints, sizes, sets)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SKETCH_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("print")).mapInArrow(run, SKETCH_SCHEMA)
 
 
 def similarity(pairs: DataFrame) -> DataFrame:
@@ -175,25 +182,25 @@ def similarity(pairs: DataFrame) -> DataFrame:
 
 
 def shared_counts(texts: DataFrame) -> DataFrame:
-    """(rep, own): the number of a document's shingles that no other has."""
+    """(cls, own): the number of a text's shingles that no other has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             ids, sets, size = [], [], 0
-            for doc_id, data in zip(batch.column(0).to_pylist(), binaries(batch.column(1))):
+            for cls, data in zip(batch.column(0).to_pylist(), binaries(batch.column(1))):
                 sets.append(shingle_set(data, hashes).view(np.int64))
-                ids.append(np.full(len(sets[-1]), doc_id))
+                ids.append(np.full(len(sets[-1]), cls))
                 size += len(sets[-1])
                 if size >= 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (sets, ids)], names=["shingle", "rep"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (sets, ids)], names=["shingle", "cls"])
                     ids, sets, size = [], [], 0
             if size:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (sets, ids)], names=["shingle", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (sets, ids)], names=["shingle", "cls"])
 
-    rows = texts.select("doc_id", "text").mapInArrow(run, "shingle long, rep long")
-    return (rows.groupBy("shingle").agg(F.min("rep").alias("rep"), F.max("rep").alias("last")).filter("rep = last")
-            .groupBy("rep").agg(F.count("*").alias("own")))
+    rows = texts.select("cls", "text").mapInArrow(run, "shingle long, cls long")
+    return (rows.groupBy("shingle").agg(F.min("cls").alias("cls"), F.max("cls").alias("last")).filter("cls = last")
+            .groupBy("cls").agg(F.count("*").alias("own")))
 
 
 def _possible(n_a, shared_a, n_b, shared_b):
@@ -203,84 +210,160 @@ def _possible(n_a, shared_a, n_b, shared_b):
 
 
 def _confirm(spark: SparkSession, pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links among ``pairs``: odd sketches first, then full sets.  ``texts`` has
-    the documents' sketches and texts; both joins read one exchange of it."""
-    left = texts.withColumnsRenamed({"doc_id": "a", "odd": "odd_a", "text": "text_a"})
-    right = texts.withColumnsRenamed({"doc_id": "b", "odd": "odd_b", "text": "text_b"})
-    both = pairs.join(right, "b").join(left, "a")
+    """Links (a, b) of doc_ids among ``pairs`` of texts: odd sketches first, then
+    full sets.  Both joins read one exchange of ``texts(cls, rep, odd, text)``."""
+    left = texts.select(F.col("cls").alias("cls_a"), F.col("rep").alias("a"), F.col("odd").alias("odd_a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("cls").alias("cls_b"), F.col("rep").alias("b"), F.col("odd").alias("odd_b"), F.col("text").alias("text_b"))
+    both = pairs.join(right, "cls_b").join(left, "cls_a")
     bits = sum((F.bit_count(F.col("odd_a")[i].bitwiseXOR(F.col("odd_b")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
     close = both.filter(bits <= differing_bits_limit())
     links = similarity(close).filter(100 * F.col("common") >= PERCENT * F.col("total")).select("a", "b")
     return staged(spark, links, "minhash-links")
 
 
+def link_bucket(rows: dict[str, np.ndarray], key: int, whole: bool, shingles) -> Iterator[tuple[int, int]]:
+    """Spanning edges, as pairs of rows, of the links between the components of one
+    bucket (or, unless ``whole``, between two of its blocks).  ``shingles(row)`` is
+    a row's full set."""
+    order = np.argsort(rows["comp"], kind="stable")
+    comp, n, shared, side = (rows[c][order] for c in ("comp", "n", "shared", "side"))
+    bands, odd = rows["bands"][order], rows["odd"][order]
+    found, number = np.unique(comp, return_inverse=True)
+    root = np.arange(len(found))            # every component's root; few, so unions rename
+    behind = np.searchsorted(comp, comp, "right")
+    limit = differing_bits_limit()
+    for i in range(len(order)):
+        j = np.arange(behind[i], len(order))
+        j = j[root[number[j]] != root[number[i]]]
+        if not whole:
+            j = j[side[j] != side[i]]
+        most = np.minimum(shared[i], shared[j])
+        j = j[100 * most >= PERCENT * (n[i] + n[j] - most)]
+        j = j[np.bitwise_count(odd[j] ^ odd[i]).sum(1) <= limit]
+        j = j[bands[i][(bands[j] == bands[i]).argmax(1)] == key]        # the first band they share
+        for k in j.tolist():
+            if root[number[i]] == root[number[k]]:
+                continue
+            x, y = shingles(order[i]), shingles(order[k])
+            if len(x) > len(y):
+                x, y = y, x
+            common = int((y[np.searchsorted(y, x).clip(max=len(y) - 1)] == x).sum())
+            if 100 * common >= PERCENT * (len(x) + len(y) - common):
+                root[root == root[number[k]]] = root[number[i]]
+                yield int(order[i]), int(order[k])
+
+
+def open_links(placed: DataFrame) -> DataFrame:
+    """Spanning edges (a, b) of all buckets that hold several components."""
+
+    def run(table):
+        table = table.sort_by([(c, "ascending") for c in ("key", "s", "t", "rep", "cls")])
+        rows = {c: table[c].to_numpy() for c in ("key", "s", "t", "side", "rep", "cls", "n", "shared", "comp")}
+        for c, width in (("bands", BANDS), ("odd", SKETCH_BITS // 64)):
+            rows[c] = table[c].combine_chunks().flatten().to_numpy().reshape(-1, width)
+        texts, hashes, sets = table["text"].combine_chunks(), WordHashes(), {}
+        held = 0
+
+        def shingles(row):
+            nonlocal held
+            cls = rows["cls"][row]
+            if cls not in sets:
+                if held > HELD_SHINGLES:
+                    sets.clear()
+                    held = 0
+                sets[cls] = shingle_set(next(iter(binaries(texts.slice(row, 1)))), hashes)
+                held += len(sets[cls])
+            return sets[cls]
+
+        change = np.flatnonzero(np.concatenate([[True], (np.diff(rows["key"]) != 0) | (np.diff(rows["s"]) != 0) | (np.diff(rows["t"]) != 0)]))
+        a, b = [], []
+        for lo, hi in zip(change, np.append(change[1:], len(texts))):
+            part = {c: v[lo:hi] for c, v in rows.items()}
+            for i, j in link_bucket(part, part["key"][0], part["s"][0] == part["t"][0], lambda r: shingles(lo + r)):
+                a.append(part["rep"][i])
+                b.append(part["rep"][j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return placed.groupBy("part").applyInArrow(run, "a long, b long")
+
+
+def _members(spark: SparkSession, docs: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``members(key, cls, rep, n, size, shared)``: the band entries of texts that share
+    a band and have enough shingles in common with others; and their ``texts``."""
+    entries = reps.select(F.explode("bands").alias("key"), "cls", "rep", "n", "size")
+    buckets = (entries.groupBy("key").agg(F.min("cls").alias("first"), F.max("cls").alias("last"))
+               .filter("first < last").select("key"))
+    met = staged(spark, entries.join(buckets, "key", "left_semi"), "minhash-met")
+    wanted = reps.select("cls", F.col("rep").alias("doc_id"), "print", "bands", "odd").join(met.select("cls"), "cls", "left_semi")
+    texts = (docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("print"))
+             .join(wanted, ["doc_id", "print"]).dropDuplicates(["doc_id", "print"]).withColumnRenamed("doc_id", "rep"))
+    texts = staged(spark, texts.select("cls", "rep", "bands", "odd", "text"), "minhash-texts")
+    members = (met.join(shared_counts(texts), "cls", "left")
+               .select("key", "cls", "rep", "n", "size", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+               .filter(100 * F.col("shared") >= PERCENT * F.col("n")))
+    return staged(spark, members, "minhash-members"), texts
+
+
+def _placed(labelled: DataFrame, split: DataFrame, total: int) -> DataFrame:
+    """The entries of open buckets, each in the tasks of its block's pairs;
+    ``split(key, entries, bytes)`` has the buckets' sizes."""
+    blocks = F.greatest(F.ceil(F.col("entries") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    return (labelled.join(split, "key").withColumn("blocks", blocks)
+            .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"s": F.least("block", "other"), "t": F.greatest("block", "other")})
+            .withColumn("side", F.when(F.col("block") == F.col("s"), 0).otherwise(1))
+            .withColumn("part", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(max(1, total // GROUP))))
+                        .otherwise(F.xxhash64("key", "s", "t"))))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     sketches = staged(spark, sketch(docs), "minhash-sketches")
     full = sketches.filter("n_shingles > 0 and doc_id is not null")
     # texts of one set are one class; its smallest doc_id represents it
-    reps = staged(spark, full.groupBy("digest").agg(F.min_by(F.struct("doc_id", "n_shingles", "bands", "odd"), "doc_id").alias("r"))
-                  .select("digest", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), "r.bands", "r.odd"),
-                  "minhash-reps")
-
-    entries = reps.select(F.explode("bands").alias("key"), "rep", "n")
-    buckets = (entries.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last"))
-               .filter("first < last").select("key"))
-    met = staged(spark, entries.join(buckets, "key", "left_semi"), "minhash-met")
-    wanted = reps.select(F.col("rep").alias("doc_id"), "odd").join(
-        met.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    texts = staged(spark, docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id"), "minhash-texts")
-    members = (met.join(shared_counts(texts), "rep", "left")
-               .select("key", "rep", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
-               .filter(100 * F.col("shared") >= PERCENT * F.col("n")))
-    members = staged(spark, members, "minhash-members")
-
-    pivots = (members.groupBy("key").agg(F.min(F.struct("rep", "n", "shared")).alias("p"), F.max("rep").alias("last"))
-              .filter("p.rep < last").select("key", "p"))
-    pairs = (members.join(pivots, "key").filter("rep <> p.rep")
+    first = F.min_by(F.struct("doc_id", "print", "size", "n_shingles", "bands", "odd"), F.struct("doc_id", "print"))
+    reps = full.groupBy("digest").agg(first.alias("r")).select(
+        F.monotonically_increasing_id().alias("cls"), "digest", F.col("r.doc_id").alias("rep"), "r.print",
+        "r.size", F.col("r.n_shingles").alias("n"), "r.bands", "r.odd")
+    reps = staged(spark, reps, "minhash-reps")
+    members, texts = _members(spark, docs, reps)
+
+    pivots = (members.groupBy("key").agg(F.min(F.struct("cls", "n", "shared")).alias("p"), F.max("cls").alias("last"))
+              .filter("p.cls < last").select("key", "p"))
+    pairs = (members.join(pivots, "key").filter("cls <> p.cls")
              .filter(_possible(F.col("n"), F.col("shared"), F.col("p.n"), F.col("p.shared")))
-             .select(F.col("p.rep").alias("a"), F.col("rep").alias("b")).distinct())
-    tested = staged(spark, pairs, "minhash-pairs")
-    component = connected_components(spark, _confirm(spark, tested, texts), "minhash")
-    n_entries = members.count()
-    for step in range(ROUNDS + 1):
-        labelled = (members.join(component, F.col("rep") == F.col("node"), "left")
-                    .select("key", "rep", "n", "shared", F.coalesce("component", "rep").alias("comp")))
-        sizes = labelled.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("comps"))
-        split = sizes.filter("comps > 1").select("key", ((F.col("n") * F.col("n") - F.col("same")) / 2).alias("open"))
-        split = staged(spark, split, "minhash-open")
-        pending = split.agg(F.sum("open")).first()[0] or 0
-        if not pending:
-            break
-        rest = labelled.join(split.select("key"), "key", "left_semi")
-        last = step == ROUNDS or pending <= PENDING * n_entries
-        if last:        # every open pair across components
-            left = rest.select("key", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "shared", "comp")))
-            right = rest.select("key", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "shared", "comp")))
-            found = (left.join(right, "key").filter("rep_a < rep_b and comp_a <> comp_b")
-                     .filter(_possible(F.col("n_a"), F.col("shared_a"), F.col("n_b"), F.col("shared_b")))
-                     .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
-        else:           # another member of each bucket against the others
-            pivot = rest.groupBy("key").agg(
-                F.min_by(F.struct("rep", "n", "shared", "comp"), F.xxhash64("rep", F.lit(step))).alias("p"))
-            found = (rest.join(pivot, "key").filter("comp <> p.comp")
-                     .filter(_possible(F.col("n"), F.col("shared"), F.col("p.n"), F.col("p.shared")))
-                     .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")))
-        fresh = staged(spark, found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-        more = _confirm(spark, fresh, texts)
+             .select(F.col("p.cls").alias("cls_a"), F.col("cls").alias("cls_b")).distinct())
+    # a doc_id with several texts links the classes of all of them
+    several = (sketches.filter("doc_id is not null").groupBy("doc_id")
+               .agg(F.min(F.coalesce(F.hex("digest"), F.lit(""))).alias("low"), F.max(F.coalesce(F.hex("digest"), F.lit(""))).alias("high"))
+               .filter("low <> high").select("doc_id"))
+    own = full.join(several, "doc_id", "left_semi").join(reps.select("digest", "rep"), "digest").select(
+        F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    links = staged(spark, _confirm(spark, pairs, texts).union(own), "minhash-first")
+    component = connected_components(spark, links, "minhash")
+
+    labelled = (members.join(component, F.col("rep") == F.col("node"), "left")
+                .select("key", "cls", "n", "size", "shared", F.coalesce("component", "rep").alias("comp")))
+    split = (labelled.groupBy("key", "comp").agg(F.count("*").alias("entries"), F.sum("size").alias("bytes")).groupBy("key")
+             .agg(F.sum("entries").alias("entries"), F.sum("bytes").alias("bytes"), F.count("*").alias("comps"))
+             .filter("comps > 1").drop("comps"))
+    split = staged(spark, split, "minhash-open")
+    total = split.agg(F.sum("entries")).first()[0] or 0
+    if total:
+        more = open_links(_placed(labelled, split, total).join(texts, "cls"))
+        more = staged(spark, more, "minhash-more")
         if not more.isEmpty():
             known = component.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
             component = connected_components(spark, known.union(more), "minhash")
-        if last:
-            break
-        tested = tested.union(fresh)
 
     labels = (reps.join(component, reps["rep"] == component["node"], "left")
               .select("digest", F.coalesce("component", "rep").alias("component_id")))
-    return (sketches.join(labels, "digest", "left")
-            .select("doc_id", "n_shingles", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component_id")), "doc_id")
-                    .alias("component_id"))
+    of_id = component.select(F.col("node").alias("doc_id"), F.col("component").alias("of_id"))
+    known = sketches.filter("digest is not null").join(labels, "digest", "left")
+    blank = sketches.filter("digest is null").join(of_id, "doc_id", "left").withColumnRenamed("of_id", "component_id")
+    columns = ["doc_id", "n_shingles", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component_id")), "doc_id").alias("component_id")]
+    return (known.select(*columns).unionByName(blank.select(*columns))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 

@@ -51,12 +51,13 @@ def test_query_matches_brute_force(spark):
     assert got == brute(docs)
 
 
-@pytest.mark.parametrize("rounds", [0, 4])
-def test_chains_of_near_copies(spark, monkeypatch, rounds):
-    """Copies that drift: neighbours link, ends do not, in one bucket or many."""
+@pytest.mark.parametrize("block, size", [(4096, 32 << 20), (7, 32 << 20), (4096, 3000)])
+def test_chains_of_near_copies(spark, monkeypatch, block, size):
+    """Copies that drift: neighbours link, ends do not; in whole buckets, and in
+    buckets split by entries or by bytes."""
     rng = random.Random(5)
-    monkeypatch.setattr(M, "ROUNDS", rounds)
-    monkeypatch.setattr(M, "PENDING", 0)
+    monkeypatch.setattr(M, "BLOCK", block)
+    monkeypatch.setattr(M, "BLOCK_BYTES", size)
     docs, now = {}, words(50, 120).split()
     for i in rng.sample(range(1000), 60):
         docs[i] = " ".join(now)
@@ -67,6 +68,29 @@ def test_chains_of_near_copies(spark, monkeypatch, rounds):
     assert result(spark, df) == brute(docs)
 
 
+@pytest.mark.parametrize("block", [4096, 20])
+def test_family_with_sentences_left_out(spark, monkeypatch, block):
+    """Loosely related members: many share bands without being linked."""
+    monkeypatch.setattr(M, "BLOCK", block)
+    rng = random.Random(11)
+    sentences = [words(100 + i, 12) for i in range(20)]
+    docs = {i: " ".join(s for s in sentences if rng.random() > 0.25) for i in range(150)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    assert result(spark, df) == brute(docs)
+
+
+def test_repeated_ids_keep_all_their_links(spark):
+    """A doc_id with two texts is linked with the near copies of both."""
+    short, long_, other = words(1, 40), words(2, 400), words(3, 90)
+    near = lambda text, n: " ".join(text.split()[:-n] + ["changed"])
+    rows = [(1, short), (1, long_), (2, near(short, 1)), (9, near(long_, 2)), (5, other), (5, None), (4, near(other, 1)),
+            (6, other), (6, ""), (7, None), (7, ""), (8, short), (8, short), (12, words(4, 50)), (12, words(5, 50))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in M.near_duplicates(spark, df).collect())
+    component = {1: 1, 2: 1, 9: 1, 8: 1, 5: 4, 6: 4, 4: 4, 7: 7, 12: 12}
+    assert got == sorted((i, len(shingles(t)), component[i], component[i] == i) for i, t in rows)
+
+
 def test_awkward_rows(spark):
     df = awkward(spark)
     rows = M.near_duplicates(spark, df)
