@@ -19,9 +19,10 @@ bucket spreads over tasks.  No pair is emitted: a group returns link counts
 
 Vectors with the same components are collapsed to one with a multiplicity.
 Defined results: a vector that is null, empty, zero, or holds null or non-finite
-components links with nothing; vectors of different length never link; rows that
-share a vec_id are one node, whose links are counted together; a null vec_id
-links with nothing.  ``label`` and extra columns are ignored.
+components links with nothing; vectors of different length never link; a row that
+repeats another one's vec_id and vector is the same vector; rows that share a
+vec_id and differ are vectors with links of their own, but one node of a component,
+and the same holds where one of them can't link; a null vec_id links with nothing.  ``label`` and extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -121,19 +122,19 @@ def estimates(turned: np.ndarray, signs: np.ndarray, factor: np.ndarray) -> tupl
 
 
 def entries(reps: DataFrame, width: int, bands: int) -> DataFrame:
-    """(band, key, dim, rep): one row per vector and band."""
+    """(band, key, dim, cls): one row per vector and band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rep, dim, codes = (c.to_pylist() for c in batch.columns)
-            n = len(rep)
+            cls, dim, codes = (c.to_pylist() for c in batch.columns)
+            n = len(cls)
             keys = [band_keys(np.frombuffer(c, np.uint8)[None], width, bands)[0] for c in codes]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.tile(np.arange(bands, dtype=np.int32), n)), pa.array(np.concatenate(keys) if keys else [], pa.int64()),
-                pa.array(np.repeat(np.array(dim, np.int32), bands)), pa.array(np.repeat(np.array(rep, np.int64), bands))],
-                names=["band", "key", "dim", "rep"])
+                pa.array(np.repeat(np.array(dim, np.int32), bands)), pa.array(np.repeat(np.array(cls, np.int64), bands))],
+                names=["band", "key", "dim", "cls"])
 
-    return reps.select("rep", "dim", "code").mapInArrow(run, "band int, key long, dim int, rep long")
+    return reps.select("cls", "dim", "code").mapInArrow(run, "band int, key long, dim int, cls long")
 
 
 def _pairs(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -167,7 +168,7 @@ def link_group(rows: dict[str, np.ndarray], width: int, bands: int) -> tuple[np.
     """Links of a group, whose rows are sorted by bucket: link counts per row,
     and for each row the smallest row its links reach."""
     dim = rows["unit"].shape[1]
-    n = len(rows["rep"])
+    n = len(rows["cls"])
     turned = (rows["unit"] @ rotations(dim, dim)[0].T).astype(np.float32)
     signs = np.unpackbits(rows["code"], axis=1)[:, :dim].astype(np.float32) * 2 - 1
     counts = np.zeros(n, np.int64)
@@ -180,11 +181,11 @@ def link_group(rows: dict[str, np.ndarray], width: int, bands: int) -> tuple[np.
         keep = guess + error >= THRESHOLD
         a, b = a[keep], b[keep]
         exact = np.einsum("pd,pd->p", rows["unit"][a], rows["unit"][b])
-        keep = (exact >= THRESHOLD) & (rows["rep"][a] != rows["rep"][b])
+        keep = (exact >= THRESHOLD) & (rows["cls"][a] != rows["cls"][b])
         a, b = a[keep], b[keep]
         # a pair is counted in the first band it shares
         keys = band_keys(rows["code"][a], width, bands) == band_keys(rows["code"][b], width, bands)
-        first = keys.argmax(1) == rows["band"][a]
+        first = keys.any(1) & (keys.argmax(1) == rows["band"][a])
         a, b = a[first], b[first]
         np.add.at(counts, a, rows["mult"][b])
         np.add.at(counts, b, rows["mult"][a])
@@ -203,14 +204,14 @@ def link_group(rows: dict[str, np.ndarray], width: int, bands: int) -> tuple[np.
 
 
 def links(grouped: DataFrame, width: int, bands: int) -> DataFrame:
-    """(rep, n, root): partial link counts, and a representative that ``rep`` is
-    linked with (or ``rep`` itself)."""
+    """(cls, n, rep, root): partial link counts, and the vec_ids of the vector and
+    of one it is connected with (or its own)."""
 
     def run(key, table):
         table = table.sort_by([(c, "ascending") for c in ("band", "key", "s", "t")])
         dim = key[1].as_py()
-        rows = {c: table[c].to_numpy() for c in ("rep", "mult", "band", "key", "s", "t", "side")}
-        change = np.zeros(len(rows["rep"]), np.int64)
+        rows = {c: table[c].to_numpy() for c in ("cls", "rep", "mult", "band", "key", "s", "t", "side")}
+        change = np.zeros(len(rows["cls"]), np.int64)
         for c in ("band", "key", "s", "t"):
             change[1:] |= np.diff(rows[c]) != 0
         rows["bucket"] = np.cumsum(change)
@@ -219,9 +220,9 @@ def links(grouped: DataFrame, width: int, bands: int) -> DataFrame:
         rows["factor"] = table["factor"].to_numpy()
         counts, root = link_group(rows, width, bands)
         hit = np.flatnonzero(counts)
-        return pa.table({"rep": rows["rep"][hit], "n": counts[hit], "root": rows["rep"][root[hit]]})
+        return pa.table({"cls": rows["cls"][hit], "n": counts[hit], "rep": rows["rep"][hit], "root": rows["rep"][root[hit]]})
 
-    return grouped.groupBy("part", "dim").applyInArrow(run, "rep long, n long, root long")
+    return grouped.groupBy("part", "dim").applyInArrow(run, "cls long, n long, rep long, root long")
 
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
@@ -230,32 +231,41 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
     width, bands = bands_for(total)
     coded = staged(spark, encode(vectors, width * bands), "embedding-codes")
     valid = coded.filter("code is not null")
-    classes = valid.groupBy("digest", "dim").agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("mult"))
-    classes = staged(spark, classes, "embedding-classes")
-    reps = (valid.join(classes.withColumnRenamed("rep", "vec_id"), ["digest", "dim", "vec_id"])
-            .withColumnRenamed("vec_id", "rep").dropDuplicates(["digest", "dim"]))
+    # equal vectors are one class; its smallest vec_id represents it
+    reps = valid.groupBy("digest", "dim").agg(
+        F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("mult"), F.any_value("vector").alias("vector"),
+        F.any_value("code").alias("code"), F.any_value("factor").alias("factor"))
+    reps = staged(spark, reps.withColumn("cls", F.monotonically_increasing_id()), "embedding-classes")
     met = entries(reps, width, bands)
     sizes = met.groupBy("band", "key", "dim").agg(F.count("*").alias("size")).filter("size > 1")
     groups = max(1, total * bands // GROUP)
     placed = (met.join(sizes, ["band", "key", "dim"])
               .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-              .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+              .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .withColumn("s", F.least("block", "other")).withColumn("t", F.greatest("block", "other"))
               .withColumn("side", F.when(F.col("block") == F.col("s"), 0).otherwise(1))
               .withColumn("part", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("band", "key"), F.lit(groups)))
                           .otherwise(F.xxhash64("band", "key", "s", "t")))
-              .select("part", "band", "key", "s", "t", "side", "rep"))
-    grouped = placed.join(reps.select("rep", "dim", "vector", "code", "factor", "mult"), "rep")
+              .select("part", "band", "key", "s", "t", "side", "cls"))
+    grouped = placed.join(reps.select("cls", "rep", "dim", "vector", "code", "factor", "mult"), "cls")
     found = staged(spark, links(grouped, width, bands), "embedding-links")
-    component = connected_components(spark, found.select(F.col("rep").alias("a"), F.col("root").alias("b")), "embedding")
-    counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    labels = (classes.join(counts, "rep", "left").join(component, classes["rep"] == component["node"], "left")
+    # a vec_id with several vectors connects the classes of all of them
+    kind = F.coalesce(F.concat_ws(":", F.hex("digest"), "dim"), F.lit(""))
+    several = (coded.filter("vec_id is not null").groupBy("vec_id").agg(F.min(kind).alias("low"), F.max(kind).alias("high"))
+               .filter("low <> high").select("vec_id"))
+    own = valid.join(several, "vec_id", "left_semi").join(reps.select("digest", "dim", "rep"), ["digest", "dim"])
+    edges = found.select(F.col("rep").alias("a"), F.col("root").alias("b")).union(own.select("vec_id", "rep"))
+    component = connected_components(spark, edges, "embedding")
+    counts = found.groupBy("cls").agg(F.sum("n").alias("n"))
+    labels = (reps.join(counts, "cls", "left").join(component, reps["rep"] == component["node"], "left")
               .select("digest", "dim", (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n_links"),
                       F.coalesce("component", "rep").alias("component_id")))
-    out = (coded.select("vec_id", "digest", "dim").join(labels, ["digest", "dim"], "left")
-           .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                   F.coalesce("component_id", "vec_id").alias("component_id")))
+    linked = valid.select("vec_id", "digest", "dim").join(labels, ["digest", "dim"]).select("vec_id", "n_links", "component_id")
+    alone = (coded.filter("code is null").select("vec_id", F.lit(0).alias("n_links"))
+             .join(component.withColumnsRenamed({"node": "vec_id", "component": "component_id"}), "vec_id", "left"))
+    out = linked.unionByName(alone).select("vec_id", F.col("n_links").cast("long").alias("n_links"),
+                                           F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 

@@ -66,6 +66,16 @@ def test_embedding_null_and_empty(spark):
     assert E.near_duplicates(spark, spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_embedding_repeated_ids_with_different_vectors(spark):
+    """Vectors of their own, one node of a component."""
+    near = lambda x: [1.0, x, 0.0]
+    rows = [(1, near(0.0)), (1, near(0.01)), (2, near(0.02)), (3, near(0.03)), (2, [0.0, 0.0, 1.0]), (7, [0.0, 0.05, 1.0]),
+            (8, [0.0, 1.0, 0.0]), (8, None), (6, [0.0, 1.0, 0.01]), (9, [-1.0, 0.0, 0.0]), (9, [0.0, -1.0, 0.0]), (3, near(0.03))]
+    got = sorted(map(tuple, E.near_duplicates(spark, spark.createDataFrame([(i, v, 0, 1) for i, v in rows], VECTORS)).collect()))
+    assert got == sorted([(1, 3, 1, True), (1, 3, 1, True), (2, 3, 1, False), (3, 3, 1, False), (3, 3, 1, False), (2, 1, 1, False),
+                          (7, 1, 1, False), (8, 1, 6, False), (8, 0, 6, False), (6, 1, 6, True), (9, 0, 9, True), (9, 0, 9, True)])
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(0)
     v = rng.normal(size=(2000, 64))
