@@ -34,9 +34,13 @@ ignored.
 from __future__ import annotations
 
 import re
+import string
+import sys
+import types
 import zlib
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import public_tokenizers
@@ -54,11 +58,15 @@ SHARD_IDS = 1 << 20       # ids of a shard, about
 PART_IDS = 8 << 20        # ids of a range of documents that one task compresses, about
 LEAST_COUNT = 6           # a pair below this is not worth a rule
 STEP_RULES = 4096         # pairs replaced at once
-LEAST_GAIN = 0.01         # a step that shortens the symbols by less is the last
-SYMBOLS = 1 << 16
+LEAST_GAIN = 0.03         # a step that shortens the symbols by less is the last
+SYMBOLS = 1 << 16         # symbols fit 16 bits, pairs 32
+SLOT_BITS = 17
 CODES = {"<u2": "H", "<u4": "I"}
-CACHE = 400_000           # distinct stretches a task keeps
+CACHE = 400_000           # distinct stretches a worker keeps
+PIECES = 700_000          # and distinct pieces
 CACHED_BYTES = 100
+TOKEN_ID = attrgetter("id")
+PUNCTUATION = string.punctuation.encode()
 # The tokenizer file's pattern, for the letters of stretches without unusual characters.
 _LETTER = "a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
 PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^0-9{_LETTER}]+")
@@ -86,31 +94,56 @@ class Encoder(dict):
         self.model = self.tokenizer.model
         self.letters = {ord(c): ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(c)[0][0]
                         for c in map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x180)])}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str | bytes, bytes] = {}
 
-    def piece(self, piece: str) -> bytes:
+    def piece(self, key: str | bytes, piece: str) -> bytes:
         shown = piece if piece.isascii() else piece.translate(self.letters)
-        value = array(CODES[self.kind], [t.id for t in self.model.tokenize(shown)]).tobytes()
-        if len(self.pieces) >= CACHE:
+        value = array(CODES[self.kind], map(TOKEN_ID, self.model.tokenize(shown))).tobytes()
+        if len(self.pieces) >= PIECES:
             self.pieces.clear()
-        self.pieces[piece] = value
+        self.pieces[key] = value
         return value
 
-    def __missing__(self, stretch: bytes) -> bytes:
-        text = stretch.decode()
-        if len(stretch) > CACHED_BYTES or UNUSUAL.search(text) or "<|" in text:
-            value = array(CODES[self.kind], self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    def miss(self, stretch: bytes) -> bytes:
+        known = self.pieces
+        word = stretch.rstrip(PUNCTUATION)              # what follows a word is one piece
+        if word.isalpha() and len(stretch) <= CACHED_BYTES and b"<|" not in stretch:       # ASCII letters
+            low, rest = word.lower(), stretch[len(word):]
+            value = known.get(low) or self.piece(low, low.decode())
+            if rest:
+                value += known.get(rest) or self.piece(rest, rest.decode())
         else:
-            known = self.pieces
-            value = b"".join([known.get(x) or self.piece(x) for x in PIECE.findall(text.lower())])
+            text = stretch.decode()
+            if len(stretch) > CACHED_BYTES:
+                return self.whole(text)
+            if UNUSUAL.search(text) or "<|" in text:
+                value = self.whole(text)
+            else:
+                value = b"".join([known.get(x) or self.piece(x, x) for x in PIECE.findall(text.lower())])
         if len(self) >= CACHE:
             self.clear()
-        if len(stretch) <= CACHED_BYTES:
-            self[stretch] = value
+        self[stretch] = value
         return value
 
+    def whole(self, text: str) -> bytes:
+        return array(CODES[self.kind], self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
     def ids(self, text: bytes) -> bytes:
-        return b"".join([self[s] for s in text.split()])
+        stretches = text.split()
+        found = list(map(self.get, stretches))
+        if None in found:
+            found = [self.get(s) or self.miss(s) if f is None else f for f, s in zip(found, stretches)]
+        return b"".join(found)
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The worker process's encoder: the next tasks that Spark gives to the same
+    worker go on with what it has cached."""
+    kept = sys.modules.setdefault("_barlake_worker", types.ModuleType("_barlake_worker"))
+    encoders = vars(kept).setdefault("encoders", {})
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
 
 
 def encoded(docs: DataFrame, path: str, end: int) -> DataFrame:
@@ -118,7 +151,7 @@ def encoded(docs: DataFrame, path: str, end: int) -> DataFrame:
     ``row`` is unique, ``hash`` of the ids orders rows that share a doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = worker_encoder(path)
         close = np.array([end], encoder.kind).tobytes()
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -147,14 +180,14 @@ def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, _TYPES[t]) for c, (_, t) in zip(columns, fields)], names=[f[0] for f in fields])
 
 
-def _frequent(left: np.ndarray, right: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent pairs as 64-bit keys (at most ``most``, most frequent
-    last), and every position's key."""
-    keys = left.astype(np.int64) << 32 | right
-    pairs, counts = np.unique(keys, return_counts=True)
+def _frequent(keys: np.ndarray, least: int, most: int) -> np.ndarray:
+    """The most frequent pairs, at most ``most``, by rising count."""
+    keys = np.sort(keys)
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    counts = np.diff(starts, append=len(keys))
     often = counts >= least
-    pairs, counts = pairs[often], counts[often]
-    return pairs[np.argsort(counts, kind="stable")][-most:], keys
+    pairs, counts = keys[starts[often]], counts[often]
+    return pairs[np.argsort(counts, kind="stable")][-most:]
 
 
 def _places(keys: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,30 +195,35 @@ def _places(keys: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     count): of overlapping pairs the more frequent one, in a run of one symbol
     every other place.  Pairs are looked up by a hash; where two share a slot the
     less frequent one waits for the next step."""
-    slot = lambda x: (x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)
-    held, number = np.full(1 << 18, -1), np.zeros(1 << 18, np.int32)
+    slot = lambda x: (x * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
+    held, number = np.zeros(1 << SLOT_BITS, np.uint32), np.zeros(1 << SLOT_BITS, np.uint16)
     held[slot(pairs)] = pairs
     number[slot(pairs)] = np.arange(1, len(pairs) + 1)
     at = slot(keys)
-    rank = np.where(held[at] == keys, number[at], 0)
-    again = np.zeros(len(keys), bool)
-    np.equal(keys[1:], keys[:-1], out=again[1:])
-    if again.any():
-        n = np.arange(len(keys))
-        rank[(n - np.maximum.accumulate(np.where(again, 0, n))) % 2 == 1] = 0
-    around = np.zeros(len(rank) + 2, rank.dtype)
-    around[1:-1] = rank
-    places = np.flatnonzero((rank > around[:-2]) & (rank > around[2:]))
-    return places, rank[places] - 1
+    rank = number[at]
+    rank[held[at] != keys] = 0
+    again = np.flatnonzero((keys[1:] == keys[:-1]) & (rank[1:] > 0)) + 1
+    if len(again):
+        starts = np.diff(again, prepend=-1) > 1
+        first = again[starts][np.cumsum(starts) - 1]
+        rank[again[(again - first) % 2 == 0]] = 0
+    places = np.flatnonzero(rank)
+    ranks = np.append(rank, 0)           # so that the places before the first and after the last are 0
+    mine = ranks[places]
+    keep = (mine > ranks[places - 1]) & (mine > ranks[places + 1])
+    return places[keep], mine[keep].astype(np.int64) - 1
 
 
 def compress(ids: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
     """Rules (pairs of symbols, those from ``first`` on being nonterminals in the
-    order of the rules) and the symbols left."""
-    symbols, rules = ids.astype(np.int64), [np.empty((0, 2), np.int64)]
-    top = first
+    order of the rules) and the symbols left; no rules for ids beyond 16 bits."""
+    top, rules = first, [np.empty((0, 2), np.int64)]
+    if top >= SYMBOLS:
+        return rules[0], ids
+    symbols = ids.astype(np.uint16)
     while top < SYMBOLS and len(symbols) > 1:
-        pairs, keys = _frequent(symbols[:-1], symbols[1:], LEAST_COUNT, min(STEP_RULES, SYMBOLS - top))
+        keys = symbols[:-1].astype(np.uint32) << np.uint32(16) | symbols[1:]
+        pairs = _frequent(keys, LEAST_COUNT, min(STEP_RULES, SYMBOLS - top))
         if not len(pairs):
             break
         places, rule = _places(keys, pairs)
@@ -193,12 +231,13 @@ def compress(ids: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
         places, rule = places[used[rule]], rule[used[rule]]
         if not len(places):
             break
-        number = top + np.cumsum(used) - 1
+        number = (top + np.cumsum(used) - 1).astype(np.uint16)
         symbols[places] = number[rule]
-        rules.append(np.stack([pairs[used] >> 32, pairs[used] & 0xFFFFFFFF], 1))
+        rules.append(np.stack([pairs[used] >> np.uint32(16), pairs[used] & np.uint32(0xFFFF)], 1).astype(np.int64))
         top += int(used.sum())
-        before = len(symbols)
-        symbols = np.delete(symbols, places + 1)
+        before, stay = len(symbols), np.ones(len(symbols), bool)
+        stay[places + 1] = False
+        symbols = symbols[stay]
         if len(places) < LEAST_GAIN * before:
             break
     return np.concatenate(rules), symbols
