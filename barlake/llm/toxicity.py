@@ -1,32 +1,32 @@
 """8. Toxicity by the nearest labelled examples.
 
-Examples are at most SAMPLE labelled documents (the first by a hash of the id).
-Terms are words and their first 3 to 6 letters; the vocabulary keeps terms that
-depend on the label (log-likelihood ratio G2) and whose documents are toxic for
-the most part, at most VOCABULARY of them, the strongest first; equal texts
-count once for it.  A document is its TF-IDF vector over the vocabulary, counted
-over its whole text.
-
-Neighbours are exact: an inverted index over the examples holds, for each term
-and block of BLOCK examples, the largest weight; the sum of query weight times
-block maximum bounds every cosine in the block, blocks are scored from the
-largest bound down, and the search ends when the K-th best cosine reaches the
-next bound.  Neighbours vote with weight 1 / (0.1 + 1 - cosine); votes become
+Examples are the distinct texts of at most SAMPLE labelled documents (the first
+by a hash of the id).  Terms are words and their first 3 to 6 letters; every term
+of every example is indexed.  A document is its TF-IDF vector over the terms of
+the examples, counted over its whole text; a term weighs more the more surely it
+comes with the label (the lower bound of its log odds ratio), and FLOOR at least,
+so that texts without a telling term still have their nearest examples.
+
+Neighbours are exact: postings hold every example of a term; frequent terms also
+have the largest weight of each block of BLOCK examples.  The sum over a text's
+rare terms is taken for all examples at once, and with the block maxima of the
+frequent terms it bounds every cosine in a block; the blocks of the largest bounds
+are scored first, then those whose bound reaches the K-th best cosine.  Neighbours vote with weight 1 / (0.1 + 1 - cosine); votes become
 probabilities by a monotone fit (pool adjacent violators) on the examples' own
-votes, each without itself.  A document without any vocabulary term has no
-neighbours; its score is the share of toxic documents among such examples.
+votes, each without itself.  A document that shares no term with any example has
+no neighbours; its score is the share of toxic documents among the examples.
 
 Defined results: a null or empty text has no terms; labels that are null are
 left out, of repeated ones the larger counts; rows without doc_id teach nothing;
-with no labels every score is 0; rows that share a doc_id are scored one by one.
-Labels, lang, source and doc_id are no inputs of a score.
+of rows that share a doc_id one text teaches (the smallest by hash), and all are
+scored one by one; equal texts are one example, toxic if one of them is; with no
+labels every score is 0.  Labels, lang, source and doc_id are no inputs of a score.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +35,14 @@ from pyspark.sql import functions as F
 
 from barlake.llm.common import ALNUM_WORDS, binaries, held_out, staged, table, word_lists
 
-SAMPLE = 20_000
-VOCABULARY = 4096
-LEAST_G2 = 25.0           # a chance of about 6e-7 for a term that says nothing
-LEAST_DOCS = 5
-LEAST_SHARE = 0.8         # of a term's documents are toxic
+SAMPLE = 4096             # labelled documents
+PREFIXES = (3, 4, 5, 6)   # letters
+FLOOR = 0.02              # weight of a term that says nothing about the label
+SURE = 4.0                # standard errors taken off a log odds ratio
+FREQUENT = 16             # a term in more than one in so many examples has block maxima
 BLOCK = 64
+STEP = 8                  # blocks scored before the bounds are looked at
+QUERIES = 64              # texts searched at once
 K = 16
 THRESHOLD = 0.3
 WORD_CACHE = 400_000
@@ -48,11 +50,18 @@ WORD_CACHE = 400_000
 
 def word_terms(word: bytes) -> list[str]:
     text = word.decode()
-    return [text, *("^" + text[:n] for n in range(3, 7) if len(text) >= n)]
+    return [text, *("^" + text[:n] for n in PREFIXES if len(text) >= n)]
+
+
+def word_counts(data: bytes | None) -> Counter:
+    out: Counter = Counter()
+    for words in word_lists(data or b"", ALNUM_WORDS):
+        out.update(words)
+    return out
 
 
 class TermIds(dict):
-    """Word to the ids of its vocabulary terms; emptied when full."""
+    """Word to the ids of its indexed terms; emptied when full."""
 
     def __init__(self, vocabulary: dict[str, int]):
         self.vocabulary = vocabulary
@@ -64,74 +73,100 @@ class TermIds(dict):
         return ids
 
 
-def term_counts(data: bytes | None, terms: TermIds) -> Counter:
-    out: Counter = Counter()
-    for words in word_lists(data or b"", ALNUM_WORDS):
-        for ids in filter(None, map(terms.__getitem__, words)):
-            out.update(ids)
+def term_counts(data: bytes | None, terms: TermIds) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ids of a text's indexed terms, and how often it has each."""
+    ids: list[int] = []
+    counts: list[int] = []
+    for word, n in word_counts(data).items():
+        own = terms[word]
+        ids += own
+        counts += [n] * len(own)
+    if not ids:
+        return np.empty(0, np.int64), np.empty(0)
+    found, at = np.unique(np.array(ids, np.int64), return_inverse=True)
+    return found, np.bincount(at, counts)
+
+
+def unit(ids: np.ndarray, counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """TF-IDF weights of length one."""
+    w = (1 + np.log(counts)) * weight[ids]
+    return w / max(np.sqrt((w * w).sum()), 1e-300)
+
+
+def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ..., then those of start[1], and so on."""
+    ends = np.cumsum(length)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + length, length)
+
+
+def build_index(rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> dict[str, np.ndarray]:
+    """Postings by term of example vectors (ids, weights), and for frequent terms
+    the weights by block and their block maxima."""
+    n = len(rows)
+    blocks = -(-n // BLOCK)
+    terms = np.concatenate([r[0] for r in rows] or [np.empty(0, np.int64)])
+    weights = np.concatenate([r[1] for r in rows] or [np.empty(0)])
+    examples = np.repeat(np.arange(n), [len(r[0]) for r in rows])
+    order = np.lexsort((examples, terms))
+    terms, weights, examples = terms[order], weights[order], examples[order]
+    df = np.bincount(terms, minlength=n_terms)
+    row = np.full(n_terms, -1, np.int64)                   # dense row of a frequent term
+    frequent = np.flatnonzero(df > n / FREQUENT) if n > BLOCK else np.empty(0, np.int64)
+    row[frequent] = np.arange(len(frequent))
+    dense = np.zeros((blocks, len(frequent), BLOCK))
+    of = row[terms]
+    on = of >= 0
+    dense[examples[on] // BLOCK, of[on], examples[on] % BLOCK] = weights[on]
+    return {"n": np.int64(n), "start": np.concatenate([[0], np.cumsum(df)]), "examples": examples, "weights": weights,
+            "row": row, "dense": dense, "maxima": dense.max(2).T.copy() if n else np.zeros((0, 0))}
+
+
+def nearest(index: dict[str, np.ndarray], queries: list[tuple[np.ndarray, np.ndarray]], k: int = K,
+            without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query (sorted ids, weights): examples and cosines of the k nearest
+    with a positive cosine; of equal cosines the first examples."""
+    n, m = int(index["n"]), len(queries)
+    blocks = -(-n // BLOCK)
+    if not m or not n:
+        return [(np.empty(0, np.int64), np.empty(0))] * m
+    sums = np.zeros((m, blocks * BLOCK))
+    often = np.zeros((m, index["maxima"].shape[0]))
+    for q, (ids, w) in enumerate(queries):
+        row = index["row"][ids]
+        rare = row < 0
+        often[q, row[~rare]] = w[~rare]
+        start = index["start"][ids[rare]]
+        length = index["start"][ids[rare] + 1] - start
+        at = ranges(start, length)
+        sums[q] = np.bincount(index["examples"][at], index["weights"][at] * np.repeat(w[rare], length), minlength=blocks * BLOCK)
+    sums = sums.reshape(m, blocks, BLOCK)
+    bounds = (sums.max(2) + often @ index["maxima"]) * (1 + 1e-9)
+    if without is not None:
+        sums[np.arange(m), np.array(without) // BLOCK, np.array(without) % BLOCK] = -np.inf
+    scores = np.full((m, blocks, BLOCK), -np.inf)
+    kth = np.zeros(m)
+    waiting = np.ones((m, blocks), bool)
+    first = np.zeros((m, blocks), bool)
+    np.put_along_axis(first, np.argsort(-bounds, 1, kind="stable")[:, :STEP], True, 1)
+    for chosen in (first, waiting):                        # the best blocks, then all that may still matter
+        for b in np.argsort(-bounds.max(0), kind="stable").tolist():
+            on = np.flatnonzero(chosen[:, b] & waiting[:, b] & (bounds[:, b] > 0) & (bounds[:, b] >= kth))
+            if len(on):
+                scores[on, b] = np.round(sums[on, b] + often[on] @ index["dense"][b], 9)
+                waiting[on, b] = False
+        if k < n:
+            kth = np.maximum(0, np.partition(scores.reshape(m, -1), -k, 1)[:, -k])
+    out = []
+    for q, row in enumerate(scores.reshape(m, -1)):
+        found = np.flatnonzero((row > 0) & (row >= kth[q]))
+        found = found[np.lexsort((found, -row[found]))][:k]
+        out.append((found, row[found]))
     return out
 
 
-def vector(counts: Counter, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted term ids and TF-IDF weights of length one."""
-    ids = np.array(sorted(counts), np.int64)
-    w = (1 + np.log([counts[i] for i in ids.tolist()])) * idf[ids] if len(ids) else np.empty(0)
-    return ids, w / np.sqrt((w * w).sum()) if len(ids) else w
-
-
-@dataclass
-class BlockMaxIndex:
-    """Postings by term, sorted by example, with block maxima."""
-
-    doc_ids: np.ndarray
-    labels: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]]      # by term: examples, weights
-    pointers: np.ndarray                               # (terms, blocks + 1): first posting of each block
-    maxima: np.ndarray                                 # (terms, blocks)
-
-    @classmethod
-    def build(cls, examples: list[tuple[int, int, np.ndarray, np.ndarray]], n_terms: int) -> BlockMaxIndex:
-        blocks = -(-len(examples) // BLOCK)
-        lists: list[tuple[list, list]] = [([], []) for _ in range(n_terms)]
-        for e, (_, _, ids, w) in enumerate(examples):
-            for i, x in zip(ids.tolist(), w.tolist()):
-                lists[i][0].append(e)
-                lists[i][1].append(x)
-        postings = [(np.array(a, np.int64), np.array(b)) for a, b in lists]
-        pointers = np.array([np.searchsorted(a, np.arange(blocks + 1) * BLOCK) for a, _ in postings]).reshape(n_terms, blocks + 1)
-        maxima = np.zeros((n_terms, blocks))
-        for t, (a, b) in enumerate(postings):
-            np.maximum.at(maxima[t], a // BLOCK, b)
-        return cls(np.array([e[0] for e in examples], np.int64), np.array([e[1] for e in examples]), postings, pointers, maxima)
-
-    def nearest(self, ids: np.ndarray, w: np.ndarray, k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Examples and cosines of the k nearest with a positive cosine."""
-        bounds = w @ self.maxima[ids]
-        order = np.argsort(-bounds, kind="stable")
-        found = np.empty(0, np.int64)
-        cosines = np.empty(0)
-        for at in range(0, len(order), 8):
-            if bounds[order[at]] <= 0 or len(found) == k and cosines[-1] >= bounds[order[at]]:
-                break
-            sums = np.zeros((8, BLOCK))
-            for row, block in enumerate(order[at:at + 8].tolist()):
-                for t, x in zip(ids.tolist(), w.tolist()):
-                    lo, hi = self.pointers[t, block], self.pointers[t, block + 1]
-                    if lo < hi:
-                        examples, weights = self.postings[t]
-                        sums[row, examples[lo:hi] - block * BLOCK] += x * weights[lo:hi]
-            rows, cols = np.nonzero(sums)
-            examples = order[at + rows] * BLOCK + cols
-            keep = examples != without
-            found = np.concatenate([found, examples[keep]])
-            cosines = np.concatenate([cosines, sums[rows, cols][keep]])
-            best = np.lexsort((found, -cosines))[:k]
-            found, cosines = found[best], cosines[best]
-        return found, cosines
-
-    def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
-        weight = 1 / (0.1 + np.maximum(0, 1 - cosines))
-        return float((weight * self.labels[found]).sum() / weight.sum())
+def vote(cosines: np.ndarray, labels: np.ndarray) -> float:
+    weight = 1 / (0.1 + np.maximum(0, 1 - cosines))
+    return float((weight * labels).sum() / weight.sum())
 
 
 def monotone(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,119 +184,116 @@ def monotone(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([v[2] for v in levels]), np.maximum.accumulate(level)
 
 
-@dataclass
-class Model:
-    vocabulary: dict[str, int]
-    idf: np.ndarray
-    index: BlockMaxIndex
-    steps: np.ndarray
-    levels: np.ndarray
-    empty: float          # share of toxic examples without vocabulary terms
-
-    def score(self, counts: Counter) -> tuple[float, list[int]]:
-        ids, w = vector(counts, self.idf)
-        if not len(ids):
-            return self.empty, []
-        found, cosines = self.index.nearest(ids, w)
-        if not len(found):
-            return self.empty, []
-        raw = self.index.vote(found, cosines)
-        at = max(0, int(np.searchsorted(self.steps, raw, "right")) - 1)
-        return float(self.levels[at]), self.index.doc_ids[found].tolist()
+def term_weights(n: np.ndarray, toxic: np.ndarray, n_docs: int, n_toxic: int) -> np.ndarray:
+    """Inverse document frequency times FLOOR plus the lower bound of the log odds
+    ratio, for terms in ``n`` examples of which ``toxic`` are toxic."""
+    cells = [toxic + 0.5, n - toxic + 0.5, n_toxic - toxic + 0.5, n_docs - n - n_toxic + toxic + 0.5]
+    odds = np.log(cells[0] / cells[1]) - np.log(cells[2] / cells[3])
+    error = np.sqrt(sum(1 / c for c in cells))
+    return (np.log((1 + n_docs) / (1 + n)) + 0.1) * (FLOOR + np.maximum(0, odds - SURE * error))
 
 
-def _term_table(sample: DataFrame) -> DataFrame:
-    """(term, n, toxic): documents of the sample with the term, by label."""
+def _examples(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic, terms, counts) of the distinct texts of at most SAMPLE labelled documents."""
+    known = (labels.filter("toxic is not null and doc_id is not null").select(F.col("doc_id").cast("long"), "toxic")
+             .filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
+             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE))
+    one = (docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+           .join(F.broadcast(known), "doc_id")                                              # at most SAMPLE ids
+           .groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("d"))
+           .groupBy("d.hash", "d.text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter = Counter()
-        toxic: Counter = Counter()
-
-        def flush():
-            terms = list(n)
-            out = pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([n[t] for t in terms], pa.int64()),
-                                              pa.array([toxic[t] for t in terms], pa.int64())], names=["term", "n", "toxic"])
-            n.clear(), toxic.clear()
-            return out
+        for batch in batches:
+            made = []
+            for data in binaries(batch.column(2)):
+                terms: Counter = Counter()
+                for word, n in word_counts(data).items():
+                    for t in word_terms(word):
+                        terms[t] += n
+                made.append(terms)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array([list(t) for t in made], pa.list_(pa.string())),
+                pa.array([list(t.values()) for t in made], pa.list_(pa.int64()))], names=["doc_id", "toxic", "terms", "counts"])
+
+    return staged(spark, one.select("doc_id", "toxic", "text").mapInArrow(
+        run, "doc_id long, toxic long, terms array<string>, counts array<long>"), "toxic-examples")
+
+
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> dict:
+    """The model as plain arrays: terms, weights, index, labels, calibration."""
+    rows = _examples(spark, docs, labels)
+    collected = rows.orderBy("doc_id").toArrow()                                            # at most SAMPLE rows
+    toxic = np.array(collected["toxic"].to_pylist(), np.int64)
+    n_docs, n_toxic = len(toxic), int(toxic.sum())
+    base = n_toxic / n_docs if n_docs else 0.0
+    terms = collected["terms"].combine_chunks()
+    names = terms.flatten().dictionary_encode() if n_docs else pa.array([], pa.string()).dictionary_encode()
+    ids = names.indices.to_numpy().astype(np.int64)
+    counts = collected["counts"].combine_chunks().flatten().to_numpy() if n_docs else np.empty(0)
+    sizes = np.array([len(t) for t in terms], np.int64) if n_docs else np.empty(0, np.int64)
+    vocabulary = {t: i for i, t in enumerate(names.dictionary.to_pylist())}
+    n = np.bincount(ids, minlength=len(vocabulary))
+    weight = term_weights(n, np.bincount(ids, np.repeat(toxic, sizes), minlength=len(vocabulary)), n_docs, n_toxic)
+    ends = np.cumsum(sizes)
+    vectors = []
+    for lo, hi in zip((ends - sizes).tolist(), ends.tolist()):
+        order = np.argsort(ids[lo:hi])
+        own = ids[lo:hi][order]
+        vectors.append((own, unit(own, counts[lo:hi][order], weight)))
+    model = {"vocabulary": vocabulary, "weight": weight, "index": build_index(vectors, len(vocabulary)), "toxic": toxic,
+             "doc_ids": np.array(collected["doc_id"].to_pylist(), np.int64), "base": base,
+             "steps": np.zeros(1), "levels": np.full(1, base)}
+    if 0 < n_toxic < n_docs:
+        votes = _own_votes(spark, vectors, model)
+        if votes:
+            model["steps"], model["levels"] = monotone(*(np.array(v) for v in zip(*votes)))
+    return model
+
+
+def _own_votes(spark: SparkSession, vectors: list, model: dict) -> list[tuple[float, int]]:
+    """Each example's vote without itself, and its label: searched in tasks."""
+    shared = spark.sparkContext.broadcast({"vectors": vectors, "index": model["index"], "toxic": model["toxic"]})
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
         for batch in batches:
-            for data, label in zip(binaries(batch.column(0)), batch.column(1).to_pylist()):
-                words = {w for part in word_lists(data or b"", ALNUM_WORDS) for w in part}
-                terms = {t for w in words for t in word_terms(w)}
-                n.update(terms)
-                if label:
-                    toxic.update(terms)
-                if len(n) > 200_000:
-                    yield flush()
-        yield flush()
+            own = batch.column(0).to_pylist()
+            out = []
+            for at in range(0, len(own), QUERIES):
+                part = own[at:at + QUERIES]
+                near = nearest(m["index"], [m["vectors"][e] for e in part], without=part)
+                out += [(vote(c, m["toxic"][f]), int(m["toxic"][e])) for e, (f, c) in zip(part, near) if len(f)]
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.float64()),
+                                              pa.array([o[1] for o in out], pa.int64())], names=["raw", "toxic"])
 
-    return sample.select("text", "toxic").mapInArrow(run, "term string, n long, toxic long").groupBy("term").agg(
-        F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    parts = max(1, min(32, len(vectors) // 64))
+    return [(r[0], r[1]) for r in spark.range(0, len(vectors), 1, parts).mapInArrow(run, "raw double, toxic long")
+            .orderBy("raw", "toxic").collect()]                                             # at most SAMPLE rows
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
-    known = (labels.filter("toxic is not null and doc_id is not null").select(F.col("doc_id").cast("long"), "toxic")
-             .filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE))
-    sample = staged(spark, docs.select(F.col("doc_id").cast("long"), "text")
-                    .join(F.broadcast(known), "doc_id"), "toxic-sample")                    # at most SAMPLE ids
-    distinct = sample.groupBy(F.xxhash64("text")).agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
-    n_docs, n_toxic = distinct.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    empty = BlockMaxIndex.build([], 0)
-    if not n_toxic or n_toxic == n_docs:
-        share = n_toxic / n_docs if n_docs else 0.0
-        return Model({}, np.empty(0), empty, np.zeros(1), np.full(1, share), share)
-
-    def cell(seen, expected):
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
-    n, a = F.col("n").cast("double"), F.col("toxic").cast("double")
-    p = n_toxic / n_docs
-    g2 = 2 * (cell(a, n * p) + cell(n - a, n * (1 - p)) + cell(F.lit(float(n_toxic)) - a, (F.lit(float(n_docs)) - n) * p) +
-              cell(F.lit(float(n_docs - n_toxic)) - n + a, (F.lit(float(n_docs)) - n) * (1 - p)))
-    terms = (_term_table(distinct).filter(F.col("n") >= LEAST_DOCS).filter(F.col("toxic") >= LEAST_SHARE * F.col("n"))
-             .withColumn("g2", F.round(g2, 6))
-             .filter(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "term").limit(VOCABULARY).collect())
-    vocabulary = {t["term"]: i for i, t in enumerate(terms)}
-    idf = np.array([np.log((1 + n_docs) / (1 + t["n"])) + 1 for t in terms])
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = TermIds(vocabulary)
-        for batch in batches:
-            counts = [term_counts(x, lookup) for x in binaries(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array([list(c) for c in counts], pa.list_(pa.int64())),
-                pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))], names=["doc_id", "toxic", "ids", "counts"])
-
-    rows = (sample.select("doc_id", F.col("toxic").cast("long"), "text")
-            .mapInArrow(vectors, "doc_id long, toxic long, ids array<long>, counts array<long>"))
-    bare = rows.filter(F.size("ids") == 0).agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    kept = rows.filter(F.size("ids") > 0).orderBy("doc_id", "toxic").collect()              # at most SAMPLE rows
-    examples = [(r[0], r[1], *vector(Counter(dict(zip(r[2], r[3]))), idf)) for r in kept]
-    index = BlockMaxIndex.build(examples, len(vocabulary))
-    raw, seen = [], []
-    for e, (_, label, ids, w) in enumerate(examples):
-        found, cosines = index.nearest(ids, w, without=e)
-        if len(found):
-            raw.append(index.vote(found, cosines))
-            seen.append(label)
-    steps, levels = monotone(np.array(raw), np.array(seen)) if raw else (np.zeros(1), np.full(1, p))
-    return Model(vocabulary, idf, index, steps, levels, bare[1] / bare[0] if bare[0] else p)
-
-
-def score_toxicity(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
+def score_toxicity(spark: SparkSession, docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, held_out, score, predicted, neighbours) for every row of ``docs``."""
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        lookup = TermIds(m.vocabulary)
+        lookup = TermIds(m["vocabulary"])
         for batch in batches:
-            scored = [m.score(term_counts(x, lookup)) for x in binaries(batch.column(2))]
+            scores, neighbours = [], []
+            for at in range(0, batch.num_rows, QUERIES):
+                counted = [term_counts(data, lookup) for data in binaries(batch.column(2).slice(at, QUERIES))]
+                queries = [(ids, unit(ids, counts, m["weight"])) for ids, counts in counted]
+                for found, cosines in nearest(m["index"], queries):
+                    score, near = m["base"], []
+                    if len(found):
+                        step = np.searchsorted(m["steps"], vote(cosines, m["toxic"][found]), "right") - 1
+                        score, near = float(m["levels"][max(0, step)]), m["doc_ids"][found].tolist()
+                    scores.append(score)
+                    neighbours.append(near)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array([s for s, _ in scored], pa.float64()),
-                pa.array([int(s >= THRESHOLD) for s, _ in scored], pa.int32()),
-                pa.array([n for _, n in scored], pa.list_(pa.int64()))],
+                batch.column(0), batch.column(1), pa.array(scores, pa.float64()),
+                pa.array([int(s >= THRESHOLD) for s in scores], pa.int32()), pa.array(neighbours, pa.list_(pa.int64()))],
                 names=["doc_id", "held_out", "score", "predicted", "neighbours"])
 
     return (docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), "text")

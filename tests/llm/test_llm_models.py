@@ -1,6 +1,8 @@
 """Quality, language and toxicity: held-out accuracy, awkward rows, small brute forces."""
 
 import math
+import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -150,21 +152,90 @@ def test_toxicity_held_out(spark):
 
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(2)
-    idf = rng.uniform(1, 5, 60)
-    examples = []
-    for e in range(700):
-        c = Counter(rng.zipf(1.5, rng.integers(1, 12)) % 60)
-        examples.append((e, int(rng.integers(0, 2)), *T.vector(Counter({int(k): v for k, v in c.items()}), idf)))
-    index = T.BlockMaxIndex.build(examples, 60)
-    dense = np.zeros((700, 60))
-    for e, (_, _, ids, w) in enumerate(examples):
+    terms, n = 400, 700
+    chance = 1 / np.arange(1, terms + 1)
+    weight = rng.uniform(0.1, 5, terms)
+
+    def vector():
+        ids = np.unique(rng.choice(terms, 40, p=chance / chance.sum()))
+        return ids, T.unit(ids, rng.integers(1, 6, len(ids)).astype(float), weight)
+
+    examples = [vector() for _ in range(n - 1)]
+    examples.append(examples[3])                            # a tie
+    index = T.build_index(examples, terms)
+    assert 0 < index["maxima"].shape[0] < terms             # both kinds of terms
+    dense = np.zeros((n, terms))
+    for e, (ids, w) in enumerate(examples):
         dense[e, ids] = w
-    for q in range(60):
-        ids, w = examples[q * 7][2:]
-        cos = dense[:, ids] @ w
-        found, cosines = index.nearest(ids, w)
-        assert np.allclose(cosines, np.sort(cos)[::-1][:T.K])
-        assert np.allclose(cos[found], cosines)
+    queries = [vector() for _ in range(60)] + [examples[3], (np.empty(0, np.int64), np.empty(0))]
+    own = list(range(0, n, 11))
+    for asked, without in ((queries, [-1] * len(queries)), ([examples[e] for e in own], own)):
+        got = T.nearest(index, asked, without=None if without[0] < 0 else without)
+        for (ids, w), skip, (found, cosines) in zip(asked, without, got):
+            cos = np.round(dense[:, ids] @ w, 9)
+            order = [e for e in np.lexsort((np.arange(n), -cos)) if e != skip and cos[e] > 0][:T.K]
+            assert found.tolist() == order and np.allclose(cosines, cos[order], atol=1e-8)
+
+
+def test_toxicity_equals_a_plain_computation(spark):
+    docs = {r.doc_id: r.text or "" for r in table(spark, SF_GATE, "documents").select("doc_id", "text").collect()}
+    known = {r.doc_id: r.toxic for r in table(spark, SF_GATE, "labels").collect()
+             if r.toxic is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    assert len(docs) == table(spark, SF_GATE, "documents").count() and len(known) <= T.SAMPLE
+
+    def terms(text):
+        out = Counter()
+        for word in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)):
+            out[word] += 1
+            for k in (3, 4, 5, 6):
+                if len(word) >= k:
+                    out["^" + word[:k]] += 1
+        return out
+
+    first = {}
+    for d in sorted(known):
+        first.setdefault(docs[d], [d, 0])
+        first[docs[d]][1] |= known[d]
+    ids, toxic = zip(*sorted(first.values()))
+    toxic, n = np.array(toxic), len(ids)
+    bags = [terms(docs[d]) for d in ids]
+    at = {t: i for i, t in enumerate(sorted(set().union(*bags)))}
+    seen = np.zeros((n, len(at)))
+    for e, bag in enumerate(bags):
+        seen[e, [at[t] for t in bag]] = list(bag.values())
+    df, a, pos = (seen > 0).sum(0), (seen > 0)[toxic == 1].sum(0), toxic.sum()
+    cells = np.array([a, df - a, pos - a, n - df - pos + a]) + 0.5
+    low = np.log(cells[0] * cells[3] / cells[1] / cells[2]) - 4 * np.sqrt((1 / cells).sum(0))
+    weight = (np.log((1 + n) / (1 + df)) + 0.1) * (0.02 + np.maximum(0, low))
+
+    def unit(x):
+        w = np.where(x > 0, (1 + np.log(np.maximum(x, 1))) * weight, 0)
+        return w / max(np.sqrt((w * w).sum()), 1e-300)
+
+    rows = np.array([unit(x) for x in seen])
+
+    def nearest(w, skip=None):
+        cos = np.round(rows @ w, 9)
+        return [(e, cos[e]) for e in sorted(range(n), key=lambda e: (-cos[e], e)) if e != skip and cos[e] > 0][:16]
+
+    def vote(near):
+        w = [1 / (0.1 + max(0, 1 - c)) for _, c in near]
+        return sum(x * toxic[e] for x, (e, _) in zip(w, near)) / sum(w)
+
+    pairs = [(vote(near), toxic[e]) for e in range(n) if (near := nearest(rows[e], e))]
+    steps, levels = T.monotone(np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs]))
+    got = {r.doc_id: r for r in T.op8_toxicity(spark, SF_GATE).collect()}
+    for d, text in docs.items():
+        x = np.zeros(len(at))
+        for t, c in terms(text).items():
+            if t in at:
+                x[at[t]] = c
+        near = nearest(unit(x))
+        assert [ids[e] for e, _ in near] == got[d].neighbours
+        reach = [levels[max(0, np.searchsorted(steps, vote(near) + e, "right") - 1)] for e in (-1e-7, 1e-7)] if near else \
+            [toxic.mean()] * 2
+        assert reach[0] - 1e-9 <= got[d].score <= reach[1] + 1e-9
+        assert got[d].predicted == int(got[d].score >= 0.3)
 
 
 def test_toxicity_awkward_rows(spark):
