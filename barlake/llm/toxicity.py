@@ -100,25 +100,25 @@ def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 def build_index(rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> dict[str, np.ndarray]:
-    """Postings by term of example vectors (ids, weights), and for frequent terms
-    the weights by block and their block maxima."""
+    """Of example vectors (ids, weights): postings by rare term, and for frequent
+    terms the weights by block and their block maxima."""
     n = len(rows)
     blocks = -(-n // BLOCK)
     terms = np.concatenate([r[0] for r in rows] or [np.empty(0, np.int64)])
     weights = np.concatenate([r[1] for r in rows] or [np.empty(0)])
-    examples = np.repeat(np.arange(n), [len(r[0]) for r in rows])
-    order = np.lexsort((examples, terms))
-    terms, weights, examples = terms[order], weights[order], examples[order]
-    df = np.bincount(terms, minlength=n_terms)
+    examples = np.repeat(np.arange(n, dtype=np.int32), [len(r[0]) for r in rows])
     row = np.full(n_terms, -1, np.int64)                   # dense row of a frequent term
-    frequent = np.flatnonzero(df > n / FREQUENT) if n > BLOCK else np.empty(0, np.int64)
+    frequent = np.flatnonzero(np.bincount(terms, minlength=n_terms) > n / FREQUENT) if n > BLOCK else np.empty(0, np.int64)
     row[frequent] = np.arange(len(frequent))
     dense = np.zeros((blocks, len(frequent), BLOCK))
     of = row[terms]
     on = of >= 0
     dense[examples[on] // BLOCK, of[on], examples[on] % BLOCK] = weights[on]
-    return {"n": np.int64(n), "start": np.concatenate([[0], np.cumsum(df)]), "examples": examples, "weights": weights,
-            "row": row, "dense": dense, "maxima": dense.max(2).T.copy() if n else np.zeros((0, 0))}
+    terms, weights, examples = terms[~on], weights[~on], examples[~on]
+    order = np.argsort(terms, kind="stable")
+    return {"n": np.int64(n), "start": np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=n_terms))]),
+            "examples": examples[order], "weights": weights[order], "row": row, "dense": dense,
+            "maxima": dense.max(2).T.copy() if n else np.zeros((0, 0))}
 
 
 def nearest(index: dict[str, np.ndarray], queries: list[tuple[np.ndarray, np.ndarray]], k: int = K,
@@ -221,74 +221,84 @@ def _examples(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFr
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> dict:
-    """The model as plain arrays: terms, weights, index, labels, calibration."""
-    rows = _examples(spark, docs, labels)
-    collected = rows.orderBy("doc_id").toArrow()                                            # at most SAMPLE rows
+    """The model: the examples as plain arrays, broadcast (bounded by SAMPLE
+    documents), and the calibration of their votes."""
+    collected = _examples(spark, docs, labels).orderBy("doc_id").toArrow().combine_chunks()  # at most SAMPLE rows
+    lists = collected["terms"].combine_chunks() if collected.num_rows else pa.array([], pa.list_(pa.string()))
+    names = lists.flatten().dictionary_encode()
+    counts = collected["counts"].combine_chunks().flatten().to_numpy() if collected.num_rows else np.empty(0, np.int64)
     toxic = np.array(collected["toxic"].to_pylist(), np.int64)
-    n_docs, n_toxic = len(toxic), int(toxic.sum())
-    base = n_toxic / n_docs if n_docs else 0.0
-    terms = collected["terms"].combine_chunks()
-    names = terms.flatten().dictionary_encode() if n_docs else pa.array([], pa.string()).dictionary_encode()
-    ids = names.indices.to_numpy().astype(np.int64)
-    counts = collected["counts"].combine_chunks().flatten().to_numpy() if n_docs else np.empty(0)
-    sizes = np.array([len(t) for t in terms], np.int64) if n_docs else np.empty(0, np.int64)
-    vocabulary = {t: i for i, t in enumerate(names.dictionary.to_pylist())}
-    n = np.bincount(ids, minlength=len(vocabulary))
-    weight = term_weights(n, np.bincount(ids, np.repeat(toxic, sizes), minlength=len(vocabulary)), n_docs, n_toxic)
-    ends = np.cumsum(sizes)
-    vectors = []
-    for lo, hi in zip((ends - sizes).tolist(), ends.tolist()):
-        order = np.argsort(ids[lo:hi])
-        own = ids[lo:hi][order]
-        vectors.append((own, unit(own, counts[lo:hi][order], weight)))
-    model = {"vocabulary": vocabulary, "weight": weight, "index": build_index(vectors, len(vocabulary)), "toxic": toxic,
-             "doc_ids": np.array(collected["doc_id"].to_pylist(), np.int64), "base": base,
-             "steps": np.zeros(1), "levels": np.full(1, base)}
-    if 0 < n_toxic < n_docs:
-        votes = _own_votes(spark, vectors, model)
+    base = float(toxic.mean()) if len(toxic) else 0.0
+    shared = spark.sparkContext.broadcast({
+        "terms": names.dictionary.to_pylist(), "ids": names.indices.to_numpy().astype(np.int32),
+        "counts": counts.astype(np.min_scalar_type(int(counts.max(initial=0)))),
+        "sizes": lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), "toxic": toxic,
+        "doc_ids": np.array(collected["doc_id"].to_pylist(), np.int64), "base": base})
+    model = {"examples": shared, "steps": np.zeros(1), "levels": np.full(1, base)}
+    if 0 < base < 1:
+        votes = _own_votes(spark, shared, len(toxic))
         if votes:
             model["steps"], model["levels"] = monotone(*(np.array(v) for v in zip(*votes)))
     return model
 
 
-def _own_votes(spark: SparkSession, vectors: list, model: dict) -> list[tuple[float, int]]:
+def searchable(m: dict) -> dict:
+    """Adds weights, index and term ids to the broadcast examples, once
+    in a worker."""
+    if "index" not in m:
+        n_terms, toxic = len(m["terms"]), m["toxic"]
+        weight = term_weights(np.bincount(m["ids"], minlength=n_terms),
+                              np.bincount(m["ids"], np.repeat(toxic, m["sizes"]), minlength=n_terms), len(toxic), int(toxic.sum()))
+        m["weight"], m["lookup"] = weight, TermIds({t: i for i, t in enumerate(m["terms"])})
+        ends = np.cumsum(m["sizes"])
+        m["index"] = build_index([example_vector(m, e, ends) for e in range(len(toxic))], n_terms)
+    return m
+
+
+def example_vector(m: dict, e: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    part = slice(int(ends[e] - m["sizes"][e]), int(ends[e]))
+    order = np.argsort(m["ids"][part])
+    own = m["ids"][part][order].astype(np.int64)
+    return own, unit(own, m["counts"][part][order].astype(float), m["weight"])
+
+
+def _own_votes(spark: SparkSession, shared, n: int) -> list[tuple[float, int]]:
     """Each example's vote without itself, and its label: searched in tasks."""
-    shared = spark.sparkContext.broadcast({"vectors": vectors, "index": model["index"], "toxic": model["toxic"]})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = searchable(shared.value)
+        ends = np.cumsum(m["sizes"])
         for batch in batches:
             own = batch.column(0).to_pylist()
             out = []
             for at in range(0, len(own), QUERIES):
                 part = own[at:at + QUERIES]
-                near = nearest(m["index"], [m["vectors"][e] for e in part], without=part)
+                near = nearest(m["index"], [example_vector(m, e, ends) for e in part], without=part)
                 out += [(vote(c, m["toxic"][f]), int(m["toxic"][e])) for e, (f, c) in zip(part, near) if len(f)]
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.float64()),
                                               pa.array([o[1] for o in out], pa.int64())], names=["raw", "toxic"])
 
-    parts = max(1, min(32, len(vectors) // 64))
-    return [(r[0], r[1]) for r in spark.range(0, len(vectors), 1, parts).mapInArrow(run, "raw double, toxic long")
+    parts = max(1, min(16, n // 256))
+    return [(r[0], r[1]) for r in spark.range(0, n, 1, parts).mapInArrow(run, "raw double, toxic long")
             .orderBy("raw", "toxic").collect()]                                             # at most SAMPLE rows
 
 
 def score_toxicity(spark: SparkSession, docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, held_out, score, predicted, neighbours) for every row of ``docs``."""
-    shared = spark.sparkContext.broadcast(model)
+    shared, steps, levels = model["examples"], model["steps"], model["levels"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        lookup = TermIds(m["vocabulary"])
+        m = searchable(shared.value)
         for batch in batches:
             scores, neighbours = [], []
             for at in range(0, batch.num_rows, QUERIES):
-                counted = [term_counts(data, lookup) for data in binaries(batch.column(2).slice(at, QUERIES))]
+                counted = [term_counts(data, m["lookup"]) for data in binaries(batch.column(2).slice(at, QUERIES))]
                 queries = [(ids, unit(ids, counts, m["weight"])) for ids, counts in counted]
                 for found, cosines in nearest(m["index"], queries):
                     score, near = m["base"], []
                     if len(found):
-                        step = np.searchsorted(m["steps"], vote(cosines, m["toxic"][found]), "right") - 1
-                        score, near = float(m["levels"][max(0, step)]), m["doc_ids"][found].tolist()
+                        step = np.searchsorted(steps, vote(cosines, m["toxic"][found]), "right") - 1
+                        score, near = float(levels[max(0, step)]), m["doc_ids"][found].tolist()
                     scores.append(score)
                     neighbours.append(near)
             yield pa.RecordBatch.from_arrays([
