@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ SAMPLE = 4096             # labelled documents
 PREFIXES = (3, 4, 5, 6)   # letters
 FLOOR = 0.02              # weight of a term that says nothing about the label
 SURE = 4.0                # standard errors taken off a log odds ratio
-FREQUENT = 16             # a term in more than one in so many examples has block maxima
+FREQUENT = 8              # a term in more than one in so many examples has block maxima
 BLOCK = 64
 STEP = 8                  # blocks scored before the bounds are looked at
 QUERIES = 64              # texts searched at once
@@ -75,16 +76,17 @@ class TermIds(dict):
 
 def term_counts(data: bytes | None, terms: TermIds) -> tuple[np.ndarray, np.ndarray]:
     """Sorted ids of a text's indexed terms, and how often it has each."""
-    ids: list[int] = []
-    counts: list[int] = []
-    for word, n in word_counts(data).items():
-        own = terms[word]
-        ids += own
-        counts += [n] * len(own)
-    if not ids:
-        return np.empty(0, np.int64), np.empty(0)
-    found, at = np.unique(np.array(ids, np.int64), return_inverse=True)
-    return found, np.bincount(at, counts)
+    words = word_counts(data)
+    own = [terms[w] for w in words]
+    sizes = list(map(len, own))
+    ids = np.fromiter(chain.from_iterable(own), np.int64, sum(sizes))
+    if not len(ids):
+        return ids, np.empty(0)
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    counts = np.repeat(np.fromiter(words.values(), np.int64, len(sizes)), sizes)
+    return ids[first], np.add.reduceat(counts[order], first).astype(float)
 
 
 def unit(ids: np.ndarray, counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -279,8 +281,8 @@ def _own_votes(spark: SparkSession, shared, n: int) -> list[tuple[float, int]]:
                                               pa.array([o[1] for o in out], pa.int64())], names=["raw", "toxic"])
 
     parts = max(1, min(16, n // 256))
-    return [(r[0], r[1]) for r in spark.range(0, n, 1, parts).mapInArrow(run, "raw double, toxic long")
-            .orderBy("raw", "toxic").collect()]                                             # at most SAMPLE rows
+    return [(r[0], r[1]) for r in spark.range(0, n, 1, parts)
+            .mapInArrow(run, "raw double, toxic long").collect()]                           # at most SAMPLE rows
 
 
 def score_toxicity(spark: SparkSession, docs: DataFrame, model: dict) -> DataFrame:
