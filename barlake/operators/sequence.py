@@ -50,16 +50,20 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str,
     are nested time units, finest first (e.g. ``("hour", "day")``): rows are
     split by the first; the per-slice summary is LAGged by the same method
     one level up, and only the last level is a plain per-key window - so a
-    hot day can be spread over hours.  `bucket` overrides the first level."""
+    hot day can be spread over hours.  Without slices it is one plain per-key
+    window, for keys measured to be small.  `bucket` overrides the first level."""
     keys = list(keys)
     srcs = [c for c in values if c != order_col]
     slices = list(slices)
-    bucket = _slice(order_col, slices[0]) if bucket is None else bucket
     rows = df.withColumn(_SEED, F.lit(False))
     if initial is not None:
         init = initial.select(*keys, order_col, *srcs).withColumn(_SEED, F.lit(True))
         rows = rows.unionByName(init, allowMissingColumns=True)
-    rows = rows.withColumn(_BUCKET, bucket)
+    if bucket is None and not slices:
+        whole = Window.partitionBy(*keys).orderBy(F.col(order_col).asc(), F.col(_SEED).desc())
+        out = rows.select("*", *[F.lag(s).over(whole).alias(o) for s, o in values.items()])
+        return out.filter(~F.col(_SEED)).drop(_SEED)
+    rows = rows.withColumn(_BUCKET, _slice(order_col, slices[0]) if bucket is None else bucket)
 
     # Level 2: the last row of every (key, bucket) slice - one hash aggregate over
     # the few columns needed - then the previous slice's last row.

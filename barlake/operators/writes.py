@@ -217,7 +217,6 @@ def replace_slices(spark: SparkSession, path: str, fresh: DataFrame, slices: Dat
     the rows `fresh`: only the folders of those days are listed, read and written,
     the rest of their rows is kept, and a day that ends up empty loses its folder.
     The number of days is bounded by the calendar."""
-    from barlake.session import scratch_path
     days = [r[0] for r in slices.select("day").distinct().collect()]
     if not days:
         return
@@ -226,21 +225,18 @@ def replace_slices(spark: SparkSession, path: str, fresh: DataFrame, slices: Dat
     if old is not None:
         gone = slices.select(F.col("day").alias(partition_col), "symbol")
         fresh = old.join(gone, [partition_col, "symbol"], "left_anti").unionByName(fresh, allowMissingColumns=True)
-    staged = _stage(spark, fresh, scratch_path(spark, "slices"))
-    left = {r[0] for r in staged.select(partition_col).distinct().collect()}
-    if left:
-        write_layer(staged, path, partition_by=partition_col, sort_by=sort_by)
-    drop_partitions(spark, path, partition_col, [d for d in days if d not in left])
+    replace_days(spark, path, fresh, days, partition_col, sort_by)
 
 
 def replace_days(spark: SparkSession, path: str, fresh: DataFrame, days: Sequence, partition_col: str = "date",
                  sort_by: Sequence[str] = ("symbol", "timestamp")) -> None:
-    """Replace whole `days` of a layer; a day without rows loses its folder."""
-    from barlake.session import scratch_path
-    staged = _stage(spark, fresh, scratch_path(spark, "days"))
-    left = {r[0] for r in staged.select(partition_col).distinct().collect()}
-    if left:
-        write_layer(staged, path, partition_by=partition_col, sort_by=sort_by)
+    """Replace whole `days` of a layer; a day without rows loses its folder.  One
+    job, whose rows may come from the folders it replaces: a dynamic overwrite
+    writes beside the layer and moves the finished folders in after its last task.
+    The days written are observed by the write."""
+    seen = Observation()
+    write_layer(fresh.observe(seen, F.collect_set(partition_col).alias("days")), path, partition_by=partition_col, sort_by=sort_by)
+    left = set(seen.get.get("days") or [])
     drop_partitions(spark, path, partition_col, [d for d in days if d not in left])
 
 

@@ -22,8 +22,8 @@ from barlake.schema import GOLD_COLUMNS
 
 def daily_metrics(daily: DataFrame, prior_close: DataFrame | None = None) -> DataFrame:
     """P13/P14/P18 + W05 + P16/P17 on daily bars.  `prior_close` (symbol,
-    date, close - one row per symbol, older than every day in `daily`) seeds
-    the previous close when only recent days are rebuilt."""
+    date, close - days that are not in `daily`) seeds the previous close when
+    only some days are rebuilt."""
     x = daily.withColumn("_seed", F.lit(False))
     if prior_close is not None:
         x = x.unionByName(prior_close.select("symbol", "date", "close").withColumn("_seed", F.lit(True)),

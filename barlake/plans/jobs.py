@@ -125,27 +125,32 @@ SLICE_ROWS = 20_000        # rows of a (symbol, day) from which its LAG is split
 NEAR_DAYS = 3              # a neighbouring bar is looked for in so many days around first
 
 
-def _summary(spark: SparkSession, valid: DataFrame, lag_slices) -> tuple[DataFrame, tuple]:
-    """The day summary of staged validated rows, staged, and the LAG slices."""
+def _summary(spark: SparkSession, valid: DataFrame, lag_slices) -> tuple[DataFrame, DataFrame, tuple]:
+    """Of staged validated rows the day summary, each symbol's newest row of it
+    (both staged) and the LAG slices."""
     days = _staged(spark, silver_plan.day_summary(valid, counted=True), "silver-days")
+    newest = _staged(spark, silver_plan.seeds_before(days, counted=True), "silver-newest")
     if lag_slices is None:
-        most = days.agg(F.max("n")).first()[0] or 0
-        lag_slices = ("day",) if most <= SLICE_ROWS else choose_slices(valid, ["symbol"], "timestamp", SLICE_ROWS, "hour")
-    return days.drop("n"), tuple(lag_slices)
+        total, most = newest.agg(F.max("total"), F.max("most")).first()
+        if (total or 0) <= SLICE_ROWS:
+            lag_slices = ()
+        else:
+            lag_slices = ("day",) if most <= SLICE_ROWS else choose_slices(valid, ["symbol"], "timestamp", SLICE_ROWS, "hour")
+    return days.drop("n"), newest.drop("total", "most"), tuple(lag_slices)
 
 
-def _write_last(days: DataFrame, state: str) -> None:
-    silver_plan.seeds_before(days).coalesce(1).write.mode("overwrite").parquet(f"{state}/last")
+def _write_last(newest: DataFrame, state: str) -> None:
+    newest.hint("rebalance").write.mode("overwrite").parquet(f"{state}/last")
 
 
 def _full(spark, bronze, silver_path, state, updated_at, lag_slices) -> None:
     valid = _staged(spark, silver_plan.validated(bronze), "silver-valid")
-    days, slices = _summary(spark, valid, lag_slices)
+    days, newest, slices = _summary(spark, valid, lag_slices)
     out = silver_plan.finish_silver(valid, updated_at, None, slices).withColumn("date", F.to_date("timestamp"))
     writes.write_whole(out, silver_path)
     if state is not None:
         writes.write_whole(days, f"{state}/days", "day", ("symbol",))
-        _write_last(days, state)
+        _write_last(newest, state)
 
 
 def high_water_mark(spark: SparkSession, state_path: str):
@@ -166,7 +171,7 @@ def _carry(spark, bronze, silver_path, state, updated_at, lag_slices, changed):
         (late.withColumn("mark", F.date_format(F.lit(mark), "yyyyMMdd'T'HHmmssSSSSSS")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("mark").parquet(f"{state}/late"))
     valid = _staged(spark, silver_plan.validated(silver_plan.since_high_water(bronze, mark)), "silver-valid")
-    fresh, slices = _summary(spark, valid, lag_slices)
+    fresh, latest, slices = _summary(spark, valid, lag_slices)
     new = silver_plan.finish_silver(valid, updated_at, last, slices).withColumn("date", F.to_date("timestamp"))
     day = _as_date(mark)
     kept = read_stored(spark, silver_path, [day]).filter(F.col("timestamp") <= F.lit(mark))
@@ -175,8 +180,8 @@ def _carry(spark, bronze, silver_path, state, updated_at, lag_slices, changed):
     old = read_stored(spark, f"{state}/days", [day], "day")
     same_day = old.join(fresh.select("symbol", "day"), ["symbol", "day"], "left_anti")
     _staged_overwrite(spark, same_day.unionByName(fresh), f"{state}/days", "day")
-    newest = silver_plan._last_by(last.unionByName(fresh.select(*last.columns)), ["symbol"]).select(*last.columns)
-    _staged(spark, newest, "silver-last").coalesce(1).write.mode("overwrite").parquet(f"{state}/last")
+    newest = silver_plan._last_by(last.unionByName(latest.select(*last.columns)), ["symbol"]).select(*last.columns)
+    _write_last(_staged(spark, newest, "silver-last"), state)
     return fresh.select("symbol", "day")
 
 
@@ -213,63 +218,92 @@ def _days_from(spark, path, since, column="date") -> list[date]:
 def neighbourhood(spark, path, column, touched: DataFrame, fresh: DataFrame, newest: DataFrame | None = None) -> DataFrame:
     """Rows (symbol, `column`, ...) of a folder with one row per symbol and day:
     the `fresh` ones in place of those of the `touched` slices, and for each of
-    these at least the symbol's nearest stored days before and after.
+    these at least the symbol's nearest stored days before and after."""
+    beside = _beside(spark, path, column, touched, fresh.columns, newest)
+    return beside.select(*fresh.columns).unionByName(fresh)
 
-    Folders of the NEAR_DAYS days around the touched ones are read first; a symbol
-    with a touched slice that has no neighbour there, though folders lie further
-    out on that side, is looked up in all of them.  `newest` (symbol, day) spares
-    that after each symbol's last day."""
-    slices = touched.withColumnRenamed("day", column)
+
+def _beside(spark, path, column, touched: DataFrame, columns: Sequence[str], newest: DataFrame | None = None) -> DataFrame:
+    """The stored rows next to the (symbol, day) slices `touched` (no slice twice)
+    and not of them, staged: `_after` if the day before in the symbol's sequence
+    of stored and touched days is touched, `_before` if the day after is.
+
+    Folders of the NEAR_DAYS days around the touched ones are read first (all, where
+    those are most); a symbol with a touched slice that has no neighbour there, though
+    folders lie further out on that side, is looked up in all of them.  `newest` (symbol, day)
+    spares that after each symbol's last day."""
     dates = [r[0] for r in touched.select("day").distinct().collect()]      # bounded by the calendar
     present = stored_days(spark, path, column)
-    near = _around(dates)
-
-    def rows_of(days, symbols):
-        old = read_stored(spark, path, days, column).select(*fresh.columns)
-        return old.join(symbols, "symbol", "left_semi").join(slices, ["symbol", column], "left_anti").unionByName(fresh)
-
-    out = _staged(spark, rows_of([d for d in present if d in near], touched.select("symbol").distinct()), "neighbours")
-    if not present or not dates:
-        return out
-    span = Window.partitionBy("symbol").orderBy("_n")
-    marks = (out.select("symbol", F.col(column).alias("day"), F.lit(False).alias("_touched"))
-             .unionByName(touched.select("symbol", "day", F.lit(True).alias("_touched")))
-             .withColumn("_n", F.datediff("day", F.lit("1970-01-01").cast("date"))))
-    seen = lambda a, b: F.max(~F.col("_touched")).over(span.rangeBetween(a, b))
-    marks = marks.withColumns({"_before": F.coalesce(seen(-NEAR_DAYS, -1), F.lit(False)),
-                               "_after": F.coalesce(seen(1, NEAR_DAYS), F.lit(False))}).filter("_touched")
+    around = _around(dates)
+    near = [d for d in present if d in around]
+    if 2 * len(near) > len(present):        # most of them: all at once, no second look
+        near = present
+    slices = (touched.filter("symbol is not null and day is not null")
+              .select("symbol", F.col("day").alias(column), F.lit(True).alias("_in")))
+    sequence = Window.partitionBy("symbol").orderBy(column)
+
+    def looked_up(days, symbols=None):
+        rows = (read_stored(spark, path, days, column).select(*columns, F.lit(False).alias("_in"))
+                .unionByName(slices, allowMissingColumns=True))
+        if symbols is not None:
+            rows = rows.join(symbols, "symbol", "left_semi")
+        own = Window.partitionBy("symbol").orderBy(F.col(column), F.col("_in").desc())
+        rows = (rows.withColumns({"_day": F.lag(column).over(own), "_of": F.lag("_in").over(own)})
+                .filter(~(~F.col("_in") & F.coalesce(F.col("_of") & (F.col("_day") == F.col(column)), F.lit(False))))
+                .drop("_day", "_of"))
+        day, a, b = F.col(column), F.lag(column).over(sequence), F.lead(column).over(sequence)
+        rows = rows.withColumns({"_after": F.coalesce(F.lag("_in").over(sequence), F.lit(False)),
+                                 "_before": F.coalesce(F.lead("_in").over(sequence), F.lit(False)),
+                                 "_older": F.coalesce(F.datediff(day, a), F.lit(NEAR_DAYS + 1)) > NEAR_DAYS,
+                                 "_newer": F.coalesce(F.datediff(b, day), F.lit(NEAR_DAYS + 1)) > NEAR_DAYS})
+        return _staged(spark, rows.filter("_in or _after or _before"), "neighbours")
+
+    out = looked_up(near)
+    rows = out.filter("not _in").drop("_in", "_older", "_newer")
+    if len(near) == len(present) or not dates:
+        return rows
     # folders beyond the window: the days between may hold the symbol's neighbour
-    older = ~F.col("_before") & (F.date_sub("day", NEAR_DAYS) > F.lit(min(present)))
-    newer = ~F.col("_after") & (F.date_add("day", NEAR_DAYS) < F.lit(max(present)))
+    older = F.col("_older") & (F.date_sub(column, NEAR_DAYS) > F.lit(min(present)))
+    newer = F.col("_newer") & (F.date_add(column, NEAR_DAYS) < F.lit(max(present)))
+    marks = out.filter("_in")
     if newest is not None:
         marks = marks.join(newest.select("symbol", F.col("day").alias("_newest")), "symbol", "left")
-        newer = newer & F.coalesce(F.col("day") < F.col("_newest"), F.lit(False))
+        newer = newer & F.coalesce(F.col(column) < F.col("_newest"), F.lit(False))
         older = older & F.col("_newest").isNotNull()
     open_ = _staged(spark, marks.filter(older | newer).select("symbol").distinct(), "neighbours-open")
     if open_.isEmpty():
-        return out
-    return out.join(open_, "symbol", "left_anti").unionByName(
-        rows_of(present, open_).join(open_, "symbol", "left_semi"))
+        return rows
+    far = looked_up(present, open_).filter("not _in").drop("_in", "_older", "_newer")
+    return rows.join(open_, "symbol", "left_anti").unionByName(far)
+
+
+def _with_next(spark, touched: DataFrame, beside: DataFrame, column: str) -> DataFrame:
+    """The touched slices and each symbol's next stored one, staged: LAG having
+    offset 1, no other can change with them."""
+    following = beside.filter("_after").select("symbol", F.col(column).alias("day"))
+    return _staged(spark, touched.select("symbol", "day").unionByName(following), "affected")
 
 
 def _recompute(spark, bronze, silver_path, state, touched, updated_at, lag_slices):
     """R04 on the touched slices and each symbol's next one; state is read in the
-    days around them."""
+    days around them, bronze once."""
     touched = _staged(spark, touched.filter("symbol is not null and day is not null"), "touched")
-    valid = _staged(spark, silver_plan.validated(_of_slices(bronze, touched)), "silver-valid")
-    fresh, slices = _summary(spark, valid, lag_slices)
     last = read_stored(spark, f"{state}/last")
-    newest = last.select("symbol", F.to_date("timestamp").alias("day"))
-    known = _staged(spark, neighbourhood(spark, f"{state}/days", "day", touched, fresh, newest), "silver-known")
-    affected = _staged(spark, silver_plan.affected_slices(known, touched), "affected")
-    others = affected.join(touched, ["symbol", "day"], "left_anti")
-    rows = valid.unionByName(silver_plan.validated(_of_slices(bronze, others)))
-    new = silver_plan.finish_silver(rows, updated_at, silver_plan.seeds_of_slices(known, affected), slices)
+    beside = _beside(spark, f"{state}/days", "day", touched, ["day", *last.columns], last.select("symbol", F.to_date("timestamp").alias("day")))
+    affected = _with_next(spark, touched, beside, "day")
+    valid = _staged(spark, silver_plan.validated(_of_slices(bronze, affected)), "silver-valid")
+    days, _, slices = _summary(spark, valid, lag_slices)
+    fresh = days.join(touched, ["symbol", "day"], "left_semi")
+    seeds = beside.filter("_before and not _after").select(*silver_plan.STATE_COLUMNS)
+    new = silver_plan.finish_silver(valid, updated_at, seeds, slices)
+    # a symbol whose newest day is gone has its newest before a touched slice
+    standing = last.withColumn("day", F.to_date("timestamp")).join(touched, ["symbol", "day"], "left_anti")
+    known = [x.select(*last.columns) for x in (standing, fresh, beside.filter("_before"))]
+    newest = silver_plan._last_by(known[0].unionByName(known[1]).unionByName(known[2]), ["symbol"]).select(*last.columns)
+    newest = _staged(spark, newest, "silver-last")
     writes.replace_slices(spark, silver_path, new.withColumn("date", F.to_date("timestamp")), affected)
     writes.replace_slices(spark, f"{state}/days", fresh, touched, "day", ("symbol",))
-    standing = last.withColumn("day", F.to_date("timestamp")).join(touched, ["symbol", "day"], "left_anti").select(*last.columns)
-    newest = silver_plan._last_by(standing.unionByName(known.select(*last.columns)), ["symbol"]).select(*last.columns)
-    _staged(spark, newest, "silver-last").coalesce(1).write.mode("overwrite").parquet(f"{state}/last")
+    _write_last(newest, state)
     return affected
 
 
@@ -309,7 +343,7 @@ def refresh_gold_slices(spark: SparkSession, silver_path: str, gold_path: str, s
     """Incremental gold after a silver run: the daily bars of the changed
     (symbol, day) `slices`, and each symbol's next day, whose return may change
     with them.  Silver is read for those days alone, gold for the days around."""
-    slices = _staged(spark, slices, "gold-slices")
+    slices = _staged(spark, slices.select("symbol", "day").distinct(), "gold-slices")
     dates = [r[0] for r in slices.select("day").distinct().collect()]        # bounded by the calendar
     if dates:
         rows = read_stored(spark, silver_path, dates).join(slices.withColumnRenamed("day", "date"), ["symbol", "date"], "left_semi")
@@ -324,11 +358,10 @@ def apply_bars(spark: SparkSession, bars: DataFrame, slices: DataFrame, gold_pat
         fresh = gold_plan.daily_metrics(bars).withColumn("updated_at", stamp).select(*GOLD_COLUMNS)
         writes.replace_slices(spark, gold_path, fresh, slices, "date", ("symbol",))
         return
-    known = _staged(spark, neighbourhood(spark, gold_path, "date", slices, bars), "gold-known")
-    affected = silver_plan.affected_slices(known.withColumnRenamed("date", "day"), slices)
-    affected = _staged(spark, affected, "gold-affected")
-    fresh = (gold_plan.daily_metrics(known)
-             .join(affected.withColumnRenamed("day", "date"), ["symbol", "date"], "left_semi")
+    beside = _beside(spark, gold_path, "date", slices, bars.columns)
+    affected = _with_next(spark, slices, beside, "date")
+    rows = bars.unionByName(beside.filter("_after").select(*bars.columns))          # those of `affected`
+    fresh = (gold_plan.daily_metrics(rows, beside.filter("_before and not _after"))
              .withColumn("updated_at", stamp).select(*GOLD_COLUMNS))
     writes.replace_slices(spark, gold_path, fresh, affected, "date", ("symbol",))
 

@@ -136,11 +136,14 @@ def day_summary(valid: DataFrame, counted: bool = False) -> DataFrame:
     return _last_by(rows, ["symbol", "day"]).select("symbol", "day", "timestamp", "close", "volume", *(["n"] if counted else []))
 
 
-def seeds_before(days: DataFrame, first_day=None) -> DataFrame:
+def seeds_before(days: DataFrame, first_day=None, counted: bool = False) -> DataFrame:
     """Carry seeds from a day summary: per symbol, the last validated row of
-    its newest day before `first_day` (of all days when None)."""
+    its newest day before `first_day` (of all days when None) and, if `counted`
+    (as the summary is), its rows in all (`total`) and on its largest day (`most`)."""
     d = days if first_day is None else days.filter(F.col("day") < F.to_date(F.lit(first_day)))
-    return _last_by(d, ["symbol"], "day").select(*STATE_COLUMNS)
+    sizes = [F.sum("n").alias("total"), F.max("n").alias("most")] if counted else []
+    return (d.groupBy("symbol").agg(F.max_by("timestamp", "day").alias("timestamp"), F.max_by("close", "day").alias("close"),
+                                    F.max_by("volume", "day").alias("volume"), *sizes))
 
 
 def affected_slices(days: DataFrame, touched: DataFrame) -> DataFrame:

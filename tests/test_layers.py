@@ -118,3 +118,44 @@ def test_neighbourhood_holds_each_slices_neighbours(spark, stored, changes, give
         before, behind = [d for d in mine if d < day(n)], [d for d in mine if d > day(n)]
         assert not before or (s, before[-1]) in got
         assert not behind or (s, behind[0]) in got
+
+
+def _loads(spark, late_days):
+    bars = lambda days, start, **more: [{"timestamp": ts(start, days=d), "id": 100 * start + d, **more} for d in days]
+    first = bars(range(0, 60, 2), 1, symbol="A") + bars(range(1, 60, 5), 1, symbol="B")
+    late = bars(late_days, 2, symbol="A", close=11.0) + bars(late_days, 2, symbol="B", close=0.01)
+    return bronze(spark, first), bronze(spark, late)
+
+
+@pytest.mark.parametrize("late_days", [range(3, 50, 4), [21]])
+def test_a_recompute_reads_bronze_once_and_stages_no_layer(spark, tmp_path, monkeypatch, late_days):
+    reads, staged = [], []
+    of_slices, scratch = jobs._of_slices, jobs.scratch_path
+    monkeypatch.setattr(jobs, "_of_slices", lambda *a: reads.append(1) or of_slices(*a))
+    monkeypatch.setattr(jobs, "scratch_path", lambda s, name: staged.append(name) or scratch(s, name))
+    monkeypatch.setattr("barlake.session.scratch_path", lambda s, name: staged.append(name) or scratch(s, name))
+    first, late = _loads(spark, late_days)
+    root, every = str(tmp_path / "lake"), first.unionByName(late)
+    jobs.refresh_layers(spark, first, root, updated_at="2024-04-01")
+    staged.clear()
+    jobs.refresh_layers(spark, every, root, changed=late, updated_at="2024-04-01")
+    assert len(reads) == 1
+    assert not {"slices", "silver-known", "gold-known"} & set(staged), staged     # days written straight over the old ones
+    looks = 1 if len(late_days) > 1 else 2          # most folders lie around the late days: one look at the state and at gold
+    assert staged.count("neighbours") <= 2 * looks
+    full = str(tmp_path / "full")
+    jobs.refresh_layers(spark, every, full, updated_at="2024-04-01")
+    for layer in ("silver", "gold"):
+        got, want = (layers.read_stored(spark, f"{r}/{layer}") for r in (root, full))
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty(), layer
+
+
+def test_replaced_slices_come_from_the_folders_they_replace(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    writes.write_layer(with_date(rows(spark, [0, 1, 2], symbol="A").unionByName(rows(spark, [1], symbol="B"))), path)
+    slices = spark.createDataFrame([("A", date(2024, 1, 1)), ("A", date(2024, 1, 2))], "symbol string, day date")
+    fresh = layers.read_stored(spark, path).filter("symbol = 'A' and date = '2024-01-02'").withColumn("close", F.lit(7.0))
+    writes.replace_slices(spark, path, fresh, slices)
+    got = {(r.symbol, r.date.day, r.close) for r in layers.read_stored(spark, path).collect()}
+    assert {(s, d) for s, d, _ in got} == {("A", 2), ("B", 2), ("A", 3)} and ("A", 2, 7.0) in got
+    assert layers.stored_days(spark, path) == [date(2024, 1, 2), date(2024, 1, 3)]       # an emptied day has no folder

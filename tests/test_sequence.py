@@ -71,3 +71,15 @@ def test_hot_day_spread_over_hours(spark):
     rows += [("HOT", T0 + timedelta(days=2, minutes=i), float(i)) for i in range(5)]
     _check_levels(spark, rows, ("hour", "day"))
     _check_levels(spark, rows, ("minute", "hour", "day"))
+
+
+def test_small_keys_need_no_slices(spark):
+    from barlake.plans import jobs, silver
+    rows = [(s, T0 + timedelta(hours=9 * i), float(i), 1.0) for s in "AB" for i in range(40)]
+    df = spark.createDataFrame(rows, "symbol string, timestamp timestamp, close double, volume double")
+    days, newest, slices = jobs._summary(spark, df, None)
+    assert slices == () and newest.columns == silver.STATE_COLUMNS and newest.count() == 2
+    first = spark.createDataFrame([("A", T0 - timedelta(days=3), -1.0)], "symbol string, timestamp timestamp, close double")
+    plain, sliced = (with_previous(df, ["symbol"], "timestamp", {"close": "p"}, initial=first, slices=x) for x in ((), ("day",)))
+    assert plain.count() == 80 and plain.exceptAll(sliced.select(*plain.columns)).isEmpty()
+    assert plain.filter("p is null").count() == 1 and plain.filter("p = -1").count() == 1
