@@ -949,6 +949,8 @@ def _recomputed(spark, d, name: str, loads=_sparse_loads) -> tuple[str, DataFram
     from barlake.session import scratch_path
     root = scratch_path(spark, name)
     first, late = loads(spark, d)
+    late.write.parquet(f"{root}/late")              # one row per symbol, read for bronze and for its slices
+    late = spark.read.schema(late.schema).parquet(f"{root}/late")
     bronze_path = f"{root}/bronze"
     for i, load in enumerate((first, late)):
         writes.write_layer(load.withColumn("date", F.to_date("timestamp")), bronze_path, mode="append")

@@ -124,6 +124,8 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, schema: T.StructTyp
         late = batch.limit(0) if mark is None else batch.filter(F.col("timestamp") <= F.lit(mark))
         by_epoch(late, batch_id, late_path)
         if policy == "recompute" and mark is not None:
+            if repeated and changes_path is not None and has_epoch(s, changes_path, batch_id):
+                return                              # its epoch comes last: the batch had finished
             table = s.read.schema(schema).parquet(table_path or bronze_path).select(*schema.names)
             slices = jobs.refresh_silver(s, table, silver_path, mode="recompute", state_path=state_path,
                                          updated_at=updated_at, lag_slices=lag_slices, changed=batch)
@@ -140,7 +142,8 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, schema: T.StructTyp
             by_epoch(fresh.drop("date"), batch_id, feed_path)
         if changes_path is not None:
             new = batch if mark is None else batch.filter(F.col("timestamp") > F.lit(mark))
-            write_changes(s, silver_path, new.select("symbol", F.to_date("timestamp").alias("day")), batch_id, changes_path)
+            write_changes(s, silver_path, new.select("symbol", F.to_date("timestamp").alias("day")), batch_id, changes_path,
+                          whole=mark is None)
 
     _run(stream.writeStream.foreachBatch(clean).option("checkpointLocation", checkpoint))
 
@@ -163,22 +166,30 @@ def mark_of_batch(spark: SparkSession, state_path: str, batch_id: int):
 # ---------------------------------------------------------------------------
 # Change feed
 # ---------------------------------------------------------------------------
-def write_changes(spark: SparkSession, silver_path: str, slices: DataFrame, epoch: int, changes_path: str) -> None:
+def has_epoch(spark: SparkSession, changes_path: str, epoch: int) -> bool:
+    fs, folder = storage(spark, f"{changes_path.rstrip('/')}/epoch={epoch}")
+    return fs.exists(folder)
+
+
+def write_changes(spark: SparkSession, silver_path: str, slices: DataFrame, epoch: int, changes_path: str, whole: bool = False) -> None:
     """One epoch of the change feed (partition ``epoch``): for each of the
     (symbol, day) `slices` a row with change ``retract`` - all the slice held before
-    is void - and its present silver rows with change ``insert``.  An epoch that is
+    is void - and its present silver rows with change ``insert``.  `whole`: the
+    slices hold all rows of silver (its first build).  An epoch that is
     there stays as it is (its folder appears whole): a reader may have begun it."""
-    fs, folder = storage(spark, f"{changes_path.rstrip('/')}/epoch={epoch}")
-    if fs.exists(folder):
+    if has_epoch(spark, changes_path, epoch):
         return
-    path = scratch_path(spark, "changed-slices")
-    slices.filter("symbol is not null and day is not null").select("symbol", "day").distinct().write.parquet(path)
-    slices = spark.read.schema("symbol string, day date").parquet(path)
-    days = [r[0] for r in slices.select("day").distinct().collect()]         # bounded by the calendar
+    slices = slices.filter("symbol is not null and day is not null").select("symbol", "day").distinct()
+    if whole:
+        rows = read_stored(spark, silver_path).withColumnRenamed("date", "day").filter("symbol is not null")
+    else:
+        path = scratch_path(spark, "changed-slices")
+        slices.write.parquet(path)
+        slices = spark.read.schema("symbol string, day date").parquet(path)
+        days = [r[0] for r in slices.select("day").distinct().collect()]         # bounded by the calendar
+        rows = read_stored(spark, silver_path, days).withColumnRenamed("date", "day").join(slices, ["symbol", "day"], "left_semi")
     void = slices.withColumn("change", F.lit("retract"))
-    rows = (read_stored(spark, silver_path, days).withColumnRenamed("date", "day")
-            .join(slices, ["symbol", "day"], "left_semi").withColumn("change", F.lit("insert")))
-    out = rows.unionByName(void, allowMissingColumns=True).withColumn("epoch", F.lit(epoch))
+    out = rows.withColumn("change", F.lit("insert")).unionByName(void, allowMissingColumns=True).withColumn("epoch", F.lit(epoch))
     record_schema(spark, changes_path, out.schema)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(changes_path))
 
@@ -192,29 +203,36 @@ def expire_changes(spark: SparkSession, changes_path: str, before: int) -> None:
 
 def apply_changes(spark: SparkSession, changes_path: str, epochs, gold_path: str, state_path: str, updated_at=None) -> None:
     """Bring gold up to the feed's `epochs`.  Of each slice only the newest of
-    them counts, and only if no newer one was applied before; ``<state>/applied``
-    (one row per symbol and day) moves after gold, so any attempt can be repeated."""
+    them counts, and only if neither it nor a newer one was applied before;
+    ``<state>/applied`` (one row per symbol and day) moves after gold, so any
+    attempt can be repeated."""
     from barlake.plans import jobs
+    epochs, applied_path = sorted(set(epochs)), f"{state_path.rstrip('/')}/applied"
     feed = read_stored(spark, changes_path, epochs, "epoch")
-    newest = feed.filter("change = 'retract'").groupBy("symbol", "day").agg(F.max("epoch").alias("epoch"))
+    newest = feed.filter("change = 'retract'").select("symbol", "day", "epoch")
+    if len(epochs) > 1:                                 # an epoch has each slice once
+        newest = newest.groupBy("symbol", "day").agg(F.max("epoch").alias("epoch"))
+    applied = None
+    if read_stored(spark, gold_path, []) is not None:
+        days = [r[0] for r in feed.filter("change = 'retract'").select("day").distinct().collect()]      # bounded by the calendar
+        applied = read_stored(spark, applied_path, days, "day")
+    if applied is not None:
+        done = applied.select("symbol", "day", F.col("epoch").alias("_done"))
+        newest = newest.join(done, ["symbol", "day"], "left").filter("_done is null or epoch > _done").drop("_done")
     path = scratch_path(spark, "feed-slices")
     newest.write.parquet(path)
     newest = spark.read.schema(newest.schema).parquet(path)
-    days = [r[0] for r in newest.select("day").distinct().collect()]         # bounded by the calendar
-    applied = read_stored(spark, f"{state_path.rstrip('/')}/applied", days, "day")
-    if applied is not None:
-        done = applied.select("symbol", "day", F.col("epoch").alias("_done"))
-        newest = newest.join(done, ["symbol", "day"], "left").filter("_done is null or epoch >= _done").drop("_done")
-        path = scratch_path(spark, "feed-open")
-        newest.write.parquet(path)
-        newest = spark.read.schema(newest.schema).parquet(path)
-    rows = feed.filter("change = 'insert'").join(newest, ["symbol", "day", "epoch"], "left_semi")
+    if newest.isEmpty():
+        return
+    rows = feed.filter("change = 'insert'")
+    if applied is not None or len(epochs) > 1:
+        rows = rows.join(newest, ["symbol", "day", "epoch"], "left_semi")
     path = scratch_path(spark, "feed-bars")
     bars = daily_bars(rows)
     bars.write.parquet(path)
     slices = newest.select("symbol", "day")
     jobs.apply_bars(spark, spark.read.schema(bars.schema).parquet(path), slices, gold_path, updated_at)
-    writes.replace_slices(spark, f"{state_path.rstrip('/')}/applied", newest, slices, "day", ("symbol",))
+    writes.replace_slices(spark, applied_path, newest, slices, "day", ("symbol",))
 
 
 def run_gold_stream(spark: SparkSession, changes_path: str, gold_path: str, state_path: str, checkpoint: str,

@@ -1,6 +1,7 @@
 """The change feed: late rows, emptied slices, repeated and stale epochs."""
 
 import random
+from pathlib import Path
 
 import pytest
 from bars_data import bronze, ts
@@ -118,3 +119,27 @@ def test_layout_by_symbol_drops_emptied_folders(spark, tmp_path):
     jobs.refresh_silver(spark, b.limit(1), silver, mode="full", updated_at=AS_OF)
     by_symbol.refresh(spark, silver, path, spark.read.parquet(str(tmp_path / "gone")))
     assert by_symbol.read_symbols(spark, path, ["A"]).count() == 1 and len(by_symbol.read_symbols(spark, path, ["A"]).inputFiles()) == 1
+
+
+def files_of(path):
+    return {(str(f), f.stat().st_mtime_ns) for f in Path(path).rglob("*.parquet")}
+
+
+def test_a_finished_batch_is_not_done_again(spark, tmp_path):
+    """Repeated with lost checkpoints: silver, the feed and gold keep their files; a lost gold is built again."""
+    p = {k: str(tmp_path / k) for k in ("landing", "silver", "state", "late", "ckpt", "changes", "gold", "gold_state")}
+    every = None
+    for i, load in enumerate(loads(spark)[:2]):
+        every = load if every is None else every.unionByName(load)
+        load.write.parquet(f"{p['landing']}/load={i}")
+        seen = []
+        for attempt in range(2):
+            run_silver_stream(spark, f"{p['landing']}/load={i}", BRONZE_SCHEMA, p["silver"], p["state"], p["late"],
+                              f"{p['ckpt']}/{i}-{attempt}", updated_at=AS_OF, policy="recompute", first_batch=i,
+                              changes_path=p["changes"], table_path=p["landing"])
+            run_gold_stream(spark, p["changes"], p["gold"], p["gold_state"], f"{p['ckpt']}-gold/{i}-{attempt}", updated_at=AS_OF)
+            seen.append([files_of(p[k]) for k in ("silver", "changes", "gold")])
+        assert seen[0] == seen[1]
+        assert stored(spark, p["gold"]) == gold_of(every)
+    run_gold_stream(spark, p["changes"], p["gold"] + "2", p["gold_state"], p["ckpt"] + "-gold2", updated_at=AS_OF)
+    assert stored(spark, p["gold"] + "2") == gold_of(every)
