@@ -5,8 +5,8 @@ Layers are date-partitioned Parquet folders.  Without a table format, an
 upsert (K05) is: read only the target partitions the new rows touch (a
 partition filter on their dates), drop the rows whose key comes again, union
 the new rows, write the result to a staging folder, then overwrite just those
-partitions of the target from the staging copy - a plan never reads and
-overwrites one path.
+partitions of the target from the staging copy.  Slices are replaced without a
+staging copy (`writes.replace_days`).
 
 State of the silver job, below ``state_path``: ``days`` (per symbol and day the
 last validated row, partitioned by day) and ``last`` (per symbol the newest of
